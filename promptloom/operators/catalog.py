@@ -19,6 +19,12 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _least(f: T.StructField) -> Column:
+    least = F.min(f"`{f.name}`")
+    # 0.0 and -0.0 compare equal, so which of them min returns is open; adding 0.0 settles it.
+    return least + 0.0 if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else least
+
+
 def schema_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, column_name, column_no, data_type, sample_value): the sample is the least non-null value.
 
@@ -28,7 +34,7 @@ def schema_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     for table, df in tables.items():
         fields = list(df.schema)
         flat = [f for f in fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-        least = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.min(f"`{f.name}`").cast("string").alias(f.name) for f in flat])
+        least = df.agg(F.count(F.lit(1)).alias("_rows"), *[_least(f).cast("string").alias(f.name) for f in flat])
         described = F.array(*[
             F.struct(
                 F.lit(f.name).alias("column_name"), F.lit(no).alias("column_no"),

@@ -35,7 +35,7 @@ def split_response(df: DataFrame, response: str = "response", prompt: str = "pro
 
 def explode_concepts(df: DataFrame, concepts: str = "concepts_list", name: str = "concept") -> DataFrame:
     """``"[a, b ,]"`` becomes one row per non-empty entry."""
-    parts = F.transform(F.split(F.translate(F.col(concepts), "[]", ""), ","), F.trim)
+    parts = F.transform(F.split(F.translate(F.col(concepts), "[]", ""), ","), lambda x: F.trim(x))
     return df.withColumn(name, F.explode(F.filter(parts, lambda x: x != "")))
 
 
@@ -72,7 +72,7 @@ def zip_shortest(df: DataFrame, left: str, right: str, ids: Sequence[str]) -> Da
 
 
 def _glossary_lines(text: Column) -> Column:
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), F.trim)
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x))
     return F.filter(lines, lambda x: x != "")
 
 
@@ -116,14 +116,12 @@ def merge_glossary(df: DataFrame, ids: Sequence[str], generated: str = "response
     new = F.flatten(F.transform(parse_glossary(F.col(generated)), pairs))
     parts = [("existing", parse_existing_glossary(F.col(existing))), ("generated", new)]
     # One pass over the input: both parts of a row sit in one array before it is exploded.
-    tagged = F.concat(*[
-        F.coalesce(
-            F.transform(entries, lambda e, i, o=origin: F.struct(
-                F.lit(o).alias("origin"), i.alias("entry_no"), e["input"].alias("input"), e["output"].alias("output"))),
-            F.array().cast("array<struct<origin: string, entry_no: int, input: string, output: string>>"),
-        )
-        for origin, entries in parts
-    ])
+    def tagged_as(origin, entries):
+        rows = F.transform(entries, lambda e, i: F.struct(
+            F.lit(origin).alias("origin"), i.alias("entry_no"), e["input"].alias("input"), e["output"].alias("output")))
+        return F.coalesce(rows, F.array().cast("array<struct<origin: string, entry_no: int, input: string, output: string>>"))
+
+    tagged = F.concat(*[tagged_as(origin, entries) for origin, entries in parts])
     return df.select(*ids, F.inline(tagged))
 
 
@@ -150,11 +148,11 @@ def failed_variations(df: DataFrame, arrays: Sequence[str], ids: Sequence[str] =
 
     Each entry is judged by ``validation``, or by ``final_validation`` when it has none.
     """
-    entries = F.concat(*[
-        F.coalesce(F.transform(F.col(a), lambda v, n=a: F.struct(F.lit(n).alias("origin"), v.alias("v"))),
-                   F.array().cast(_entry_type(df, a)))
-        for a in arrays
-    ])
+    def tagged(name):
+        rows = F.transform(F.col(name), lambda v: F.struct(F.lit(name).alias("origin"), v.alias("v")))
+        return F.coalesce(rows, F.array().cast(_entry_type(df, name)))
+
+    entries = F.concat(*[tagged(a) for a in arrays])
     rows = df.select(*ids, F.explode(entries).alias("_e")).select(*ids, "_e.origin", F.col("_e.v").alias("_v"))
     verdict = F.coalesce(F.col("_v.validation"), F.col("_v.final_validation"))
     return rows.withColumn("_j", verdict).filter(~F.coalesce(F.col("_j.is_valid"), F.lit(True))).select(

@@ -59,8 +59,8 @@ def letter_embedding_sql(column: str) -> str:
 def embedded_sql(table: str, key: str, column: str) -> str:
     """CTE body: (key, text, e) with e the unit-length letter counts as floats."""
     return (
-        f"SELECT {key}, {column}, list_transform(c, x -> CAST(CASE WHEN n = 0 THEN 0.0 ELSE x / sqrt(n) END AS FLOAT)) AS e FROM ("
-        f"SELECT *, CAST(list_sum(list_transform(c, x -> x * x)) AS DOUBLE) AS n FROM ("
+        f"SELECT {key}, {column}, [CAST(CASE WHEN n = 0 THEN 0.0 ELSE x / sqrt(n) END AS FLOAT) FOR x IN c] AS e FROM ("
+        f"SELECT *, CAST(list_sum([x * x FOR x IN c]) AS DOUBLE) AS n FROM ("
         f"SELECT {key}, {column}, {letter_embedding_sql(column)} AS c FROM ("
         f"SELECT *, lower({column}) AS {column}_l FROM {table})))"
     )
@@ -68,6 +68,6 @@ def embedded_sql(table: str, key: str, column: str) -> str:
 
 def squared_distance_sql(a: str, b: str) -> str:
     return (
-        f"list_sum(list_transform(list_zip({a}, {b}), "
-        "p -> (CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) * (CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE))))"
+        "list_sum([(CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) * (CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE)) "
+        f"FOR p IN list_zip({a}, {b})])"
     )

@@ -175,7 +175,7 @@ def _case_sql(no, case):
     if "revenue" in gold:
         gold, made = (f"SELECT nation, round(revenue, 2) AS revenue, n FROM ({s})" for s in (gold, made))
     n = f"((SELECT count(*) FROM (SELECT * FROM ({gold}) EXCEPT ALL SELECT * FROM ({made}))) + (SELECT count(*) FROM (SELECT * FROM ({made}) EXCEPT ALL SELECT * FROM ({gold}))))"
-    return head + f"'success', {n} = 0, CASE WHEN {n} = 0 THEN 1.0 ELSE 0.5 END::DOUBLE, {n}"
+    return head + f"'success' AS status, {n} = 0 AS equivalent, CASE WHEN {n} = 0 THEN 1.0 ELSE 0.5 END::DOUBLE AS confidence, {n} AS n_different"
 
 
 _CASES = " UNION ALL ".join(_case_sql(i, c) for i, c in enumerate(CASES, 1))
@@ -256,7 +256,7 @@ _TYPES = {
                  "l_linestatus": "string", "l_shipdate": "timestamp_ntz"},
 }
 _PROFILE = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {no} AS column_no, '{ty}' AS data_type, CAST(min({c}) AS VARCHAR) AS sample_value FROM {t}"
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {no} AS column_no, '{ty}' AS data_type, CAST(min({c}){' + 0.0' if ty == 'double' else ''} AS VARCHAR) AS sample_value FROM {t}"
     for t, columns in _TYPES.items() for no, (c, ty) in enumerate(columns.items(), 1)
 )
 

@@ -10,8 +10,8 @@ from promptloom.testing.doubles import letter_encoder, refusing_model
 
 
 def stream(t, name):
-    table = getattr(t, name)
-    return jobs.read_files(t.spark, f"{t.folder}/{name}.parquet", table.schema)
+    # A stream source takes a folder or a pattern; this pattern matches the table be it a file or a folder.
+    return jobs.read_files(t.spark, f"{t.folder}/{name}.parque[t]", getattr(t, name).schema)
 
 
 @query("stream_generate", """
