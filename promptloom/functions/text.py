@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FENCE = "```"
+# A select, or the head of a common table expression; the word "with" alone may be prose.
+_STATEMENT = r'(?is)\b(?:select\b|with\s+(?:recursive\s+)?[\w"]+(?:\s*\([^)]*\))?\s+as\s*\().*$'
 
 
 def ascii_clean(value: Column, dtype: T.DataType) -> Column:
@@ -35,13 +37,13 @@ def strip_fence(text: Column) -> Column:
 
 
 def extract_sql(text: Column) -> Column:
-    """The SQL inside model text: from the first ``select``/``with`` word after any code fence, without
-    the prose that follows the last ``;``. Null when there is no such word.
+    """The SQL inside model text: from the first ``select`` or common table expression after any code fence,
+    without the prose that follows the last ``;``. Null when there is neither.
     """
     body = F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
     fence = F.locate(FENCE, body)
     body = F.when(fence > 0, F.substring(body, fence, F.length(body))).otherwise(body)
-    sql = F.nullif(F.regexp_extract(body, r"(?is)\b(?:select|with)\b.*$", 0), F.lit(""))
+    sql = F.nullif(F.regexp_extract(body, _STATEMENT, 0), F.lit(""))
     closed = sql.endswith(";")
     inner = F.regexp_replace(sql, r";+$", "")
     tail = F.substring_index(inner, ";", -1)

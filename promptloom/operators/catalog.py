@@ -66,34 +66,34 @@ def column_tables(profile: DataFrame) -> DataFrame:
     )
 
 
-def literal_predicates(df: DataFrame, query_id: str, sql: str) -> DataFrame:
-    """``column = 'literal'`` predicates of single-table queries: (query_id, table_name, column_name, literal)."""
-    text = F.col(sql)
-    table = F.upper(F.regexp_extract(text, r"(?i)\bfrom\s+([A-Za-z_][A-Za-z0-9_]*)", 1))
-    whole = F.regexp_extract_all(text, F.lit(r"([A-Za-z_][A-Za-z0-9_]*)\s*=\s*'([^']*)'"), F.lit(0))
-    rows = df.select(F.col(query_id), table.alias("table_name"), F.explode(F.array_distinct(whole)).alias("_p"))
-    return rows.select(
-        query_id, "table_name",
-        F.upper(F.regexp_extract("_p", r"^([A-Za-z_][A-Za-z0-9_]*)", 1)).alias("column_name"),
-        F.regexp_extract("_p", r"'([^']*)'$", 1).alias("literal"),
-    )
+def _predicates(sql: Column) -> Column:
+    """Array of (column_name, literal) for each distinct ``column = 'literal'`` in a query text."""
+    whole = F.regexp_extract_all(sql, F.lit(r"([A-Za-z_][A-Za-z0-9_]*)\s*=\s*'([^']*)'"), F.lit(0))
+    return F.transform(F.array_distinct(whole), lambda p: F.struct(
+        F.upper(F.regexp_extract(p, r"^([A-Za-z_][A-Za-z0-9_]*)", 1)).alias("column_name"),
+        F.regexp_extract(p, r"'([^']*)'$", 1).alias("literal"),
+    ))
 
 
-def unknown_columns(df: DataFrame, profile: DataFrame, query_id: str, sql: str) -> DataFrame:
-    """Predicates on a column the queried table lacks, with ``suggested_column``: the first other column of the
-    same query that exists and is compared to a value containing the literal (null if none)."""
-    known = profile.select(F.upper("table_name").alias("table_name"), F.upper("column_name").alias("column_name")).distinct()
-    marked = literal_predicates(df, query_id, sql).join(
-        known.withColumn("_known", F.lit(True)), ["table_name", "column_name"], "left"
-    )
-    # The predicates of one query text form a small list, so the query is grouped rather than joined to itself.
-    listed = marked.groupBy(query_id, "table_name").agg(
-        F.collect_list(F.struct("column_name", "literal", F.coalesce("_known", F.lit(False)).alias("known"))).alias("_ps")
+def unknown_columns(df: DataFrame, tables: Mapping[str, Sequence[str]], query_id: str, sql: str) -> DataFrame:
+    """Predicates of single-table queries on a column the queried table lacks, with ``suggested_column``: the
+    first other column of the same query that exists and is compared to a value containing the literal.
+
+    ``tables`` maps table names to column names. It is schema metadata, known when the plan is made, so it
+    becomes a literal map and the check needs neither join nor shuffle.
+    """
+    columns = F.create_map(*[
+        part for name, cols in tables.items() for part in (F.lit(name.upper()), F.array(*[F.lit(c.upper()) for c in cols]))
+    ])
+    table = F.upper(F.regexp_extract(F.col(sql), r"(?i)\bfrom\s+([A-Za-z_][A-Za-z0-9_]*)", 1))
+    rows = df.select(query_id, table.alias("table_name"), _predicates(F.col(sql)).alias("_ps")).withColumn(
+        "_cols", F.coalesce(F.try_element_at(columns, F.col("table_name")), F.array().cast("array<string>"))
     )
-    bad = listed.withColumn("_b", F.explode(F.filter("_ps", lambda p: ~p["known"])))
+    bad = rows.withColumn("_b", F.explode(F.filter("_ps", lambda p: ~F.array_contains(F.col("_cols"), p["column_name"]))))
     fitting = F.filter(
         F.col("_ps"),
-        lambda p: p["known"] & (F.length(F.col("_b.literal")) >= MIN_LITERAL)
+        lambda p: F.array_contains(F.col("_cols"), p["column_name"])
+        & (F.length(F.col("_b.literal")) >= MIN_LITERAL)
         & F.contains(F.upper(p["literal"]), F.upper(F.col("_b.literal"))),
     )
     return bad.select(

@@ -16,6 +16,13 @@ from promptloom.storage import materialise
 # Regularisation strength and iteration bound of the reference classifier.
 C = 1.0
 MAX_ITER = 500
+MAX_BROADCAST_CLASSES = 100_000
+
+
+def small(classes: DataFrame) -> DataFrame:
+    """A table with a row per class, broadcast when a count shows that it is small, so that rows of a dominant
+    class need not meet in one task. A larger one joins by shuffle, where adaptive execution splits skew."""
+    return F.broadcast(classes) if classes.count() <= MAX_BROADCAST_CLASSES else classes
 
 
 def class_registry(examples: DataFrame, class_name: str = "class_name", position: str = "position", **options) -> DataFrame:
@@ -48,7 +55,7 @@ class EmbeddingClassifier:
     @classmethod
     def fit(cls, rows: DataFrame, registry: DataFrame, vector: str = "embedding", class_name: str = "class_name"):
         """L2 logistic regression. ``regParam = 1 / (C n)`` gives the objective 0.5·|w|² + C·Σ loss."""
-        labelled = rows.join(registry, class_name).select(
+        labelled = rows.join(small(registry), class_name).select(
             array_to_vector(F.col(vector)).alias("features"), F.col("class_id").cast("double").alias("label")
         ).filter(F.col("features").isNotNull())
         sizes = labelled.agg(F.count("*").alias("n"), F.count_distinct("label").alias("classes")).first()
@@ -68,12 +75,12 @@ class EmbeddingClassifier:
     def long_probabilities(self, df: DataFrame, ids: Sequence[str], vector: str = "embedding") -> DataFrame:
         """One row per record and class: (ids, class_id, class_name, prob)."""
         probs = self.probabilities(df, vector).select(*ids, F.posexplode("probs").alias("class_id", "prob"))
-        return probs.join(F.broadcast(self.registry), "class_id").select(*ids, "class_id", "class_name", "prob")
+        return probs.join(small(self.registry), "class_id").select(*ids, "class_id", "class_name", "prob")
 
     def predict(self, df: DataFrame, vector: str = "embedding") -> DataFrame:
         """Add ``class_id`` and ``class_name`` of the most probable class; the first wins a tie."""
         scored = self.probabilities(df, vector).withColumn("class_id", argmax("probs")).drop("probs")
-        return scored.join(F.broadcast(self.registry), "class_id", "left")
+        return scored.join(small(self.registry), "class_id", "left")
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
@@ -104,8 +111,8 @@ def binary_prediction(negative: Column, positive: Column) -> Column:
 
 
 def with_metadata(predictions: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Attach class metadata by class id. The planner broadcasts a table of classes when it is small."""
-    return predictions.join(metadata, "class_id", "left")
+    """Attach class metadata by class id."""
+    return predictions.join(small(metadata), "class_id", "left")
 
 
 def examples_needed(examples: DataFrame, target: int, class_name: str = "class_name", classes: DataFrame | None = None) -> DataFrame:
@@ -131,9 +138,7 @@ def augment_examples(examples: DataFrame, target: int, rounds: Sequence[Round],
     for fill in rounds:
         need = examples_needed(current, target, class_name).filter("need > 0").select(class_name, "need")
         made = materialise(fill(need), "examples")  # a round may call a model
-        order = Window.partitionBy(class_name).orderBy("sort_key", example)
-        # At most ``target`` rows per class survive the window, and each task keeps no more than that.
-        ranked = made.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= target)
-        kept = ranked.join(need, class_name).filter(F.col("_r") <= F.col("need"))
+        ranked = number_rows(made, ["sort_key", example], [class_name], "_r").filter(F.col("_r") <= target)
+        kept = ranked.join(small(need), class_name).filter(F.col("_r") <= F.col("need"))
         current = kept.select(class_name, example, F.lit(True).alias("is_new")).unionByName(current)
     return current

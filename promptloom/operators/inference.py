@@ -27,23 +27,18 @@ _RESULT = T.StructType([
 ])
 
 
-def _attempt(predict: Predict, prompts: pd.Series, retry_limit: int) -> pd.DataFrame:
-    """Call the model for one batch, at most ``retry_limit`` times in all."""
+def _attempt(predict: Predict, prompts: pd.Series, retry_limit: int) -> tuple[list, list[str], int]:
+    """Call the model for one batch, at most ``retry_limit`` times in all: (responses, errors, attempts)."""
     errors: list[str] = []
     while len(errors) < retry_limit:
         try:
             answers = list(predict(prompts))
             if len(answers) != len(prompts):
                 raise ValueError(f"model returned {len(answers)} responses for {len(prompts)} prompts")
-            return _result(answers, errors, len(errors) + 1)
+            return answers, errors, len(errors) + 1
         except Exception as failure:  # a model may raise anything
             errors.append(f"{type(failure).__name__}: {failure}")
-    return _result([None] * len(prompts), errors, len(errors))
-
-
-def _result(answers: list, errors: list[str], attempts: int) -> pd.DataFrame:
-    n = len(answers)
-    return pd.DataFrame({"response": answers, "error": [list(errors)] * n, "attempts": [attempts] * n})
+    return [None] * len(prompts), errors, len(errors)
 
 
 def model_column(prompt: Column, model: Model, batch_size: int = BATCH_SIZE,
@@ -54,11 +49,13 @@ def model_column(prompt: Column, model: Model, batch_size: int = BATCH_SIZE,
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predict = model()
         for batch in batches:
-            parts = [
-                _attempt(predict, batch.iloc[at : at + batch_size], retry_limit)
-                for at in range(0, len(batch), batch_size)
-            ]
-            yield pd.concat(parts, ignore_index=True) if parts else _result([], [], 0)
+            responses, error, attempts = [], [], []
+            for at in range(0, len(batch), batch_size):
+                answers, errors, tries = _attempt(predict, batch.iloc[at : at + batch_size], retry_limit)
+                responses += answers
+                error += [errors] * len(answers)
+                attempts += [tries] * len(answers)
+            yield pd.DataFrame({"response": responses, "error": error, "attempts": attempts})
 
     return call.asNondeterministic()(prompt)
 

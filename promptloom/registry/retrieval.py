@@ -297,7 +297,8 @@ def unknown_columns(t):
         F.lit(" WHERE c_mktsegment = '"), F.col("c_mktsegment"), F.lit("'"),
         F.when(F.col("c_acctbal") > 0, F.concat(F.lit(" AND o_orderpriority = '1-"), F.lower("c_mktsegment"), F.lit("'"))).otherwise(""),
     )
-    return catalog.unknown_columns(t.customer.select("c_custkey", sql.alias("sql")), profile(t), "c_custkey", "sql")
+    columns = {name: getattr(t, name).columns for name in _PROFILED}
+    return catalog.unknown_columns(t.customer.select("c_custkey", sql.alias("sql")), columns, "c_custkey", "sql")
 
 
 _MONTHS = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m')
