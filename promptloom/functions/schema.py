@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The accepted type names of a response field.
@@ -31,7 +33,13 @@ def field_type(spec) -> T.DataType:
 
 
 def response_schema(output_type: Mapping) -> T.StructType:
-    """Struct type of a structured response. Every field is required, see ``missing_fields``."""
+    """Struct type of a structured response."""
     if not output_type:
         raise ValueError("output_type needs at least one field")
     return T.StructType([T.StructField(name, field_type(spec)) for name, spec in output_type.items()])
+
+
+def missing_fields(response: Column, output_type: Mapping) -> Column:
+    """Names of the fields a parsed response lacks; every field is required, so a complete one has none."""
+    named = F.array(*[F.when(response.getField(name).isNull(), F.lit(name)) for name in output_type])
+    return F.array_compact(named)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -18,6 +19,9 @@ CASE_SCHEMA = (
     "equivalent boolean, confidence double, explanation string, n_different long"
 )
 
+JUDGED_ROWS = 50
+Judge = Callable[[DataFrame], DataFrame]
+
 
 @dataclass(frozen=True)
 class SqlCase:
@@ -71,13 +75,17 @@ def results_equal(a: DataFrame, b: DataFrame, digits: int | None = 6, order_by:
     return same_shape(a, b) and result_diff(a, b, digits, order_by).isEmpty()
 
 
-def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: int | None = 6) -> DataFrame:
+def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: int | None = 6,
+                       judge: Judge | None = None) -> DataFrame:
     """Run each gold/generated pair on the session's tables and compare their whole results.
 
     The list of cases is the caller's; per case only one number reaches the driver. A query that does not
-    run gives status ``error`` and confidence 0; a difference is left to judgement with confidence 0.5.
+    run gives status ``error`` and confidence 0. Results that differ have confidence 0.5, unless ``judge`` is
+    given: it takes (case_no, question, gold_query, generated_query, gold_result, generated_result) and adds
+    equivalent, confidence and explanation. The result texts are the rows only one side has, at most
+    ``JUDGED_ROWS`` of each, with their total.
     """
-    rows = []
+    rows, open_cases = [], []
     for no, case in enumerate(cases, start=1):
         status, equal, confidence, differing = "success", False, 0.5, None
         try:
@@ -86,6 +94,8 @@ def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: in
                 differing = result_diff(gold, made, digits).count()
                 equal = differing == 0
                 explanation = "results are identical" if equal else "results differ"
+                if not equal and judge is not None:
+                    open_cases.append(_evidence(result_diff(gold, made, digits), no))
             else:
                 explanation = "results have different columns"
             confidence = 1.0 if equal else 0.5
@@ -94,7 +104,32 @@ def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: in
             explanation = getattr(failure, "getCondition", lambda: None)() or type(failure).__name__
         rows.append((no, case.question, case.gold_query, case.generated_query, status, equal, confidence,
                      explanation, differing))
-    return spark.createDataFrame(rows, CASE_SCHEMA)
+    results = spark.createDataFrame(rows, CASE_SCHEMA)
+    if not open_cases:
+        return results
+    asked = reduce(DataFrame.unionByName, open_cases).join(results.select("case_no", "question", "gold_query", "generated_query"), "case_no")
+    verdicts = judge(asked).select(
+        "case_no", F.col("equivalent").alias("_e"), F.col("confidence").alias("_c"), F.col("explanation").alias("_x")
+    )
+    judged = results.join(verdicts, "case_no", "left")
+    return judged.withColumns({
+        "equivalent": F.coalesce("_e", "equivalent"), "confidence": F.coalesce("_c", "confidence"), "explanation": F.coalesce("_x", "explanation"),
+    }).select(*results.columns)
+
+
+def _evidence(diff: DataFrame, case_no: int) -> DataFrame:
+    """One row for a judge: the rows that only the gold or only the generated result has."""
+    values = [c for c in diff.columns if c not in ("n_left", "n_right")]
+    line = F.to_json(F.struct(*values))
+    sides = []
+    for name, surplus in (("gold_result", "n_left > n_right"), ("generated_result", "n_right > n_left")):
+        only = diff.filter(surplus)
+        # A global top-n; the judge sees it next to the total.
+        shown = only.select(line.alias("l")).orderBy("l").limit(JUDGED_ROWS).agg(F.array_join(F.array_sort(F.collect_list("l")), "\n").alias("t"))
+        total = only.agg(F.count("*").alias("n"))
+        sides.append(shown.withColumn("case_no", F.lit(case_no)).join(total.withColumn("case_no", F.lit(case_no)), "case_no").select(
+            "case_no", F.concat(F.col("n").cast("string"), F.lit(" rows only here\n"), F.col("t")).alias(name)))
+    return sides[0].join(sides[1], "case_no")
 
 
 def _bare(sql: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from promptloom.functions.text import similarity
 from promptloom.operators.positions import assign_batches
+from promptloom.storage import materialise
 
 # The evaluation tasks, their metrics, and the value of an absent metric.
 HARNESS_TASKS = ("mmlu", "truthfulqa")
@@ -118,20 +119,35 @@ def topic_counts(df: DataFrame, topics: str = "topics", groups: Sequence[str] =
     return asked.select(*groups, F.explode(topics).alias("topic")).groupBy(*groups, "topic").agg(F.count("*").alias("n"))
 
 
-def missing_topics(gold: DataFrame, generated: DataFrame) -> DataFrame:
-    return gold.join(generated.select("topic"), "topic", "left_anti").select("topic", F.col("n").alias("gold_count"))
+def topic_coverage(gold: DataFrame, generated: DataFrame, topics: str = "topics") -> DataFrame:
+    """(topic, gold_count, generated_count) of two question sets, by one aggregation over both."""
+    sides = [
+        side.filter(F.coalesce(F.trim(question_text(side)) != "", F.lit(False))).select(F.explode(topics).alias("topic"), F.lit(is_gold).alias("_g"))
+        for side, is_gold in ((gold, True), (generated, False))
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("topic").agg(
+        F.count_if("_g").alias("gold_count"), F.count_if(~F.col("_g")).alias("generated_count")
+    )
+
+
+def missing_topics(coverage: DataFrame) -> DataFrame:
+    """Gold topics the generated questions never touch."""
+    return coverage.filter("gold_count > 0 AND generated_count = 0").select("topic", "gold_count")
 
 
-def underrepresented_topics(gold: DataFrame, generated: DataFrame) -> DataFrame:
+def underrepresented_topics(coverage: DataFrame) -> DataFrame:
     """Topics of both sets whose gold count exceeds the generated one by more than half; and by how much."""
-    both = gold.select("topic", F.col("n").alias("g")).join(generated.select("topic", F.col("n").alias("m")), "topic")
-    return both.filter(F.col("g") > UNDER_FACTOR * F.col("m")).select("topic", (F.col("g") - F.col("m")).alias("shortfall"))
+    both = coverage.filter("generated_count > 0").filter(F.col("gold_count") > UNDER_FACTOR * F.col("generated_count"))
+    return both.select("topic", (F.col("gold_count") - F.col("generated_count")).alias("shortfall"))
 
 
-def topic_batches(missing: DataFrame, under: DataFrame, per_topic: int = 2, **options) -> DataFrame:
+def topic_batches(coverage: DataFrame, per_topic: int = 2, **options) -> DataFrame:
     """Topics to cover, missing ones first, three to a batch, with the number of questions to ask for."""
-    gaps = missing.select("topic", F.lit(0).alias("_o")).unionByName(under.select("topic", F.lit(1).alias("_o")))
-    batched = assign_batches(gaps, TOPICS_PER_BATCH, ["_o", "topic"], **options)
+    missing = (F.col("gold_count") > 0) & (F.col("generated_count") == 0)
+    under = (F.col("generated_count") > 0) & (F.col("gold_count") > UNDER_FACTOR * F.col("generated_count"))
+    gaps = coverage.filter(missing | under).select("topic", F.when(missing, 0).otherwise(1).alias("_o"))
+    # Stored because numbering reads it twice, and it is far smaller than the questions behind it.
+    batched = assign_batches(materialise(gaps, "gaps"), TOPICS_PER_BATCH, ["_o", "topic"], **options)
     listed = batched.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("_o", "topic"))).alias("_ts"))
     return listed.select(
         "batch",

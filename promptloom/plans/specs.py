@@ -131,6 +131,14 @@ SPECS = {
                    {"questions": "array"}),
         PromptSpec("sql_answer", "{query_task}\nSchemas: {schemas}\nQuestion: {question}", {"sql_query": "str"},
                    after=_terminated("sql_query")),
+        PromptSpec("example_generator",
+                   "Examples so far:\n{examples}\nDescription:\n{description}\nSummarise five different examples of it, each in at "
+                   "most ten words.", {f"example_{i}": "str" for i in range(1, 6)}),
+        PromptSpec("example_modifier",
+                   "Existing summaries:\n{summaries}\nWrite five more that differ clearly from them, each in at most ten words.",
+                   {f"example_{i}": "str" for i in range(1, 6)}),
+        PromptSpec("example_expander",
+                   "Description:\n{description}\nSummary of one example:\n{summary}\nWrite the whole example.", {"output": "str"}),
         validator_spec("factuality", "Think step by step, then say whether the answer is factual.\nQuestion: {question}\nAnswer: {answer}",
                        {"thinking_steps": "str"}, is_valid_field="is_factual"),
         validator_spec("sql_score", "Are the results of these queries similar?\nA: {gold_query}\nB: {generated_query}",

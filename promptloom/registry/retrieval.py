@@ -79,31 +79,30 @@ _MISSING = f"SELECT g.topic, g.n AS gold_count FROM ({_GOLD}) g WHERE g.topic NO
 _UNDER = f"SELECT g.topic, g.n - m.n AS shortfall FROM ({_GOLD}) g JOIN ({_MADE}) m ON g.topic = m.topic WHERE g.n > 1.5 * m.n"
 
 
-def topics_by_set(t):
-    analysed = t.documents.select(
+def questions(t):
+    return t.documents.select(
         "text", F.split(F.lower("text"), r"\s+").alias("topics"), F.col("source").rlike("^src[0-9]$").alias("is_gold")
     )
-    return evaluate.topic_counts(analysed, groups=["is_gold"])
 
 
-def topic_sets(t):
-    counts = topics_by_set(t)
-    return counts.filter("is_gold").drop("is_gold"), counts.filter("NOT is_gold").drop("is_gold")
+def coverage(t):
+    asked = questions(t)
+    return evaluate.topic_coverage(asked.filter("is_gold"), asked.filter("NOT is_gold"))
 
 
 @query("topic_counts", f"SELECT is_gold, topic, count(*) AS n FROM ({_WORDS}) GROUP BY ALL")
 def topic_counts(t):
-    return topics_by_set(t)
+    return evaluate.topic_counts(questions(t), groups=["is_gold"])
 
 
 @query("missing_topics", _MISSING)
 def missing_topics(t):
-    return evaluate.missing_topics(*topic_sets(t))
+    return evaluate.missing_topics(coverage(t))
 
 
 @query("underrepresented_topics", _UNDER)
 def underrepresented_topics(t):
-    return evaluate.underrepresented_topics(*topic_sets(t))
+    return evaluate.underrepresented_topics(coverage(t))
 
 
 @query("topic_batches", f"""
@@ -111,8 +110,7 @@ SELECT batch, string_agg(topic, ',' ORDER BY o, topic) AS topics, CAST(count(*)
   SELECT *, CAST(floor((row_number() OVER (ORDER BY o, topic) - 1) / 3) AS BIGINT) AS batch FROM (
     SELECT topic, 0 AS o FROM ({_MISSING}) UNION ALL SELECT topic, 1 FROM ({_UNDER}))) GROUP BY batch""")
 def topic_batches(t):
-    sets = topic_sets(t)
-    return evaluate.topic_batches(evaluate.missing_topics(*sets), evaluate.underrepresented_topics(*sets))
+    return evaluate.topic_batches(coverage(t))
 
 
 # Result comparison
