@@ -68,7 +68,7 @@ def eval_summary(t):
 
 
 _COMPARE = """SELECT count(*) AS n, round(avg(CAST(t AS INT)), 6) AS test_accuracy, round(avg(CAST(b AS INT)), 6) AS base_accuracy,
-  count_if(t AND NOT b) AS wins, count_if(NOT t AND b) AS losses, count_if(t = b) AS ties"""
+  CAST(count_if(t AND NOT b) AS BIGINT) AS wins, CAST(count_if(NOT t AND b) AS BIGINT) AS losses, CAST(count_if(t = b) AS BIGINT) AS ties"""
 
 
 @query("classifier_compare", f"""
@@ -109,7 +109,7 @@ _TYPES = f"""SELECT CASE WHEN contains(message, 'Syntax') THEN 'syntax_error' WH
   WHEN contains(message, 'identifier') THEN 'invalid_identifier' WHEN contains(message, 'schema') THEN 'schema_error'
   WHEN contains(message, 'function') THEN 'function_error' WHEN contains(message, 'GROUP') THEN 'group_by_error' ELSE 'other' END AS error_type,
   count(*) AS n FROM ({_ERRORS}) GROUP BY 1"""
-_FEATURES = f"""SELECT unnest(['join', 'cte', 'subquery', 'group_by', 'aggregation']) AS feature, unnest([a, 0, b, a, a]) AS n FROM (
+_FEATURES = f"""SELECT unnest(['join', 'cte', 'subquery', 'group_by', 'aggregation']) AS feature, CAST(unnest([a, 0, b, a, a]) AS BIGINT) AS n FROM (
   SELECT count_if(contains(sql, 'JOIN')) AS a, count_if(contains(sql, '(SELECT')) AS b FROM ({_ERRORS}))"""
 
 
@@ -137,14 +137,14 @@ def sql_features(t):
 
 
 @query("sql_features_of_failures", f"""
-SELECT unnest(['join', 'cte', 'subquery', 'group_by', 'aggregation']) AS feature, unnest([0, n, n, 0, 0]) AS n FROM (
+SELECT unnest(['join', 'cte', 'subquery', 'group_by', 'aggregation']) AS feature, CAST(unnest([0, n, n, 0, 0]) AS BIGINT) AS n FROM (
   SELECT count_if(starts_with(generated_sql, 'WITH')) AS n FROM ({FAILED_SQL}))""")
 def sql_features_of_failures(t):
     return evaluate.sql_features(failed_sql(t))
 
 
 @query("correction_stats", f"""
-SELECT count(*) AS total, count_if(fixed) AS corrected, count_if(NOT fixed) AS not_corrected FROM ({_ERRORS})""")
+SELECT count(*) AS total, CAST(count_if(fixed) AS BIGINT) AS corrected, CAST(count_if(NOT fixed) AS BIGINT) AS not_corrected FROM ({_ERRORS})""")
 def correction_stats(t):
     return evaluate.correction_stats(sql_errors(t))
 

@@ -35,7 +35,7 @@ def grading_model():
     return predict
 
 
-_PRODUCTS = "SELECT p_partkey AS id, p_partkey % 10 <> 0 AS is_exact_match, CASE WHEN p_partkey % 10 <> 0 THEN 5 ELSE 3 END AS score FROM part"
+_PRODUCTS = "SELECT p_partkey AS id, p_partkey % 10 <> 0 AS is_exact_match, CAST(CASE WHEN p_partkey % 10 <> 0 THEN 5 ELSE 3 END AS BIGINT) AS score FROM part"
 
 
 def product_questions(t):
@@ -59,7 +59,7 @@ def evaluate_products(t):
 
 
 @query("evaluate_values", """
-SELECT l_orderkey, l_linenumber, l_quantity < 40 AS is_exact_match, CASE WHEN l_quantity < 40 THEN 5 ELSE 3 END AS score FROM lineitem""")
+SELECT l_orderkey, l_linenumber, l_quantity < 40 AS is_exact_match, CAST(CASE WHEN l_quantity < 40 THEN 5 ELSE 3 END AS BIGINT) AS score FROM lineitem""")
 def evaluate_values(t):
     """Every line item is a question on its quantity; the double never answers more than 39."""
     rows = t.lineitem.select(
@@ -72,7 +72,7 @@ def evaluate_values(t):
 
 
 @query("evaluate_codes", """
-SELECT s_suppkey, s_nationkey < 20 AS is_exact_match, CASE WHEN s_nationkey < 20 THEN 5 ELSE 3 END AS score FROM supplier""")
+SELECT s_suppkey, s_nationkey < 20 AS is_exact_match, CAST(CASE WHEN s_nationkey < 20 THEN 5 ELSE 3 END AS BIGINT) AS score FROM supplier""")
 def evaluate_codes(t):
     """Every supplier is a question on its nation's code; the double knows the first twenty."""
     code = F.concat(F.lit("N"), F.col("s_nationkey"))
@@ -104,7 +104,7 @@ def _chunk_of(prompt):
 
 
 @query("document_questions", f"""
-SELECT doc_id, chunk_no, question_no, question, 'A' || length(question) AS answer FROM (
+SELECT doc_id, CAST(chunk_no AS INT) AS chunk_no, question_no, question, 'A' || length(question) AS answer FROM (
   SELECT *, row_number() OVER (PARTITION BY lower(question) ORDER BY doc_id, chunk_no, question_no) AS r FROM (
     SELECT doc_id, chunk_no, 0 AS question_no, 'How long: ' || length(chunk) AS question FROM ({_CHUNKS})
     UNION ALL SELECT doc_id, chunk_no, 1, 'What starts ' || md5(chunk) FROM ({_CHUNKS}))) WHERE r = 1 AND length(question) > 20""")
@@ -150,7 +150,7 @@ def sql_questions(t):
 
 
 @query("topic_gap_questions", f"""
-SELECT batch, i AS pair_no, 'About ' || string_split(topics, ',')[1] || ' ' || i AS question, string_split(topics, ',')[1] AS covered_topics FROM (
+SELECT batch, CAST(i AS INT) AS pair_no, 'About ' || string_split(topics, ',')[1] || ' ' || i AS question, string_split(topics, ',')[1] AS covered_topics FROM (
   SELECT batch, topics, unnest(range(num_questions - 1)) AS i FROM ({ORACLES["topic_batches"]}))""")
 def topic_gap_questions(t):
     """The double writes one question less than asked for, all on the first topic of the batch."""
@@ -201,7 +201,7 @@ _RECORDS = "SELECT doc_id, 'Question: ' || text || chr(10) || 'Concept: ' || sub
 @query("memory_experiment", f"""
 WITH r AS ({_RECORDS}), d AS ({embedded_sql("r", "doc_id", "split")}), b AS ({embedded_sql("benchmark", "item_id", "text")}),
 h AS (SELECT b.item_id, d.split, {squared_distance_sql('b.e', 'd.e')} AS distance FROM b, d)
-SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY distance, split) AS rank, round(distance, 6) AS distance
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY distance, split) AS INT) AS rank, round(distance, 6) AS distance
 FROM h QUALIFY rank <= 3""")
 def memory_experiment(t):
     """Records of a one-step run over every document are indexed; every benchmark text asks for the closest three."""

@@ -170,7 +170,7 @@ def modify_rows(t):
 
 
 @query("hooks_fanout", """
-SELECT doc_id, line_no, line, CAST(length(line) AS BIGINT) AS n FROM (
+SELECT doc_id, CAST(line_no AS INT) AS line_no, line, CAST(length(line) AS BIGINT) AS n FROM (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents)
 WHERE length(line) > 0""")
 def hooks_fanout(t):
@@ -212,7 +212,7 @@ def batch_assign(t):
 
 
 @query("chunk_documents", """
-SELECT doc_id, i AS chunk_no, substring(text, CAST(i * 1024 + 1 AS BIGINT), 1024) AS chunk FROM (
+SELECT doc_id, CAST(i AS INT) AS chunk_no, substring(text, CAST(i * 1024 + 1 AS BIGINT), 1024) AS chunk FROM (
   SELECT doc_id, text, unnest(range(CAST(ceil(length(text) / 1024.0) AS BIGINT))) AS i FROM documents)""")
 def chunk_documents(t):
     return t.documents.select("doc_id", F.posexplode(txt.chunk_text(F.col("text"))).alias("chunk_no", "chunk"))

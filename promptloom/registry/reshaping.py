@@ -34,7 +34,7 @@ def concepts_explode(t):
 
 
 @query("question_variants", """
-SELECT p_partkey, 'comps' AS kind, row_number() OVER (PARTITION BY p_partkey ORDER BY i) AS question_no, question FROM (
+SELECT p_partkey, 'comps' AS kind, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY i) AS INT) AS question_no, question FROM (
   SELECT p_partkey, 1 AS i, p_name AS question FROM part
   UNION ALL SELECT p_partkey, 2, CASE WHEN p_size % 3 <> 0 THEN p_brand END FROM part
   UNION ALL SELECT p_partkey, 3, CASE WHEN p_size % 5 = 0 THEN '' ELSE p_type END FROM part) WHERE question <> ''""")
@@ -57,7 +57,7 @@ def unpivot_examples(t):
 
 
 @query("zip_questions_topics", """
-SELECT doc_id, i AS pair_no, a[i + 1] AS question, b[i + 1] AS topic FROM (
+SELECT doc_id, CAST(i AS INT) AS pair_no, a[i + 1] AS question, b[i + 1] AS topic FROM (
   SELECT *, unnest(range(least(len(a), len(b)))) AS i FROM (
     SELECT doc_id, string_split(text, chr(10)) AS a, string_split(text, '. ') AS b FROM documents))""")
 def zip_questions_topics(t):

@@ -21,7 +21,7 @@ def neighbours(t, k=5):
     return ret.nearest(t.embeddings, index, k, "vec_id")
 
 
-@query("knn_l2", f"SELECT vec_id, rank, split_id, round(distance, 6) AS distance FROM ({_KNN})")
+@query("knn_l2", f"SELECT vec_id, CAST(rank AS INT) AS rank, split_id, round(distance, 6) AS distance FROM ({_KNN})")
 def knn_l2(t):
     """Every vector as a query against every vector."""
     return neighbours(t).withColumn("distance", F.round("distance", 6))
@@ -138,7 +138,7 @@ def _rounded(sql):
 
 _LEFT, _RIGHT = _rounded(GOLD_REVENUE), _rounded(OPEN_REVENUE)
 _DIFF = f"""
-SELECT nation, revenue, n, CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right FROM (
+SELECT CAST(nation AS BIGINT) AS nation, revenue, n, CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right FROM (
   SELECT nation, round(revenue, 2) AS revenue, n, 1 AS l, 0 AS r FROM ({GOLD_REVENUE})
   UNION ALL SELECT nation, round(revenue, 2), n, 0, 1 FROM ({OPEN_REVENUE})) GROUP BY ALL HAVING sum(l) <> sum(r)"""
 
@@ -225,7 +225,7 @@ JOIN region ON n_regionkey = r_regionkey GROUP BY n_name, r_name""",
 SELECT c_custkey, c_name, round(sum(o_totalprice), 2) AS spent FROM customer JOIN orders ON c_custkey = o_custkey
 GROUP BY c_custkey, c_name ORDER BY spent DESC, c_custkey LIMIT 20""",
     "sql_case_order_rank": """
-SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS order_rank FROM orders""",
+SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS order_rank FROM orders""",
 }
 
 
@@ -311,7 +311,7 @@ def months(t):
 
 
 @query("yyyymm_profile", f"""
-SELECT 'mixed' AS column_name, count(mixed) AS n_values, count_if(regexp_full_match(mixed, '\\d{{4}}-\\d{{2}}|\\d{{6}}')) AS n_month,
+SELECT 'mixed' AS column_name, count(mixed) AS n_values, CAST(count_if(regexp_full_match(mixed, '\\d{{4}}-\\d{{2}}|\\d{{6}}')) AS BIGINT) AS n_month,
        round(count_if(regexp_full_match(mixed, '\\d{{4}}-\\d{{2}}|\\d{{6}}')) / count(mixed), 6) AS month_share FROM ({_MONTHS})
 UNION ALL SELECT 'month', count(month), count(month), 1.0 FROM ({_MONTHS})""")
 def yyyymm_profile(t):
@@ -330,7 +330,7 @@ _PROBS = " UNION ALL ".join(
     f"SELECT vec_id, {i} AS class_id, 'class{i}' AS class_name, round(abs(CAST(embedding[{i + 1}] AS DOUBLE)) / ({_RAW}), 6) AS prob FROM embeddings"
     for i in range(4)
 )
-_TOPN = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY prob DESC, class_id) AS rank FROM ({_PROBS}) WHERE prob > 0.2) WHERE rank <= 2"""
+_TOPN = f"""SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY prob DESC, class_id) AS INT) AS rank FROM ({_PROBS}) WHERE prob > 0.2) WHERE rank <= 2"""
 
 
 def probabilities(t):

@@ -76,7 +76,7 @@ def class_example_store(t):
 
 @query("index_round_trip", f"""
 WITH e AS ({embedded_sql("benchmark", "item_id", "text")})
-SELECT text AS split, i - 1 AS dim, round(CAST(e[i] AS DOUBLE), 6) AS value FROM (SELECT text, e, unnest(range(1, 27)) AS i FROM e)""")
+SELECT text AS split, CAST(i - 1 AS INT) AS dim, round(CAST(e[i] AS DOUBLE), 6) AS value FROM (SELECT text, e, unnest(range(1, 27)) AS i FROM e)""")
 def index_round_trip(t):
     path = scratch_path(t.spark, "index")
     ret.save_index(ret.index_rows(t.benchmark, "text", letter_encoder, ["item_id"]), path)
