@@ -27,7 +27,8 @@ def small(classes: DataFrame) -> DataFrame:
 
 def class_registry(examples: DataFrame, class_name: str = "class_name", position: str = "position", **options) -> DataFrame:
     """(class_id, class_name): ids from 0 in order of first appearance."""
-    first = examples.groupBy(class_name).agg(F.min(position).alias("_first"))
+    # Stored because numbering reads it twice; it has a row per class.
+    first = materialise(examples.groupBy(class_name).agg(F.min(position).alias("_first")), "classes")
     numbered = number_rows(first, ["_first", class_name], name="_n", **options)
     return numbered.select((F.col("_n") - 1).cast("int").alias("class_id"), F.col(class_name).alias("class_name"))
 

@@ -119,13 +119,11 @@ def topic_counts(df: DataFrame, topics: str = "topics", groups: Sequence[str] =
     return asked.select(*groups, F.explode(topics).alias("topic")).groupBy(*groups, "topic").agg(F.count("*").alias("n"))
 
 
-def topic_coverage(gold: DataFrame, generated: DataFrame, topics: str = "topics") -> DataFrame:
-    """(topic, gold_count, generated_count) of two question sets, by one aggregation over both."""
-    sides = [
-        side.filter(F.coalesce(F.trim(question_text(side)) != "", F.lit(False))).select(F.explode(topics).alias("topic"), F.lit(is_gold).alias("_g"))
-        for side, is_gold in ((gold, True), (generated, False))
-    ]
-    return sides[0].unionByName(sides[1]).groupBy("topic").agg(
+def topic_coverage(df: DataFrame, is_gold: Column, topics: str = "topics") -> DataFrame:
+    """(topic, gold_count, generated_count) of the gold and the generated questions of one table, in one
+    aggregation. Union two tables with a flag to compare them."""
+    asked = df.filter(F.coalesce(F.trim(question_text(df)) != "", F.lit(False)))
+    return asked.select(F.explode(topics).alias("topic"), is_gold.alias("_g")).groupBy("topic").agg(
         F.count_if("_g").alias("gold_count"), F.count_if(~F.col("_g")).alias("generated_count")
     )
 
@@ -185,25 +183,32 @@ def sql_feature_flags(sql: Column) -> Mapping[str, Column]:
 
 def sql_features(df: DataFrame, sql: str = "generated_sql") -> DataFrame:
     """How many queries use each feature, as rows (feature, n), in one pass."""
-    flags = sql_feature_flags(F.col(sql))
+    return _counts_as_rows(df, sql_feature_flags(F.col(sql)), "feature")
+
+
+def _counts_as_rows(df: DataFrame, flags: Mapping[str, Column], name: str) -> DataFrame:
     counted = df.agg(*[F.count_if(F.coalesce(f, F.lit(False))).alias(n) for n, f in flags.items()])
-    return counted.select(F.inline(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("n")) for n in flags])))
+    return counted.select(F.inline(F.array(*[F.struct(F.lit(n).alias(name), F.col(n).alias("n")) for n in flags])))
 
 
 def error_types(df: DataFrame, message: str = "error_message") -> DataFrame:
     return df.groupBy(sql_error_type(F.col(message)).alias("error_type")).agg(F.count("*").alias("n"))
 
 
+def _corrected(df: DataFrame) -> Column:
+    return F.coalesce(F.col("was_corrected"), F.lit(False)) if "was_corrected" in df.columns else F.lit(False)
+
+
 def correction_stats(df: DataFrame) -> DataFrame:
     """Failed queries in total and by whether they were corrected; unknown counts as not corrected."""
-    fixed = F.coalesce(F.col("was_corrected"), F.lit(False)) if "was_corrected" in df.columns else F.lit(False)
+    fixed = _corrected(df)
     return df.agg(
         F.count("*").alias("total"), F.count_if(fixed).alias("corrected"), F.count_if(~fixed).alias("not_corrected")
     )
 
 
 def failure_digest(df: DataFrame, order_by: str) -> DataFrame:
-    """One prompt: statistics of all failed queries and the first few of them as examples."""
+    """One prompt: statistics of all failed queries, in one pass, and the first few of them as examples."""
     fields = ["question", "generated_sql", "error_message"]
     first = df.select(order_by, *fields).orderBy(order_by).limit(DIGEST_QUERIES)
     listed = first.agg(F.array_sort(F.collect_list(F.struct(order_by, *fields))).alias("_e"))
@@ -213,22 +218,32 @@ def failure_digest(df: DataFrame, order_by: str) -> DataFrame:
             F.lit("\nSQL: "), e["generated_sql"], F.lit("\nError: "), e["error_message"], F.lit("\n"))),
         "\n",
     )
+    # The rules are few and fixed, so each type and feature is a counter of one aggregate row.
+    kind = sql_error_type(F.col("error_message"))
+    counters = {
+        "types": {n: kind == n for n in sorted([name for name, _ in SQL_ERROR_RULES] + ["other"])},
+        "features": dict(sorted(sql_feature_flags(F.col("generated_sql")).items())),
+    }
+    fixed = _corrected(df)
+    stats = df.agg(
+        F.count("*").alias("total"), F.count_if(fixed).alias("corrected"),
+        *[
+            F.array(*[F.struct(F.lit(n).alias("name"), F.count_if(F.coalesce(f, F.lit(False))).alias("n")) for n, f in flags.items()]).alias(group)
+            for group, flags in counters.items()
+        ],
+    )
+
+    def shown(group: str) -> Column:
+        present = F.filter(group, lambda c: c["n"] > 0)
+        return F.array_join(F.transform(present, lambda c: F.concat(c["name"], F.lit("="), c["n"].cast("string"))), ", ")
 
-    def text(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
-        pairs = F.array_sort(F.collect_list(F.concat(F.col(key), F.lit("="), F.col(value).cast("string"))))
-        return rows.agg(F.array_join(pairs, ", ").alias(name))
-
-    stats = correction_stats(df)
-    # Each part is a single aggregate row.
-    parts = [text(error_types(df), "error_type", "n", "error_types"), text(sql_features(df), "feature", "n", "sql_features"),
-             listed.select(examples.alias("examples"))]
-    for part in parts:
-        stats = stats.withColumn("_one", F.lit(1)).join(part.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return stats.select(F.concat(
+    # Both sides are a single aggregate row.
+    both = stats.withColumn("_one", F.lit(1)).join(listed.select(examples.alias("examples"), F.lit(1).alias("_one")), "_one")
+    return both.select(F.concat(
         F.format_string("Failed queries: %d\n", F.col("total")),
-        F.lit("Error types: "), F.col("error_types"),
-        F.lit("\nSQL features: "), F.col("sql_features"),
-        F.format_string("\nCorrected: %d, not corrected: %d\n\n", F.col("corrected"), F.col("not_corrected")),
+        F.lit("Error types: "), shown("types"),
+        F.lit("\nSQL features: "), shown("features"),
+        F.format_string("\nCorrected: %d, not corrected: %d\n\n", F.col("corrected"), F.col("total") - F.col("corrected")),
         F.col("examples"),
     ).alias("prompt"))
 

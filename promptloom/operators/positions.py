@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from promptloom.storage import materialise
 
-ROWS_PER_TASK = 1_000_000
+ROWS_PER_TASK = 250_000
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (), name: str = "position",
@@ -59,12 +59,14 @@ def assign_batches(df: DataFrame, size: int, order_by: Sequence[str], partition_
                    name: str = "batch", **options) -> DataFrame:
     """Number batches of ``size`` consecutive rows from 0 within each group."""
     numbered = number_rows(df, order_by, partition_by, "_position", **options)
-    return numbered.withColumn(name, F.floor((F.col("_position") - 1) / size).cast("long")).drop("_position")
+    return numbered.withColumn(name, F.expr(f"(_position - 1) div {int(size)}")).drop("_position")
 
 
-def batch_budget(df: DataFrame, batch_cols: Sequence[str], prompt: str, max_new_tokens: int = 0) -> DataFrame:
-    """Token need of each batch: that of its longest prompt."""
-    longest = F.max(F.length(F.col(prompt)))
-    return df.groupBy(*batch_cols).agg(
+def batch_budget(df: DataFrame, size: int, prompt: str, order_by: Sequence[str], partition_by: Sequence[str] = (),
+                 max_new_tokens: int = 0, name: str = "batch", **options) -> DataFrame:
+    """Token need of each batch of ``size`` prompts: that of its longest one. Only lengths are shuffled."""
+    lengths = df.select(*partition_by, *order_by, F.length(prompt).alias("_length"))
+    longest = F.max("_length")
+    return assign_batches(lengths, size, order_by, partition_by, name, **options).groupBy(*partition_by, name).agg(
         F.count("*").alias("n_prompts"), (F.ceil(longest / 4) + max_new_tokens).cast("long").alias("max_tokens")
     )

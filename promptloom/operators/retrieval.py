@@ -161,7 +161,7 @@ def _search_cells(q: DataFrame, x: DataFrame, total: int, k: int, rows: int) ->
     first = materialise(top_k(first, k), "home")
     bound = first.groupBy("_q").agg(F.max("distance").alias("_bound"))
     rest = queries.join(bound, "_q")
-    second = _routed_search(rest, placed, _open_cells(pivots, count, radius, k), pieces, k, rows, "_bound")
+    second = _routed_search(rest, placed, _open_cells(pivots, count, radius, k), pieces, k, rows)
     return top_k(first.unionByName(second), k)
 
 
@@ -223,19 +223,19 @@ def _open_cells(pivots, count, radius, k):
     return still_open("_v", "_bound")
 
 
-def _routed_search(queries: DataFrame, placed: DataFrame, route: Column, pieces: np.ndarray, k: int, rows: int,
-                   *extra: str) -> DataFrame:
+def _routed_search(queries: DataFrame, placed: DataFrame, route: Column, pieces: np.ndarray, k: int, rows: int) -> DataFrame:
     """Send each query to the pieces of its cells and search them. Large cells come in several pieces, and
     the queries of a cell in several blocks, so a crowded cell spreads over many tasks."""
     sizes = F.array(*[F.lit(int(p)) for p in pieces])
-    sent = queries.select("_q", "_v", F.explode(route).alias("_cell")).select(
+    # Stored with the list of cells still inside the row, so a vector is written once however many it visits.
+    routed = materialise(queries.select("_q", "_v", route.alias("_cells")), "routes")
+    sent = routed.select("_q", "_v", F.explode("_cells").alias("_cell")).select(
         "*", F.explode(F.sequence(F.lit(0), F.element_at(sizes, F.col("_cell") + 1) - 1)).alias("_piece")
     )
-    sent = materialise(sent, "routes")
     blocks = sent.groupBy("_cell", "_piece").agg(F.ceil(F.count("*") / rows).cast("int").alias("_n"))
     if int(pieces.sum()) <= MAX_BROADCAST_PIECES:  # one row per piece
         blocks = F.broadcast(blocks)
-    left = sent.join(blocks, ["_cell", "_piece"]).withColumn("_qb", _pieces("_q", F.col("_n"))).drop("_n", *extra)
+    left = sent.join(blocks, ["_cell", "_piece"]).withColumn("_qb", _pieces("_q", F.col("_n"))).drop("_n")
     right = (
         placed.withColumn("_piece", _pieces("_x", F.element_at(sizes, F.col("_cell") + 1)))
         .join(blocks, ["_cell", "_piece"])

@@ -152,7 +152,7 @@ def correction_stats(t):
 @query("failure_digest", f"""
 SELECT 'Failed queries: ' || (SELECT count(*) FROM ({_ERRORS})) || chr(10)
   || 'Error types: ' || (SELECT string_agg(error_type || '=' || n, ', ' ORDER BY error_type) FROM ({_TYPES})) || chr(10)
-  || 'SQL features: ' || (SELECT string_agg(feature || '=' || n, ', ' ORDER BY feature) FROM ({_FEATURES})) || chr(10)
+  || 'SQL features: ' || (SELECT string_agg(feature || '=' || n, ', ' ORDER BY feature) FROM ({_FEATURES}) WHERE n > 0) || chr(10)
   || 'Corrected: ' || (SELECT count_if(fixed) FROM ({_ERRORS})) || ', not corrected: ' || (SELECT count_if(NOT fixed) FROM ({_ERRORS})) || chr(10) || chr(10)
   || (SELECT string_agg('Query ' || i || chr(10) || 'Question: ' || question || chr(10) || 'SQL: ' || sql || chr(10) || 'Error: ' || message || chr(10), chr(10) ORDER BY i)
       FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS i FROM ({_ERRORS})) WHERE i <= 5) AS prompt""")

@@ -196,8 +196,7 @@ SELECT source, batch, count(*) AS n_prompts, CAST(max(ceil(length(text) / 4.0))
   SELECT *, CAST(floor((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) / 5) AS BIGINT) AS batch FROM documents)
 GROUP BY source, batch""")
 def token_budget(t):
-    batched = positions.assign_batches(t.documents.select("doc_id", "source", "text"), 5, ["doc_id"], ["source"])
-    return positions.batch_budget(batched, ["source", "batch"], "text", 100)
+    return positions.batch_budget(t.documents, 5, "text", ["doc_id"], ["source"], 100)
 
 
 @query("token_budget_per_prompt", "SELECT doc_id, CAST(ceil(length(text) / 4.0) + 100 AS BIGINT) AS tokens FROM documents")

@@ -86,8 +86,7 @@ def questions(t):
 
 
 def coverage(t):
-    asked = questions(t)
-    return evaluate.topic_coverage(asked.filter("is_gold"), asked.filter("NOT is_gold"))
+    return evaluate.topic_coverage(questions(t), F.col("is_gold"))
 
 
 @query("topic_counts", f"SELECT is_gold, topic, count(*) AS n FROM ({_WORDS}) GROUP BY ALL")

@@ -11,7 +11,7 @@ from promptloom.functions.text import ascii_clean_columns
 from promptloom.operators.positions import assign_batches
 from promptloom.operators.records import select_keys
 
-EXAMPLES_PER_LINE = 1000
+EXAMPLES_PER_LINE = 100
 
 
 def write_dataset(df: DataFrame, folder: str, name: str) -> int | None:

@@ -34,9 +34,14 @@ def load_pairs_jsonl(spark: SparkSession, path: str, input_key: str = "input", o
     )
 
 
-def load_pairs_csv(spark: SparkSession, path: str, input_key: str = "input", output_key: str = "output") -> DataFrame:
-    """Nulls are empty text; a file without the input column is rejected."""
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"')
+def load_pairs_csv(spark: SparkSession, path: str, input_key: str = "input", output_key: str = "output",
+                   multi_line: bool = True) -> DataFrame:
+    """Nulls are empty text; a file without the input column is rejected.
+
+    Quoted values may hold line breaks, so a file is read by one task. Where none do, pass
+    ``multi_line=False`` and large files are split.
+    """
+    rows = spark.read.csv(path, header=True, multiLine=multi_line, escape='"')
     require_columns(rows, [input_key], "CSV file")
     output = F.col(f"`{output_key}`") if output_key in rows.columns else F.lit("")
     return rows.select(F.col(f"`{input_key}`").alias("input"), output.alias("output")).na.fill("")

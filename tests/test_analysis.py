@@ -114,10 +114,12 @@ def test_topics_skip_blank_questions(spark):
 
 
 def test_coverage_is_strict(spark):
-    def side(counts):
-        return spark.createDataFrame([("q", [t] * n) for t, n in counts.items()], "text string, topics array<string>")
-
-    coverage = evaluate.topic_coverage(side({"a": 3, "b": 4, "c": 1, "C": 1}), side({"a": 2, "b": 2, "d": 5}))
+    sides = [({"a": 3, "b": 4, "c": 1, "C": 1}, True), ({"a": 2, "b": 2, "d": 5}, False)]
+    asked = spark.createDataFrame(
+        [("q", [t] * n, gold) for counts, gold in sides for t, n in counts.items()] + [("", ["z"], True)],
+        "text string, topics array<string>, gold boolean",
+    )
+    coverage = evaluate.topic_coverage(asked, F.col("gold"))
     assert rows(evaluate.missing_topics(coverage)) == [("C", 1), ("c", 1)]
     assert rows(evaluate.underrepresented_topics(coverage)) == [("b", 2)]
     assert rows(evaluate.topic_batches(coverage, rows_per_task=2)) == [(0, "C,c,b", 6)]
