@@ -114,14 +114,17 @@ def cached_generate(df: DataFrame, model: Model, model_name: str, cache_path: st
     keyed = df.withColumn("request_key", request_key(model_name, F.col(prompt), output_type))
     schema = "request_key string, response string"
     cached = spark.read.schema(schema).parquet(cache_path) if _exists(spark, cache_path) else spark.createDataFrame([], schema)
-    # first() of one key always sees equal prompts, so it is deterministic here.
-    wanted = keyed.groupBy("request_key").agg(F.first(prompt).alias("prompt")).join(cached, "request_key", "left_anti")
+    # One row per key before any join, so a prompt that many rows share does not gather in a task. first() of
+    # one key always sees equal prompts, so it is deterministic here.
+    keys = keyed.groupBy("request_key").agg(F.first(prompt).alias("prompt"))
+    wanted = keys.join(cached, "request_key", "left_anti")
     fresh = materialise(generate(wanted, model, "prompt", **options).select("request_key", "response"), "fresh")
     hits = materialise(
-        cached.join(keyed.select("request_key"), "request_key", "left_semi").dropDuplicates(["request_key"]), "hits"
+        cached.join(keys, "request_key", "left_semi").dropDuplicates(["request_key"]), "hits"
     )  # read before the cache grows, so a hit never includes this run's own answers
     fresh.filter(F.col("response").isNotNull()).write.mode("append").parquet(cache_path)
     known = hits.withColumn("cache_hit", F.lit(True)).unionByName(fresh.withColumn("cache_hit", F.lit(False)))
+    # Unique on the right; adaptive execution splits the left side of a key that dominates.
     joined = keyed.join(known, "request_key", "left")
     return parse_response(joined, output_type) if output_type else joined
 

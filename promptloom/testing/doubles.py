@@ -36,7 +36,7 @@ def refusing_model(marker: str, inner=echo_model):
         predict = inner()
 
         def call(prompts: pd.Series) -> pd.Series:
-            if prompts.str.contains(marker, regex=False).any():
+            if any(marker in p for p in prompts):
                 raise RuntimeError("refused")
             return predict(prompts)
 
