@@ -25,6 +25,8 @@ BLOCK_BYTES = 32 << 20
 PRUNE_ABOVE = 1_000_000
 MAX_PIVOTS = 1024
 MAX_BROADCAST_PIECES = 100_000
+MOSTLY = 0.5
+PAIRS_PER_TASK = 1 << 20
 _MATRIX_CELLS = 4 << 20  # distances held at once in a task
 
 
@@ -56,10 +58,12 @@ def _pieces(key: str, n: int | Column) -> Column:
 
 
 def _blocks(q: DataFrame, x: DataFrame, n_index: int, n_queries: int, rows: int):
-    """Every query block meets every index block once; a small input is still cut for parallelism."""
-    cores = q.sparkSession.sparkContext.defaultParallelism
+    """Every query block meets every index block once. Beyond what the size of a block asks for, queries are cut
+    further for parallelism as long as a block pair keeps enough work to pay for its overhead."""
+    tasks = 2 * q.sparkSession.sparkContext.defaultParallelism
     xb = max(1, -(-n_index // rows))
-    qb = max(-(-n_queries // rows), min(-(-cores // xb), -(-n_queries // 64)), 1)
+    by_work = n_queries * max(n_index, 1) // (xb * PAIRS_PER_TASK)
+    qb = max(-(-n_queries // rows), min(-(-tasks // xb), by_work), 1)
     left = q.withColumn("_qb", _pieces("_q", qb)).withColumn("_xb", F.explode(F.sequence(F.lit(0), F.lit(xb - 1))))
     right = x.withColumn("_xb", _pieces("_x", xb)).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
     return left, right, ["_qb", "_xb"], xb == 1
@@ -101,18 +105,19 @@ def block_top_k(queries: pa.Table, index: pa.Table, k: int) -> pa.Table:
     index = index.sort_by("_x")
     points, xs = _matrix(queries["_v"]), _matrix(index["_v"])
     x_norm = (xs**2).sum(axis=1)
+    xs_t = np.ascontiguousarray(xs.T)
     step = max(1, _MATRIX_CELLS // len(xs))
     out_q, out_x, out_d, out_r = [], [], [], []
     for at in range(0, len(points), step):
         part = points[at : at + step]
-        q_norm = (part**2).sum(axis=1)[:, None]
-        rough = q_norm + x_norm[None, :] - 2.0 * (part @ xs.T)
         if len(xs) > k:
-            margin = 1e-9 * (q_norm + x_norm.max() + 1.0)
-            limit = np.partition(rough, k - 1, axis=1)[:, k - 1 : k] + margin
-            qi, xi = np.nonzero(rough <= limit)
+            # Squared distance less the query's own norm, which does not change the order.
+            rough = (-2.0 * part) @ xs_t
+            rough += x_norm
+            margin = 1e-9 * ((part**2).sum(axis=1)[:, None] + x_norm.max() + 1.0)
+            qi, xi = np.nonzero(rough <= _kth_bound(rough, k) + margin)
         else:
-            qi, xi = (a.ravel() for a in np.indices(rough.shape))
+            qi, xi = (a.ravel() for a in np.indices((len(part), len(xs))))
         dist = np.zeros(len(qi))
         for dim in range(xs.shape[1]):
             dist += (part[qi, dim] - xs[xi, dim]) ** 2
@@ -135,6 +140,16 @@ def block_top_k(queries: pa.Table, index: pa.Table, k: int) -> pa.Table:
     )
 
 
+def _kth_bound(rough: np.ndarray, k: int) -> np.ndarray:
+    """An upper bound of the k-th least value of each row, close to it: the k-th least of the minima of column
+    groups. Finding minima takes one pass, where selecting among all columns takes several."""
+    groups = max(256, 8 * k)
+    width = rough.shape[1] // groups
+    if width >= 4:
+        rough = rough[:, : groups * width].reshape(len(rough), groups, width).min(axis=2)
+    return np.partition(rough, k - 1, axis=1)[:, k - 1 : k]
+
+
 def _search_cells(q: DataFrame, x: DataFrame, total: int, k: int, rows: int) -> DataFrame:
     """Search the cells around each query first, then every cell the k-th distance found cannot rule out."""
     n_pivots = min(MAX_PIVOTS, max(1, int(total**0.5)))
@@ -161,7 +176,9 @@ def _search_cells(q: DataFrame, x: DataFrame, total: int, k: int, rows: int) ->
     first = materialise(top_k(first, k), "home")
     bound = first.groupBy("_q").agg(F.max("distance").alias("_bound"))
     rest = queries.join(bound, "_q")
-    second = _routed_search(rest, placed, _open_cells(pivots, count, radius, k), pieces, k, rows)
+    second = _routed_search(rest, placed, _open_cells(pivots, count, radius, k), pieces, k, rows, int((count > 0).sum()))
+    if second is None:
+        return _search_blocks(_blocks(queries, placed.select("_x", "_v"), total, queries.count(), rows), k)
     return top_k(first.unionByName(second), k)
 
 
@@ -223,12 +240,18 @@ def _open_cells(pivots, count, radius, k):
     return still_open("_v", "_bound")
 
 
-def _routed_search(queries: DataFrame, placed: DataFrame, route: Column, pieces: np.ndarray, k: int, rows: int) -> DataFrame:
+def _routed_search(queries: DataFrame, placed: DataFrame, route: Column, pieces: np.ndarray, k: int, rows: int,
+                   n_cells: int | None = None) -> DataFrame | None:
     """Send each query to the pieces of its cells and search them. Large cells come in several pieces, and
-    the queries of a cell in several blocks, so a crowded cell spreads over many tasks."""
+    the queries of a cell in several blocks, so a crowded cell spreads over many tasks. With ``n_cells``, None when most
+    queries would visit most cells, as then plain blocks are cheaper."""
     sizes = F.array(*[F.lit(int(p)) for p in pieces])
     # Stored with the list of cells still inside the row, so a vector is written once however many it visits.
     routed = materialise(queries.select("_q", "_v", route.alias("_cells")), "routes")
+    if n_cells is not None:
+        visited = routed.agg(F.avg(F.size("_cells"))).first()[0] or 0.0
+        if visited > MOSTLY * n_cells:
+            return None
     sent = routed.select("_q", "_v", F.explode("_cells").alias("_cell")).select(
         "*", F.explode(F.sequence(F.lit(0), F.element_at(sizes, F.col("_cell") + 1) - 1)).alias("_piece")
     )

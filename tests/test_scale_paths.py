@@ -57,7 +57,12 @@ def brute(queries, index, k):
 
 @pytest.mark.parametrize("options", [{}, {"block_rows": 17}, {"block_rows": 17, "prune_above": 0}, {"prune_above": 0}])
 @pytest.mark.parametrize("copies", [0, 50])
-def test_nearest_equals_brute_force(spark, options, copies):
+@pytest.mark.parametrize("mostly", [0.0, 1.0])
+def test_nearest_equals_brute_force(spark, monkeypatch, options, copies, mostly):
+    """``mostly`` 1 keeps to the cells, 0 gives them up for plain blocks."""
+    if mostly == 0.0 and "prune_above" not in options:
+        pytest.skip("no cells here")
+    monkeypatch.setattr(retrieval, "MOSTLY", mostly)
     index, xdf = vectors(spark, 150, copies=copies)
     queries, qdf = vectors(spark, 40, seed=2)
     queries[:10] = index[0]
