@@ -78,6 +78,13 @@ def chunk_text(text: Column, size: int = 1024, overlap: int = 0) -> Column:
     return F.when(F.length(text) > 0, chunks).otherwise(F.array().cast("array<string>"))
 
 
+def chunk_rows(df: DataFrame, text: str, ids: list[str], size: int = 1024, overlap: int = 0, name: str = "chunk") -> DataFrame:
+    """One row per chunk: (ids, ``chunk_no`` from 0, ``name``). The outer form keeps the planner from cutting
+    the text again for a filter on the number of chunks."""
+    chunks = df.select(*ids, F.posexplode_outer(chunk_text(F.col(text), size, overlap)).alias("chunk_no", name))
+    return chunks.filter(F.col("chunk_no").isNotNull())
+
+
 def similarity(a: Column, b: Column) -> Column:
     """1 − edit distance / longer length, on trimmed lower-case ASCII text; two empty texts are equal."""
     x, y = (F.lower(F.trim(F.regexp_replace(c, r"[^\x00-\x7F]", ""))) for c in (a, b))

@@ -116,14 +116,19 @@ def question_text(df: DataFrame, names: Sequence[str] = ("input", "question", "t
 def topic_counts(df: DataFrame, topics: str = "topics", groups: Sequence[str] = ()) -> DataFrame:
     """How often each topic occurs; records without a question are skipped."""
     asked = df.filter(F.coalesce(F.trim(question_text(df)) != "", F.lit(False)))
-    return asked.select(*groups, F.explode(topics).alias("topic")).groupBy(*groups, "topic").agg(F.count("*").alias("n"))
+    return _topic_rows(asked, topics, *groups).groupBy(*groups, "topic").agg(F.count("*").alias("n"))
+
+
+def _topic_rows(df: DataFrame, topics: str, *rest) -> DataFrame:
+    """One row per topic. The outer form keeps the planner from computing the array again for a filter on its size."""
+    return df.select(*rest, F.explode_outer(topics).alias("topic")).filter(F.col("topic").isNotNull())
 
 
 def topic_coverage(df: DataFrame, is_gold: Column, topics: str = "topics") -> DataFrame:
     """(topic, gold_count, generated_count) of the gold and the generated questions of one table, in one
     aggregation. Union two tables with a flag to compare them."""
     asked = df.filter(F.coalesce(F.trim(question_text(df)) != "", F.lit(False)))
-    return asked.select(F.explode(topics).alias("topic"), is_gold.alias("_g")).groupBy("topic").agg(
+    return _topic_rows(asked, topics, is_gold.alias("_g")).groupBy("topic").agg(
         F.count_if("_g").alias("gold_count"), F.count_if(~F.col("_g")).alias("generated_count")
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
@@ -97,10 +98,9 @@ def split_failed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def request_key(model_name: str, prompt: Column, output_type: Mapping | None = None) -> Column:
-    """Identity of a request."""
-    shape = repr(sorted((k, str(v)) for k, v in (output_type or {}).items()))
-    request = F.struct(F.lit(model_name).alias("m"), prompt.alias("p"), F.lit(shape).alias("o"))
-    return F.sha2(F.to_json(request), 256)
+    """Identity of a request: a digest of the prompt behind a digest, of fixed length, of everything else."""
+    rest = repr((model_name, sorted((k, str(v)) for k, v in (output_type or {}).items())))
+    return F.sha2(F.concat(F.lit(hashlib.sha256(rest.encode()).hexdigest()), prompt), 256)
 
 
 def cached_generate(df: DataFrame, model: Model, model_name: str, cache_path: str, prompt: str = "prompt",
@@ -108,15 +108,16 @@ def cached_generate(df: DataFrame, model: Model, model_name: str, cache_path: st
     """``generate`` through a Parquet cache; adds ``cache_hit``.
 
     Only keys the cache lacks reach the model, each once however many rows share it. Answered ones are
-    appended to the cache; failed ones are not, and stay null in the result. Runs the model on call.
+    appended to the cache; failed ones and null prompts are not, and stay null in the result. Runs the model on call.
     """
     spark = df.sparkSession
     keyed = df.withColumn("request_key", request_key(model_name, F.col(prompt), output_type))
     schema = "request_key string, response string"
     cached = spark.read.schema(schema).parquet(cache_path) if _exists(spark, cache_path) else spark.createDataFrame([], schema)
-    # One row per key before any join, so a prompt that many rows share does not gather in a task. first() of
-    # one key always sees equal prompts, so it is deterministic here.
-    keys = keyed.groupBy("request_key").agg(F.first(prompt).alias("prompt"))
+    # One row per key before any join, so a prompt that many rows share does not gather in a task; stored, as it
+    # is read twice. first() of one key always sees equal prompts, so it is deterministic here.
+    asked = keyed.filter(F.col(prompt).isNotNull())
+    keys = materialise(asked.groupBy("request_key").agg(F.first(prompt).alias("prompt")), "requests")
     wanted = keys.join(cached, "request_key", "left_anti")
     fresh = materialise(generate(wanted, model, "prompt", **options).select("request_key", "response"), "fresh")
     hits = materialise(

@@ -36,7 +36,8 @@ def split_response(df: DataFrame, response: str = "response", prompt: str = "pro
 def explode_concepts(df: DataFrame, concepts: str = "concepts_list", name: str = "concept") -> DataFrame:
     """``"[a, b ,]"`` becomes one row per non-empty entry."""
     parts = F.transform(F.split(F.translate(F.col(concepts), "[]", ""), ","), lambda x: F.trim(x))
-    return df.withColumn(name, F.explode(F.filter(parts, lambda x: x != "")))
+    # Dropping empty entries after the explosion lets the planner split each text once.
+    return df.withColumn(name, F.explode_outer(parts)).filter(F.col(name) != "")
 
 
 def collect_questions(questions: Sequence[str]) -> Column:

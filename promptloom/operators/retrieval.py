@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promptloom.functions.text import chunk_text
+from promptloom.functions.text import chunk_rows
 from promptloom.operators.inference import embed
 from promptloom.operators.positions import number_rows
 from promptloom.storage import materialise
@@ -278,7 +278,7 @@ def index_rows(df: DataFrame, text: str, encoder: Callable, id_cols: Sequence[st
 def build_index(documents: DataFrame, encoder: Callable, text: str = "text", id_cols: Sequence[str] = ("doc_id",),
                 chunk_size: int = 1024, overlap: int = 0) -> DataFrame:
     """Chunk documents and embed the chunks."""
-    chunks = documents.select(*id_cols, F.posexplode(chunk_text(F.col(text), chunk_size, overlap)).alias("chunk_no", "chunk"))
+    chunks = chunk_rows(documents, text, list(id_cols), chunk_size, overlap)
     return index_rows(chunks, "chunk", encoder, [*id_cols, "chunk_no"])
 
 

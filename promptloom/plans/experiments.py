@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from promptloom.functions import templates as tpl
-from promptloom.functions.text import chunk_text, question_key
+from promptloom.functions.text import chunk_rows, question_key
 from promptloom.operators import evaluate, records, reshape
 from promptloom.operators import retrieval as ret
 from promptloom.operators.classify import EmbeddingClassifier, Round, augment_examples, class_registry, few_shot, small
@@ -116,7 +116,7 @@ def document_questions(documents: DataFrame, model: Model, text: str = "text", d
                        question_task: str = "Ask about facts of this text only.", answer_task: str = "Answer from this text only.",
                        **options) -> DataFrame:
     """Questions and answers on the chunks of documents: (doc_id, chunk_no, question_no, question, answer)."""
-    chunks = documents.select(doc_id, F.posexplode(chunk_text(F.col(text), chunk_size)).alias("chunk_no", "chunk")).withColumns(
+    chunks = chunk_rows(documents, text, [doc_id], chunk_size).withColumns(
         {"num_questions": F.lit(num_questions), "question_task": F.lit(question_task), "answer_task": F.lit(answer_task)}
     )
     keys = [doc_id, "chunk_no", "question_no"]

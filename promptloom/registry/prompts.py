@@ -214,7 +214,7 @@ def batch_assign(t):
 SELECT doc_id, CAST(i AS INT) AS chunk_no, substring(text, CAST(i * 1024 + 1 AS BIGINT), 1024) AS chunk FROM (
   SELECT doc_id, text, unnest(range(CAST(ceil(length(text) / 1024.0) AS BIGINT))) AS i FROM documents)""")
 def chunk_documents(t):
-    return t.documents.select("doc_id", F.posexplode(txt.chunk_text(F.col("text"))).alias("chunk_no", "chunk"))
+    return txt.chunk_rows(t.documents, "text", ["doc_id"])
 
 
 @query("dedupe_questions", """

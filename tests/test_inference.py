@@ -102,6 +102,34 @@ def test_cache_asks_once_per_prompt_and_skips_failures(spark, tmp_path):
     assert spark.read.parquet(cache).count() == 3
 
 
+def test_a_dominant_prompt_is_split_when_answers_are_joined_back(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, 6000, 1, 8).select("id", F.when(F.col("id") % 3 != 0, "hot").otherwise(F.col("id").cast("string")).alias("prompt"))
+        out = inference.cached_generate(df, echo_model, "m", str(tmp_path / "cache"), batch_size=64)
+        assert out.count() == 6000
+        rows_of = out.select("id", "response")
+        rows_of.collect()
+        assert "skew=true" in rows_of._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_null_prompts_stay_out_of_the_cache(spark, tmp_path):
+    cache = str(tmp_path / "cache")
+    out = inference.cached_generate(prompts(spark, "a", None), echo_model, "m", cache)
+    assert [r.response for r in out.orderBy("id").collect()] == ["1:a", None]
+    assert spark.read.parquet(cache).count() == 1
+
+
 def test_request_key_depends_on_every_part(spark):
     keys = spark.range(1).select(
         inference.request_key("m", F.lit("p")), inference.request_key("n", F.lit("p")), inference.request_key("m", F.lit("q")),
