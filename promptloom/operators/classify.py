@@ -83,6 +83,22 @@ class EmbeddingClassifier:
         scored = self.probabilities(df, vector).withColumn("class_id", argmax("probs")).drop("probs")
         return scored.join(small(self.registry), "class_id", "left")
 
+    def classify(self, df: DataFrame, row: str, vector: str = "embedding", top_n: int | None = None,
+                 threshold: float | None = None, metadata: DataFrame | None = None) -> DataFrame:
+        """Ranked classes of each record: (row, class_id, class_name, prob, rank[, metadata columns])."""
+        ranked = top_classes(self.long_probabilities(df, [row], vector), row, top_n, threshold)
+        return ranked if metadata is None else with_metadata(ranked, metadata)
+
+    def binary(self, df: DataFrame, vector: str = "embedding", negative: str = "negative", positive: str = "positive") -> DataFrame:
+        """Add ``p_negative``, ``p_positive`` and ``prediction`` (1 for positive) of a two-class model."""
+        ids = self.registry.agg(*[F.max(F.when(F.col("class_name") == n, F.col("class_id"))).alias(n) for n in (negative, positive)]).first()
+        if None in tuple(ids):
+            raise ValueError(f"the registry lacks {negative!r} or {positive!r}")
+        scored = self.probabilities(df, vector)
+        for name, class_id in zip(("p_negative", "p_positive"), ids):
+            scored = scored.withColumn(name, F.element_at("probs", int(class_id) + 1))
+        return scored.drop("probs").withColumn("prediction", binary_prediction(F.col("p_negative"), F.col("p_positive")))
+
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         self.registry.write.mode("overwrite").parquet(f"{path}/classes")
@@ -97,13 +113,17 @@ def argmax(probs: str) -> Column:
     return (F.array_position(F.col(probs), F.array_max(probs)) - 1).cast("int")
 
 
-def top_classes(probs: DataFrame, row: str, top_n: int, threshold: float = 0.0, prob: str = "prob") -> DataFrame:
-    """At most ``top_n`` classes per row with a probability strictly above the threshold, best first.
+def top_classes(probs: DataFrame, row: str, top_n: int | None = None, threshold: float | None = None,
+                prob: str = "prob") -> DataFrame:
+    """Classes of each row, best first (``rank``): at most ``top_n``, each with a probability strictly above the
+    threshold; without either, all of them.
 
     ``probs`` has a row per record and class; a tie goes to the lower class id.
     """
     order = Window.partitionBy(row).orderBy(F.col(prob).desc(), "class_id")
-    return probs.filter(F.col(prob) > threshold).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_n)
+    likely = probs if threshold is None else probs.filter(F.col(prob) > threshold)
+    ranked = likely.withColumn("rank", F.row_number().over(order))
+    return ranked if top_n is None else ranked.filter(F.col("rank") <= top_n)
 
 
 def binary_prediction(negative: Column, positive: Column) -> Column:

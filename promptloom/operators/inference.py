@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promptloom.functions.schema import response_schema
-from promptloom.storage import materialise
+from promptloom.storage import materialise, path_exists
 
 # A model is opened once per task: a picklable factory that returns a function from prompts to responses.
 # A response of None means the model gave none; raising fails the batch.
@@ -113,7 +113,7 @@ def cached_generate(df: DataFrame, model: Model, model_name: str, cache_path: st
     spark = df.sparkSession
     keyed = df.withColumn("request_key", request_key(model_name, F.col(prompt), output_type))
     schema = "request_key string, response string"
-    cached = spark.read.schema(schema).parquet(cache_path) if _exists(spark, cache_path) else spark.createDataFrame([], schema)
+    cached = spark.read.schema(schema).parquet(cache_path) if path_exists(spark, cache_path) else spark.createDataFrame([], schema)
     # One row per key before any join, so a prompt that many rows share does not gather in a task; stored, as it
     # is read twice. first() of one key always sees equal prompts, so it is deterministic here.
     asked = keyed.filter(F.col(prompt).isNotNull())
@@ -130,11 +130,6 @@ def cached_generate(df: DataFrame, model: Model, model_name: str, cache_path: st
     return parse_response(joined, output_type) if output_type else joined
 
 
-def _exists(spark, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def embed(df: DataFrame, encoder: Callable, text: str = "text", name: str = "embedding") -> DataFrame:
     """Add an embedding. ``encoder`` is a factory like a model, from texts to equal-length float lists.
 

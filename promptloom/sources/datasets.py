@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from promptloom.functions.text import ascii_clean_columns
 from promptloom.operators.positions import assign_batches
 from promptloom.operators.records import select_keys
+from promptloom.storage import path_exists
 
 EXAMPLES_PER_LINE = 100
 
@@ -19,10 +20,8 @@ def write_dataset(df: DataFrame, folder: str, name: str) -> int | None:
 
     An existing data set is left as it is and None is returned.
     """
-    from promptloom.operators.inference import _exists
-
     path = f"{folder}/{name}"
-    if _exists(df.sparkSession, path):
+    if path_exists(df.sparkSession, path):
         return None
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("ignore").json(path)

@@ -160,6 +160,13 @@ def test_classifier_trains_saves_and_loads(spark, tmp_path):
     assert rows(again.predict(vectors).select("id", "class_name")) == [(1, "vowels"), (2, "rest")]
     long = again.long_probabilities(vectors, ["id"])
     assert long.count() == 4 and all(abs(r[0] - 1) < 1e-9 for r in long.groupBy("id").agg(F.sum("prob").alias("s")).select("s").collect())
+    metadata = spark.createDataFrame([(0, "zero"), (1, "one")], "class_id int, note string")
+    ranked = again.classify(vectors, "id", top_n=1, threshold=0.5, metadata=metadata)
+    assert rows(ranked.select("id", "class_name", "rank")) == [(1, "vowels", 1), (2, "rest", 1)]
+    assert "note" in ranked.columns and again.classify(vectors, "id").count() == 4
+    assert rows(again.binary(vectors, negative="rest", positive="vowels").select("id", "prediction")) == [(1, 1), (2, 0)]
+    with pytest.raises(ValueError, match="lacks"):
+        again.binary(vectors)
     one_class = names.limit(1).select("class_name").withColumn("class_id", F.lit(0))
     with pytest.raises(ValueError, match="two classes"):
         classify.EmbeddingClassifier.fit(embed(examples, letter_encoder, "example"), one_class)
