@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from promptloom.functions.text import chunk_rows
 from promptloom.operators.inference import embed
-from promptloom.operators.positions import number_rows
 from promptloom.storage import materialise
 
 BLOCK_BYTES = 32 << 20

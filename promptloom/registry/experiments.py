@@ -6,14 +6,13 @@ import re
 import pandas as pd
 from pyspark.sql import functions as F
 
-from promptloom.operators import evaluate
+from promptloom.operators import compare, evaluate
 from promptloom.plans import experiments as ex
 from promptloom.plans.specs import SPECS
 from promptloom.plans.steps import AgenticRun
 from promptloom.registry import retrieval
 from promptloom.registry.aggregates import sql_errors
 from promptloom.registry.base import ORACLES, embedded_sql, prompts, query, squared_distance_sql
-from promptloom.operators import compare
 from promptloom.storage import scratch_path
 from promptloom.testing.doubles import json_model, letter_encoder
 

@@ -17,7 +17,7 @@ from promptloom.operators.records import select_keys
 from promptloom.operators.retrieval import index_rows
 
 
-def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1) -> DataFrame:
+def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1000) -> DataFrame:
     """A stream of files; ``files_per_trigger`` bounds how much one batch takes in."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).format(fmt).load(path)
 
