@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptloom.llm import quality_rules
+from promptloom.llm import minhash, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,5 +24,28 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
-for _query in (op9_quality_rules,):
+def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of near-duplicate documents over 4-word shingles."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+# Shingles, links by counting common ones, and the smallest id reachable by following links.
+ORACLES["op4_minhash_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE [w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] FOR i IN range(1, len(w) - 2)] END) AS g
+  FROM w
+), n AS (SELECT w.doc_id, count(s.g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY ALL),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * k >= 80 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS u, doc_id AS c FROM n UNION SELECT l.v, r.c FROM r JOIN l ON l.u = r.u WHERE r.c < l.v)
+SELECT n.doc_id, n.n AS n_shingles, c.c AS component_id, n.doc_id = c.c AS kept
+FROM n JOIN (SELECT u, min(c) AS c FROM r GROUP BY u) c ON c.u = n.doc_id
+"""
+
+
+for _query in (op4_minhash_near_dedup, op9_quality_rules,):
     QUERIES[_query.__name__] = _query
