@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptloom.llm import minhash, quality_rules
+from promptloom.llm import licenses, minhash, quality_rules, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,18 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and templates in all documents."""
+    return licenses.scan(table(spark, folder, "documents")).select(
+        F.col("_row.doc_id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secrets.scan(table(spark, folder, "documents")).select(
+        F.col("_row.doc_id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of near-duplicate documents over 4-word shingles."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
@@ -47,5 +59,5 @@ FROM n JOIN (SELECT u, min(c) AS c FROM r GROUP BY u) c ON c.u = n.doc_id
 """
 
 
-for _query in (op4_minhash_near_dedup, op9_quality_rules,):
+for _query in (op1_license_scan, op4_minhash_near_dedup, op5_secret_scan, op9_quality_rules):
     QUERIES[_query.__name__] = _query
