@@ -119,7 +119,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     A pair at exactly 0.8 misses all bands with a probability of 1.3e-7. Rows without an id stand alone: component null, kept.
     A repeated id is judged row by row and by each row's own text. No documents give no rows. Other columns are not read.
     """
-    signed = materialise(docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(
+    signed = materialise(docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text")).mapInArrow(
         _signed(bands, rows, width, seed), "doc_id long, n_shingles long, print binary, bands array<long>"), "signatures")
     classes = materialise(signed.filter("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep")), "classes")
     members = _bucket_members(signed, classes)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptloom.llm import licenses, minhash, quality_rules, secrets
+from promptloom.llm import cotraining, licenses, minhash, packing, quality_rules, secrets, sentencepieces, token_counts, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,48 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_row.doc_id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of all documents, and whether they decode to the text."""
+    encoded = sentencepieces.encode(table(spark, folder, "documents"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "exact")
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 ids."""
+    return packing.pack(table(spark, folder, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Calibrated scores of both views and their combination for all documents."""
+    judged = cotraining.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(F.col("_row.doc_id").alias("doc_id"), "content_score", "metadata_score", "score", "kept")
+
+
+def op8_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best of all vectors for every fiftieth."""
+    return topk.search(table(spark, folder, "embeddings"), F.col("_id") % 50 == 0)
+
+
+ORACLES["op8_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.e, c.e)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every line of all documents."""
+    return token_counts.count(table(spark, folder, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of near-duplicate documents over 4-word shingles."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
@@ -59,5 +101,7 @@ FROM n JOIN (SELECT u, min(c) AS c FROM r GROUP BY u) c ON c.u = n.doc_id
 """
 
 
-for _query in (op1_license_scan, op4_minhash_near_dedup, op5_secret_scan, op9_quality_rules):
+for _query in (
+    op1_license_scan, op2_sentencepiece, op3_packing, op4_minhash_near_dedup, op5_secret_scan, op7_quality_classifier, op8_exact_topk, op9_quality_rules, op10_token_counts,
+):
     QUERIES[_query.__name__] = _query
