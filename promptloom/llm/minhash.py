@@ -6,8 +6,8 @@ permutation read k steps further on. All coordinates of a shingle are therefore
 
 Texts with equal shingle sets form a class, so copies cost one row. Classes that share a band are candidates. Every round pairs the
 members of a bucket with one pivot of another component, tests the pairs on their full shingle sets and merges what is linked; pairs
-within a component need no test any more. Members still apart after these rounds are tested against everything else in their
-buckets, so no candidate pair that could join two components goes untested, and a large group never yields all its pairs.
+within a component need no test any more. What is still apart after these rounds is paired by common rare shingles, which no linked pair
+lacks, so no candidate pair that could join two components goes untested, and a large group never yields all its pairs.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from promptloom.llm.common import hold, release
@@ -148,7 +148,7 @@ def _merge(docs, members, text, doc_id, width, percent, pivot_rounds) -> DataFra
     tested = None
     for turn in range(pivot_rounds + 1):
         placed = members.join(roots.withColumnRenamed("node", "rep"), "rep")
-        pairs = _pivot_pairs(placed, turn, percent) if turn < pivot_rounds else _other_pairs(placed, percent)
+        pairs = _pivot_pairs(placed, turn, percent) if turn < pivot_rounds else _other_pairs(placed, sets, percent)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = materialise(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.union(pairs)
@@ -164,21 +164,36 @@ def _sizes_allow(a: str, b: str, percent: int):
 
 
 def _pivot_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each member of a bucket with the bucket's pivot, where their components differ. A round ranks all classes alike,
-    so that the buckets of one group choose the same pivot and most pairs coincide."""
-    rank = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), F.col("rep").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+    """Each member of a bucket with the bucket's pivot, where their components differ. The first round ranks all classes alike, so
+    that the buckets of one group choose the same pivot and most pairs coincide; later ones rank anew in every bucket."""
+    rank = F.struct(F.xxhash64("rep", F.lit(turn), *(["bucket"] if turn else [])).alias("h"), F.col("rep").alias("b"), F.col("n").alias("m"),
+                    F.col("root").alias("other"))
     pivots = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(rank).alias("p")).filter("lo < hi")
     met = placed.join(pivots.select("bucket", "p.b", "p.m", "p.other"), "bucket")
     return met.filter((F.col("root") != F.col("other")) & _sizes_allow("n", "m", percent)).select(F.col("rep").alias("a"), "b")
 
 
-def _other_pairs(placed: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that lie in two components: each member outside the bucket's largest component with every member of another."""
-    sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("size"))
-    most = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("size", "root")).alias("most")).filter("parts > 1")
-    open_ = placed.join(most.select("bucket", F.col("most.root").alias("largest")), "bucket")
-    apart = open_.filter("root != largest").select("bucket", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"))
-    met = open_.join(apart, "bucket").filter((F.col("root") != F.col("other")) & _sizes_allow("n", "m", percent))
+def _other_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every pair of two components that can still be linked, of the classes in buckets that hold more than one component.
+
+    With the shingles of a text in one order for all, the rarest first, two sets that reach the threshold share a shingle among the first
+    (100 - percent) % of either, and one more. Copies that differ too much have shingles of their own there, so a large group gives few
+    pairs. Where a shingle is common nonetheless, only members outside its largest component are paired with the others.
+    """
+    open_buckets = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("bucket")
+    classes = placed.join(open_buckets, "bucket").select("rep", "root").distinct()
+    shingles = materialise(sets.join(classes, "rep").select("rep", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("s")), "shingles")
+    common = shingles.groupBy("s").agg(F.count("*").alias("f"))
+    order = Window.partitionBy("rep").orderBy("f", "s")
+    first = shingles.join(common, "s").withColumn("k", F.row_number().over(order))
+    first = materialise(first.filter(f"k <= floor(n * {100 - percent} / 100) + 1 and f > 1").select("s", "rep", "root", "n", "k"), "prefixes")
+    parts = first.groupBy("s", "root").agg(F.count("*").alias("size")).groupBy("s").agg(
+        F.count("*").alias("parts"), F.max(F.struct("size", "root")).alias("most")).filter("parts > 1")
+    shared = first.join(parts.select("s", F.col("most.root").alias("largest")), "s")
+    apart = shared.filter("root != largest").select("s", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("k").alias("j"))
+    # At the first shingle that two sets share, what lies behind it in either must suffice for the threshold.
+    reachable = (1 + F.least(F.col("n") - F.col("k"), F.col("m") - F.col("j"))) * (100 + percent) >= percent * (F.col("n") + F.col("m"))
+    met = shared.join(apart, "s").filter((F.col("root") != F.col("other")) & _sizes_allow("n", "m", percent) & reachable)
     return met.select("a", F.col("rep").alias("b"))
 
 
