@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.llm.common import hold, label_sample, release
+from promptloom.llm.common import hold, keep_where, label_sample, release
 from promptloom.llm.quality_rules import with_statistics
 
 CONTENT = ("word_length", "symbol_share", "mark_share", "upper_share", "dup_line_share", "digit_share", "words_per_line", "n_words")
@@ -172,4 +172,4 @@ def _matrix(rows: DataFrame, label: Column):
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that the combined views do not reject, with their columns."""
-    return release(judge(docs, labels, **options).filter("kept"))
+    return release(keep_where(judge(docs, labels, **options), "kept"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.llm.common import NOT_SPACE, hold, labelled_rows, let, release, words_of
+from promptloom.llm.common import NOT_SPACE, hold, keep_where, labelled_rows, let, release, words_of
 from promptloom.storage import materialise
 
 # The base rules.
@@ -237,4 +237,4 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that neither the base rules nor the learned list reject, with their columns."""
-    return release(judge(docs, labels, **options).filter("kept"))
+    return release(keep_where(judge(docs, labels, **options), "kept"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptloom.llm import cotraining, licenses, minhash, packing, quality_rules, secrets, sentencepieces, token_counts, topk
+from promptloom.llm import cotraining, licenses, minhash, packing, pii, quality_rules, secrets, sentencepieces, token_counts, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,16 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    found = pii.scan(table(spark, folder, "documents"))
+    name = F.array(*map(F.lit, pii.KINDS))
+    shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", F.get(name, x["kind"]), x["start"], x["stop"])), ",")
+    number = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+                        F.sha2(shown("base"), 256).alias("base_sha256"), shown("found").alias("spans"))
+
+
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Calibrated scores of both views and their combination for all documents."""
     judged = cotraining.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -102,6 +112,6 @@ FROM n JOIN (SELECT u, min(c) AS c FROM r GROUP BY u) c ON c.u = n.doc_id
 
 
 for _query in (
-    op1_license_scan, op2_sentencepiece, op3_packing, op4_minhash_near_dedup, op5_secret_scan, op7_quality_classifier, op8_exact_topk, op9_quality_rules, op10_token_counts,
+    op1_license_scan, op2_sentencepiece, op3_packing, op4_minhash_near_dedup, op5_secret_scan, op6_pii, op7_quality_classifier, op8_exact_topk, op9_quality_rules, op10_token_counts,
 ):
     QUERIES[_query.__name__] = _query
