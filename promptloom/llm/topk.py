@@ -9,10 +9,10 @@ queries are cut into blocks as well; every pair of blocks is one task group of b
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +45,8 @@ def top_of_block(columns: np.ndarray, rows: np.ndarray, ids: np.ndarray, query:
 
 
 def _searched(k: int, width: int):
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
+        left, right = (table.filter(pc.equal(table.column("_asks"), asks)) for asks in (False, True))
         out: tuple[list, ...] = ([], [], [], [])
         if left.num_rows and right.num_rows:
             rows, ids = (left.column(c).to_numpy() for c in ("_row", "_id"))
@@ -104,9 +105,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_
     parts, query_parts = max(1, -(-total // block)), max(1, -(-asked // query_block))
     spread = lambda n: F.pmod(F.xxhash64("_row"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = stored.select("_row", "_id", "_x", spread(parts).alias("c"), each(query_parts).alias("q"))
-    right = queries.select("_row", "_id", "_x", spread(query_parts).alias("q"), each(parts).alias("c"))
-    found = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(_searched(k, width), FOUND)
+    # One table of candidates and queries, since both sides of a cogroup would carry the same columns.
+    left = stored.select("_row", "_id", "_x", spread(parts).alias("c"), each(query_parts).alias("q"), F.lit(False).alias("_asks"))
+    right = queries.select("_row", "_id", "_x", each(parts).alias("c"), spread(query_parts).alias("q"), F.lit(True).alias("_asks"))
+    found = left.union(right).groupBy("c", "q").applyInArrow(_searched(k, width), FOUND)
     order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
