@@ -22,10 +22,10 @@ def release(df: DataFrame, *more: str) -> DataFrame:
     return df.select("_row.*", *more)
 
 
-def keep_where(df: DataFrame, verdict: str) -> DataFrame:
-    """Rows with a true verdict. Spark would push a plain filter below the columns that it is computed from and unfold them inside it, once
-    per use; a condition on a row number stays above."""
-    return df.withColumn("_at", F.monotonically_increasing_id()).filter(F.col(verdict) & (F.col("_at") >= 0))
+def settle(df: DataFrame) -> DataFrame:
+    """The same rows, with their columns computed here. Spark pushes a filter below the columns it reads and unfolds them inside it, once per
+    use and inside lambdas once per element; it leaves filters above a condition on a row number."""
+    return df.withColumn("_at", F.monotonically_increasing_id()).filter("_at >= 0").drop("_at")
 
 
 def words_of(text: Column) -> Column:

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.llm.common import hold, keep_where, label_sample, release
+from promptloom.llm.common import hold, label_sample, release, settle
 from promptloom.llm.quality_rules import with_statistics
 
 CONTENT = ("word_length", "symbol_share", "mark_share", "upper_share", "dup_line_share", "digit_share", "words_per_line", "n_words")
@@ -134,8 +134,8 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         "_content": content.column(content_features()), "_metadata": metadata.column(metadata_features("_source", "_lang", "_n_chars"))})
     chance = lambda z: 1.0 / (1.0 + F.exp(-z))
     total = F.lit(float(weights[0])) + F.col("_content") * float(weights[1]) + F.col("_metadata") * float(weights[2])
-    return scored.select("_row", chance(F.col("_content")).alias("content_score"), chance(F.col("_metadata")).alias("metadata_score"),
-                         chance(total).alias("score")).withColumn("kept", F.col("score") >= threshold)
+    return settle(scored.select("_row", chance(F.col("_content")).alias("content_score"), chance(F.col("_metadata")).alias("metadata_score"),
+                         chance(total).alias("score")).withColumn("kept", F.col("score") >= threshold))
 
 
 def _fit(docs: DataFrame, labels: DataFrame, fit_rows, pool_rows, rounds, per_round, sure):
@@ -172,4 +172,4 @@ def _matrix(rows: DataFrame, label: Column):
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that the combined views do not reject, with their columns."""
-    return release(keep_where(judge(docs, labels, **options), "kept"))
+    return release(judge(docs, labels, **options).filter("kept"))

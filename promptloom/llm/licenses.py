@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.llm.common import hold, let
+from promptloom.llm.common import hold, let, settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -80,7 +80,7 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> t
     return counts.pop("", 0), counts
 
 
-def rare_postings(documents: int, counts: dict[str, int], templates=TEMPLATES, rare: int = 4) -> dict[str, list[tuple[int, int]]]:
+def rare_postings(documents: int, counts: dict[str, int], templates=TEMPLATES, rare: int = 8) -> dict[str, list[tuple[int, int]]]:
     """word -> [(template number, place)] for the ``rare`` words of each template with the highest inverse document frequency.
     Of equally frequent words the one in fewer templates comes first, then the longer, then the alphabetically smaller."""
     spread = {w: sum(w in t.words for t in templates) for t in templates for w in t.words}
@@ -118,7 +118,7 @@ def _places(words: Column, phrase: str) -> Column:
     return F.filter(F.transform(words, here), lambda x: x.isNotNull())
 
 
-def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, rare: int = 4, votes: int = 3, slack: int = 4) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, rare: int = 8, votes: int = 3, slack: int = 4) -> DataFrame:
     """All rows held in ``_row`` with n_words, n_base, first_word, last_word, base_labels, labels, score and ``found``.
 
     ``found`` holds every verified place: (label, start word, share of the template's words that stand where it has them).
@@ -155,11 +155,11 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, rare: int = 4
     df = df.withColumn("found", F.when(F.size("_starts") > 0, F.transform(F.filter("_starts", verified), scored)).otherwise(empty))
     base = F.transform("_base", lambda b: b["label"])
     listed = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
-    return df.select(
+    return settle(df.select(
         "_row", F.size("_words").cast("long").alias("n_words"), F.size("_base").cast("long").alias("n_base"),
         F.element_at(F.when(F.size("_base") > 0, F.col("_base")), 1)["start"].cast("long").alias("first_word"),
         F.element_at(F.when(F.size("_base") > 0, F.col("_base")), -1)["start"].cast("long").alias("last_word"),
         listed(base).alias("base_labels"), listed(F.concat(base, F.transform("found", lambda x: x["label"]))).alias("labels"),
         F.when(F.size("_base") > 0, 1.0).otherwise(F.coalesce(F.array_max(F.transform("found", lambda x: x["share"])), F.lit(0.0))).alias("score"),
         "found",
-    )
+    ))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.llm.common import NOT_SPACE, hold, keep_where, labelled_rows, let, release, words_of
+from promptloom.llm.common import NOT_SPACE, hold, labelled_rows, let, release, settle, words_of
 from promptloom.storage import materialise
 
 # The base rules.
@@ -232,9 +232,9 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         F.col(doc_id).alias("_key"), F.col(label).alias("_quality")), fit_rows, ["_source"], "_key", "_quality"), "_source")
     rules = learn(materialise(sample.select("_id", "_label", *FEATURES), "rule-sample"), **options)
     out = with_statistics(hold(docs, _source=F.col(text)), "_source").withColumns({"base_failed": base_failed(), "rule": verdict(rules)})
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+    return settle(out.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that neither the base rules nor the learned list reject, with their columns."""
-    return release(keep_where(judge(docs, labels, **options), "kept"))
+    return release(judge(docs, labels, **options).filter("kept"))

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.llm.common import hold, let
+from promptloom.llm.common import hold, let, settle
 
 # The base patterns in the order of their kinds, with the least length of what they must hold.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -106,7 +106,7 @@ def scan(docs: DataFrame, text: str = "text", width: int = 20) -> DataFrame:
     name = F.array(*map(F.lit, KINDS))
     shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", F.get(name, x["kind"]), x["start"], x["stop"])), ",")
     number = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
-    return df.select(
+    return settle(df.select(
         "_row", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
         F.sha2(shown("base"), 256).alias("base_sha256"), shown("found").alias("spans"), "base", "found",
-    )
+    ))
