@@ -42,7 +42,9 @@ def extract_sql(text: Column) -> Column:
     """
     body = F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
     fence = F.locate(FENCE, body)
-    body = F.when(fence > 0, F.substring(body, fence, F.length(body))).otherwise(body)
+    # What a fence encloses ends where it closes.
+    body = F.when(fence > 0, F.substring_index(F.substring(body, fence + len(FENCE), F.length(body)), FENCE, 1)).otherwise(body)
+    body = F.regexp_replace(body, r"\s+$", "")
     sql = F.nullif(F.regexp_extract(body, _STATEMENT, 0), F.lit(""))
     closed = sql.endswith(";")
     inner = F.regexp_replace(sql, r";+$", "")
@@ -86,7 +88,7 @@ def chunk_rows(df: DataFrame, text: str, ids: list[str], size: int = 1024, overl
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """1 − edit distance / longer length, on trimmed lower-case ASCII text; two empty texts are equal."""
-    x, y = (F.lower(F.trim(F.regexp_replace(c, r"[^\x00-\x7F]", ""))) for c in (a, b))
+    """1 − edit distance / longer length, on the code points of trimmed lower-case text; two empty texts are equal."""
+    x, y = (F.lower(F.trim(c)) for c in (a, b))
     longest = F.greatest(F.length(x), F.length(y))
     return F.when(longest == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(x, y) / longest)

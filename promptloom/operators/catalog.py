@@ -76,7 +76,7 @@ def _predicates(sql: Column) -> Column:
 
 
 def unknown_columns(df: DataFrame, tables: Mapping[str, Sequence[str]], query_id: str, sql: str) -> DataFrame:
-    """Predicates of single-table queries on a column the queried table lacks, with ``suggested_column``: the
+    """Predicates on a column that none of the queried tables has, beside the first of these, with ``suggested_column``: the
     first other column of the same query that exists and is compared to a value containing the literal.
 
     ``tables`` maps table names to column names. It is schema metadata, known when the plan is made, so it
@@ -85,9 +85,9 @@ def unknown_columns(df: DataFrame, tables: Mapping[str, Sequence[str]], query_id
     columns = F.create_map(*[
         part for name, cols in tables.items() for part in (F.lit(name.upper()), F.array(*[F.lit(c.upper()) for c in cols]))
     ])
-    table = F.upper(F.regexp_extract(F.col(sql), r"(?i)\bfrom\s+([A-Za-z_][A-Za-z0-9_]*)", 1))
-    rows = df.select(query_id, table.alias("table_name"), _predicates(F.col(sql)).alias("_ps")).withColumn(
-        "_cols", F.coalesce(F.try_element_at(columns, F.col("table_name")), F.array().cast("array<string>"))
+    read = F.transform(F.regexp_extract_all(F.col(sql), F.lit(r"(?i)\b(?:from|join)\s+([A-Za-z_][A-Za-z0-9_]*)"), F.lit(1)), F.upper)
+    rows = df.select(query_id, F.coalesce(F.get(read, F.lit(0)), F.lit("")).alias("table_name"), read.alias("_read"), _predicates(F.col(sql)).alias("_ps")).withColumn(
+        "_cols", F.flatten(F.transform("_read", lambda t: F.coalesce(F.try_element_at(columns, t), F.array().cast("array<string>"))))
     )
     bad = rows.withColumn("_b", F.explode(F.filter("_ps", lambda p: ~F.array_contains(F.col("_cols"), p["column_name"]))))
     fitting = F.filter(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -56,22 +58,30 @@ class EmbeddingClassifier:
     @classmethod
     def fit(cls, rows: DataFrame, registry: DataFrame, vector: str = "embedding", class_name: str = "class_name"):
         """L2 logistic regression. ``regParam = 1 / (C n)`` gives the objective 0.5·|w|² + C·Σ loss."""
-        labelled = rows.join(small(registry), class_name).select(
-            array_to_vector(F.col(vector)).alias("features"), F.col("class_id").cast("double").alias("label")
-        ).filter(F.col("features").isNotNull())
+        known = registry.count()
+        # The number of classes is the registry's, so that a class without rows keeps its place among the probabilities.
+        nominal = {"ml_attr": {"type": "nominal", "num_vals": known, "name": "label"}}
+        filled = rows.filter(F.col(vector).isNotNull()).join(small(registry), class_name)
+        labelled = filled.select(
+            array_to_vector(F.col(vector)).alias("features"), F.col("class_id").cast("double").alias("label", metadata=nominal))
         sizes = labelled.agg(F.count("*").alias("n"), F.count_distinct("label").alias("classes")).first()
         if sizes.classes < 2:
             raise ValueError(f"training needs at least two classes, got {sizes.classes}")
+        if sizes.classes < known:
+            empty = registry.join(filled.select("class_id").distinct(), "class_id", "left_anti").orderBy("class_id").limit(20)
+            warnings.warn(f"classes without rows: {[r[0] for r in empty.select('class_name').collect()]}", stacklevel=2)
         estimator = LogisticRegression(
             regParam=1.0 / (C * sizes.n), elasticNetParam=0.0, standardization=False, maxIter=MAX_ITER, tol=1e-9,
-            family="binomial" if sizes.classes == 2 else "multinomial",
+            family="binomial" if known == 2 else "multinomial",
         )
         return cls(estimator.fit(labelled), registry)
 
     def probabilities(self, df: DataFrame, vector: str = "embedding", name: str = "probs") -> DataFrame:
-        """Add the array of class probabilities, indexed by class id."""
-        scored = self.model.transform(df.withColumn("features", array_to_vector(F.col(vector))))
-        return scored.withColumn(name, vector_to_array("probability")).drop("features", "rawPrediction", "probability", "prediction")
+        """Add the array of class probabilities, indexed by class id; null where the vector is."""
+        zeros = F.array_repeat(F.lit(0.0), self.model.numFeatures)
+        scored = self.model.transform(df.withColumn("features", array_to_vector(F.coalesce(F.col(vector).cast("array<double>"), zeros))))
+        given = F.when(F.col(vector).isNotNull(), vector_to_array("probability"))
+        return scored.withColumn(name, given).drop("features", "rawPrediction", "probability", "prediction")
 
     def long_probabilities(self, df: DataFrame, ids: Sequence[str], vector: str = "embedding") -> DataFrame:
         """One row per record and class: (ids, class_id, class_name, prob)."""
@@ -149,17 +159,22 @@ Round = Callable[[DataFrame], DataFrame]
 
 
 def augment_examples(examples: DataFrame, target: int, rounds: Sequence[Round], class_name: str = "class_name",
-                     example: str = "example") -> DataFrame:
-    """Fill classes up to ``target`` with generated examples, new ones before the original ones.
+                     example: str = "example", classes: DataFrame | None = None) -> DataFrame:
+    """Fill classes up to ``target`` with generated examples, new ones before the original ones. ``classes`` names those that may have none yet.
 
-    A round takes (class_name, need) of the classes that still lack examples and returns (class_name,
+    ``rounds`` is a list, or a function of the round's number and the examples so far that is asked until no class lacks any. A round takes (class_name, need) of the classes that still lack examples and returns (class_name,
     example, sort_key). No class gets more than it needs; full classes are left alone.
     """
     current = examples.select(class_name, example).withColumn("is_new", F.lit(False))
-    for fill in rounds:
-        need = examples_needed(current, target, class_name).filter("need > 0").select(class_name, "need")
+    for turn in itertools.count() if callable(rounds) else range(len(rounds)):
+        fill = rounds(turn, current) if callable(rounds) else rounds[turn]
+        need = materialise(examples_needed(current, target, class_name, classes).filter("need > 0").select(class_name, "need"), "needs")
+        if need.isEmpty():
+            break
         made = materialise(fill(need), "examples")  # a round may call a model
+        if callable(rounds) and made.join(need, class_name, "left_semi").isEmpty():
+            raise ValueError(f"a round made no example although classes still lack some; target {target}")
         ranked = number_rows(made, ["sort_key", example], [class_name], "_r").filter(F.col("_r") <= target)
         kept = ranked.join(small(need), class_name).filter(F.col("_r") <= F.col("need"))
-        current = kept.select(class_name, example, F.lit(True).alias("is_new")).unionByName(current)
+        current = materialise(kept.select(class_name, example, F.lit(True).alias("is_new")).unionByName(current), "examples")
     return current

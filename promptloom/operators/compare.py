@@ -89,7 +89,7 @@ def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: in
     for no, case in enumerate(cases, start=1):
         status, equal, confidence, differing = "success", False, 0.5, None
         try:
-            gold, made = spark.sql(_bare(case.gold_query)), spark.sql(_bare(case.generated_query))
+            gold, made = (spark.sql(_only_query(q)) for q in (case.gold_query, case.generated_query))
             if same_shape(gold, made):
                 differing = result_diff(gold, made, digits).count()
                 equal = differing == 0
@@ -132,6 +132,11 @@ def _evidence(diff: DataFrame, case_no: int) -> DataFrame:
     return sides[0].join(sides[1], "case_no")
 
 
+def _only_query(sql: str) -> str:
+    """The statement as a derived table, where nothing but a query parses: model-written commands are errors and never run."""
+    return f"SELECT * FROM (\n{_bare(sql)}\n)"
+
+
 def _bare(sql: str) -> str:
     return sql.strip().rstrip(";")
 

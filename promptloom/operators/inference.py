@@ -50,12 +50,14 @@ def model_column(prompt: Column, model: Model, batch_size: int = BATCH_SIZE,
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predict = model()
         for batch in batches:
-            responses, error, attempts = [], [], []
-            for at in range(0, len(batch), batch_size):
-                answers, errors, tries = _attempt(predict, batch.iloc[at : at + batch_size], retry_limit)
-                responses += answers
-                error += [errors] * len(answers)
-                attempts += [tries] * len(answers)
+            # Null prompts never reach the model: no response, no error, no attempt.
+            responses, error, attempts = [None] * len(batch), [[] for _ in range(len(batch))], [0] * len(batch)
+            known = [i for i, given in enumerate(batch.notna()) if given]
+            for at in range(0, len(known), batch_size):
+                rows = known[at : at + batch_size]
+                answers, errors, tries = _attempt(predict, batch.iloc[rows], retry_limit)
+                for i, answer in zip(rows, answers):
+                    responses[i], error[i], attempts[i] = answer, errors, tries
             yield pd.DataFrame({"response": responses, "error": error, "attempts": attempts})
 
     return call.asNondeterministic()(prompt)
@@ -105,7 +107,7 @@ def request_key(model_name: str, prompt: Column, output_type: Mapping | None = N
 
 def cached_generate(df: DataFrame, model: Model, model_name: str, cache_path: str, prompt: str = "prompt",
                     output_type: Mapping | None = None, **options) -> DataFrame:
-    """``generate`` through a Parquet cache; adds ``cache_hit``.
+    """``generate`` through a Parquet cache; adds ``cache_hit``, and ``error`` and ``attempts`` as there (no attempt for a hit).
 
     Only keys the cache lacks reach the model, each once however many rows share it. Answered ones are
     appended to the cache; failed ones and null prompts are not, and stay null in the result. Runs the model on call.
@@ -119,12 +121,13 @@ def cached_generate(df: DataFrame, model: Model, model_name: str, cache_path: st
     asked = keyed.filter(F.col(prompt).isNotNull())
     keys = materialise(asked.groupBy("request_key").agg(F.first(prompt).alias("prompt")), "requests")
     wanted = keys.join(cached, "request_key", "left_anti")
-    fresh = materialise(generate(wanted, model, "prompt", **options).select("request_key", "response"), "fresh")
+    fresh = materialise(generate(wanted, model, "prompt", **options).select("request_key", *_RESULT.names), "fresh")
     hits = materialise(
         cached.join(keys, "request_key", "left_semi").dropDuplicates(["request_key"]), "hits"
     )  # read before the cache grows, so a hit never includes this run's own answers
-    fresh.filter(F.col("response").isNotNull()).write.mode("append").parquet(cache_path)
-    known = hits.withColumn("cache_hit", F.lit(True)).unionByName(fresh.withColumn("cache_hit", F.lit(False)))
+    fresh.filter(F.col("response").isNotNull()).select("request_key", "response").write.mode("append").parquet(cache_path)
+    none = {"error": F.array().cast("array<string>"), "attempts": F.lit(0), "cache_hit": F.lit(True)}
+    known = hits.withColumns(none).unionByName(fresh.withColumn("cache_hit", F.lit(False)))
     # Unique on the right; adaptive execution splits the left side of a key that dominates.
     joined = keyed.join(known, "request_key", "left")
     return parse_response(joined, output_type) if output_type else joined

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from promptloom.functions.text import chunk_rows
 from promptloom.operators.inference import embed
-from promptloom.storage import materialise
+from promptloom.storage import materialise, path_exists
 
 BLOCK_BYTES = 32 << 20
 PRUNE_ABOVE = 1_000_000
@@ -269,9 +269,12 @@ def _routed_search(queries: DataFrame, placed: DataFrame, route: Column, pieces:
 def index_rows(df: DataFrame, text: str, encoder: Callable, id_cols: Sequence[str] = ()) -> DataFrame:
     """Index table (split_id, split, embedding). The id is a hash of the id columns and the text, so a
     rerun or a retried task gives a row the same id."""
+    return embed(_keyed(df, text, id_cols), encoder, "split")
+
+
+def _keyed(df: DataFrame, text: str, id_cols: Sequence[str]) -> DataFrame:
     identity = F.sha2(F.to_json(F.struct(*id_cols, F.col(text).alias("_text"))), 256)
-    keyed = df.filter(F.col(text).isNotNull()).select(identity.alias("split_id"), F.col(text).alias("split"))
-    return embed(keyed, encoder, "split")
+    return df.filter(F.col(text).isNotNull()).select(identity.alias("split_id"), F.col(text).alias("split"))
 
 
 def build_index(documents: DataFrame, encoder: Callable, text: str = "text", id_cols: Sequence[str] = ("doc_id",),
@@ -289,12 +292,13 @@ def load_index(spark, path: str) -> DataFrame:
     return spark.read.schema("split_id string, split string, embedding array<float>").parquet(path)
 
 
-def append_to_index(rows: DataFrame, path: str) -> None:
-    """Append index rows whose id the index lacks; each split is stored once."""
-    spark = rows.sparkSession
-    known = load_index(spark, path).select("split_id")
-    fresh = rows.join(known, "split_id", "left_anti").dropDuplicates(["split_id"])
-    materialise(fresh, "append").write.mode("append").parquet(path)
+def append_to_index(df: DataFrame, path: str, text: str, encoder: Callable, id_cols: Sequence[str]) -> None:
+    """Append the texts whose id the index lacks, each once. Known texts never reach the encoder. The index may not exist yet."""
+    spark = df.sparkSession
+    fresh = _keyed(df, text, id_cols).dropDuplicates(["split_id"])
+    if path_exists(spark, path):
+        fresh = fresh.join(load_index(spark, path).select("split_id"), "split_id", "left_anti")
+    save_index(materialise(embed(fresh, encoder, "split"), "append"), path, "append")
 
 
 def augment_prompts(prompts: DataFrame, hits: DataFrame, query_id: str = "query_id", prompt: str = "prompt",

@@ -238,11 +238,15 @@ def example_round(descriptions: DataFrame, examples: DataFrame, model: Model, se
 
 
 def train_from_descriptions(descriptions: DataFrame, examples: DataFrame, model: Model, encoder: Callable, target: int = 10,
-                            rounds: int = 1, **options) -> EmbeddingClassifier:
-    """Fill each class up to ``target`` examples with generated ones, embed them all and fit a classifier."""
-    filled = materialise(augment_examples(
-        examples, target, [example_round(descriptions, examples, model, seed, **options) for seed in range(rounds)]), "examples")
+                            position: str | None = None, **options) -> EmbeddingClassifier:
+    """Fill each class up to ``target`` examples with generated ones, embed them all and fit a classifier.
+
+    Rounds go on until no class lacks examples; each shows the model some of those made so far. Class ids follow ``position``, or the order
+    in which ``descriptions`` first names the classes.
+    """
+    placed = descriptions.withColumn("_at", F.monotonically_increasing_id() if position is None else F.col(position))
+    named = materialise(placed.groupBy("class_name").agg(F.min("_at").alias("position")), "classes")
+    make = lambda seed, current: example_round(descriptions, current, model, seed, **options)
+    filled = materialise(augment_examples(examples, target, make, classes=named), "examples")
     embedded = materialise(embed(filled, encoder, "example"), "embedded")
-    names = descriptions.select("class_name").distinct()
-    registry = class_registry(names.withColumn("position", F.lit(0)))
-    return EmbeddingClassifier.fit(embedded, registry)
+    return EmbeddingClassifier.fit(embedded, class_registry(named))

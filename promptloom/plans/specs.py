@@ -32,11 +32,20 @@ class PromptSpec:
     before: Hook | None = None
     after: Hook | None = None
     validator: bool = False
+    verdict: str | None = None
     inputs: tuple[str, ...] = field(init=False)
 
     def __post_init__(self):
         object.__setattr__(self, "inputs", tuple(template_keys(self.instruction)))
 
+    @property
+    def verdict_field(self) -> str:
+        """The boolean output that says whether a record is valid: the named one, else the only one."""
+        booleans = [self.verdict] if self.verdict else [f for f, t in self.output_type.items() if t in ("bool", "boolean")]
+        if len(booleans) != 1:
+            raise ValueError(f"validator {self.name} must name its verdict among {booleans}")
+        return booleans[0]
+
     def prompt(self, columns) -> Column:
         return with_role(self.role, render(self.instruction, columns))
 
@@ -60,7 +69,7 @@ def validator_spec(name: str, instruction: str, output_type: Mapping[str, str],
     if output_type.get(is_valid_field, "bool") not in ("bool", "boolean"):
         raise ValueError(f"{is_valid_field} must be boolean")
     shown = "".join(f"\n{key}: {{{key}}}" for key in metadata)
-    return PromptSpec(name, instruction + shown, {**output_type, is_valid_field: "bool"}, validator=True, **rest)
+    return PromptSpec(name, instruction + shown, {**output_type, is_valid_field: "bool"}, validator=True, verdict=is_valid_field, **rest)
 
 
 def _terminated(column: str) -> Hook:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from promptloom.operators.inference import Model
 from promptloom.operators.records import keep_origin
@@ -48,8 +49,8 @@ class AgenticRun:
             have |= {*step.inputs, *step.output_type, f"{step.name}_input", f"{step.name}_output"}
 
     def spot_check(self, df: DataFrame) -> bool:
-        """Run all steps on one record and throw the result away; tells whether any record came out."""
-        return not self._fold(df.limit(1), 0, record=False).isEmpty()
+        """Run all steps on one record and throw the result away; tells whether any record came out. Verdicts do not count here."""
+        return not self._fold(df.limit(1), 0, record=False, judge=False).isEmpty()
 
     def run(self, df: DataFrame, start_from: int = 0, spot_check: bool = False) -> DataFrame:
         if start_from == 0:
@@ -63,14 +64,13 @@ class AgenticRun:
             save_records(out, self.save_path, self.save_keys)
         return out
 
-    def _fold(self, df: DataFrame, start_from: int, record: bool) -> DataFrame:
+    def _fold(self, df: DataFrame, start_from: int, record: bool, judge: bool = True) -> DataFrame:
         for step in self.steps()[start_from:]:
             df = keep_origin(materialise(step.apply(df, self.model), step.name))
             if record and self.record_steps and self.record_dir:
                 record_step(df, self.record_dir, step.name)
-            if step.validator and self.keep_only_valid:
-                verdict = [f for f, t in step.output_type.items() if t == "bool"][-1]
-                df = df.filter(verdict)
+            if judge and step.validator and self.keep_only_valid:
+                df = df.filter(F.col(step.verdict_field))
         return df
 
 

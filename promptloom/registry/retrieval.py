@@ -46,15 +46,22 @@ def build_index(t):
     return index.select("split", *[F.round(F.element_at("embedding", n).cast("double"), 6).alias(c) for c, n in (("a", 1), ("e", 5))])
 
 
+DIMENSIONS = range(1, 27)
+ALL_DIMENSIONS = ", ".join(f"round(CAST(e[{n}] AS DOUBLE), 6) AS e{n}" for n in DIMENSIONS)
+
+
+def all_dimensions(index):
+    return index.select("split", *[F.round(F.element_at("embedding", n).cast("double"), 6).alias(f"e{n}") for n in DIMENSIONS])
+
+
 @query("index_append", f"""
-WITH e AS ({embedded_sql("documents", "doc_id", "text")})
-SELECT text AS split, round(CAST(e[5] AS DOUBLE), 6) AS e FROM e""")
+WITH e AS ({embedded_sql("documents", "doc_id", "text")}) SELECT text AS split, {ALL_DIMENSIONS} FROM e""")
 def index_append(t):
     """English documents form the index; then all documents are added, of which the English ones are known."""
     path = scratch_path(t.spark, "index")
     ret.save_index(ret.index_rows(t.documents.filter("lang = 'en'"), "text", letter_encoder, ["doc_id"]), path)
-    ret.append_to_index(ret.index_rows(t.documents, "text", letter_encoder, ["doc_id"]), path)
-    return ret.load_index(t.spark, path).select("split", F.round(F.element_at("embedding", 5).cast("double"), 6).alias("e"))
+    ret.append_to_index(t.documents, path, "text", letter_encoder, ["doc_id"])
+    return all_dimensions(ret.load_index(t.spark, path))
 
 
 @query("rag_answer", f"""

@@ -59,10 +59,10 @@ def write_dataset(t):
     return back.withColumn("n_written", F.lit(written).cast("long"))
 
 
-@query("append_rows", "SELECT doc_id, text, lang AS dataset_name FROM documents WHERE lang IN ('en', 'de')")
+@query("append_rows", "SELECT doc_id, text, lang AS dataset_name FROM documents")
 def append_rows(t):
     path = scratch_path(t.spark, "store")
-    for lang in ("en", "de"):
+    for lang in ("en", "de", "fr", "es"):
         datasets.append_rows(t.documents.filter(F.col("lang") == lang).select("doc_id", "text"), path, lang)
     return t.spark.read.schema("doc_id long, text string, dataset_name string").json(path)
 

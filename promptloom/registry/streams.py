@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from promptloom.operators import retrieval as ret
 from promptloom.registry.base import embedded_sql, query
+from promptloom.registry.retrieval import ALL_DIMENSIONS, all_dimensions
 from promptloom.storage import scratch_path
 from promptloom.streaming import jobs
 from promptloom.testing.doubles import letter_encoder, refusing_model
@@ -28,11 +29,15 @@ def stream_generate(t):
 
 
 @query("stream_index_append", f"""
-WITH e AS ({embedded_sql("documents", "doc_id", "text")}) SELECT text AS split, round(CAST(e[5] AS DOUBLE), 6) AS e FROM e""")
+WITH e AS ({embedded_sql("documents", "doc_id", "text")}) SELECT text AS split, {ALL_DIMENSIONS} FROM e""")
 def stream_index_append(t):
+    """English documents by a stream, all documents in a batch, then all again by another stream: each is in the index once."""
     base = scratch_path(t.spark, "stream")
-    jobs.stream_index(stream(t, "documents"), letter_encoder, f"{base}/index", f"{base}/checkpoint").awaitTermination()
-    return ret.load_index(t.spark, f"{base}/index").select("split", F.round(F.element_at("embedding", 5).cast("double"), 6).alias("e"))
+    english = stream(t, "documents").filter("lang = 'en'")
+    jobs.stream_index(english, letter_encoder, f"{base}/index", f"{base}/first").awaitTermination()
+    ret.append_to_index(t.documents, f"{base}/index", "text", letter_encoder, ["doc_id"])
+    jobs.stream_index(stream(t, "documents"), letter_encoder, f"{base}/index", f"{base}/second").awaitTermination()
+    return all_dimensions(ret.load_index(t.spark, f"{base}/index"))
 
 
 @query("stream_records", "SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') AS text FROM documents")

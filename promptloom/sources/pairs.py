@@ -15,13 +15,13 @@ TRAIN_MINIMUM = 2
 
 
 def load_pairs(spark: SparkSession, path: str, input_key: str = "input", output_key: str = "output") -> DataFrame:
-    """Pairs from ``.jsonl`` or ``.csv``; other extensions are rejected."""
+    """Pairs from ``.jsonl``, ``.jsonlines`` or ``.csv``; other extensions are rejected."""
     extension = os.path.splitext(path.rstrip("/"))[1].lower()
-    if extension == ".jsonl":
+    if extension in (".jsonl", ".jsonlines"):
         return load_pairs_jsonl(spark, path, input_key, output_key)
     if extension == ".csv":
         return load_pairs_csv(spark, path, input_key, output_key)
-    raise ValueError(f"cannot load {path!r}: only .jsonl and .csv are supported")
+    raise ValueError(f"cannot load {path!r}: only .jsonl, .jsonlines and .csv are supported")
 
 
 def load_pairs_jsonl(spark: SparkSession, path: str, input_key: str = "input", output_key: str = "output") -> DataFrame:

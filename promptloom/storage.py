@@ -11,12 +11,14 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the folder named by ``spark.checkpoint.dir``; a temporary one where that is unset."""
+    """A new path below the folder named by ``spark.checkpoint.dir``. Where that is unset, a local session gets a folder of its own; a
+    cluster must name one that every executor reaches."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="promptloom-")
+        spark.conf.set(CHECKPOINT_CONF, root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

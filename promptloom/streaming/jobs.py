@@ -14,7 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from promptloom.functions.text import ascii_clean_columns
 from promptloom.operators.inference import Model, generate, request_progress, split_failed
 from promptloom.operators.records import select_keys
-from promptloom.operators.retrieval import index_rows
+from promptloom.operators.retrieval import append_to_index
+
+
+# By default a job runs over what is there and ends; pass e.g. {"processingTime": "1 minute"} as ``trigger`` to keep it running.
+RUN_OUT = {"availableNow": True}
 
 
 def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 1000) -> DataFrame:
@@ -23,7 +27,7 @@ def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", fil
 
 
 def stream_generate(prompts: DataFrame, model: Model, answered_path: str, failed_path: str, checkpoint: str,
-                    prompt: str = "prompt", **options) -> StreamingQuery:
+                    prompt: str = "prompt", trigger: dict | None = None, **options) -> StreamingQuery:
     """Answers and dead letters of a prompt stream, in two tables.
 
     A batch is written once per batch number, partitioned by it and overwriting only that part, so a batch
@@ -36,30 +40,33 @@ def stream_generate(prompts: DataFrame, model: Model, answered_path: str, failed
             rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return (
-        prompts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        prompts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or RUN_OUT)).start()
     )
 
 
 def stream_index(documents: DataFrame, encoder: Callable, path: str, checkpoint: str, text: str = "text",
-                 id_cols: Sequence[str] = ("doc_id",)) -> StreamingQuery:
-    """Append index rows of a document stream."""
-    rows = index_rows(documents, text, encoder, id_cols)
-    return (
-        rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+                 id_cols: Sequence[str] = ("doc_id",), trigger: dict | None = None) -> StreamingQuery:
+    """Append the new texts of a document stream to an index, in the layout of ``append_to_index``, so streams and batches may alternate.
+    Ids decide what is new: a batch replayed after a failure and documents that come again add nothing."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        append_to_index(batch, path, text, encoder, id_cols)
+
+    return documents.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or RUN_OUT)).start()
 
 
-def stream_records(records: DataFrame, path: str, checkpoint: str, keys: Sequence[str] | None = None) -> StreamingQuery:
+def stream_records(records: DataFrame, path: str, checkpoint: str, keys: Sequence[str] | None = None,
+                   trigger: dict | None = None) -> StreamingQuery:
     """Append ASCII-clean chosen columns as JSON lines."""
     rows = ascii_clean_columns(select_keys(records, keys))
     return (
         rows.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
+        .outputMode("append").trigger(**(trigger or RUN_OUT)).start()
     )
 
 
-def stream_progress(items: DataFrame, path: str, checkpoint: str, request: str = "request_id") -> StreamingQuery:
+def stream_progress(items: DataFrame, path: str, checkpoint: str, request: str = "request_id",
+                    trigger: dict | None = None) -> StreamingQuery:
     """Latest progress of each request, one Parquet part per batch holding the requests that changed."""
 
     def write(batch: DataFrame, number: int) -> None:
@@ -67,7 +74,7 @@ def stream_progress(items: DataFrame, path: str, checkpoint: str, request: str =
 
     return (
         request_progress(items, request).writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or RUN_OUT)).start()
     )
 
 

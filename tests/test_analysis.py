@@ -144,6 +144,42 @@ def test_full_classes_get_no_examples(spark):
     assert rows(empty) == [("a", 2, 1), ("c", 0, 3)]
 
 
+def test_classifier_with_nulls_and_an_empty_class(spark):
+    registry = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "class_id int, class_name string")
+    data = [("a", [1.0, 0.0]), ("c", [0.0, 1.0]), ("a", None), ("c", [0.1, 0.9])]
+    vectors = spark.createDataFrame(data, "class_name string, embedding array<float>")
+    with pytest.warns(UserWarning, match="'b'"):
+        fitted = classify.EmbeddingClassifier.fit(vectors, registry)
+    got = [(r.embedding is None, r.probs) for r in fitted.probabilities(vectors).collect()]
+    assert all(len(p) == 3 and p[1] < 0.1 for gone, p in got if not gone) and [p for gone, p in got if gone] == [None]
+    assert {r.class_name for r in fitted.predict(vectors.filter("embedding is null")).select(F.col("class_id"), F.lit(None).alias("class_name")).collect()} == {None}
+
+
+def test_unseeded_classes_are_filled(spark):
+    seen = spark.createDataFrame([("a", "1")], "class_name string, example string")
+    names = spark.createDataFrame([("a",), ("b",)], "class_name string")
+    make = lambda turn, current: lambda need: need.select(
+        "class_name", F.concat("class_name", F.lit(str(turn))).alias("example"), F.lit(turn).alias("sort_key"))
+    out = classify.augment_examples(seen, 3, make, classes=names)
+    assert rows(out.groupBy("class_name").count()) == [("a", 3), ("b", 3)]
+    with pytest.raises(ValueError, match="no example"):
+        classify.augment_examples(seen, 3, lambda turn, current: lambda need: make(0, None)(need).limit(0), classes=names).count()
+
+
+def test_commands_in_place_of_queries_do_not_run(spark):
+    spark.range(3).createOrReplaceTempView("kept_view")
+    cases = [compare.SqlCase("q", "SELECT id FROM kept_view", made) for made in (
+        "DROP VIEW kept_view", "CREATE TEMPORARY VIEW other AS SELECT 1", "INSERT INTO kept_view VALUES (9)", "SELECT id FROM kept_view -- same")]
+    got = compare.evaluate_sql_pairs(spark, cases)
+    assert [r.status for r in got.orderBy("case_no").collect()] == ["error", "error", "error", "success"]
+    assert spark.catalog.tableExists("kept_view") and not spark.catalog.tableExists("other")
+
+
+def test_columns_of_joined_tables_are_known(spark):
+    df = spark.createDataFrame([(1, "select 1 from a join b on x = y where p = 'v' and q = 'w' and r = 'z'")], "id int, sql string")
+    assert rows(catalog.unknown_columns(df, {"a": ["p"], "b": ["q"]}, "id", "sql").select("table_name", "column_name")) == [("A", "R")]
+
+
 def test_classifier_trains_saves_and_loads(spark, tmp_path):
     names = spark.createDataFrame([("vowels", "a e i"), ("rest", "x y z")], "class_name string, description string")
     examples = spark.createDataFrame([("vowels", "aeiou"), ("rest", "xyz")], "class_name string, example string")

@@ -38,7 +38,7 @@ def test_chat_default_only_when_system_is_empty(spark):
     ("SELECT 1", "SELECT 1"),
     ("no sql here", None),
     ("Use it with care: SELECT a FROM t;\nEnjoy!", "SELECT a FROM t;"),
-    ("Sure.\n```sql\nSELECT a\n```", "SELECT a\n```"),
+    ("Sure.\n```sql\nSELECT a\n```", "SELECT a"),
     ("WITH x AS (SELECT 1) SELECT * FROM x;;", "WITH x AS (SELECT 1) SELECT * FROM x;"),
     ("SELECT 1; then select 2", "SELECT 1; then select 2"),
     ("", None),
@@ -80,8 +80,9 @@ def test_ascii_clean_reaches_nested_values(spark):
 
 
 def test_similarity(spark):
-    assert one(spark, text.similarity(F.lit(" Café"), F.lit("CAF"))) == 1.0
-    assert one(spark, text.similarity(F.lit(""), F.lit("é"))) == 1.0
+    assert one(spark, text.similarity(F.lit(" Café"), F.lit("CAFÉ"))) == 1.0
+    assert one(spark, text.similarity(F.lit("東京"), F.lit("北京"))) == 0.5
+    assert one(spark, text.similarity(F.lit(""), F.lit("é"))) == 0.0
     assert one(spark, text.similarity(F.lit("abcd"), F.lit("abxd"))) == 0.75
 
 

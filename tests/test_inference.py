@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from promptloom.operators import inference, retrieval
+from promptloom.plans import specs
 from promptloom.plans.specs import SPECS
 from promptloom.plans.steps import AgenticRun
 from promptloom.storage import CHECKPOINT_CONF, materialise, scratch_path
@@ -179,9 +180,41 @@ def test_index_grows_without_repeats(spark, tmp_path):
     path, df = str(tmp_path / "index"), spark.createDataFrame([(1, "aa"), (2, "bb"), (3, None)], "doc_id int, text string")
     retrieval.save_index(retrieval.index_rows(df.filter("doc_id = 1"), "text", letter_encoder, ["doc_id"]), path)
     for _ in range(2):
-        retrieval.append_to_index(retrieval.index_rows(df, "text", letter_encoder, ["doc_id"]), path)
+        retrieval.append_to_index(df.union(df), path, "text", letter_encoder, ["doc_id"])
     assert rows(retrieval.load_index(spark, path).select("split")) == [("aa",), ("bb",)]
 
+    def no_encoder():
+        def encode(texts):
+            raise AssertionError("a known text reached the encoder")
+        return encode
+
+    retrieval.append_to_index(df, path, "text", no_encoder, ["doc_id"])
+
+
+def test_null_prompts_are_left_out(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, None), (3, "c")], "id int, prompt string").coalesce(1)
+    strict = lambda: lambda prompts: [len(p) * "x" for p in prompts]
+    got = rows(inference.generate(df, strict).select("id", "response", "error", "attempts"), "id")
+    assert got == [(1, "xx", [], 1), (2, None, [], 0), (3, "x", [], 1)]
+
+
+def test_cache_keeps_errors(spark, tmp_path):
+    df = spark.createDataFrame([(1, "ok"), (2, "bad")], "id int, prompt string")
+    out = inference.cached_generate(df, refusing_model("bad"), "m", str(tmp_path / "cache"), batch_size=1)
+    got = {r.id: r for r in out.collect()}
+    assert got[1].response and got[1].error == [] and got[2].response is None and len(got[2].error) == got[2].attempts == 3
+    again = {r.id: r for r in inference.cached_generate(df, refusing_model("bad"), "m", str(tmp_path / "cache"), batch_size=1).collect()}
+    assert again[1].cache_hit and again[1].attempts == 0 and not again[2].cache_hit
+
+
+def test_spot_check_ignores_verdicts_and_verdicts_are_named(spark):
+    spec = specs.validator_spec("check", "Look at {answer}", {"needs_review": "bool"}, "is_valid")
+    assert spec.verdict_field == "is_valid"
+    model = json_model(is_valid=lambda p: "good" in p, needs_review=lambda p: "bad" in p)
+    run = AgenticRun({}, {"check": spec}, model, keep_only_valid=True)
+    out = run.run(spark.createDataFrame([("bad",), ("good",)], "answer string").coalesce(1), spot_check=True)
+    assert [r.answer for r in out.collect()] == ["good"]
+
 
 def test_augmentation_by_slot_and_without_hits(spark):
     asked = spark.createDataFrame([(1, "use {context} now"), (2, "no {context}")], "query_id int, prompt string")

@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from promptloom.registry import ORACLES, QUERIES
 from tests.conftest import TESTDATA
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")

@@ -27,7 +27,7 @@ def test_csv_pairs(spark, tmp_path):
     assert rows(pairs.load_pairs(spark, str(path))) == [("", "c"), ('a "x", b', ""), ("two\nlines", "d")]
     with pytest.raises(ValueError, match="question"):
         pairs.load_pairs(spark, str(path), "question")
-    with pytest.raises(ValueError, match="only .jsonl and .csv"):
+    with pytest.raises(ValueError, match="only .jsonl, .jsonlines and .csv"):
         pairs.load_pairs(spark, "x.txt")
 
 
