@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.llm.common import hold, label_sample, release, settle
+from promptloom.llm.common import hold, label_sample, release, sample_by_hash, settle
 from promptloom.llm.quality_rules import with_statistics
 
 CONTENT = ("word_length", "symbol_share", "mark_share", "upper_share", "dup_line_share", "digit_share", "words_per_line", "n_words")
@@ -142,7 +142,7 @@ def _fit(docs: DataFrame, labels: DataFrame, fit_rows, pool_rows, rounds, per_ro
     sample = F.broadcast(label_sample(labels, fit_rows, "_quality", "_key"))
     known = docs.join(sample, "_id")
     ids = docs.select("_id").filter("_id is not null").join(labels.select(F.col("_key").alias("_id")), "_id", "left_anti").distinct()
-    pool = docs.join(F.broadcast(ids.orderBy(F.xxhash64("_id"), "_id").limit(pool_rows)), "_id")
+    pool = docs.join(F.broadcast(sample_by_hash(ids, pool_rows, "_id")), "_id")
     first, second = _matrix(known, F.col("_label")), _matrix(pool, F.lit(0))
     if first is None or len(set(first[2].tolist())) < 2:
         return None

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promptloom.llm.common import sample_by_hash
 from promptloom.llm.crf import TAGS, Model, decode, emissions, features, luhn, train
 
 KINDS = TAGS[1:]
@@ -64,9 +65,9 @@ def base_spans(text: str) -> list[Span]:
 
 
 def weak_labels(docs: DataFrame, text: str = "text", snippets: int = 3_000, longest: int = 2_000) -> DataFrame:
-    """A small labelled table (text, spans) from lines of at most ``longest`` characters with a digit or an at sign: the first ``snippets`` by hash."""
+    """A small labelled table (text, spans) from lines of at most ``longest`` characters with a digit or an at sign, at most ``snippets`` of them."""
     lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("text")).filter(F.col("text").rlike("[0-9@]") & (F.char_length("text") <= longest))
-    picked = lines.orderBy(F.xxhash64("text"), "text").limit(snippets)
+    picked = sample_by_hash(lines, snippets, "text")
 
     @F.udf("array<struct<kind:int,start:int,stop:int>>")
     def spans(line):
