@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promptloom.operators.positions import number_rows
+from promptloom.storage import materialise
 
 CASE_SCHEMA = (
     "case_no int, question string, gold_query string, generated_query string, status string, "
     "equivalent boolean, confidence double, explanation string, n_different long"
 )
 
-JUDGED_ROWS = 50
+ROWS_PER_CHUNK = 50
 Judge = Callable[[DataFrame], DataFrame]
 
 
@@ -79,57 +80,77 @@ def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: in
                        judge: Judge | None = None) -> DataFrame:
     """Run each gold/generated pair on the session's tables and compare their whole results.
 
-    The list of cases is the caller's; per case only one number reaches the driver. A query that does not
-    run gives status ``error`` and confidence 0. Results that differ have confidence 0.5, unless ``judge`` is
-    given: it takes (case_no, question, gold_query, generated_query, gold_result, generated_result) and adds
-    equivalent, confidence and explanation. The result texts are the rows only one side has, at most
-    ``JUDGED_ROWS`` of each, with their total.
+    The list of cases is the caller's; per case only two numbers reach the driver. A query that does not
+    run, or is a command, gives status ``error`` and confidence 0. Results that differ have confidence 0.5, unless ``judge`` is
+    given: it takes (case_no, chunk_no, question, gold_query, generated_query, gold_result, generated_result) and adds
+    equivalent, confidence, explanation and differences. The result texts are rows that only one side has, all of them, in
+    chunks of ``ROWS_PER_CHUNK`` of each side; a case is equivalent if every chunk is, as confident as its least confident chunk, explained
+    by its first deciding chunk, and keeps the differences of all. Results whose columns differ are judged too.
     """
     rows, open_cases = [], []
     for no, case in enumerate(cases, start=1):
         status, equal, confidence, differing = "success", False, 0.5, None
         try:
             gold, made = (spark.sql(_only_query(q)) for q in (case.gold_query, case.generated_query))
-            if same_shape(gold, made):
-                differing = result_diff(gold, made, digits).count()
-                equal = differing == 0
-                explanation = "results are identical" if equal else "results differ"
+            alike = same_shape(gold, made)
+            explanation = "results have different columns"
+            if alike or judge is not None:
+                lines = materialise(_differing_lines(gold, made, digits), "difference")
+                total, only_gold = lines.agg(F.count("*"), F.count_if(F.col("n_left") > F.col("n_right"))).first()
+                if alike:
+                    differing, equal = total, total == 0
+                    explanation = "results are identical" if equal else "results differ"
                 if not equal and judge is not None:
-                    open_cases.append(_evidence(result_diff(gold, made, digits), no))
-            else:
-                explanation = "results have different columns"
+                    columns = None if alike else (gold.columns, made.columns)
+                    open_cases.append(_evidence(lines, no, only_gold, total - only_gold, columns))
             confidence = 1.0 if equal else 0.5
         except (PySparkException, Py4JJavaError) as failure:
             status, confidence = "error", 0.0
             explanation = getattr(failure, "getCondition", lambda: None)() or type(failure).__name__
         rows.append((no, case.question, case.gold_query, case.generated_query, status, equal, confidence,
                      explanation, differing))
-    results = spark.createDataFrame(rows, CASE_SCHEMA)
+    results = spark.createDataFrame(rows, CASE_SCHEMA).withColumn("differences", F.array().cast("array<string>"))
     if not open_cases:
         return results
     asked = reduce(DataFrame.unionByName, open_cases).join(results.select("case_no", "question", "gold_query", "generated_query"), "case_no")
-    verdicts = judge(asked).select(
-        "case_no", F.col("equivalent").alias("_e"), F.col("confidence").alias("_c"), F.col("explanation").alias("_x")
+    said = F.array_sort(F.collect_list(F.struct("chunk_no", F.col("differences").cast("array<string>").alias("d"))))
+    verdicts = judge(asked).groupBy("case_no").agg(
+        F.bool_and("equivalent").alias("_e"), F.min("confidence").alias("_c"),
+        # Chunks that find a difference come before the others.
+        F.min(F.struct("equivalent", "chunk_no", "explanation"))["explanation"].alias("_x"),
+        F.flatten(F.transform(said, lambda s: F.coalesce(s["d"], F.array().cast("array<string>")))).alias("_d"),
     )
     judged = results.join(verdicts, "case_no", "left")
     return judged.withColumns({
         "equivalent": F.coalesce("_e", "equivalent"), "confidence": F.coalesce("_c", "confidence"), "explanation": F.coalesce("_x", "explanation"),
+        "differences": F.coalesce("_d", "differences"),
     }).select(*results.columns)
 
 
-def _evidence(diff: DataFrame, case_no: int) -> DataFrame:
-    """One row for a judge: the rows that only the gold or only the generated result has."""
-    values = [c for c in diff.columns if c not in ("n_left", "n_right")]
-    line = F.to_json(F.struct(*values))
-    sides = []
-    for name, surplus in (("gold_result", "n_left > n_right"), ("generated_result", "n_right > n_left")):
-        only = diff.filter(surplus)
-        # A global top-n; the judge sees it next to the total.
-        shown = only.select(line.alias("l")).orderBy("l").limit(JUDGED_ROWS).agg(F.array_join(F.array_sort(F.collect_list("l")), "\n").alias("t"))
-        total = only.agg(F.count("*").alias("n"))
-        sides.append(shown.withColumn("case_no", F.lit(case_no)).join(total.withColumn("case_no", F.lit(case_no)), "case_no").select(
-            "case_no", F.concat(F.col("n").cast("string"), F.lit(" rows only here\n"), F.col("t")).alias(name)))
-    return sides[0].join(sides[1], "case_no")
+def _differing_lines(gold: DataFrame, made: DataFrame, digits: int | None) -> DataFrame:
+    """(line, n_left, n_right): the rows as JSON whose counts differ. Columns meet by position where number and types agree, else whole lines meet."""
+    types = [[f.dataType for f in _comparable(x, None).schema] for x in (gold, made)]
+    if types[0] == types[1]:
+        diff = result_diff(gold, made, digits)
+        values = [c for c in diff.columns if c not in ("n_left", "n_right")]
+        return diff.select(F.to_json(F.struct(*values)).alias("line"), "n_left", "n_right")
+    left, right = (x.select(F.to_json(F.struct("*")).alias("line")) for x in (gold, made))
+    return result_diff(left, right, digits)
+
+
+def _evidence(lines: DataFrame, case_no: int, only_gold: int, only_made: int, columns) -> DataFrame:
+    """Rows for a judge: (case_no, chunk_no, gold_result, generated_result), each with ``ROWS_PER_CHUNK`` differing rows of a side at most.
+    Without a differing row there is one chunk, which names the columns."""
+    sided = lines.withColumn("side", F.col("n_left") > F.col("n_right"))
+    numbered = number_rows(sided, ["line"], ["side"], "_r").select(
+        "side", "line", F.floor((F.col("_r") - 1) / ROWS_PER_CHUNK).cast("int").alias("chunk_no"))
+    named = lambda k: f"columns: {', '.join(columns[k])}\n" if columns else ""
+    shown = lambda side: F.array_join(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.col("line")))), "\n")
+    first = lines.sparkSession.createDataFrame([(None, None, 0)], "side boolean, line string, chunk_no int")
+    return numbered.union(first).groupBy("chunk_no").agg(
+        F.concat(F.lit(f"{only_gold} rows only here\n{named(0)}"), shown(True)).alias("gold_result"),
+        F.concat(F.lit(f"{only_made} rows only here\n{named(1)}"), shown(False)).alias("generated_result"),
+    ).withColumn("case_no", F.lit(case_no))
 
 
 def _only_query(sql: str) -> str:
@@ -200,6 +221,7 @@ def sql_pair_report(results: DataFrame) -> DataFrame:
             F.lit("\nEquivalent: "), F.col("equivalent").cast("string"),
             F.format_string("\nConfidence: %.2f", F.col("confidence")),
             F.lit("\nExplanation: "), F.col("explanation"),
+            F.when(F.size("differences") > 0, F.concat(F.lit("\nDifferences: "), F.array_join("differences", "; "))).otherwise(""),
             F.lit("\nGold:\n"), F.col("gold_query"), F.lit("\nGenerated:\n"), F.col("generated_query"),
         ).alias("line"),
     )

@@ -148,14 +148,16 @@ def topic_batches(coverage: DataFrame, per_topic: int = 2, **options) -> DataFra
     """Topics to cover, missing ones first, three to a batch, with the number of questions to ask for."""
     missing = (F.col("gold_count") > 0) & (F.col("generated_count") == 0)
     under = (F.col("generated_count") > 0) & (F.col("gold_count") > UNDER_FACTOR * F.col("generated_count"))
-    gaps = coverage.filter(missing | under).select("topic", F.when(missing, 0).otherwise(1).alias("_o"))
+    gaps = coverage.filter(missing | under).select("topic", "gold_count", "generated_count", F.when(missing, 0).otherwise(1).alias("_o"))
     # Stored because numbering reads it twice, and it is far smaller than the questions behind it.
     batched = assign_batches(materialise(gaps, "gaps"), TOPICS_PER_BATCH, ["_o", "topic"], **options)
-    listed = batched.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("_o", "topic"))).alias("_ts"))
+    listed = batched.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("_o", "topic", "gold_count", "generated_count"))).alias("_ts"))
+    counts = lambda c: F.array_join(F.transform("_ts", lambda t: F.concat(t["topic"], F.lit(": "), t[c].cast("string"))), ", ")
     return listed.select(
         "batch",
         F.array_join(F.transform("_ts", lambda t: t["topic"]), ",").alias("topics"),
         (F.size("_ts") * per_topic).cast("long").alias("num_questions"),
+        counts("gold_count").alias("gold"), counts("generated_count").alias("generated"),
     )
 
 

@@ -159,15 +159,14 @@ def analyse_topics(questions: DataFrame, model: Model, schema: str, glossary: st
 def fill_topic_gaps(coverage: DataFrame, model: Model, schema: str, glossary: str, per_topic: int = 2, **options) -> DataFrame:
     """New questions for missing and under-represented topics: (batch, pair_no, question, covered_topics).
 
-    A request names its batch of topics; the whole topic lists do not fit a prompt, so their sizes stand in.
+    A request names its batch of topics with their counts on both sides. The whole topic lists grow with the questions and do not fit a prompt.
     """
-    sizes = coverage.agg(F.count_if(F.col("gold_count") > 0).alias("g"), F.count_if(F.col("generated_count") > 0).alias("m")).first()
-    batches = evaluate.topic_batches(coverage, per_topic).withColumnRenamed("topics", "missing_topics").withColumns({
-        "gold_topics": F.lit(f"{sizes.g} topics"), "generated_topics": F.lit(f"{sizes.m} topics"),
+    batches = evaluate.topic_batches(coverage, per_topic).withColumnsRenamed({
+        "topics": "missing_topics", "gold": "gold_topics", "generated": "generated_topics"}).withColumns({
         "schema": F.lit(schema), "glossary": F.lit(glossary),
     })
     made = materialise(SPECS["gap_analyzer"].apply(batches, model, **options), "gap-questions")
-    pairs = reshape.zip_shortest(made, "questions", "topics_covered", ["batch"])
+    pairs = reshape.zip_shortest(made, "questions", "topics_covered", ["batch", "gold_topics", "generated_topics"])
     return pairs.withColumnsRenamed({"questions": "question", "topics_covered": "covered_topics"})
 
 

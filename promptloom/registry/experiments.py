@@ -162,7 +162,7 @@ def topic_gap_questions(t):
     model = json_model(
         questions=lambda p: [f"About {first(p)} {i}" for i in range(wanted(p) - 1)], topics_covered=lambda p: [first(p)] * wanted(p)
     )
-    return ex.fill_topic_gaps(retrieval.coverage(t), model, "documents(text)", "", batch_size=64)
+    return ex.fill_topic_gaps(retrieval.coverage(t), model, "documents(text)", "", batch_size=64).drop("gold_topics", "generated_topics")
 
 
 @query("analyse_topics", """
@@ -183,7 +183,7 @@ def failure_analysis(t):
 
 
 @query("sql_pair_judged", f"""
-SELECT case_no, status, equivalent, CASE WHEN status = 'success' AND n_different > 0 THEN 0.9 ELSE confidence END AS confidence FROM ({ORACLES["sql_pair_eval"]})""")
+SELECT case_no, status, equivalent, CASE WHEN status = 'success' AND NOT equivalent THEN 0.9 ELSE confidence END AS confidence FROM ({ORACLES["sql_pair_eval"]})""")
 def sql_pair_judged(t):
     """The judge double sees how many rows only the gold result has, and is sure that any make a difference."""
     retrieval.register_tables(t)

@@ -116,7 +116,7 @@ SELECT batch, string_agg(topic, ',' ORDER BY o, topic) AS topics, CAST(count(*)
   SELECT *, CAST(floor((row_number() OVER (ORDER BY o, topic) - 1) / 3) AS BIGINT) AS batch FROM (
     SELECT topic, 0 AS o FROM ({_MISSING}) UNION ALL SELECT topic, 1 FROM ({_UNDER}))) GROUP BY batch""")
 def topic_batches(t):
-    return evaluate.topic_batches(coverage(t))
+    return evaluate.topic_batches(coverage(t)).select("batch", "topics", "num_questions")
 
 
 # Result comparison

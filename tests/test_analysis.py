@@ -122,7 +122,11 @@ def test_coverage_is_strict(spark):
     coverage = evaluate.topic_coverage(asked, F.col("gold"))
     assert rows(evaluate.missing_topics(coverage)) == [("C", 1), ("c", 1)]
     assert rows(evaluate.underrepresented_topics(coverage)) == [("b", 2)]
-    assert rows(evaluate.topic_batches(coverage, rows_per_task=2)) == [(0, "C,c,b", 6)]
+    batch, = evaluate.topic_batches(coverage, rows_per_task=2).collect()
+    assert tuple(batch)[:3] == (0, "C,c,b", 6)
+    counts = {r.topic: r for r in coverage.collect()}
+    assert batch.gold == ", ".join(f"{k}: {counts[k].gold_count}" for k in "Ccb")
+    assert batch.generated == ", ".join(f"{k}: {counts[k].generated_count}" for k in "Ccb")
 
 
 def test_classes_by_first_appearance_and_threshold(spark):
@@ -175,6 +179,30 @@ def test_commands_in_place_of_queries_do_not_run(spark):
     assert spark.catalog.tableExists("kept_view") and not spark.catalog.tableExists("other")
 
 
+def test_judge_sees_every_differing_row(spark):
+    spark.range(120).createOrReplaceTempView("numbers")
+    same = "SELECT id, 'x' AS v FROM numbers"
+    cases = [
+        compare.SqlCase("late", same, "SELECT id, CASE WHEN id < 119 THEN 'y' ELSE 'decides' END AS v FROM numbers"),
+        compare.SqlCase("alias", "SELECT count(*) AS n FROM numbers", "SELECT count(*) AS cnt FROM numbers"),
+        compare.SqlCase("shape", same, "SELECT id FROM numbers"),
+    ]
+    asked = []
+
+    def judge(df):
+        asked.extend(df.collect())
+        differs = F.contains("generated_result", F.lit("decides"))
+        return df.withColumns({"equivalent": ~differs, "confidence": F.when(differs, 0.7).otherwise(0.9), "explanation": F.concat(F.lit("chunk "), "chunk_no"),
+                               "differences": F.when(differs, F.array(F.lit("the last row")))})
+
+    got = {r.question: r for r in compare.evaluate_sql_pairs(spark, cases, judge=judge).collect()}
+    late = [a for a in asked if a.case_no == 1]
+    assert len(late) == 3 and sum(a.gold_result.count("{") for a in late) == sum(a.generated_result.count("{") for a in late) == 120
+    assert (got["late"].equivalent, got["late"].confidence, got["late"].differences, got["late"].n_different) == (False, 0.7, ["the last row"], 240)
+    assert got["late"].explanation.startswith("chunk ") and got["alias"].equivalent and got["alias"].explanation == "chunk 0"
+    assert any(a.case_no == 2 and "columns: cnt" in a.generated_result for a in asked) and got["shape"].status == "success"
+
+
 def test_columns_of_joined_tables_are_known(spark):
     df = spark.createDataFrame([(1, "select 1 from a join b on x = y where p = 'v' and q = 'w' and r = 'z'")], "id int, sql string")
     assert rows(catalog.unknown_columns(df, {"a": ["p"], "b": ["q"]}, "id", "sql").select("table_name", "column_name")) == [("A", "R")]
