@@ -54,7 +54,7 @@ def all_equal(*pairs: tuple[Column, Column]) -> Column:
 
 
 def score_tasks(df: DataFrame, task: str = "task", score: str = "score", match: str = "is_exact_match") -> DataFrame:
-    """Mean judge score and precision of each task. No rows at all is an error when the job runs."""
+    """Mean judge score and precision of each task that has rows; see ``require_rows`` for an error instead of none."""
     out = df.groupBy(task).agg(
         F.avg(score).alias("mean_score"), F.avg(F.col(match).cast("int")).alias("precision"), F.count("*").alias("n_answers")
     )
@@ -215,7 +215,12 @@ def correction_stats(df: DataFrame) -> DataFrame:
 
 
 def failure_digest(df: DataFrame, order_by: str) -> DataFrame:
-    """One prompt: statistics of all failed queries, in one pass, and the first few of them as examples."""
+    """One prompt: statistics of all failed queries and the first few of them as examples."""
+    return failure_parts(df, order_by).select(F.concat_ws("\n\n", "basic_stats", "sample_queries").alias("prompt"))
+
+
+def failure_parts(df: DataFrame, order_by: str) -> DataFrame:
+    """One row of ``basic_stats`` of all failed queries, in one pass, and ``sample_queries``, the first few of them."""
     fields = ["question", "generated_sql", "error_message"]
     first = df.select(order_by, *fields).orderBy(order_by).limit(DIGEST_QUERIES)
     listed = first.agg(F.array_sort(F.collect_list(F.struct(order_by, *fields))).alias("_e"))
@@ -250,9 +255,8 @@ def failure_digest(df: DataFrame, order_by: str) -> DataFrame:
         F.format_string("Failed queries: %d\n", F.col("total")),
         F.lit("Error types: "), shown("types"),
         F.lit("\nSQL features: "), shown("features"),
-        F.format_string("\nCorrected: %d, not corrected: %d\n\n", F.col("corrected"), F.col("total") - F.col("corrected")),
-        F.col("examples"),
-    ).alias("prompt"))
+        F.format_string("\nCorrected: %d, not corrected: %d", F.col("corrected"), F.col("total") - F.col("corrected")),
+    ).alias("basic_stats"), F.col("examples").alias("sample_queries"))
 
 
 def sql_validity(sql: Column) -> Column:

@@ -95,7 +95,12 @@ def parse_existing_glossary(text: Column) -> Column:
 
 def merge_glossary(df: DataFrame, ids: Sequence[str], generated: str = "response",
                    existing: str = "input_glossary") -> DataFrame:
-    """Existing entries followed by the generated ones, as rows (origin, entry_no, input, output).
+    """``glossary_entries`` as rows (ids, origin, entry_no, input, output)."""
+    return df.select(*ids, F.inline(glossary_entries(F.col(generated), F.col(existing))))
+
+
+def glossary_entries(generated: Column, existing: Column) -> Column:
+    """Existing entries followed by the generated ones, as an array of (origin, entry_no, input, output).
 
     A generated entry with line breaks is split and paired line by line; others are trimmed.
     """
@@ -114,16 +119,15 @@ def merge_glossary(df: DataFrame, ids: Sequence[str], generated: str = "response
         broken = F.coalesce(e["input"], F.lit("")).contains("\n") | F.coalesce(e["output"], F.lit("")).contains("\n")
         return F.when(~broken, one).when(n > 0, many).otherwise(F.array().cast(GLOSSARY))
 
-    new = F.flatten(F.transform(parse_glossary(F.col(generated)), pairs))
-    parts = [("existing", parse_existing_glossary(F.col(existing))), ("generated", new)]
+    new = F.flatten(F.transform(parse_glossary(generated), pairs))
+    parts = [("existing", parse_existing_glossary(existing)), ("generated", new)]
     # One pass over the input: both parts of a row sit in one array before it is exploded.
     def tagged_as(origin, entries):
         rows = F.transform(entries, lambda e, i: F.struct(
             F.lit(origin).alias("origin"), i.alias("entry_no"), e["input"].alias("input"), e["output"].alias("output")))
         return F.coalesce(rows, F.array().cast("array<struct<origin: string, entry_no: int, input: string, output: string>>"))
 
-    tagged = F.concat(*[tagged_as(origin, entries) for origin, entries in parts])
-    return df.select(*ids, F.inline(tagged))
+    return F.concat(*[tagged_as(origin, entries) for origin, entries in parts])
 
 
 def record_text(df: DataFrame, keys: Mapping[str, Sequence[str]] | None = None) -> Column:

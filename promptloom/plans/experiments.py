@@ -171,8 +171,8 @@ def fill_topic_gaps(coverage: DataFrame, model: Model, schema: str, glossary: st
 
 
 def explain_failures(failed: DataFrame, order_by: str, model: Model) -> DataFrame:
-    """One row: the failure digest as prompt and the model's analysis of it."""
-    return generate(evaluate.failure_digest(failed, order_by), model, output_type={"analysis": "str"}).select("prompt", "response.analysis")
+    """One row: the failure analysis prompt over all failures and the model's analysis."""
+    return SPECS["sql_failure_analysis"].apply(evaluate.failure_parts(failed, order_by), model).select("prompt", "analysis")
 
 
 def judge_results(model: Model, **options):

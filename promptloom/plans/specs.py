@@ -18,7 +18,7 @@ from promptloom.functions.templates import (
 from promptloom.functions.text import terminate_sql
 from promptloom.operators.inference import Model, generate
 from promptloom.operators.records import merge_response, snapshot_input
-from promptloom.operators.reshape import collect_questions, explode_concepts
+from promptloom.operators.reshape import collect_questions, explode_concepts, glossary_entries
 
 Hook = Callable[[DataFrame], DataFrame]
 
@@ -120,7 +120,8 @@ SPECS = {
         PromptSpec("glossary",
                    "Schema: {schema}\nQueries: {queries}\nGlossary so far: {input_glossary}\n"
                    "List further terms as a JSON array of objects with the keys input and output.",
-                   {"glossary": "string"}),
+                   {"glossary": "string"},
+                   after=lambda df: df.withColumn("glossary_entries", glossary_entries(F.col("glossary"), F.col("input_glossary")))),
         PromptSpec("topic_analyzer",
                    "Question: {question}\nSchema: {schema}\nGlossary: {glossary}\nName its topics, kind of analysis and metrics.",
                    {"topics": "array", "analysis_type": "str", "metrics": "array"}),

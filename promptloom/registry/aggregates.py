@@ -231,3 +231,20 @@ def classifier_proba(t):
 def classifier_predict(t):
     classifier, rows = fitted(t)
     return classifier.predict(rows.drop("class_name")).select("vec_id", "class_id", "class_name")
+
+
+@query("classifier_mass", "SELECT label AS class_name, CAST(count(*) AS DOUBLE) AS expected FROM embeddings WHERE embedding IS NOT NULL GROUP BY label")
+def classifier_mass(t):
+    """At the optimum of the objective, whose intercepts are free, the probabilities of a class sum to its number of training rows."""
+    classifier, rows = fitted(t)
+    probs = classifier.long_probabilities(rows.drop("class_name"), ["vec_id"])
+    return probs.groupBy("class_name").agg(F.round(F.sum("prob"), 1).alias("expected"))
+
+
+@query("classifier_separable", "SELECT doc_id, lang AS class_name FROM documents")
+def classifier_separable(t):
+    """A vector that names its class is classified right."""
+    rows = t.documents.select("doc_id", F.col("lang").alias("class_name"), F.array(*[
+        (F.col("lang") == x).cast("float") for x in ("de", "en", "es", "fr")]).alias("embedding"))
+    classifier = classify.EmbeddingClassifier.fit(rows, classify.class_registry(rows, position="doc_id"))
+    return classifier.predict(rows.drop("class_name")).select("doc_id", "class_name")

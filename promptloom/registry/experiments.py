@@ -177,7 +177,9 @@ def analyse_topics(t):
     return evaluate.topic_counts(ex.analyse_topics(rows, model, "documents", "", batch_size=64))
 
 
-@query("failure_analysis", f"SELECT prompt, 'seen ' || length(prompt) AS analysis FROM ({ORACLES['failure_digest']})")
+@query("failure_analysis", f"""
+SELECT prompt, 'seen ' || length(prompt) AS analysis FROM (SELECT 'Statistics: ' || regexp_replace(prompt, '\\n\\nQuery 1\\n', chr(10) || 'Examples: Query 1' || chr(10))
+  || chr(10) || 'Explain the main causes.' AS prompt FROM ({ORACLES['failure_digest']}))""")
 def failure_analysis(t):
     return ex.explain_failures(sql_errors(t), "event_id", json_model(analysis=lambda p: f"seen {len(p)}"))
 

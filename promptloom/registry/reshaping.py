@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from promptloom.functions import text as txt
 from promptloom.operators import reshape
+from promptloom.plans.specs import SPECS
 from promptloom.registry.base import prompts, query, text
+from promptloom.testing.doubles import json_model
 
 
 def _q2():
@@ -88,6 +90,18 @@ def glossary_merge(t):
     return reshape.merge_glossary(rows, ["p_partkey"])
 
 
+@query("glossary_step", """
+SELECT p_partkey, 'existing' AS origin, 0 AS entry_no, 'name' AS input, p_name AS output FROM part
+UNION ALL SELECT p_partkey, 'generated', 0, 'size', CAST(p_size AS VARCHAR) FROM part""")
+def glossary_step(t):
+    """The model's terms join the glossary that was there."""
+    rows = t.part.select(
+        "p_partkey", F.lit("part(p_name)").alias("schema"), F.col("p_size").cast("string").alias("queries"),
+        F.to_json(F.array(F.struct(F.lit("name").alias("input"), F.col("p_name").alias("output")))).alias("input_glossary"))
+    model = json_model(glossary=lambda p: '[{"input": " size ", "output": "' + p.split("Queries: ", 1)[1].split("\n", 1)[0] + '"}]')
+    return SPECS["glossary"].apply(rows, model, batch_size=64).select("p_partkey", F.inline("glossary_entries"))
+
+
 @query("strip_fence", """
 SELECT p_partkey, 'SELECT ' || p_size || CASE WHEN p_size % 3 = 0 THEN chr(10) || 'FROM part' ELSE '' END AS body FROM part""")
 def strip_fence(t):

@@ -18,13 +18,13 @@ EXAMPLES_PER_LINE = 100
 def write_dataset(df: DataFrame, folder: str, name: str) -> int | None:
     """Write ``folder/name`` once and return the number of rows, counted in the same pass.
 
-    An existing data set is left as it is and None is returned.
+    A data set that was written to the end is left as it is and None is returned; what a failed write left is replaced.
     """
     path = f"{folder}/{name}"
-    if path_exists(df.sparkSession, path):
+    if path_exists(df.sparkSession, f"{path}/_SUCCESS"):
         return None
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("ignore").json(path)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(path)
     return seen.get["n"]
 
 
