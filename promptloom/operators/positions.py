@@ -17,18 +17,15 @@ def number_rows(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[s
                 rows_per_task: int = ROWS_PER_TASK, total: int | None = None) -> DataFrame:
     """Add the 1-based position of each row in the order of ``order_by`` within ``partition_by``.
 
-    Counts the rows first (pass ``total`` to skip that). A small input uses a plain window. A larger one
-    is range-partitioned into slices of about ``rows_per_task`` rows, numbered within each slice and
+    Counts the rows first (pass ``total`` to skip that). They are range-partitioned into slices of at most about
+    ``rows_per_task`` rows, as many as there are cores at the least, numbered within each slice and
     shifted by the number of rows in the slices before, so a group of any size spreads over many tasks.
     ``order_by`` should be unique within a group.
     """
     if total is None:
         total = df.count()
     keys, order = list(partition_by), list(order_by)
-    if total <= rows_per_task:
-        return df.withColumn(name, F.row_number().over(_window(keys, order)).cast("long"))
-
-    slices = -(-total // rows_per_task)
+    slices = max(-(-total // rows_per_task), df.sparkSession.sparkContext.defaultParallelism)
     # The slice number depends on the task that computed it, so it is stored before it is used twice.
     sliced = materialise(
         df.repartitionByRange(slices, *keys, *order).withColumn("_slice", F.spark_partition_id()), "slices"

@@ -27,6 +27,13 @@ def knn_l2(t):
     return neighbours(t).withColumn("distance", F.round("distance", 6))
 
 
+@query("knn_l2_pruned", f"SELECT vec_id, CAST(rank AS INT) AS rank, split_id, round(distance, 6) AS distance FROM ({_KNN})")
+def knn_l2_pruned(t):
+    """The same by the plan of large tables: cells around pivots, of which the triangle inequality rules out some."""
+    index = t.embeddings.select(F.col("vec_id").alias("split_id"), "embedding")
+    return ret.nearest(t.embeddings, index, 5, "vec_id", prune_above=0).withColumn("distance", F.round("distance", 6))
+
+
 @query("augment_prompt", f"""
 SELECT vec_id, 'Query ' || vec_id || ': ' || string_agg('vec ' || split_id || ' label ' || label, chr(10) ORDER BY rank) AS prompt
 FROM ({_KNN}) h JOIN (SELECT vec_id AS id, label FROM embeddings) e ON e.id = h.split_id GROUP BY vec_id""")
