@@ -70,8 +70,11 @@ def fit_view(x: np.ndarray, y: np.ndarray) -> View:
 
 def calibrate(view: View, x: np.ndarray, y: np.ndarray) -> View:
     offset, slope = fit_logistic(view.logit(x)[:, None], y, penalty=1e-2)
-    # A view that knows nothing keeps its prior; none may vote against itself.
-    return View(view.weights, view.mean, view.scale, max(0.0, float(slope)), float(offset))
+    if slope <= 0:
+        # A view that knows nothing says how frequent good rows are; none may vote against itself.
+        share = (y.sum() + 1) / (len(y) + 2)
+        slope, offset = 0.0, np.log(share / (1 - share))
+    return View(view.weights, view.mean, view.scale, float(slope), float(offset))
 
 
 def train(views: list[np.ndarray], y: np.ndarray, held: np.ndarray, pools: list[np.ndarray], rounds: int, per_round: int, sure: float):
