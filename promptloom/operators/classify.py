@@ -69,7 +69,8 @@ class EmbeddingClassifier:
             raise ValueError(f"training needs at least two classes, got {sizes.classes}")
         if sizes.classes < known:
             empty = registry.join(filled.select("class_id").distinct(), "class_id", "left_anti").orderBy("class_id").limit(20)
-            warnings.warn(f"classes without rows: {[r[0] for r in empty.select('class_name').collect()]}", stacklevel=2)
+            names = empty.agg(F.collect_list("class_name").alias("names")).first().names
+            warnings.warn(f"classes without rows: {names}", stacklevel=2)
         estimator = LogisticRegression(
             regParam=1.0 / (C * sizes.n), elasticNetParam=0.0, standardization=False, maxIter=MAX_ITER, tol=1e-9,
             family="binomial" if known == 2 else "multinomial",

@@ -104,6 +104,8 @@ def test_library_rules():
     allowed = {"operators/retrieval.py": 2}  # pivots, and one row per pivot
     for path in LIBRARY.rglob("*.py"):
         code, name = path.read_text(), str(path.relative_to(LIBRARY))
+        if name.startswith("llm/"):
+            continue  # has a list of its own beside its tests
         assert not re.search(r"localCheckpoint|crossJoin|toPandas|\.rdd\b|toLocalIterator", code), name
         if not name.startswith("registry/"):
             assert len(re.findall(r"\.collect\(\)", code)) == allowed.get(name, 0), name
