@@ -1,5 +1,8 @@
 """The stages: which documents stay, what happens to texts, and what comes out."""
 
+import re
+from pathlib import Path
+
 import corpus_pipeline
 from promptloom.storage import materialise
 from tests.llm.conftest import TESTDATA, texts_of
@@ -30,3 +33,12 @@ def test_registered():
 
     names = entry.queries()
     assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
+
+
+def test_what_reaches_the_driver():
+    """Counts per template word, quantiles and histograms of fixed size, and samples bounded by a parameter."""
+    allowed = {"licenses.py": 1, "quality_rules.py": 2, "cotraining.py": 1, "pii.py": 1}
+    for path in (Path(corpus_pipeline.__file__).parent / "promptloom" / "llm").glob("*.py"):
+        code = path.read_text()
+        assert not re.search(r"localCheckpoint|crossJoin|toPandas|\.rdd\b|toLocalIterator", code), path.name
+        assert len(re.findall(r"\.collect\(\)", code)) == allowed.get(path.name, 0), path.name
