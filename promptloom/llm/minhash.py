@@ -85,7 +85,7 @@ def _signed(bands: int, rows: int, width: int, seed: int):
         numbers = mixed(np.arange(bands, dtype=np.uint64) + np.uint64(977))
         for batch in batches:
             counts, prints, found = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 shingles = shingle_codes(text.as_py(), codes, width)
                 counts.append(len(shingles))
                 if not len(shingles):
@@ -96,8 +96,8 @@ def _signed(bands: int, rows: int, width: int, seed: int):
                 bits = signature(shingles, circle).astype(np.uint64).reshape(bands, rows)
                 found.append(mixed((bits * powers).sum(axis=1, dtype=np.uint64) + numbers).view(np.int64))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(prints, pa.binary()), pa.array(found, pa.list_(pa.int64()))
-            ], ["doc_id", "n_shingles", "print", "bands"])
+                batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(prints, pa.binary()), pa.array(found, pa.list_(pa.int64()))
+            ], ["key", "doc_id", "n_shingles", "print", "bands"])
     return run
 
 
@@ -106,7 +106,7 @@ def _sets(width: int):
         codes = Codes()
         for batch in batches:
             sets = [shingle_codes(t.as_py(), codes, width).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["rep", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "shingles"])
     return run
 
 
@@ -119,30 +119,45 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     A pair at exactly 0.8 misses all bands with a probability of 1.3e-7. Rows without an id stand alone: component null, kept.
     A repeated id is judged row by row and by each row's own text. No documents give no rows. Other columns are not read.
     """
-    signed = materialise(docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text")).mapInArrow(
-        _signed(bands, rows, width, seed), "doc_id long, n_shingles long, print binary, bands array<long>"), "signatures")
-    classes = materialise(signed.filter("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep")), "classes")
+    rows_of = materialise(docs.select(
+        F.monotonically_increasing_id().alias("_key"), F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text")), "rows")
+    judged = _judged(rows_of, width, percent, bands, rows, pivot_rounds, seed)
+    return judged.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _judged(keyed: DataFrame, width: int = 4, percent: int = 80, bands: int = 40, rows: int = 5, pivot_rounds: int = 3, seed: int = 11) -> DataFrame:
+    """(key, doc_id, n_shingles, component_id, first) of stored rows (_key, _id, _text), whose keys are unique.
+
+    A class goes by the key of its first row, the one with the smallest id and then the smallest key, because an id may come with several
+    texts. ``first`` marks the first row of each component, and every row without an id or a word.
+    """
+    signed = materialise(keyed.select("_key", "_id", "_text").mapInArrow(
+        _signed(bands, rows, width, seed), "key long, doc_id long, n_shingles long, print binary, bands array<long>"), "signatures")
+    classes = materialise(signed.filter("print is not null and doc_id is not null").groupBy("print").agg(
+        F.min(F.struct("doc_id", "key")).alias("_first")).select("print", "_first", F.col("_first.key").alias("rep")), "classes")
     members = _bucket_members(signed, classes)
-    roots = _merge(docs, members, text, doc_id, width, percent, pivot_rounds)
-    rooted = classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
-        "print", F.coalesce("root", "rep").alias("_root"))
-    out = signed.drop("bands").join(rooted, "print", "left").withColumn(
-        "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("_root", "doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    roots = _merge(keyed, members, width, percent, pivot_rounds)
+    rooted = classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("print", "_first", F.coalesce("root", "rep").alias("_root"))
+    firsts = rooted.groupBy("_root").agg(F.min("_first").alias("_least"))
+    placed = signed.drop("bands").join(rooted.join(firsts, "_root").select("print", "_least"), "print", "left")
+    linked = F.col("doc_id").isNotNull() & F.col("_least").isNotNull()
+    return placed.select(
+        "key", "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_least.doc_id", "doc_id")).alias("component_id"),
+        (~linked | F.col("key").eqNullSafe(F.col("_least.key"))).alias("first"))
 
 
 def _bucket_members(signed: DataFrame, classes: DataFrame) -> DataFrame:
     """(bucket, rep, n) of the buckets that hold two classes or more."""
-    reps = signed.join(classes.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"])
-    in_bucket = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    reps = signed.withColumnRenamed("key", "rep").join(classes.select("rep"), "rep")
+    in_bucket = reps.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = in_bucket.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("bucket")
     return materialise(in_bucket.join(shared, "bucket"), "buckets")
 
 
-def _merge(docs, members, text, doc_id, width, percent, pivot_rounds) -> DataFrame:
+def _merge(keyed, members, width, percent, pivot_rounds) -> DataFrame:
     """(node, root) of the classes that share a bucket, after all candidate pairs that matter have been tested."""
     roots = materialise(members.select(F.col("rep").alias("node"), F.col("rep").alias("root")).distinct(), "roots")
-    picked = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("_text")).join(
+    picked = keyed.select(F.col("_key").alias("rep"), "_text").join(
         roots.select(F.col("node").alias("rep")), "rep", "left_semi")
     sets = materialise(picked.select("rep", "_text").mapInArrow(_sets(width), "rep long, shingles array<long>"), "sets")
     tested = None
@@ -215,8 +230,10 @@ def _contract(roots: DataFrame, links: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents with one of each group of near copies, with their columns: the one with the group's smallest id.
 
-    Of rows that repeat an id in one group, one stays. Rows without an id all stay.
+    Of rows that repeat an id in one group, one stays; rows with one id in several groups are judged apart. Rows without an id all stay,
+    and so do texts without a word, which are in no group.
     """
-    judged = near_duplicates(docs, text, doc_id, **options)
-    gone = judged.filter("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    return release(hold(docs, _id=F.col(doc_id)).join(gone, "_id", "left_anti"))
+    keyed = materialise(hold(docs, _key=F.monotonically_increasing_id(), _id=F.col(doc_id).cast("long")), "rows")
+    judged = _judged(keyed.withColumn("_text", F.col("_row").getField(text)), **options)
+    gone = judged.filter("not first").select(F.col("key").alias("_key"))
+    return release(keyed.join(gone, "_key", "left_anti"))

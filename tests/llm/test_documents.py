@@ -273,3 +273,16 @@ def test_topk(spark):
 
 def test_clashing_names(odd):
     assert set(CLASHES) <= set(odd.columns)
+
+
+def test_repeated_ids_are_judged_by_row(spark):
+    """One of two equal rows stays; an id with a copy and a text of its own loses the copy only, and links nothing through the id."""
+    texts = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcx"}
+    near = texts["b"] + " b"
+    given = [(3, "x"), (9, "a"), (9, "x"), (7, "c"), (7, "c"), (2, "a"), (9, "b"), (None, "x"), (1, ""), (1, "")]
+    df = spark.createDataFrame([(i, texts.get(t, t)) for i, t in given] + [(12, near)], "doc_id long, text string").repartition(3)
+    name = {v: k for k, v in texts.items()}
+    kept = sorted(((r.doc_id, name.get(r.text, r.text)) for r in minhash.keep_first(df).collect()), key=repr)
+    assert kept == sorted([(3, "x"), (7, "c"), (2, "a"), (9, "b"), (None, "x"), (1, ""), (1, "")], key=repr)
+    groups = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(df).collect()}
+    assert groups == {(3, 3), (9, 2), (9, 3), (9, 9), (7, 7), (2, 2), (None, None), (1, 1), (12, 9)}
