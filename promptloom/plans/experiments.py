@@ -214,24 +214,29 @@ class MemoryExperiment:
 def example_round(descriptions: DataFrame, examples: DataFrame, model: Model, seed: int = 0, **options) -> Round:
     """A round of ``augment_examples``: short summaries, more diverse ones, then whole examples of both.
 
-    ``descriptions`` has (class_name, description); ``examples`` has (class_name, example).
+    ``descriptions`` has (class_name, description); ``examples`` has (class_name, example). A request makes ten examples, so a class gets
+    as many requests as it needs, numbered in their prompts from the second on.
     """
+    numbered = F.when(F.col("request") > 1, F.concat("_described", F.lit("\nRequest "), "request", F.lit(": differ from the other requests.")))
 
     def fill(need: DataFrame) -> DataFrame:
         shots = few_shot(examples.withColumn("_id", F.sha2("example", 256)), "class_name", "_id", "example", seed)
         asked = need.join(descriptions, "class_name").join(small(shots), "class_name", "left").fillna("", ["examples"])
+        asked = asked.withColumn("request", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("need") / 10)))).repartition("class_name", "request")
+        asked = asked.withColumnRenamed("description", "_described").withColumn("description", F.coalesce(numbered, "_described"))
         first = materialise(SPECS["example_generator"].apply(asked, model, **options), "summaries")
         listed = F.array_join(F.array(*[F.col(f"example_{i}") for i in range(1, 6)]), "\n")
+        first = first.withColumn("description", F.col("_described"))
         more = materialise(
-            SPECS["example_modifier"].apply(first.select("class_name", "description", listed.alias("summaries")), model, **options), "diverse"
+            SPECS["example_modifier"].apply(first.select("class_name", "request", "description", listed.alias("summaries")), model, **options), "diverse"
         )
         rows = [
-            reshape.unpivot_examples(part, ["class_name", "description"]).withColumn("phase", F.lit(phase))
+            reshape.unpivot_examples(part, ["class_name", "request", "description"]).withColumn("phase", F.lit(phase))
             for phase, part in enumerate((more, first))
         ]
         summaries = rows[0].unionByName(rows[1]).withColumnRenamed("example", "summary")
         whole = SPECS["example_expander"].apply(summaries, model, **options)
-        return whole.select("class_name", F.col("output").alias("example"), F.struct("phase", "example_no").alias("sort_key"))
+        return whole.select("class_name", F.col("output").alias("example"), F.struct("request", "phase", "example_no").alias("sort_key"))
 
     return fill
 

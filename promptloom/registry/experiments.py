@@ -219,7 +219,7 @@ UNION ALL SELECT lang, 'whole ' || CASE WHEN i <= 5 THEN 'other ' ELSE 'short '
   SELECT lang, unnest(range(1, least(n, 10) + 1)) AS i FROM (SELECT lang, greatest(CAST((SELECT max(c) FROM (SELECT count(*) AS c FROM documents GROUP BY lang)) AS BIGINT) - count(*), 0) AS n
   FROM documents GROUP BY lang))""")
 def augment_with_model(t):
-    """Every language is a class to be filled up to the size of the largest one; one round makes ten examples."""
+    """Every language is a class to be filled up to the size of the largest one; one request makes ten examples, and rounds go on until none lacks any."""
     from promptloom.operators import classify
 
     examples = t.documents.select(F.col("lang").alias("class_name"), F.col("text").alias("example"))
@@ -238,4 +238,5 @@ def augment_with_model(t):
         return f"whole {summary.group(1)}" if summary else ""
 
     model = json_model(**{f"example_{i}": made(i) for i in range(1, 6)}, output=whole)
-    return classify.augment_examples(examples, target, [ex.example_round(descriptions, examples, model, batch_size=64)])
+    return classify.augment_examples(
+        examples, target, lambda turn, current: ex.example_round(descriptions, current, model, turn, batch_size=64))

@@ -252,3 +252,23 @@ def test_logistic_regression_minimises_the_textbook_objective(spark):
     p /= p.sum(1, keepdims=True)
     gradient = (p - np.eye(3)[y]).T @ x.astype("float64") + w
     assert np.abs(gradient).max() < 1e-4
+
+
+def test_a_round_makes_all_missing_examples(spark):
+    import re
+
+    names = spark.createDataFrame([("a", "first"), ("b", "second")], "class_name string, description string")
+    seen = spark.createDataFrame([("a", "1")], "class_name string, example string")
+    said = lambda i: lambda p: "d" + str(i) if p.startswith("Existing") else f"s{i}" + "".join(re.findall(r"Request (\d+)", p))
+    model = json_model(**{f"example_{i}": said(i) for i in range(1, 6)}, output=lambda p: p.split("example:\n")[-1].split("\n")[0])
+    out = classify.augment_examples(seen, 26, [experiments.example_round(names, seen, model)], classes=names)
+    assert rows(out.groupBy("class_name").count()) == [("a", 26), ("b", 26)]
+    assert {"s1", "s12", "s5", "s52"} <= {r.example for r in out.filter("class_name = 'a'").collect()}
+
+
+def test_registered_augmentation_fills_every_class(spark):
+    from promptloom.registry import QUERIES
+    from tests.conftest import TESTDATA
+
+    sizes = rows(QUERIES["augment_with_model"](spark, TESTDATA).groupBy("class_name").count())
+    assert len(sizes) > 1 and len({n for _, n in sizes}) == 1
