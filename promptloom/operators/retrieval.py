@@ -1,269 +1,64 @@
-"""Exact nearest neighbours over an embedding table, index tables and prompt augmentation.
+"""Nearest neighbours over an embedding table, stored indexes and prompt augmentation.
 
-Both sides are cut into blocks of bounded size that meet by an equi-join on the block numbers; a task
-sees one block of each and returns at most k rows per query. Nothing is broadcast or collected but the
-pivots, whose number is fixed. Above ``PRUNE_ABOVE`` index rows, the index is grouped around pivots and
-the triangle inequality rules out, without loss, the cells that cannot hold a neighbour.
+A stored index keeps its rows in folders by cell, and its ids in folders by prefix. A search reads the folders of the cells that its queries visit, an
+append the ids of the prefixes it holds, so neither reads the index whole. Appends are numbered; the manifest of a number names
+the state of every cell and is written last, so a half-written append is never seen and is written over by the next.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from promptloom.functions.text import chunk_rows
+from promptloom.operators import cells
 from promptloom.operators.inference import embed
-from promptloom.storage import materialise, path_exists
+from promptloom.storage import drop_path, list_names, materialise
 
-BLOCK_BYTES = 32 << 20
-PRUNE_ABOVE = 1_000_000
-MAX_PIVOTS = 1024
-MAX_BROADCAST_PIECES = 100_000
-MOSTLY = 0.5
-PAIRS_PER_TASK = 1 << 20
-_MATRIX_CELLS = 4 << 20  # distances held at once in a task
+ROWS = "split_id string, split string, embedding array<float>, _far double, batch int, _cell int"
+IDS = "split_id string, batch int, prefix string"
+MANIFEST = "cell int, pivot array<double>, n long, radius double"
 
 
-def nearest(queries: DataFrame, index: DataFrame, k: int = 5, query_id: str = "query_id", index_id: str = "split_id",
-            vector: str = "embedding", block_rows: int | None = None, prune_above: int = PRUNE_ABOVE) -> DataFrame:
+@dataclass(frozen=True)
+class StoredIndex:
+    """An index as of one append: ``rows`` reads what its manifest names, by cell."""
+
+    path: str
+    version: int
+    rows: DataFrame
+    pivots: np.ndarray
+    count: np.ndarray
+    radius: np.ndarray
+
+    def cells(self) -> cells.Cells:
+        return cells.Cells(self.rows.filter("_cell >= 0").select(F.col("split_id").alias("_x"), F.col("embedding").alias("_v"), "_cell"),
+                           self.pivots, self.count, self.radius)
+
+
+def nearest(queries: DataFrame, index: DataFrame | StoredIndex, k: int = 5, query_id: str = "query_id", index_id: str = "split_id",
+            vector: str = "embedding", cell_rows: int = cells.CELL_ROWS, block_rows: int | None = None, report: dict | None = None) -> DataFrame:
     """The k index rows closest to each query: (query_id, rank, index_id, distance), rank from 1.
 
     Distance is squared L2 in double precision; ties go to the lower id. Rows without a vector do not
-    take part. Counts both sides before planning; ids must be unique.
+    take part; ids must be unique. A table is grouped into cells of about ``cell_rows`` first, a stored index is so already. ``report`` receives the number of
+    rounds and of pairs compared.
     """
+    return _nearest(queries, index, k, query_id, index_id, vector, cell_rows, block_rows, report).drop("_cell")
+
+
+def _nearest(queries, index, k, query_id, index_id, vector, cell_rows=cells.CELL_ROWS, block_rows=None, report=None) -> DataFrame:
     q = queries.select(F.col(query_id).alias("_q"), F.col(vector).alias("_v")).filter(F.col("_v").isNotNull())
-    x = index.select(F.col(index_id).alias("_x"), F.col(vector).alias("_v")).filter(F.col("_v").isNotNull())
-    sizes = x.agg(F.count("*").alias("n"), F.max(F.size("_v")).alias("d"), F.min(F.size("_v")).alias("d0")).first()
-    if sizes.n and sizes.d != sizes.d0:
-        raise ValueError(f"index vectors differ in length: {sizes.d0} to {sizes.d}")
-    rows = block_rows or max(1024, BLOCK_BYTES // (8 * (sizes.d or 1)))
-
-    if sizes.n <= prune_above:
-        found = _search_blocks(_blocks(q, x, sizes.n, q.count(), rows), k)
+    if isinstance(index, StoredIndex):
+        placed = index.cells()
     else:
-        found = _search_cells(q, x, sizes.n, k, rows)
-    return found.select(
-        F.col("_q").alias(query_id), F.col("rank"), F.col("_x").alias(index_id), F.col("distance")
-    )
-
-
-def _pieces(key: str, n: int | Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(n) if isinstance(n, int) else n).cast("int")
-
-
-def _blocks(q: DataFrame, x: DataFrame, n_index: int, n_queries: int, rows: int):
-    """Every query block meets every index block once. Beyond what the size of a block asks for, queries are cut
-    further for parallelism as long as a block pair keeps enough work to pay for its overhead."""
-    tasks = 2 * q.sparkSession.sparkContext.defaultParallelism
-    xb = max(1, -(-n_index // rows))
-    by_work = n_queries * max(n_index, 1) // (xb * PAIRS_PER_TASK)
-    qb = max(-(-n_queries // rows), min(-(-tasks // xb), by_work), 1)
-    left = q.withColumn("_qb", _pieces("_q", qb)).withColumn("_xb", F.explode(F.sequence(F.lit(0), F.lit(xb - 1))))
-    right = x.withColumn("_xb", _pieces("_x", xb)).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-    return left, right, ["_qb", "_xb"], xb == 1
-
-
-def _search_blocks(plan, k: int) -> DataFrame:
-    left, right, keys, single = plan
-    schema = T.StructType([
-        T.StructField("_q", left.schema["_q"].dataType),
-        T.StructField("_x", right.schema["_x"].dataType),
-        T.StructField("distance", T.DoubleType()),
-        T.StructField("rank", T.IntegerType()),
-    ])
-
-    def search(lq: pa.Table, rx: pa.Table) -> pa.Table:
-        return block_top_k(lq, rx, k)
-
-    local = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
-    return local if single else top_k(local, k)
-
-
-def top_k(found: DataFrame, k: int) -> DataFrame:
-    by_distance = Window.partitionBy("_q").orderBy("distance", "_x")
-    return found.drop("rank").withColumn("rank", F.row_number().over(by_distance)).filter(F.col("rank") <= k)
-
-
-def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
-    flat = vectors.combine_chunks()
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
-
-
-def block_top_k(queries: pa.Table, index: pa.Table, k: int) -> pa.Table:
-    """Exact top k of one block pair. A matrix product finds the candidates, with a margin for its rounding;
-    their distances are then summed term by term, so they do not depend on how rows were blocked."""
-    names = ["_q", "_x", "distance", "rank"]
-    if not len(queries) or not len(index):
-        types = [queries.schema.field("_q").type, index.schema.field("_x").type, pa.float64(), pa.int32()]
-        return pa.table([pa.array([], t) for t in types], names=names)
-    index = index.sort_by("_x")
-    points, xs = _matrix(queries["_v"]), _matrix(index["_v"])
-    x_norm = (xs**2).sum(axis=1)
-    xs_t = np.ascontiguousarray(xs.T)
-    step = max(1, _MATRIX_CELLS // len(xs))
-    out_q, out_x, out_d, out_r = [], [], [], []
-    for at in range(0, len(points), step):
-        part = points[at : at + step]
-        if len(xs) > k:
-            # Squared distance less the query's own norm, which does not change the order.
-            rough = (-2.0 * part) @ xs_t
-            rough += x_norm
-            margin = 1e-9 * ((part**2).sum(axis=1)[:, None] + x_norm.max() + 1.0)
-            qi, xi = np.nonzero(rough <= _kth_bound(rough, k) + margin)
-        else:
-            qi, xi = (a.ravel() for a in np.indices((len(part), len(xs))))
-        dist = np.zeros(len(qi))
-        for dim in range(xs.shape[1]):
-            dist += (part[qi, dim] - xs[xi, dim]) ** 2
-        order = np.lexsort((xi, dist, qi))
-        qi, xi, dist = qi[order], xi[order], dist[order]
-        rank = np.arange(len(qi)) - np.searchsorted(qi, qi)
-        keep = rank < k
-        out_q.append(qi[keep] + at)
-        out_x.append(xi[keep])
-        out_d.append(dist[keep])
-        out_r.append(rank[keep] + 1)
-    return pa.table(
-        [
-            queries["_q"].take(pa.array(np.concatenate(out_q))),
-            index["_x"].take(pa.array(np.concatenate(out_x))),
-            pa.array(np.concatenate(out_d)),
-            pa.array(np.concatenate(out_r), pa.int32()),
-        ],
-        names=names,
-    )
-
-
-def _kth_bound(rough: np.ndarray, k: int) -> np.ndarray:
-    """An upper bound of the k-th least value of each row, close to it: the k-th least of the minima of column
-    groups. Finding minima takes one pass, where selecting among all columns takes several."""
-    groups = max(256, 8 * k)
-    width = rough.shape[1] // groups
-    if width >= 4:
-        rough = rough[:, : groups * width].reshape(len(rough), groups, width).min(axis=2)
-    return np.partition(rough, k - 1, axis=1)[:, k - 1 : k]
-
-
-def _search_cells(q: DataFrame, x: DataFrame, total: int, k: int, rows: int) -> DataFrame:
-    """Search the cells around each query first, then every cell the k-th distance found cannot rule out."""
-    n_pivots = min(MAX_PIVOTS, max(1, int(total**0.5)))
-    # Pivots only steer the work; any choice gives the same result. Their number is fixed.
-    share = min(1.0, 4.0 * n_pivots / total)
-    pivots = np.array([r[0] for r in x.select("_v").sample(share, seed=7).limit(n_pivots).collect()], dtype=np.float64)
-    if len(pivots) == 0:
-        pivots = np.array([x.select("_v").first()[0]], dtype=np.float64)
-
-    near = _pivot_distances(pivots)
-    placed = materialise(
-        x.withColumn("_p", near("_v")).select("_x", "_v", F.col("_p.cell").alias("_cell"), F.col("_p.far").alias("_far")),
-        "cells",
-    )
-    cells = placed.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_far").alias("radius")).collect()
-    count = np.zeros(len(pivots), dtype=np.int64)
-    radius = np.full(len(pivots), -1.0)
-    for c in cells:  # at most one row per pivot
-        count[c["_cell"]], radius[c["_cell"]] = c.n, c.radius
-    pieces = np.maximum(1, -(-count // rows))
-
-    queries = materialise(q, "queries")
-    first = _routed_search(queries, placed, _home_cells(pivots, count, k), pieces, k, rows)
-    first = materialise(top_k(first, k), "home")
-    bound = first.groupBy("_q").agg(F.max("distance").alias("_bound"))
-    rest = queries.join(bound, "_q")
-    second = _routed_search(rest, placed, _open_cells(pivots, count, radius, k), pieces, k, rows, int((count > 0).sum()))
-    if second is None:
-        return _search_blocks(_blocks(queries, placed.select("_x", "_v"), total, queries.count(), rows), k)
-    return top_k(first.unionByName(second), k)
-
-
-def _pivot_distances(pivots: np.ndarray):
-    @F.pandas_udf("cell int, far double")
-    def near(vectors):
-        import pandas as pd
-
-        d = _to_pivots(np.stack(vectors.to_numpy()), pivots)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "far": d[np.arange(len(d)), cell]})
-
-    return near
-
-
-def _to_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    v = vectors.astype(np.float64)
-    out = np.empty((len(v), len(pivots)))
-    for at in range(0, len(v), 512):
-        part = v[at : at + 512]
-        squared = (part**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * part @ pivots.T
-        out[at : at + 512] = np.sqrt(np.maximum(squared, 0.0))
-    return out
-
-
-def _home_mask(distances: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
-    """The nearest cells that together hold at least k rows."""
-    order = np.argsort(distances, axis=1, kind="stable")
-    held = np.cumsum(count[order], axis=1)
-    wanted = (held - count[order] < k) & (count[order] > 0)
-    mask = np.zeros_like(wanted)
-    np.put_along_axis(mask, order, wanted, axis=1)
-    return mask
-
-
-def _cell_lists(mask: np.ndarray):
-    import pandas as pd
-
-    return pd.Series([np.flatnonzero(row).astype("int32") for row in mask])
-
-
-def _home_cells(pivots, count, k):
-    @F.pandas_udf("array<int>")
-    def home(vectors):
-        return _cell_lists(_home_mask(_to_pivots(np.stack(vectors.to_numpy()), pivots), count, k))
-
-    return home("_v")
-
-
-def _open_cells(pivots, count, radius, k):
-    @F.pandas_udf("array<int>")
-    def still_open(vectors, bound):
-        d = _to_pivots(np.stack(vectors.to_numpy()), pivots)
-        reach = np.sqrt(bound.to_numpy())[:, None]
-        slack = 1e-6 * (1.0 + d)
-        mask = (d - radius[None, :] <= reach + slack) & (count > 0)[None, :] & ~_home_mask(d, count, k)
-        return _cell_lists(mask)
-
-    return still_open("_v", "_bound")
-
-
-def _routed_search(queries: DataFrame, placed: DataFrame, route: Column, pieces: np.ndarray, k: int, rows: int,
-                   n_cells: int | None = None) -> DataFrame | None:
-    """Send each query to the pieces of its cells and search them. Large cells come in several pieces, and
-    the queries of a cell in several blocks, so a crowded cell spreads over many tasks. With ``n_cells``, None when most
-    queries would visit most cells, as then plain blocks are cheaper."""
-    sizes = F.array(*[F.lit(int(p)) for p in pieces])
-    # Stored with the list of cells still inside the row, so a vector is written once however many it visits.
-    routed = materialise(queries.select("_q", "_v", route.alias("_cells")), "routes")
-    if n_cells is not None:
-        visited = routed.agg(F.avg(F.size("_cells"))).first()[0] or 0.0
-        if visited > MOSTLY * n_cells:
-            return None
-    sent = routed.select("_q", "_v", F.explode("_cells").alias("_cell")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.element_at(sizes, F.col("_cell") + 1) - 1)).alias("_piece")
-    )
-    blocks = sent.groupBy("_cell", "_piece").agg(F.ceil(F.count("*") / rows).cast("int").alias("_n"))
-    if int(pieces.sum()) <= MAX_BROADCAST_PIECES:  # one row per piece
-        blocks = F.broadcast(blocks)
-    left = sent.join(blocks, ["_cell", "_piece"]).withColumn("_qb", _pieces("_q", F.col("_n"))).drop("_n")
-    right = (
-        placed.withColumn("_piece", _pieces("_x", F.element_at(sizes, F.col("_cell") + 1)))
-        .join(blocks, ["_cell", "_piece"])
-        .select("_x", "_v", "_cell", "_piece", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_qb"))
-    )
-    return _search_blocks((left, right, ["_cell", "_piece", "_qb"], True), k)
+        placed = cells.place(index.select(F.col(index_id).alias("_x"), F.col(vector).alias("_v")).filter(F.col("_v").isNotNull()), cell_rows)
+    found = cells.search(q, placed, k, block_rows, report)
+    return found.select(F.col("_q").alias(query_id), "rank", F.col("_x").alias(index_id), "distance", "_cell")
 
 
 def index_rows(df: DataFrame, text: str, encoder: Callable, id_cols: Sequence[str] = ()) -> DataFrame:
@@ -284,21 +79,79 @@ def build_index(documents: DataFrame, encoder: Callable, text: str = "text", id_
     return index_rows(chunks, "chunk", encoder, [*id_cols, "chunk_no"])
 
 
-def save_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
-    index.select("split_id", "split", "embedding").write.mode(mode).parquet(path)
-
-
-def load_index(spark, path: str) -> DataFrame:
-    return spark.read.schema("split_id string, split string, embedding array<float>").parquet(path)
-
-
-def append_to_index(df: DataFrame, path: str, text: str, encoder: Callable, id_cols: Sequence[str]) -> None:
-    """Append the texts whose id the index lacks, each once. Known texts never reach the encoder. The index may not exist yet."""
+def save_index(index: DataFrame, path: str, cell_rows: int = cells.CELL_ROWS, id_digits: int = 1) -> None:
+    """Store an index table, in place of what the path holds, around pivots of its own. To give a grown index new pivots, save what
+    ``load_index`` gives at another path. ``id_digits`` is the length of the prefixes that ids are kept by: each hex digit more splits their folders by 16, so that
+    small appends read less of them."""
+    drop_path(index.sparkSession, f"{path}/manifest")
+    stored = materialise(index.select("split_id", "split", "embedding"), "index")
+    known = stored.filter("embedding is not null").select(F.col("embedding").alias("_v"))
+    _write_batch(stored, path, 0, cells.fit_pivots(known, known.count(), cell_rows), None, id_digits)
+
+
+def _write_batch(fresh: DataFrame, path: str, number: int, pivots: np.ndarray, before: StoredIndex | None, id_digits: int) -> None:
+    spark = fresh.sparkSession
+    rows = cells.assigned(fresh.withColumn("_v", F.col("embedding")), pivots).drop("_v")
+    # Adaptive execution splits a folder that holds most rows and lets small ones share a task.
+    rows.hint("rebalance", "_cell").write.mode("overwrite").partitionBy("_cell").parquet(f"{path}/rows/batch={number}")
+    ids = fresh.select("split_id", F.substring("split_id", 1, id_digits).alias("prefix"))
+    # Prefixes of a hash are about equally frequent.
+    ids.repartition(spark.sparkContext.defaultParallelism, "prefix").write.mode("overwrite").partitionBy("prefix").parquet(f"{path}/ids/batch={number}")
+    written = spark.read.schema(ROWS).parquet(f"{path}/rows").filter(F.col("batch") == number)
+    count, radius = cells.cell_sizes(written, len(pivots))
+    if before is not None:
+        count, radius = count + before.count, np.maximum(radius, before.radius)
+    state = [(c, [float(x) for x in pivots[c]], int(count[c]), float(radius[c])) for c in range(len(pivots))]
+    spark.createDataFrame(state, MANIFEST).coalesce(1).write.mode("error").parquet(f"{path}/manifest/version={number}")
+
+
+def open_index(spark: SparkSession, path: str) -> StoredIndex | None:
+    """The newest complete state of a stored index, ready to be searched; None where there is none."""
+    versions = [int(n.removeprefix("version=")) for n in list_names(spark, f"{path}/manifest") if n.startswith("version=")]
+    versions = [v for v in sorted(versions) if "_SUCCESS" in list_names(spark, f"{path}/manifest/version={v}")]
+    if not versions:
+        return None
+    state = spark.read.schema(MANIFEST).parquet(f"{path}/manifest/version={versions[-1]}").orderBy("cell").collect()  # a row per cell
+    rows = spark.read.schema(ROWS).parquet(f"{path}/rows").filter(F.col("batch") <= versions[-1])
+    pivots = np.array([r.pivot for r in state], dtype=np.float64).reshape(len(state), -1) if state else np.zeros((0, 0))
+    return StoredIndex(path, versions[-1], rows, pivots, np.array([r.n for r in state], dtype=np.int64), np.array([r.radius for r in state]))
+
+
+def load_index(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a stored index as (split_id, split, embedding)."""
+    index = open_index(spark, path)
+    if index is None:
+        raise FileNotFoundError(f"no index at {path}")
+    return index.rows.select("split_id", "split", "embedding")
+
+
+def append_to_index(df: DataFrame, path: str, text: str, encoder: Callable, id_cols: Sequence[str]) -> int:
+    """Append the texts whose id the index lacks, each once, and return how many. The index may not exist yet.
+
+    Only ids with a prefix that the new texts have are read, and known texts never reach the encoder; new rows go to the cells of the stored pivots. One
+    writer at a time: of two that append at once, the later one fails, as the number of its manifest is taken, and may run again.
+    """
     spark = df.sparkSession
-    fresh = _keyed(df, text, id_cols).dropDuplicates(["split_id"])
-    if path_exists(spark, path):
-        fresh = fresh.join(load_index(spark, path).select("split_id"), "split_id", "left_anti")
-    save_index(materialise(embed(fresh, encoder, "split"), "append"), path, "append")
+    index = open_index(spark, path)
+    fresh = materialise(_keyed(df, text, id_cols).dropDuplicates(["split_id"]), "texts")
+    digits = _id_digits(spark, path)
+    if index is not None:
+        prefixes = [r[0] for r in fresh.select(F.substring("split_id", 1, digits)).distinct().collect()]  # a row per folder
+        known = spark.read.schema(IDS).parquet(f"{path}/ids").filter((F.col("batch") <= index.version) & F.col("prefix").isin(prefixes))
+        fresh = fresh.join(known.select("split_id"), "split_id", "left_anti")
+    added = materialise(embed(fresh, encoder, "split"), "append")
+    n = added.count()
+    if index is None or not len(index.pivots):
+        save_index(added, path)
+    elif n:
+        _write_batch(added, path, index.version + 1, index.pivots, index, digits)
+    return n
+
+
+def _id_digits(spark: SparkSession, path: str) -> int:
+    """How long the prefixes are that a stored index keeps its ids by; 1 where it has none."""
+    names = [n for b in list_names(spark, f"{path}/ids") for n in list_names(spark, f"{path}/ids/{b}") if n.startswith("prefix=")]
+    return len(names[0].removeprefix("prefix=")) if names else 1
 
 
 def augment_prompts(prompts: DataFrame, hits: DataFrame, query_id: str = "query_id", prompt: str = "prompt",
@@ -315,15 +168,21 @@ def augment_prompts(prompts: DataFrame, hits: DataFrame, query_id: str = "query_
     return joined.withColumn(prompt, full).drop("_context")
 
 
-def retrieve(prompts: DataFrame, index: DataFrame, encoder: Callable, k: int = 3, query_id: str = "query_id",
+def retrieve(prompts: DataFrame, index: DataFrame | StoredIndex, encoder: Callable, k: int = 3, query_id: str = "query_id",
              prompt: str = "prompt", **options) -> DataFrame:
-    """Hits of each prompt with their texts: (query_id, rank, split_id, distance, split)."""
+    """Hits of each prompt with their texts: (query_id, rank, split_id, distance, split). Of a stored index, texts are read where there are hits."""
     embedded = materialise(embed(prompts.select(query_id, prompt), encoder, prompt).drop(prompt), "query-vectors")
-    hits = nearest(embedded, index, k, query_id, "split_id", **options)
-    return hits.join(index.select("split_id", "split"), "split_id")
+    hits = _nearest(embedded, index, k, query_id, "split_id", "embedding", **options)
+    if isinstance(index, StoredIndex):
+        hits = materialise(hits, "hits")
+        held = [r[0] for r in hits.select("_cell").distinct().collect()]  # a row per cell
+        texts = index.rows.filter(F.col("_cell").isin(held)).select("split_id", "split")
+    else:
+        texts = index.select("split_id", "split")
+    return hits.drop("_cell").join(texts, "split_id")
 
 
-def rag_prompts(prompts: DataFrame, index: DataFrame, encoder: Callable, k: int = 3, query_id: str = "query_id",
+def rag_prompts(prompts: DataFrame, index: DataFrame | StoredIndex, encoder: Callable, k: int = 3, query_id: str = "query_id",
                 prompt: str = "prompt", slot: str | None = None, **options) -> DataFrame:
     """Prompts with the k most similar splits added; ready for a model call. Pass a stored index."""
     return augment_prompts(prompts, retrieve(prompts, index, encoder, k, query_id, prompt, **options),

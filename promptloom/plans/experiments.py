@@ -198,8 +198,11 @@ class MemoryExperiment:
         ret.save_index(ret.index_rows(texts, "split", self.encoder, self.id_cols), self.index_path)
         return results
 
-    def index(self, spark: SparkSession) -> DataFrame:
-        return ret.load_index(spark, self.index_path)
+    def index(self, spark: SparkSession) -> ret.StoredIndex:
+        found = ret.open_index(spark, self.index_path)
+        if found is None:
+            raise FileNotFoundError(f"no index at {self.index_path}; run the experiment first")
+        return found
 
     def similar(self, prompts: DataFrame, k: int = 3, **names) -> DataFrame:
         return ret.retrieve(prompts, self.index(prompts.sparkSession), self.encoder, k, **names)

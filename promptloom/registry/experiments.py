@@ -215,8 +215,8 @@ def memory_experiment(t):
 
 @query("augment_with_model", """
 SELECT lang AS class_name, text AS example, false AS is_new FROM documents
-UNION ALL SELECT lang, 'whole ' || CASE WHEN i <= 5 THEN 'other ' ELSE 'short ' END || ((i - 1) % 5 + 1) || ' of ' || lang, true FROM (
-  SELECT lang, unnest(range(1, least(n, 10) + 1)) AS i FROM (SELECT lang, greatest(CAST((SELECT max(c) FROM (SELECT count(*) AS c FROM documents GROUP BY lang)) AS BIGINT) - count(*), 0) AS n
+UNION ALL SELECT lang, 'whole ' || CASE WHEN i % 10 < 5 THEN 'other ' ELSE 'short ' END || (i % 5 + 1) || ' of ' || lang, true FROM (
+  SELECT lang, unnest(range(0, n)) AS i FROM (SELECT lang, greatest(CAST((SELECT max(c) FROM (SELECT count(*) AS c FROM documents GROUP BY lang)) AS BIGINT) - count(*), 0) AS n
   FROM documents GROUP BY lang))""")
 def augment_with_model(t):
     """Every language is a class to be filled up to the size of the largest one; one request makes ten examples, and rounds go on until none lacks any."""

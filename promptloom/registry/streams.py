@@ -16,15 +16,16 @@ def stream(t, name):
 
 
 @query("stream_generate", """
-SELECT doc_id, 'failed' AS outcome, NULL AS response FROM documents WHERE contains(text, 'and')
-UNION ALL SELECT doc_id, 'answered', length(text) || ':' || text FROM documents WHERE NOT contains(text, 'and')""")
+SELECT doc_id, 'failed' AS outcome, NULL AS response, 3 AS attempts FROM documents WHERE contains(text, 'and')
+UNION ALL SELECT doc_id, 'answered', length(text) || ':' || text, 1 FROM documents WHERE NOT contains(text, 'and')""")
 def stream_generate(t):
+    """A stream over the documents, then what its ledger holds: only requests that failed three times are dead letters."""
     base = scratch_path(t.spark, "stream")
-    jobs.stream_generate(
-        stream(t, "documents").select("doc_id", F.col("text").alias("prompt")), refusing_model("and"), f"{base}/answered", f"{base}/failed",
-        f"{base}/checkpoint", batch_size=1,
-    ).awaitTermination()
-    parts = [t.spark.read.parquet(f"{base}/{o}").select("doc_id", F.lit(o).alias("outcome"), "response") for o in ("answered", "failed")]
+    model, paths = refusing_model("and"), (f"{base}/answered", f"{base}/failed")
+    prompts = stream(t, "documents").select("doc_id", F.col("text").alias("prompt"))
+    jobs.stream_generate(prompts, model, *paths, f"{base}/checkpoint", batch_size=1).awaitTermination()
+    jobs.finish_retries(t.spark, model, *paths, batch_size=1)
+    parts = [t.spark.read.parquet(f"{base}/{o}").select("doc_id", F.lit(o).alias("outcome"), "response", "attempts") for o in ("answered", "failed")]
     return parts[0].unionByName(parts[1])
 
 
@@ -48,12 +49,15 @@ def stream_records(t):
 
 
 @query("stream_progress", """
-SELECT conv_id AS request_id, count(*) AS n_items, count(f) AS n_available, count(*) = count(f) AS done FROM (
-  SELECT conv_id, CASE WHEN text LIKE '%.' THEN 'stop' END AS f FROM conversations) GROUP BY conv_id""")
+SELECT conv_id AS request_id, count(*) AS n_items, count(f) AS n_available, count(*) = count(f) AS done,
+  conv_id * 60 + max(turn) + 600 < (SELECT max(conv_id * 60 + turn) FROM conversations) - 60 AS closed FROM (
+  SELECT *, CASE WHEN text LIKE '%.' THEN 'stop' END AS f FROM conversations) GROUP BY conv_id""")
 def stream_progress(t):
+    """A conversation starts every minute; it is closed once ten minutes have passed without a turn."""
     base = scratch_path(t.spark, "stream")
     items = stream(t, "conversations").select(
-        F.col("conv_id").alias("request_id"), F.when(F.col("text").endswith("."), "stop").alias("finish_reason")
+        F.col("conv_id").alias("request_id"), F.when(F.col("text").endswith("."), "stop").alias("finish_reason"),
+        F.timestamp_seconds(F.col("conv_id") * 60 + F.col("turn")).alias("at"),
     )
     jobs.stream_progress(items, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return jobs.latest_progress(t.spark, f"{base}/out")

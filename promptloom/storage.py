@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -24,8 +27,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder on whatever file system it is; none where there is no folder."""
+    files, target = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -37,3 +57,14 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stored(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+    """``materialise`` for as long as the block runs; for jobs that go on and on and would fill the scratch space."""
+    path = scratch_path(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        drop_path(df.sparkSession, path)

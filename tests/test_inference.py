@@ -233,3 +233,42 @@ def test_scratch_follows_the_session_setting(spark):
 def test_doubles():
     assert list(echo_model()(pd.Series(["ab", "", None]))) == ["2:ab", None, None]
     assert json.loads(json_model(n=len)()(pd.Series(["abc"]))[0]) == {"n": 3}
+
+
+def test_an_index_is_read_by_cell_and_by_prefix(spark, tmp_path):
+    """A search opens the files of the cells it visits, an append those of the ids it may hold, and an unfinished append is never seen."""
+    path, words = str(tmp_path / "index"), [a * n + b for a in "abcdefgh" for b in "xyz" for n in (1, 2, 3)]
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id int, text string")
+    rows_of = retrieval.index_rows(df.filter("doc_id < 60"), "text", letter_encoder, ["doc_id"])
+    retrieval.save_index(rows_of, path, cell_rows=6, id_digits=2)
+    assert retrieval.append_to_index(df, path, "text", letter_encoder, ["doc_id"]) == len(words) - 60
+    index = retrieval.open_index(spark, path)
+    assert index.version == 1 and len(index.pivots) == 10 and index.count.sum() == len(words)
+    one = inference.embed(spark.createDataFrame([(1, "aaax")], "query_id int, text string"), letter_encoder, "text")
+    report = {}
+    got = retrieval.nearest(one, index, 2, report=report)
+    assert rows(got.select("rank", F.round("distance", 6))) == [(1, 0.0), (2, round(2 - 2 * 7 / 50**0.5, 6))]
+    assert report["pairs"] < len(words) / 2
+    read = index.cells().read([0])
+    assert re.search(r"PartitionFilters: \[[^\]]*_cell", plan(read))
+    files = lambda df: df.select(F.input_file_name()).distinct().count()
+    assert 0 < files(index.rows.filter("_cell = 0")) < files(index.rows)
+    # Rows of an append whose manifest is missing stay unseen, and the next append writes over them.
+    rows_of.write.parquet(f"{path}/rows/batch=2/_cell=0")
+    assert retrieval.load_index(spark, path).count() == len(words)
+    more = spark.createDataFrame([(1000, "new text")], "doc_id int, text string")
+    assert retrieval.append_to_index(more, path, "text", letter_encoder, ["doc_id"]) == 1
+    assert retrieval.load_index(spark, path).count() == len(words) + 1
+    assert retrieval.append_to_index(more, path, "text", letter_encoder, ["doc_id"]) == 0 and retrieval.open_index(spark, path).version == 2
+
+
+def test_retrieve_from_a_stored_index(spark, tmp_path):
+    path = str(tmp_path / "index")
+    df = spark.createDataFrame([(i, f"{c * 9}{i}") for i, c in enumerate("abcdefghij")], "doc_id int, text string")
+    retrieval.append_to_index(df, path, "text", letter_encoder, ["doc_id"])
+    prompts = spark.createDataFrame([(1, "dd"), (2, "jj")], "query_id int, prompt string")
+    got = retrieval.rag_prompts(prompts, retrieval.open_index(spark, path), letter_encoder, 1)
+    assert rows(got.select("query_id", "prompt")) == [(1, "ddddddddddd3"), (2, "jjjjjjjjjjj9")]
+    assert retrieval.open_index(spark, str(tmp_path / "none")) is None
+    with pytest.raises(FileNotFoundError):
+        retrieval.load_index(spark, str(tmp_path / "none"))

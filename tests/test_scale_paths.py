@@ -55,26 +55,36 @@ def brute(queries, index, k):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("options", [{}, {"block_rows": 17}, {"block_rows": 17, "prune_above": 0}, {"prune_above": 0}])
+@pytest.mark.parametrize("options", [{}, {"block_rows": 17}, {"block_rows": 17, "cell_rows": 12}, {"cell_rows": 3}])
 @pytest.mark.parametrize("copies", [0, 50])
-@pytest.mark.parametrize("mostly", [0.0, 1.0])
-def test_nearest_equals_brute_force(spark, monkeypatch, options, copies, mostly):
-    """``mostly`` 1 keeps to the cells, 0 gives them up for plain blocks."""
-    if mostly == 0.0 and "prune_above" not in options:
-        pytest.skip("no cells here")
-    monkeypatch.setattr(retrieval, "MOSTLY", mostly)
+def test_nearest_equals_brute_force(spark, options, copies):
     index, xdf = vectors(spark, 150, copies=copies)
     queries, qdf = vectors(spark, 40, seed=2)
     queries[:10] = index[0]
     qdf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(queries)], "id long, embedding array<float>")
-    got = retrieval.nearest(qdf, xdf.withColumnRenamed("id", "xid"), 4, "id", "xid", **options)
+    report = {}
+    got = retrieval.nearest(qdf, xdf.withColumnRenamed("id", "xid"), 4, "id", "xid", report=report, **options)
     assert rows(got.withColumn("distance", F.round("distance", 6))) == brute(queries, index, 4)
+    assert report["rounds"] == 1 or "cell_rows" in options
+
+
+def test_clusters_far_apart_are_not_compared(spark):
+    """Rounds end early and most pairs are never met where vectors form clusters."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 8)) * 50
+    index = (centres[rng.integers(0, 40, 2000)] + rng.normal(size=(2000, 8))).astype("float32")
+    queries = (centres[rng.integers(0, 40, 100)] + rng.normal(size=(100, 8))).astype("float32")
+    frame = lambda data, name: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], f"{name} long, embedding array<float>")
+    report = {}
+    got = retrieval.nearest(frame(queries, "id"), frame(index, "xid"), 4, "id", "xid", cell_rows=20, report=report)
+    assert rows(got.withColumn("distance", F.round("distance", 6))) == brute(queries, index, 4)
+    assert report["pairs"] < 2000 * 100 / 5
 
 
 def test_nearest_with_fewer_rows_than_k_and_null_vectors(spark):
     index = spark.createDataFrame([("a", [0.0, 0.0]), ("b", [3.0, 4.0]), ("c", None)], "split_id string, embedding array<float>")
     queries = spark.createDataFrame([(1, [0.0, 0.0]), (2, None)], "query_id int, embedding array<float>")
-    for options in ({}, {"prune_above": 0}):
+    for options in ({}, {"cell_rows": 1}):
         assert rows(retrieval.nearest(queries, index, 5, **options)) == [(1, 1, "a", 0.0), (1, 2, "b", 25.0)]
     empty = index.filter("split_id = 'z'")
     assert rows(retrieval.nearest(queries, empty, 5)) == []
@@ -90,7 +100,7 @@ def test_nearest_rejects_ragged_vectors(spark):
 def test_ties_go_to_the_lower_id(spark):
     index = spark.createDataFrame([(i, [1.0, 1.0]) for i in (9, 3, 7, 1)], "split_id int, embedding array<float>")
     queries = spark.createDataFrame([(1, [0.0, 0.0])], "query_id int, embedding array<float>")
-    for options in ({}, {"block_rows": 1}, {"prune_above": 0, "block_rows": 2}):
+    for options in ({}, {"block_rows": 1}, {"cell_rows": 1, "block_rows": 2}):
         assert [r[2] for r in rows(retrieval.nearest(queries, index, 2, **options), "rank")] == [1, 3]
 
 
@@ -101,7 +111,8 @@ def test_top_n_windows_cut_before_the_shuffle(spark):
 
 def test_library_rules():
     """No local checkpoints or cross joins; what reaches the driver is bounded and listed here."""
-    allowed = {"operators/retrieval.py": 2}  # pivots, and one row per pivot
+    # Pivots, a row per cell or per prefix of ids.
+    allowed = {"operators/cells.py": 4, "operators/retrieval.py": 3}
     for path in LIBRARY.rglob("*.py"):
         code, name = path.read_text(), str(path.relative_to(LIBRARY))
         if name.startswith("llm/"):

@@ -1,11 +1,13 @@
 """Files in and out, and streaming jobs with restarts."""
 
 import json
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from promptloom.operators import retrieval
 from promptloom.sources import datasets, pairs, tables
 from promptloom.streaming import jobs
 from promptloom.testing.doubles import letter_encoder, refusing_model
@@ -83,20 +85,60 @@ def source(spark, folder):
     return jobs.read_files(spark, folder, "doc_id int, text string")
 
 
-def test_stream_generate_restarts_without_repeats(spark, tmp_path, feed):
+def test_stream_generate_retries_over_batches(spark, tmp_path, feed):
+    """A request that fails is tried once by each of three batches, whatever the restarts; only then is it a dead letter."""
     folder, add = feed
     out, dead, check = (str(tmp_path / n) for n in ("ok", "dead", "check"))
 
     def run():
         prompts = source(spark, folder).withColumnRenamed("text", "prompt")
-        query = jobs.stream_generate(prompts, refusing_model("bad"), out, dead, check, batch_size=1)
-        query.awaitTermination()
-        return rows(spark.read.parquet(out).select("doc_id", "response")), rows(spark.read.parquet(dead).select("doc_id"))
+        jobs.stream_generate(prompts, refusing_model("bad"), out, dead, check, batch_size=1).awaitTermination()
+        return state()
+
+    def state():
+        failed = spark.read.parquet(dead).select("doc_id", "attempts", F.size("error"))
+        return rows(spark.read.parquet(out).select("doc_id", "response", "attempts")), rows(failed)
+
+    assert run() == ([(0, "1:a", 1), (2, "1:c", 1)], [])
+    assert run() == ([(0, "1:a", 1), (2, "1:c", 1)], [])  # nothing new came, so there was no batch
+    add("dd", start=3)
+    assert run() == ([(0, "1:a", 1), (2, "1:c", 1), (3, "2:dd", 1)], [])
+    add("bad too", start=4)
+    assert run()[1] == [(1, 3, 3)]
+    for _ in range(2):
+        jobs.finish_retries(spark, refusing_model("bad"), out, dead, batch_size=1)
+        assert state() == ([(0, "1:a", 1), (2, "1:c", 1), (3, "2:dd", 1)], [(1, 3, 3), (4, 3, 3)])
+    add("e", start=5)
+    assert run()[0][-1] == (5, "1:e", 1) and len(state()[1]) == 2
+
+
+def test_stream_generate_recovers_and_waits(spark, tmp_path, feed):
+    folder, add = feed
+    out, dead, check = (str(tmp_path / n) for n in ("ok", "dead", "check"))
+    prompts = lambda: source(spark, folder).withColumnRenamed("text", "prompt")
+    jobs.stream_generate(prompts(), refusing_model("bad"), out, dead, check, batch_size=1, wait_seconds=3600).awaitTermination()
+    add("f", start=3)
+    jobs.stream_generate(prompts(), refusing_model("none"), out, dead, check, batch_size=1, wait_seconds=3600).awaitTermination()
+    assert rows(spark.read.parquet(out).select("doc_id")) == [(0,), (2,), (3,)]  # the failed one is not due yet
+    jobs.finish_retries(spark, refusing_model("none"), out, dead, batch_size=1)
+    assert rows(spark.read.parquet(out).filter("doc_id = 1").select("response", "attempts")) == [("3:bad", 2)]
+    assert spark.read.schema("doc_id int").parquet(dead).isEmpty()
+
 
-    assert run() == ([(0, "1:a"), (2, "1:c")], [(1,)])
-    assert run() == ([(0, "1:a"), (2, "1:c")], [(1,)])
+def test_a_replayed_batch_replaces_its_rows(spark, tmp_path, feed):
+    folder, add = feed
+    out, dead, check = (str(tmp_path / n) for n in ("ok", "dead", "check"))
+    prompts = lambda: source(spark, folder).withColumnRenamed("text", "prompt")
+    run = lambda: jobs.stream_generate(prompts(), refusing_model("bad"), out, dead, check, batch_size=1).awaitTermination()
+    run()
     add("dd", start=3)
-    assert run() == ([(0, "1:a"), (2, "1:c"), (3, "2:dd")], [(1,)])
+    run()
+    # Forget that the second batch was finished: it runs again, from the ledger of the first.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "check" / "commits" / name).unlink(missing_ok=True)
+    run()
+    assert rows(spark.read.parquet(out).select("doc_id")) == [(0,), (2,), (3,)]
+    assert rows(jobs._waiting(spark, dead, 1).select("doc_id", "_attempts")) == [(1, 2)]
 
 
 def test_stream_index_and_records(spark, tmp_path, feed):
@@ -104,13 +146,31 @@ def test_stream_index_and_records(spark, tmp_path, feed):
     for _ in range(2):
         jobs.stream_index(source(spark, folder), letter_encoder, str(tmp_path / "i"), str(tmp_path / "ci")).awaitTermination()
         jobs.stream_records(source(spark, folder), str(tmp_path / "r"), str(tmp_path / "cr"), ["text"]).awaitTermination()
-    assert rows(spark.read.parquet(str(tmp_path / "i")).select("split")) == [("a",), ("bad",), ("c",)]
+    assert rows(retrieval.load_index(spark, str(tmp_path / "i")).select("split")) == [("a",), ("bad",), ("c",)]
     assert rows(spark.read.json(str(tmp_path / "r"))) == [("a",), ("bad",), ("c",)]
 
 
-def test_stream_progress_keeps_the_latest_state(spark, tmp_path, feed):
-    folder, add = feed
-    for _ in range(2):
-        items = source(spark, folder).select(F.lit(1).alias("request_id"), F.when(F.col("text") != "bad", "stop").alias("finish_reason"))
-        jobs.stream_progress(items, str(tmp_path / "p"), str(tmp_path / "cp")).awaitTermination()
-    assert rows(jobs.latest_progress(spark, str(tmp_path / "p"))) == [(1, 3, 2, False)]
+def test_stream_progress_ends(spark, tmp_path):
+    """State lasts as long as a request is alive; late items are dropped, and a request that goes on later is added up."""
+    folder, out, check = (str(tmp_path / n) for n in ("items", "out", "check"))
+    schema = "request_id string, finish_reason string, at timestamp"
+
+    def run(*items):
+        """Items are (request, finish, minute)."""
+        values = [(r, f, datetime(2024, 1, 1) + timedelta(minutes=m)) for r, f, m in items]
+        spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(folder)
+        query = jobs.stream_progress(jobs.read_files(spark, folder, schema), out, check)
+        query.awaitTermination()
+        kept = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+        return kept, rows(jobs.latest_progress(spark, out))
+
+    assert run(("a", "stop", 0), ("a", None, 1), ("b", "stop", 0), (None, "stop", 1), ("x", "stop", 0)) == (
+        3, [("a", 2, 1, False, False), ("b", 1, 1, True, False), ("x", 1, 1, True, False)])
+    # Time moves on: the first three are closed and forgotten.
+    kept, got = run(("c", None, 30))
+    assert kept == 1 and got == [("a", 2, 1, False, True), ("b", 1, 1, True, True), ("c", 1, 0, False, False), ("x", 1, 1, True, True)]
+    # A late item of a closed request changes nothing; one in time opens an episode that counts on.
+    kept, got = run(("b", None, 5), ("a", "stop", 31))
+    assert kept == 2 and got == [("a", 3, 2, False, False), ("b", 1, 1, True, True), ("c", 1, 0, False, False), ("x", 1, 1, True, True)]
+    kept, got = run(("d", "stop", 90))
+    assert kept == 1 and [r[4] for r in got] == [True, True, True, False, True]
