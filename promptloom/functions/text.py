@@ -6,9 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promptloom.functions import sql
+
 FENCE = "```"
-# A select, or the head of a common table expression; the word "with" alone may be prose.
-_STATEMENT = r'(?is)\b(?:select\b|with\s+(?:recursive\s+)?[\w"]+(?:\s*\([^)]*\))?\s+as\s*\().*$'
+# The head of a common table expression (the word "with" alone may be prose), or a select.
+_STATEMENT = (
+    r'(?s)(?i:\bwith\s+(?:recursive\s+)?["`]?\w+["`]?(?:\s*\([^)]*\))?\s+as\s*\().*$|\bSELECT\b.*$'
+    r"|(?im:(?:^|(?<=[:;(]))[ \t(]*+(?=select\b))(?s:.*)\z|(?i:\bselect\b(?=.*?\bfrom\b)).*$"
+)
+
+
+# What may be a statement behind another one.
+_MORE = r"(?i)\b(?:select|with)\b"
 
 
 def ascii_clean(value: Column, dtype: T.DataType) -> Column:
@@ -37,27 +46,38 @@ def strip_fence(text: Column) -> Column:
 
 
 def extract_sql(text: Column) -> Column:
-    """The SQL inside model text: from the first ``select`` or common table expression after any code fence,
-    without the prose that follows the last ``;``. Null when there is neither.
+    """The SQL inside model text: from the first statement after any code fence, without the prose that follows the last ``;`` of its code. A text that
+    is a statement comes back whole. Null when there is none.
+
+    A statement begins with a common table expression or with ``select``: at the start of the text, of a line or after ``:``, ``;`` or a parenthesis, or
+    anywhere in capitals, or within prose if a ``from`` follows. Semicolons, quotes and words inside literals, quoted names and comments do not count.
     """
     body = F.regexp_replace(F.regexp_replace(text, r"^\s+", ""), r"\s+$", "")
     fence = F.locate(FENCE, body)
     # What a fence encloses ends where it closes.
     body = F.when(fence > 0, F.substring_index(F.substring(body, fence + len(FENCE), F.length(body)), FENCE, 1)).otherwise(body)
     body = F.regexp_replace(body, r"\s+$", "")
-    sql = F.nullif(F.regexp_extract(body, _STATEMENT, 0), F.lit(""))
-    closed = sql.endswith(";")
-    inner = F.regexp_replace(sql, r";+$", "")
-    tail = F.substring_index(inner, ";", -1)
-    prose = inner.contains(";") & ~F.lower(tail).rlike("select|with")
-    cut = F.when(prose, F.substring(inner, F.lit(1), F.length(inner) - F.length(tail))).otherwise(inner)
-    return F.when(closed & ~cut.endswith(";"), F.concat(cut, F.lit(";"))).otherwise(cut)
-
-
-def terminate_sql(sql: Column) -> Column:
-    """Trim and make sure the statement ends with ``;``."""
-    trimmed = F.regexp_replace(F.regexp_replace(sql, r"^\s+", ""), r"\s+$", "")
-    return F.when(trimmed.endswith(";"), trimmed).otherwise(F.concat(trimmed, F.lit(";")))
+    statement = F.nullif(F.regexp_replace(F.regexp_extract(body, _STATEMENT, 0), r"^\s+", ""), F.lit(""))
+
+    def cut(s: Column) -> Column:
+        """``s`` is (sql, code), the text and its masked form of the same length."""
+        inner = F.regexp_replace(s["code"], r"[;\s]+$", "")
+        tail = F.substring_index(inner, ";", -1)
+        prose = inner.contains(";") & ~tail.rlike(_MORE)
+        kept = F.substring(s["sql"], F.lit(1), F.when(prose, F.length(inner) - F.length(tail)).otherwise(F.length(inner)))
+        # Comments behind the last code stay, unless prose was cut or a semicolon closes the code before them.
+        closed = s["code"].rlike(r";\s*$")
+        return F.when(closed & ~prose, F.concat(kept, F.lit(";"))).when(prose, kept).otherwise(s["sql"])
+
+    found = F.transform(F.array(F.struct(statement.alias("sql"), sql.masked(statement).alias("code"))), cut)
+    return F.when(statement.isNotNull(), found[0])
+
+
+def terminate_sql(query: Column) -> Column:
+    """Trim and make sure the statement ends with ``;``: that of its code, be there comments behind it or not."""
+    trimmed = F.regexp_replace(F.regexp_replace(query, r"^\s+", ""), r"\s+$", "")
+    mark = F.when(sql.ends_in_line_comment(trimmed), "\n;").otherwise(";")
+    return F.when(sql.ends_with_semicolon(trimmed), trimmed).otherwise(F.concat(trimmed, mark))
 
 
 def token_budget(prompt: Column, max_new_tokens: int = 0) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promptloom.functions.sql import code_tokens, equalities, scope
+
 # The two month formats and the length below which a literal gets no suggestion.
 YEAR_MONTH = r"^\d{4}-\d{2}$"
 YEARMONTH = r"^\d{6}$"
@@ -66,18 +68,13 @@ def column_tables(profile: DataFrame) -> DataFrame:
     )
 
 
-def _predicates(sql: Column) -> Column:
-    """Array of (column_name, literal) for each distinct ``column = 'literal'`` in a query text."""
-    whole = F.regexp_extract_all(sql, F.lit(r"([A-Za-z_][A-Za-z0-9_]*)\s*=\s*'([^']*)'"), F.lit(0))
-    return F.transform(F.array_distinct(whole), lambda p: F.struct(
-        F.upper(F.regexp_extract(p, r"^([A-Za-z_][A-Za-z0-9_]*)", 1)).alias("column_name"),
-        F.regexp_extract(p, r"'([^']*)'$", 1).alias("literal"),
-    ))
-
-
 def unknown_columns(df: DataFrame, tables: Mapping[str, Sequence[str]], query_id: str, sql: str) -> DataFrame:
-    """Predicates on a column that none of the queried tables has, beside the first of these, with ``suggested_column``: the
-    first other column of the same query that exists and is compared to a value containing the literal.
+    """Predicates ``column = 'literal'`` on a column that none of the queried tables has, with ``suggested_column``: the first other column of the same
+    query that exists and is compared to a value containing the literal.
+
+    Tables are those of FROM lists and joins, anywhere in the query; words in literals and comments are none of them. A column behind a table's name
+    or alias is looked for in that table alone, and ``table_name`` is that table, else the first one read. What a query reads from derived tables, table functions or
+    common table expressions cannot be told, so there only columns behind the alias of a table are judged. A table that is not known has no columns.
 
     ``tables`` maps table names to column names. It is schema metadata, known when the plan is made, so it
     becomes a literal map and the check needs neither join nor shuffle.
@@ -85,20 +82,29 @@ def unknown_columns(df: DataFrame, tables: Mapping[str, Sequence[str]], query_id
     columns = F.create_map(*[
         part for name, cols in tables.items() for part in (F.lit(name.upper()), F.array(*[F.lit(c.upper()) for c in cols]))
     ])
-    read = F.transform(F.regexp_extract_all(F.col(sql), F.lit(r"(?i)\b(?:from|join)\s+([A-Za-z_][A-Za-z0-9_]*)"), F.lit(1)), F.upper)
-    rows = df.select(query_id, F.coalesce(F.get(read, F.lit(0)), F.lit("")).alias("table_name"), read.alias("_read"), _predicates(F.col(sql)).alias("_ps")).withColumn(
-        "_cols", F.flatten(F.transform("_read", lambda t: F.coalesce(F.try_element_at(columns, t), F.array().cast("array<string>"))))
-    )
-    bad = rows.withColumn("_b", F.explode(F.filter("_ps", lambda p: ~F.array_contains(F.col("_cols"), p["column_name"]))))
+    none = F.array().cast("array<string>")
+    held = lambda name: F.coalesce(F.try_element_at(columns, name), none)
+    rows = df.select(query_id, code_tokens(F.col(sql)).alias("_code")).select(query_id, scope(F.col("_code")).alias("_scope"), equalities(F.col("_code")).alias("_ps"))
+    rows = rows.withColumn("_all", F.flatten(F.transform("_scope.tables", lambda t: held(t["name"]))))
+
+    def judged(p: Column) -> Column:
+        behind = F.get(F.filter("_scope.tables", lambda t: (t["alias"] == p["qualifier"]) | (t["name"] == p["qualifier"])), F.lit(0))["name"]
+        first = F.coalesce(F.get(F.col("_scope.tables"), F.lit(0))["name"], F.lit(""))
+        plain = p["qualifier"].isNull()
+        return F.struct(
+            p["column_name"].alias("column_name"), p["literal"].alias("literal"), F.when(plain, first).otherwise(behind).alias("table_name"),
+            F.when(plain & ~F.col("_scope.open"), F.array_contains(F.col("_all"), p["column_name"]))
+            .when(~plain & behind.isNotNull(), F.array_contains(held(behind), p["column_name"])).alias("known"),
+        )
+
+    rows = rows.select(query_id, F.array_distinct(F.transform("_ps", judged)).alias("_ps"))
+    bad = rows.withColumn("_b", F.explode(F.filter("_ps", lambda p: ~p["known"])))
     fitting = F.filter(
         F.col("_ps"),
-        lambda p: F.array_contains(F.col("_cols"), p["column_name"])
-        & (F.length(F.col("_b.literal")) >= MIN_LITERAL)
-        & F.contains(F.upper(p["literal"]), F.upper(F.col("_b.literal"))),
+        lambda p: p["known"] & (F.length(F.col("_b.literal")) >= MIN_LITERAL) & F.contains(F.upper(p["literal"]), F.upper(F.col("_b.literal"))),
     )
     return bad.select(
-        query_id, "table_name", F.col("_b.column_name"), F.col("_b.literal"),
-        F.array_min(F.transform(fitting, lambda p: p["column_name"])).alias("suggested_column"),
+        query_id, "_b.table_name", "_b.column_name", "_b.literal", F.array_min(F.transform(fitting, lambda p: p["column_name"])).alias("suggested_column"),
     )
 
 

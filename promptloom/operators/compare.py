@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -21,6 +22,8 @@ CASE_SCHEMA = (
 )
 
 ROWS_PER_CHUNK = 50
+CASES_AT_ONCE = 4
+FAILURES = (PySparkException, Py4JJavaError)
 Judge = Callable[[DataFrame], DataFrame]
 
 
@@ -32,20 +35,41 @@ class SqlCase:
 
 
 def _comparable(df: DataFrame, digits: int | None) -> DataFrame:
-    """Columns by position; floats rounded by option, and whole-number types made one type."""
+    """Columns by position, as results may repeat a name; floats rounded by option, and whole-number types made one type."""
+    df = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     out = []
-    for i, f in enumerate(df.schema):
-        value = F.col(f"`{f.name}`")
+    for f in df.schema:
+        value = F.col(f.name)
         if isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
             value = value.cast("double")
             # Adding 0.0 turns -0.0 into 0.0.
             value = F.round(value, digits) + 0.0 if digits is not None else value
         elif isinstance(f.dataType, T.IntegralType):
             value = value.cast("long")
-        out.append(value.alias(f"c{i}"))
+        out.append(value.alias(f.name))
     return df.select(*out)
 
 
+def _distinct_names(names: Sequence[str], taken: Sequence[str] = ()) -> list[str]:
+    """The names, numbered from their second occurrence on: a, b, a_2."""
+    out: list[str] = []
+    for name in names:
+        n, new = 1, name
+        while new.lower() in {x.lower() for x in (*out, *taken)}:
+            n, new = n + 1, f"{name}_{n + 1}"
+        out.append(new)
+    return out
+
+
+def fingerprint(df: DataFrame, digits: int | None = 6) -> DataFrame:
+    """One row (n, h1, h2) that does not depend on the order of rows: their number and the sums of two 64-bit hashes of each, as compared here."""
+    rows = _comparable(df, digits)
+    # Maps have no hash of their own.
+    values = [F.to_json(F.col(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in rows.schema]
+    total = lambda *v: F.coalesce(F.sum(F.xxhash64(*v).cast("decimal(20,0)")).cast("string"), F.lit("0"))
+    return rows.agg(F.count(F.lit(1)).alias("n"), total(*values).alias("h1"), total(F.lit(1), *values).alias("h2"))
+
+
 def same_shape(a: DataFrame, b: DataFrame) -> bool:
     """Equal column names, ignoring case, and comparable types, in order."""
     names = [[c.lower() for c in x.columns] for x in (a, b)]
@@ -54,7 +78,7 @@ def same_shape(a: DataFrame, b: DataFrame) -> bool:
 
 
 def result_diff(a: DataFrame, b: DataFrame, digits: int | None = 6, order_by: Sequence[str] = ()) -> DataFrame:
-    """Rows whose number of occurrences differs: the columns of ``a`` plus ``n_left`` and ``n_right``.
+    """Rows whose number of occurrences differs: the columns of ``a`` plus ``n_left`` and ``n_right``. A name that comes again is numbered.
 
     Multisets by default; with ``order_by`` the position in that order counts too. One union and one
     aggregation, so equal rows meet after map-side counting whatever their frequency.
@@ -69,7 +93,7 @@ def result_diff(a: DataFrame, b: DataFrame, digits: int | None = 6, order_by: Se
     both = left.withColumns({"_l": F.lit(1), "_r": F.lit(0)}).union(right.withColumns({"_l": F.lit(0), "_r": F.lit(1)}))
     counts = both.groupBy(*left.columns).agg(F.sum("_l").alias("n_left"), F.sum("_r").alias("n_right"))
     differing = counts.filter("n_left <> n_right")
-    return differing.select(*[F.col(c).alias(n) for c, n in zip(left.columns, names)], "n_left", "n_right")
+    return differing.select(*[F.col(c).alias(n) for c, n in zip(left.columns, _distinct_names(names, ("n_left", "n_right")))], "n_left", "n_right")
 
 
 def results_equal(a: DataFrame, b: DataFrame, digits: int | None = 6, order_by: Sequence[str] = ()) -> bool:
@@ -80,35 +104,49 @@ def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: in
                        judge: Judge | None = None) -> DataFrame:
     """Run each gold/generated pair on the session's tables and compare their whole results.
 
-    The list of cases is the caller's; per case only two numbers reach the driver. A query that does not
+    The list of cases is the caller's; per case only its fingerprints and a count reach the driver. Fingerprints of all cases are one job, and only
+    results whose fingerprints differ are compared row by row. A query that does not
     run, or is a command, gives status ``error`` and confidence 0. Results that differ have confidence 0.5, unless ``judge`` is
     given: it takes (case_no, chunk_no, question, gold_query, generated_query, gold_result, generated_result) and adds
     equivalent, confidence, explanation and differences. The result texts are rows that only one side has, all of them, in
     chunks of ``ROWS_PER_CHUNK`` of each side; a case is equivalent if every chunk is, as confident as its least confident chunk, explained
     by its first deciding chunk, and keeps the differences of all. Results whose columns differ are judged too.
     """
-    rows, open_cases = [], []
+    frames, failures = {}, {}
     for no, case in enumerate(cases, start=1):
-        status, equal, confidence, differing = "success", False, 0.5, None
         try:
-            gold, made = (spark.sql(_only_query(q)) for q in (case.gold_query, case.generated_query))
-            alike = same_shape(gold, made)
-            explanation = "results have different columns"
-            if alike or judge is not None:
-                lines = materialise(_differing_lines(gold, made, digits), "difference")
-                total, only_gold = lines.agg(F.count("*"), F.count_if(F.col("n_left") > F.col("n_right"))).first()
-                if alike:
-                    differing, equal = total, total == 0
-                    explanation = "results are identical" if equal else "results differ"
-                if not equal and judge is not None:
-                    columns = None if alike else (gold.columns, made.columns)
-                    open_cases.append(_evidence(lines, no, only_gold, total - only_gold, columns))
-            confidence = 1.0 if equal else 0.5
-        except (PySparkException, Py4JJavaError) as failure:
-            status, confidence = "error", 0.0
-            explanation = getattr(failure, "getCondition", lambda: None)() or type(failure).__name__
-        rows.append((no, case.question, case.gold_query, case.generated_query, status, equal, confidence,
-                     explanation, differing))
+            frames[no] = tuple(spark.sql(_only_query(q)) for q in (case.gold_query, case.generated_query))
+        except FAILURES as failure:
+            failures[no] = failure
+    alike = {no for no, (gold, made) in frames.items() if same_shape(gold, made)}
+    prints = _together({(no, side): fingerprint(frames[no][side], digits) for no in alike for side in (0, 1)}, failures)
+    equal = {no for no in alike if no not in failures and prints[no, 0] == prints[no, 1]}
+    unequal = [no for no in frames if no not in equal and no not in failures]
+    totals, open_cases = {}, []
+    if judge is None:
+        found = _together({(no, 0): result_diff(*frames[no], digits).agg(F.count(F.lit(1)).alias("n")) for no in unequal if no in alike}, failures)
+        totals = {no: n for (no, _), (n,) in found.items()}
+    else:
+        with ThreadPoolExecutor(CASES_AT_ONCE) as pool:
+            lines = {no: pool.submit(lambda no: materialise(_differing_lines(*frames[no], digits), "difference"), no) for no in unequal}
+        for no, future in lines.items():
+            try:
+                total, only_gold = future.result().agg(F.count("*"), F.count_if(F.col("n_left") > F.col("n_right"))).first()
+            except FAILURES as failure:
+                failures[no] = failure
+                continue
+            totals |= {no: total} if no in alike else {}
+            open_cases.append(_evidence(future.result(), no, only_gold, total - only_gold, None if no in alike else tuple(f.columns for f in frames[no])))
+    rows = []
+    for no, case in enumerate(cases, start=1):
+        if no in failures:
+            status, confidence, said = "error", 0.0, getattr(failures[no], "getCondition", lambda: None)() or type(failures[no]).__name__
+        elif no in equal:
+            status, confidence, said = "success", 1.0, "results are identical"
+        else:
+            status, confidence, said = "success", 0.5, "results differ" if no in alike else "results have different columns"
+        rows.append((no, case.question, case.gold_query, case.generated_query, status, no in equal, confidence, said,
+                     0 if no in equal else None if no in failures else totals.get(no)))
     results = spark.createDataFrame(rows, CASE_SCHEMA).withColumn("differences", F.array().cast("array<string>"))
     if not open_cases:
         return results
@@ -127,6 +165,23 @@ def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: in
     }).select(*results.columns)
 
 
+def _together(frames: dict[tuple[int, int], DataFrame], failures: dict) -> dict[tuple[int, int], tuple]:
+    """The only row of each of many frames of the same columns, by one job. Where that fails, each runs by itself, and a case that fails goes to ``failures``."""
+    if not frames:
+        return {}
+    named = [f.select(F.lit(no).alias("no"), F.lit(side).alias("side"), "*") for (no, side), f in frames.items()]
+    try:
+        return {(r[0], r[1]): tuple(r)[2:] for r in reduce(DataFrame.union, named).collect()}  # a row per frame
+    except FAILURES:
+        out = {}
+        for (no, side), frame in frames.items():
+            try:
+                out[no, side] = tuple(frame.first()) if no not in failures else ()
+            except FAILURES as failure:
+                failures[no] = failure
+        return out
+
+
 def _differing_lines(gold: DataFrame, made: DataFrame, digits: int | None) -> DataFrame:
     """(line, n_left, n_right): the rows as JSON whose counts differ. Columns meet by position where number and types agree, else whole lines meet."""
     types = [[f.dataType for f in _comparable(x, None).schema] for x in (gold, made)]
@@ -134,7 +189,7 @@ def _differing_lines(gold: DataFrame, made: DataFrame, digits: int | None) -> Da
         diff = result_diff(gold, made, digits)
         values = [c for c in diff.columns if c not in ("n_left", "n_right")]
         return diff.select(F.to_json(F.struct(*values)).alias("line"), "n_left", "n_right")
-    left, right = (x.select(F.to_json(F.struct("*")).alias("line")) for x in (gold, made))
+    left, right = (x.toDF(*_distinct_names(x.columns)).select(F.to_json(F.struct("*")).alias("line")) for x in (gold, made))
     return result_diff(left, right, digits)
 
 

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.functions.text import similarity
+from promptloom.functions.sql import is_blank
+from promptloom.functions.text import similarity, terminate_sql
 from promptloom.operators.positions import assign_batches
 from promptloom.storage import materialise
 
@@ -259,14 +260,17 @@ def failure_parts(df: DataFrame, order_by: str) -> DataFrame:
     ).alias("basic_stats"), F.col("examples").alias("sample_queries"))
 
 
+# The messages of the validity check.
+NO_QUERY, EMPTY_QUERY = "No SQL query provided", "Empty SQL query"
+VALID, INVALID = "Query is valid and can be executed", "Query is invalid: "
+
+
 def sql_validity(sql: Column) -> Column:
-    """Struct (is_valid, error, explanation, sql) of the checks that need no database."""
-    trimmed = F.trim(F.regexp_replace(sql, r"^\s+|\s+$", ""))
-    error = F.when(F.coalesce(sql, F.lit("")) == "", "No SQL query provided").when(trimmed == "", "Empty SQL query")
+    """Struct (is_valid, error, explanation, sql) of the checks that need no database. A query of comments alone is empty."""
+    error = F.when(F.coalesce(sql, F.lit("")) == "", NO_QUERY).when(is_blank(sql), EMPTY_QUERY)
     return F.struct(
         error.isNull().alias("is_valid"),
         error.alias("error"),
-        F.when(error.isNull(), "Query is valid and can be executed")
-        .otherwise(F.concat(F.lit("Query is invalid: "), error)).alias("explanation"),
-        F.when(error.isNull(), F.when(trimmed.endswith(";"), trimmed).otherwise(F.concat(trimmed, F.lit(";")))).alias("sql"),
+        F.when(error.isNull(), VALID).otherwise(F.concat(F.lit(INVALID), error)).alias("explanation"),
+        F.when(error.isNull(), terminate_sql(sql)).alias("sql"),
     )

@@ -149,8 +149,8 @@ def sql_questions(t):
 
 
 @query("topic_gap_questions", f"""
-SELECT batch, CAST(i AS INT) AS pair_no, 'About ' || string_split(topics, ',')[1] || ' ' || i AS question, string_split(topics, ',')[1] AS covered_topics FROM (
-  SELECT batch, topics, unnest(range(num_questions - 1)) AS i FROM ({ORACLES["topic_batches"]}))""")
+SELECT batch, CAST(i AS INT) AS pair_no, 'About ' || string_split(topics, ',')[1] || ' ' || i AS question, string_split(topics, ',')[1] AS covered_topics, gold AS gold_topics, generated AS generated_topics FROM (
+  SELECT batch, topics, gold, generated, unnest(range(num_questions - 1)) AS i FROM ({ORACLES["topic_batches"]}))""")
 def topic_gap_questions(t):
     """The double writes one question less than asked for, all on the first topic of the batch."""
     def first(p):
@@ -162,7 +162,7 @@ def topic_gap_questions(t):
     model = json_model(
         questions=lambda p: [f"About {first(p)} {i}" for i in range(wanted(p) - 1)], topics_covered=lambda p: [first(p)] * wanted(p)
     )
-    return ex.fill_topic_gaps(retrieval.coverage(t), model, "documents(text)", "", batch_size=64).drop("gold_topics", "generated_topics")
+    return ex.fill_topic_gaps(retrieval.coverage(t), model, "documents(text)", "", batch_size=64)
 
 
 @query("analyse_topics", """

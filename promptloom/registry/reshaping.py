@@ -115,16 +115,20 @@ def strip_fence(t):
 
 
 @query("extract_sql", """
-SELECT p_partkey, CASE p_size % 5
+SELECT p_partkey, CASE p_size % 8
     WHEN 0 THEN 'SELECT ' || p_size || ' FROM part;' WHEN 1 THEN 'with t as (select 1) select ' || p_size || ' from t;'
-    WHEN 2 THEN 'SELECT ' || p_size WHEN 3 THEN 'SELECT 1; SELECT ' || p_size || ';' END AS sql FROM part""")
+    WHEN 2 THEN 'SELECT ' || p_size WHEN 3 THEN 'SELECT 1; SELECT ' || p_size || ';' WHEN 4 THEN 'SELECT ''a;' || p_size || ''' AS x'
+    WHEN 5 THEN 'select "a;b" from t where x = ''it''''s ' || p_size || ''';' END AS sql FROM part""")
 def extract_sql(t):
-    size, kind = F.col("p_size").cast("string"), F.col("p_size") % 5
+    size, kind = F.col("p_size").cast("string"), F.col("p_size") % 8
     answer = (
         F.when(kind == 0, F.concat(F.lit("Here you go:\n```sql\nSELECT "), size, F.lit(" FROM part;\n```\nDone.")))
         .when(kind == 1, F.concat(F.lit("The query is with t as (select 1) select "), size, F.lit(" from t; It is short.")))
         .when(kind == 2, F.concat(F.lit("  SELECT "), size, F.lit("  ")))
         .when(kind == 3, F.concat(F.lit("SELECT 1; SELECT "), size, F.lit(";;")))
+        .when(kind == 4, F.concat(F.lit("SELECT 'a;"), size, F.lit("' AS x")))
+        .when(kind == 5, F.concat(F.lit("That's it: select \"a;b\" from t where x = 'it''s "), size, F.lit("'; isn't it; bye")))
+        .when(kind == 6, "I would choose rows with a filter, or select some.")
         .otherwise("I cannot answer that.")
     )
     return t.part.select("p_partkey", txt.extract_sql(answer).alias("sql"))

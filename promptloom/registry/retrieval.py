@@ -131,12 +131,18 @@ def underrepresented_topics(t):
     return evaluate.underrepresented_topics(coverage(t))
 
 
-@query("topic_batches", f"""
-SELECT batch, string_agg(topic, ',' ORDER BY o, topic) AS topics, CAST(count(*) * 2 AS BIGINT) AS num_questions FROM (
-  SELECT *, CAST(floor((row_number() OVER (ORDER BY o, topic) - 1) / 3) AS BIGINT) AS batch FROM (
-    SELECT topic, 0 AS o FROM ({_MISSING}) UNION ALL SELECT topic, 1 FROM ({_UNDER}))) GROUP BY batch""")
+# Topics with their counts on both sides, missing ones (o = 0) before under-represented ones.
+_GAPS = f"""SELECT topic, 0 AS o, gold_count AS n, 0 AS m FROM ({_MISSING})
+  UNION ALL SELECT g.topic, 1, g.n, m.n FROM ({_GOLD}) g JOIN ({_MADE}) m ON g.topic = m.topic WHERE g.n > 1.5 * m.n"""
+_BATCHES = f"""
+SELECT batch, string_agg(topic, ',' ORDER BY o, topic) AS topics, CAST(count(*) * 2 AS BIGINT) AS num_questions,
+  string_agg(topic || ': ' || n, ', ' ORDER BY o, topic) AS gold, string_agg(topic || ': ' || m, ', ' ORDER BY o, topic) AS generated FROM (
+  SELECT *, CAST(floor((row_number() OVER (ORDER BY o, topic) - 1) / 3) AS BIGINT) AS batch FROM ({_GAPS})) GROUP BY batch"""
+
+
+@query("topic_batches", _BATCHES)
 def topic_batches(t):
-    return evaluate.topic_batches(coverage(t)).select("batch", "topics", "num_questions")
+    return evaluate.topic_batches(coverage(t))
 
 
 # Result comparison
@@ -153,6 +159,8 @@ CASES = [
     compare.SqlCase("Line count", "SELECT count(*) AS n FROM lineitem", "SELECT count(*) AS n, 1 AS extra FROM lineitem"),
     compare.SqlCase("Line items by flag", "SELECT l_returnflag, l_shipdate, l_quantity FROM lineitem",
                     "SELECT l_returnflag, l_shipdate, l_quantity FROM lineitem ORDER BY l_orderkey"),
+    compare.SqlCase("Neighbours in a region", "SELECT a.n_name, b.n_name FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey",
+                    "SELECT x.n_name, y.n_name FROM nation y, nation x WHERE x.n_regionkey = y.n_regionkey"),
     compare.SqlCase("Unknown column", "SELECT n_name FROM nation", "SELECT nation_name FROM nation"),
     compare.SqlCase("Not SQL", "SELECT r_name FROM region", "SELEC r_name FROM region"),
 ]
@@ -228,16 +236,23 @@ def sql_eval_stats(t):
     return stats.withColumns({c: F.round(c, 6) for c in ("average_confidence", "equivalence_rate")})
 
 
+# Names of Spark's own error conditions, for the queries that do not run.
+_CONDITIONS = {"Unknown column": "UNRESOLVED_COLUMN.WITH_SUGGESTION", "Not SQL": "PARSE_SYNTAX_ERROR"}
+_TEXTS = " UNION ALL ".join(
+    f"SELECT {i} AS case_no, {q(_CONDITIONS.get(c.question, ''))} AS condition, {q(c.gold_query)} AS gold, {q(c.generated_query)} AS made" for i, c in enumerate(CASES, 1))
+
+
 @query("sql_eval_report", f"""
 SELECT 0 AS line_no, printf('# SQL query evaluation' || chr(10) || '- Test cases: %d' || chr(10) || '- Equivalent: %d (%.1f%%)' || chr(10)
   || '- Not equivalent: %d (%.1f%%)' || chr(10) || '- Errors: %d (%.1f%%)' || chr(10) || '- Average confidence: %.2f',
   total, equivalent, 100 * equivalent / total, non_equivalent, 100 * non_equivalent / total, execution_errors, 100 * execution_errors / total,
-  average_confidence) AS line FROM ({_STATS})
-UNION ALL SELECT case_no, printf('## Case %d: ' || question || chr(10) || 'Status: ' || status || chr(10) || 'Equivalent: ' || equivalent || chr(10) || 'Confidence: %.2f',
-  case_no, confidence) FROM ({_CASES})""")
+  round(average_confidence, 2)) AS line FROM ({_STATS})
+UNION ALL SELECT case_no, printf('## Case %d: ', case_no) || question || chr(10) || 'Status: ' || status || chr(10) || 'Equivalent: ' || equivalent
+  || printf(chr(10) || 'Confidence: %.2f', confidence) || chr(10) || 'Explanation: ' || CASE WHEN status = 'error' THEN condition WHEN equivalent THEN 'results are identical'
+  WHEN n_different IS NULL THEN 'results have different columns' ELSE 'results differ' END
+  || chr(10) || 'Gold:' || chr(10) || gold || chr(10) || 'Generated:' || chr(10) || made FROM ({_CASES}) JOIN ({_TEXTS}) USING (case_no)""")
 def sql_eval_report(t):
-    """The oracle covers the report up to each case's explanation and query texts."""
-    return compare.sql_pair_report(case_results(t)).withColumn("line", F.regexp_replace("line", r"(?s)\nExplanation: .*$", ""))
+    return compare.sql_pair_report(case_results(t))
 
 
 # SQL over tables
@@ -268,8 +283,16 @@ for _name, _sql in _SQL_CASES.items():
 
 # Catalog
 
-_PROFILED = ["nation", "customer", "part", "orders", "lineitem"]
 _TYPES = {
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+    "events": {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"},
+    "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
+    "embeddings": {"vec_id": "bigint", "embedding": "array<float>", "label": "int"},
+    "pages": {"page_id": "bigint", "url": "string", "html": "string"},
+    "benchmark": {"item_id": "bigint", "text": "string"},
+    "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+    "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
     "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
     "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"},
     "part": {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int", "p_retailprice": "double"},
@@ -280,13 +303,14 @@ _TYPES = {
                  "l_linestatus": "string", "l_shipdate": "timestamp_ntz"},
 }
 _PROFILE = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {no} AS column_no, '{ty}' AS data_type, CAST(min({c}){' + 0.0' if ty == 'double' else ''} AS VARCHAR) AS sample_value FROM {t}"
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {no} AS column_no, '{ty}' AS data_type, "
+    + ("CAST(max(NULL) AS VARCHAR)" if ty.startswith("array") else f"CAST(min({c}){' + 0.0' if ty == 'double' else ''} AS VARCHAR)") + f" AS sample_value FROM {t}"
     for t, columns in _TYPES.items() for no, (c, ty) in enumerate(columns.items(), 1)
 )
 
 
 def profile(t):
-    return catalog.schema_profile({n: getattr(t, n) for n in _PROFILED})
+    return catalog.schema_profile({n: getattr(t, n) for n in _TYPES})
 
 
 @query("schema_profile", _PROFILE)
@@ -295,7 +319,7 @@ def schema_profile(t):
 
 
 @query("schema_text", f"""
-SELECT table_name, string_agg(column_name || ' ' || data_type || ' e.g. ' || sample_value, ', ' ORDER BY column_no) AS columns_text
+SELECT table_name, string_agg(column_name || ' ' || data_type || coalesce(' e.g. ' || sample_value, ''), ', ' ORDER BY column_no) AS columns_text
 FROM ({_PROFILE}) GROUP BY table_name""")
 def schema_text(t):
     return catalog.schema_text(profile(t))
@@ -321,10 +345,27 @@ def unknown_columns(t):
         F.lit(" WHERE c_mktsegment = '"), F.col("c_mktsegment"), F.lit("'"),
         F.when(F.col("c_acctbal") > 0, F.concat(F.lit(" AND o_orderpriority = '1-"), F.lower("c_mktsegment"), F.lit("'"))).otherwise(""),
     )
-    columns = {name: getattr(t, name).columns for name in _PROFILED}
+    columns = {name: getattr(t, name).columns for name in _TYPES}
     return catalog.unknown_columns(t.customer.select("c_custkey", sql.alias("sql")), columns, "c_custkey", "sql")
 
 
+@query("unknown_columns_in_scope", """
+SELECT n_nationkey, 'NATION' AS table_name, CASE n_nationkey % 5 WHEN 3 THEN 'R_NAME' ELSE 'C_NAME' END AS column_name, n_name AS literal,
+       CASE WHEN n_nationkey % 5 = 3 THEN 'R_NAME' END AS suggested_column FROM nation WHERE n_nationkey % 5 >= 3""")
+def unknown_columns_in_scope(t):
+    """A query text per nation: a comma join, a common table expression, words in a literal, a column behind the wrong alias, and one behind a comment."""
+    name, kind = F.col("n_name"), F.col("n_nationkey") % 5
+    sql = (
+        F.when(kind == 0, F.format_string("SELECT 1 FROM nation, region WHERE n_regionkey = r_regionkey AND r_name = '%s'", name))
+        .when(kind == 1, F.format_string("WITH x AS (SELECT n_name AS name FROM nation) SELECT * FROM x WHERE name = '%s'", name))
+        .when(kind == 2, F.format_string("SELECT 1 FROM nation WHERE n_name = 'from region where r_name = ''%s'''", name))
+        .when(kind == 3, F.format_string("SELECT 1 FROM nation n JOIN region r ON n_regionkey = r_regionkey WHERE n.r_name = '%s' AND r.r_name = '%s'", name, name))
+        .otherwise(F.format_string("SELECT 1 FROM nation -- , customer\nWHERE c_name = '%s'", name))
+    )
+    columns = {table: getattr(t, table).columns for table in _TYPES}
+    return catalog.unknown_columns(t.nation.select("n_nationkey", sql.alias("sql")), columns, "n_nationkey", "sql")
+
+
 _MONTHS = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m')
   WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y%m') ELSE o_orderpriority END AS mixed,
   strftime(o_orderdate, '%Y-%m') AS month FROM orders"""

@@ -208,6 +208,53 @@ def test_columns_of_joined_tables_are_known(spark):
     assert rows(catalog.unknown_columns(df, {"a": ["p"], "b": ["q"]}, "id", "sql").select("table_name", "column_name")) == [("A", "R")]
 
 
+@pytest.mark.parametrize("sql, found", [
+    ("SELECT n_name FROM nation, region WHERE n_regionkey = r_regionkey AND r_name = 'ASIA'", []),
+    ("SELECT 1 FROM nation n, region AS r WHERE n.r_name = 'ASIA' AND r.r_name = 'ASIA'", [("NATION", "R_NAME", "ASIA", "R_NAME")]),
+    ("WITH x AS (SELECT n_name AS name FROM nation) SELECT * FROM x WHERE name = 'PERU'", []),
+    ("WITH x AS (SELECT n_name AS name FROM nation n WHERE n.nope = 'a') SELECT * FROM x WHERE name = 'PERU'", [("NATION", "NOPE", "a", None)]),
+    ("SELECT 1 FROM (SELECT n_name AS a FROM nation) t WHERE a = 'x' AND t.b = 'y'", []),
+    ("SELECT 1 FROM nation WHERE n_name = 'copied from orders where x = ''y'''", []),
+    ("SELECT 1 FROM nation -- from region\nWHERE r_name = 'ASIA'", [("NATION", "R_NAME", "ASIA", None)]),
+    ("SELECT 1 FROM main.\"nation\" x JOIN region USING (k) WHERE x.\"R_NAME\" = 'it''s' AND x.n_name <= 'a'", [("NATION", "R_NAME", "it's", None)]),
+    ("SELECT 1 FROM nation WHERE n_name IN (SELECT r_name FROM region WHERE r_name = 'ASIA') AND n_comment = 'ASI'", [("NATION", "N_COMMENT", "ASI", "R_NAME")]),
+    ("SELECT 1 FROM nation, (SELECT 1 AS b) WHERE b = 'x'", []),
+    ("SELECT 1 FROM range(3) WHERE id = 'x'", []),
+])
+def test_columns_in_scope(spark, sql, found):
+    df = spark.createDataFrame([(1, sql)], "id int, sql string")
+    tables = {"nation": ["n_name", "n_regionkey"], "region": ["r_name", "r_regionkey"]}
+    assert [r[1:] for r in rows(catalog.unknown_columns(df, tables, "id", "sql"))] == found
+
+
+def test_results_with_repeated_names(spark):
+    spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "k int, g int").createOrReplaceTempView("twice")
+    pairs = "SELECT a.k, b.k FROM twice a JOIN twice b ON a.g = b.g"
+    swapped = "SELECT b.k, a.k FROM twice a JOIN twice b ON a.g = b.g AND a.k < 3"
+    out = compare.evaluate_sql_pairs(spark, [compare.SqlCase("same", pairs, pairs), compare.SqlCase("less", pairs, swapped)]).orderBy("case_no").collect()
+    assert [(r.status, r.equivalent, r.n_different) for r in out] == [("success", True, 0), ("success", False, 1)]
+    diff = compare.result_diff(spark.sql(pairs), spark.sql(swapped))
+    assert diff.columns == ["k", "k_2", "n_left", "n_right"] and rows(diff) == [(3, 3, 1, 0)]
+    assert compare.score_against(spark.sql(swapped), spark.sql(pairs)).first() == (False, 0, 1)
+    clash = spark.sql("SELECT 1 AS n_left, 2 AS N_LEFT")
+    assert compare.result_diff(clash, clash.limit(0)).columns == ["n_left_2", "N_LEFT_3", "n_left", "n_right"]
+
+
+def test_fingerprints(spark):
+    a = spark.createDataFrame([(1, 0.0, {"k": 1}), (2, None, None), (2, None, None)], "i int, x double, m map<string,int>")
+    same = spark.createDataFrame([(2, None, None), (1, -0.0000001, {"k": 1}), (2, None, None)], "j long, y float, m map<string,int>")
+    prints = [compare.fingerprint(d, 6).first() for d in (a, same, a.limit(2), a.limit(0))]
+    assert prints[0] == prints[1] and len({*prints}) == 3 and prints[3] == (0, "0", "0")
+
+
+def test_one_failing_case_spoils_no_other(spark):
+    spark.range(3).createOrReplaceTempView("three")
+    good = compare.SqlCase("good", "SELECT id FROM three", "SELECT id FROM three ORDER BY id DESC")
+    bad = compare.SqlCase("bad", "SELECT id FROM three", "SELECT id DIV (id - 1) AS id FROM three")
+    out = compare.evaluate_sql_pairs(spark, [good, bad, good]).orderBy("case_no").collect()
+    assert [(r.status, r.confidence) for r in out] == [("success", 1.0), ("error", 0.0), ("success", 1.0)]
+
+
 def test_classifier_trains_saves_and_loads(spark, tmp_path):
     names = spark.createDataFrame([("vowels", "a e i"), ("rest", "x y z")], "class_name string, description string")
     examples = spark.createDataFrame([("vowels", "aeiou"), ("rest", "xyz")], "class_name string, example string")

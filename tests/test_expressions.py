@@ -1,10 +1,12 @@
 """Templates, text clean-up and schemas on hand-written rows."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promptloom.functions import schema, templates, text
+from promptloom.functions import schema, sql, templates, text
 from promptloom.operators import evaluate, records
 from promptloom.plans.specs import SPECS, PromptSpec, validator_spec
 from tests.conftest import plan, rows
@@ -34,7 +36,7 @@ def test_chat_default_only_when_system_is_empty(spark):
     assert got == ["<s>[INST] D u [/INST]"] * 2 + ["<s>[INST] S u [/INST]"]
 
 
-@pytest.mark.parametrize("name, sql", [
+@pytest.mark.parametrize("name, found", [
     ("SELECT 1", "SELECT 1"),
     ("no sql here", None),
     ("Use it with care: SELECT a FROM t;\nEnjoy!", "SELECT a FROM t;"),
@@ -42,9 +44,19 @@ def test_chat_default_only_when_system_is_empty(spark):
     ("WITH x AS (SELECT 1) SELECT * FROM x;;", "WITH x AS (SELECT 1) SELECT * FROM x;"),
     ("SELECT 1; then select 2", "SELECT 1; then select 2"),
     ("", None),
+    ("SELECT 'a;b' AS x", "SELECT 'a;b' AS x"),
+    ("SELECT 'a;b' AS x; That's all; really.", "SELECT 'a;b' AS x;"),
+    ("I would select rows with a filter.", None),
+    ("Here's the query: select a from t where b = 'it''s; here'", "select a from t where b = 'it''s; here'"),
+    ("You could select a from t;", "select a from t;"),
+    ("select 1 -- one; two\n", "select 1 -- one; two"),
+    ("SELECT \"a;b\" FROM t /* ; */ WHERE x = 1; Done", "SELECT \"a;b\" FROM t /* ; */ WHERE x = 1;"),
+    ("(SELECT 1) UNION (SELECT 2)", "(SELECT 1) UNION (SELECT 2)"),
+    ("Answer:\n  select `a;b` from t; select c from d; ok?", "select `a;b` from t; select c from d;"),
+    ("SELECT '" + "x;" * 30_000 + "' AS long; bye", "SELECT '" + "x;" * 30_000 + "' AS long;"),
 ])
-def test_extract_sql(spark, name, sql):
-    assert one(spark, text.extract_sql(F.lit(name))) == sql
+def test_extract_sql(spark, name, found):
+    assert one(spark, text.extract_sql(F.lit(name))) == found
 
 
 @pytest.mark.parametrize("raw, body", [
@@ -57,6 +69,16 @@ def test_strip_fence(spark, raw, body):
 def test_terminate_sql(spark):
     assert one(spark, text.terminate_sql(F.lit(" a \n"))) == "a;"
     assert one(spark, text.terminate_sql(F.lit(" a;\n"))) == "a;"
+    assert one(spark, text.terminate_sql(F.lit("a -- b;"))) == "a -- b;\n;"
+    assert one(spark, text.terminate_sql(F.lit("a; -- b"))) == "a; -- b"
+    assert one(spark, text.terminate_sql(F.lit("a = ';"))) == "a = ';;"
+
+
+@given(st.text(alphabet="ab;'\"`-/*\n \\_9.()", max_size=40))
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_sql_tokens_make_up_the_text(spark, value):
+    df = spark.createDataFrame([(value,)], "v string")
+    assert tuple(df.select(F.array_join(sql.tokens(F.col("v")), ""), F.length(sql.masked(F.col("v")))).first()) == (value, len(value))
 
 
 @pytest.mark.parametrize("value, size, overlap, chunks", [
