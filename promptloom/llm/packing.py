@@ -22,6 +22,7 @@ from promptloom.llm.tokens import encoder
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 # Sequence numbers of a task start at its partition number times this.
 PER_TASK = 1 << 36
+PIECES_AT_ONCE = 2048  # of at most Limits.tokens ids each
 
 
 @dataclass(frozen=True)
@@ -116,34 +117,51 @@ class Packer:
 def _packed(limits: Limits, window: int, paths) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, base = encoder(*paths), TaskContext.get().partitionId() * PER_TASK
-        packer, ids, names = Packer(limits, window), {}, {}
+        packer = Packer(limits, window)
+        # Of a document that waits, only its name, its length and the ids of its tail are kept.
+        waiting: dict[int, tuple[int | None, int, int, np.ndarray]] = {}
+        out: list[tuple] = []
+
+        def settle(doc: int, name: int | None, tokens: np.ndarray) -> None:
+            """Rows of a new document's full blocks leave with their ids; its tail waits."""
+            tail = packer.items[-1][1] if packer.items and packer.items[-1][0] == doc else len(tokens)
+            waiting[doc] = (name, len(tokens), 0, tokens)
+            flush()
+            if tail < len(tokens):
+                waiting[doc] = (name, len(tokens), tail, tokens[tail:].copy())
+            else:
+                del waiting[doc]
+
+        def flush() -> None:
+            rows, packer.rows = packer.rows, []
+            for d, a, b, loss, sequence, offset in rows:
+                name, total, start, tokens = waiting[d]
+                out.append((name, a, b - a, tokens[a - start : b - start].tobytes(), total, base + sequence, offset, loss))
 
         def emitted() -> pa.RecordBatch:
-            rows, packer.rows = packer.rows, []
-            doc, start, stop, loss, sequence, offset = (list(x) for x in zip(*rows)) if rows else ([],) * 6
-            out = pa.RecordBatch.from_arrays([
-                pa.array([names[d] for d in doc], pa.int64()), pa.array(start, pa.int64()), pa.array([b - a for a, b in zip(start, stop)], pa.int64()),
-                pa.array([ids[d][a:b].tobytes() for d, a, b in zip(doc, start, stop)], pa.binary()),
-                pa.array([len(ids[d]) for d in doc], pa.int64()), pa.array([base + s for s in sequence], pa.int64()), pa.array(offset, pa.int64()),
-                pa.array(loss, pa.int64()),
-            ], ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "loss_tokens"])
-            waiting = {item[0] for item in packer.items}
-            for d in [d for d in ids if d not in waiting]:
-                del ids[d], names[d]
-            return out
-
-        number = held = 0
+            columns = [list(x) for x in zip(*out)] if out else [[]] * 8
+            out.clear()
+            kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                              ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "loss_tokens"])
+
+        number = 0
         for batch in batches:
             for name, text, free in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 tokens = np.array([*encode(text.as_py()), 0], "<u4")
-                ids[number], names[number] = tokens, name
                 packer.add(number, len(tokens), max(0, free or 0))
-                number, held = number + 1, held + len(tokens)
-                if len(packer.items) >= window or held > 4_000_000:
+                settle(number, name, tokens)
+                number += 1
+                if len(packer.items) >= window:
                     packer.pack(False)
-                    held = 0
+                    flush()
+                    still = {item[0] for item in packer.items}
+                    for d in [d for d in waiting if d not in still]:
+                        del waiting[d]
+                if len(out) >= PIECES_AT_ONCE:
                     yield emitted()
         packer.pack(True)
+        flush()
         yield emitted()
     return run
 

@@ -16,7 +16,9 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,8 +51,11 @@ class Pieces:
                 self.ids[piece], self.rank[piece] = i, -model.get_score(i)
                 self.bytes.append(piece.encode())
         self.names = {i: p for p, i in self.ids.items()}
-        # Ends of pieces: the id where the end is a piece itself, else -1.
-        self.tails = {p[k:]: self.ids.get(p[k:], -1) for p in self.ids for k in range(len(p))}
+        # A place in a text is known by the longest beginning of a piece that ends there, which tells all pieces that end there. Places are
+        # numbered, and steps from one to the next found, as texts need them.
+        self.beginnings = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        self.places, self.numbers, self.steps, self.ends = [""], {"": 0}, [{}], [()]
+        self.beside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.whole = {i for p, i in self.ids.items() if self.merged(p) == [p]}
         self.pairs: dict[int, bool] = {}
 
@@ -67,17 +72,34 @@ class Pieces:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def step(self, place: int, char: str) -> int:
+        """The place after a character; ``ends`` of it are (id, length) of the pieces that end there, from long to short."""
+        known = self.places[place] + char
+        while known and known not in self.beginnings:
+            known = known[1:]
+        number = self.numbers.get(known)
+        if number is None:
+            number = self.numbers[known] = len(self.places)
+            self.places.append(known)
+            self.steps.append({})
+            self.ends.append(tuple((self.ids[known[k:]], len(known) - k) for k in range(len(known)) if known[k:] in self.ids))
+        self.steps[place][char] = number
+        return number
+
     def follows(self, left: int, right: int) -> bool:
         """Whether the merges of two pieces together give just these two. Characters without a piece never merge."""
         if left >= self.UNKNOWN or right >= self.UNKNOWN:
             return True
         a, b = self.names[left], self.names[right]
+        if a[-1] + b[0] not in self.beside:
+            # No merge can cross, so each is what its own merges give.
+            return left in self.whole and right in self.whole
         return self.merged(a + b) == [a, b]
 
     def encode_sorted(self, words: list[str]) -> Iterator[tuple[str, array]]:
-        """Ids of distinct words in sorted order. ``states[i]`` is (id of the last piece, its start) of the first i characters."""
-        states: list[tuple[int, int]] = [(-1, -1)]
-        before, tails, whole, pairs, unknown = "", self.tails, self.whole, self.pairs, self.UNKNOWN
+        """Ids of distinct words in sorted order. ``states[i]`` is (shifted id of the last piece, its start, place) of the first i characters."""
+        states: list[tuple[int, int, int]] = [(-1, -1, 0)]
+        before, whole, pairs, unknown, steps, ends = "", self.whole, self.pairs, self.UNKNOWN, self.steps, self.ends
         if len(pairs) > 1_000_000:
             pairs.clear()
         for word in words:
@@ -85,35 +107,32 @@ class Pieces:
             while shared < most and word[shared] == before[shared]:
                 shared += 1
             del states[shared + 1 :]
-            for i in range(shared + 1, len(word) + 1):
-                # Pieces that end here, from short to long; no longer one can match once a tail is unknown.
-                found, j = [], i - 1
-                piece = tails.get(word[j])
-                if piece is None or piece < 0:
-                    found.append((unknown + ord(word[j]), j))
-                while piece is not None:
-                    if piece >= 0:
-                        found.append((piece, j))
-                    j -= 1
-                    piece = tails.get(word[j:i]) if j >= 0 else None
-                for state in reversed(found):
-                    piece, j = state
+            place, i = states[shared][2], shared
+            for char in word[shared:]:
+                i += 1
+                after = steps[place].get(char)
+                place = self.step(place, char) if after is None else after
+                for piece, length in ends[place]:
+                    j = i - length
                     if not j:
-                        if piece >= unknown or piece in whole:
+                        if piece in whole:
                             break
                         continue
-                    key = states[j][0] << 21 | piece
-                    fits = pairs.get(key)
+                    last = states[j][0]
+                    fits = pairs.get(last | piece)
                     if fits is None:
-                        fits = pairs[key] = self.follows(states[j][0], piece)
+                        fits = pairs[last | piece] = self.follows(last >> 21, piece)
                     if fits:
                         break
                 else:
-                    raise AssertionError(f"no segmentation of {word[:i]!r}")
-                states.append(state)
-            ids, i = [], len(word)
+                    if char in self.ids:
+                        raise AssertionError(f"no segmentation of {word[:i]!r}")
+                    piece, j = unknown + ord(char), i - 1
+                states.append((piece << 21, j, place))
+            ids = []
             while i:
-                piece, i = states[i]
+                piece, i, _ = states[i]
+                piece >>= 21
                 if piece < unknown:
                     ids.append(piece)
                 else:
@@ -142,7 +161,7 @@ def marked_words(text: str) -> list[str]:
 
 
 class Words(dict):
-    """Ids of words met before, up to a bounded number."""
+    """Ids of words that a worker met before, in whatever task, as bytes of 32-bit integers, up to a bounded number."""
 
     def __init__(self, model: Pieces, most: int):
         super().__init__()
@@ -153,7 +172,25 @@ class Words(dict):
         if len(self) + len(new) > self.most:
             self.clear()
             new = words
-        self.update(self.model.encode_sorted(sorted(new)))
+        self.update((word, ids.tobytes()) for word, ids in self.model.encode_sorted(sorted(new)))
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts have about ``most`` bytes together, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    start = total = 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > start and total + size > most:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size
+    if len(batch):
+        yield batch.slice(start)
+
+
+@lru_cache(maxsize=1)
+def remembered(path: str | None, most: int) -> Words:
+    return Words(pieces(path), most)
 
 
 def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), path: str | None = None, remember: int = 600_000) -> DataFrame:
@@ -161,33 +198,25 @@ def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
 
     Texts are encoded whole and decoded again in the task that encoded them. A null text gives null ids and ``exact``, an empty one no ids. A text
     that holds the space mark itself decodes to spaces, as with any use of the model, so ``exact`` is false there. Repeated rows give equal ids; no documents
-    give no rows; columns not in ``keep`` are not read. ``remember`` bounds the words a task remembers.
+    give no rows; columns not in ``keep`` are not read. ``remember`` bounds the words a worker remembers.
     """
     schema = docs.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType())).add("exact", T.BooleanType())
     width = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(path)
-        known = Words(model, remember)
+        model, known = pieces(path), remembered(path, remember)
         for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
+            # Words of many texts together share more of their prefixes.
+            for batch in slices(whole, width):
                 texts = batch.column(width).to_pylist()
-                marked = [None if t is None else marked_words(t) for t in texts]
-                known.learn({w for ws in marked if ws for w in ws})
-                out, exact = [], []
-                for t, ws in zip(texts, marked):
-                    if ws is None:
-                        out.append(None)
-                        exact.append(None)
-                        continue
-                    ids = array("i")
-                    for w in ws:
-                        ids.extend(known[w])
-                    out.append(ids)
-                    exact.append(model.decode(ids) == t)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:width], pa.array(out, pa.list_(pa.int32())), pa.array(exact, pa.bool_())], [*schema.names])
+                marked = [[] if t is None else marked_words(t) for t in texts]
+                known.learn({w for ws in marked for w in ws})
+                coded = [b"".join([known[w] for w in ws]) for ws in marked]
+                offsets = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])])
+                ids = np.frombuffer(b"".join(coded), np.int32)
+                exact = [None if t is None else model.decode(ids[a:b].tolist()) == t for t, a, b in zip(texts, offsets, offsets[1:])]
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids), mask=pa.array([t is None for t in texts]))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:width], lists, pa.array(exact, pa.bool_())], [*schema.names])
 
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 
