@@ -119,13 +119,16 @@ def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: in
         except FAILURES as failure:
             failures[no] = failure
     alike = {no for no, (gold, made) in frames.items() if same_shape(gold, made)}
-    prints = _together({(no, side): fingerprint(frames[no][side], digits) for no in alike for side in (0, 1)}, failures)
-    equal = {no for no in alike if no not in failures and prints[no, 0] == prints[no, 1]}
+    # A query that several cases share runs once.
+    texts = {no: (_bare(cases[no - 1].gold_query), _bare(cases[no - 1].generated_query)) for no in alike}
+    prints, broken = _together({texts[no][side]: fingerprint(frames[no][side], digits) for no in alike for side in (0, 1)})
+    failures |= {no: broken[t] for no in alike for t in texts[no] if t in broken}
+    equal = {no for no in alike if no not in failures and prints[texts[no][0]] == prints[texts[no][1]]}
     unequal = [no for no in frames if no not in equal and no not in failures]
     totals, open_cases = {}, []
     if judge is None:
-        found = _together({(no, 0): result_diff(*frames[no], digits).agg(F.count(F.lit(1)).alias("n")) for no in unequal if no in alike}, failures)
-        totals = {no: n for (no, _), (n,) in found.items()}
+        found, broken = _together({no: result_diff(*frames[no], digits).agg(F.count(F.lit(1)).alias("n")) for no in unequal if no in alike})
+        totals, failures = {no: n for no, (n,) in found.items()}, failures | broken
     else:
         with ThreadPoolExecutor(CASES_AT_ONCE) as pool:
             lines = {no: pool.submit(lambda no: materialise(_differing_lines(*frames[no], digits), "difference"), no) for no in unequal}
@@ -165,21 +168,21 @@ def evaluate_sql_pairs(spark: SparkSession, cases: Sequence[SqlCase], digits: in
     }).select(*results.columns)
 
 
-def _together(frames: dict[tuple[int, int], DataFrame], failures: dict) -> dict[tuple[int, int], tuple]:
-    """The only row of each of many frames of the same columns, by one job. Where that fails, each runs by itself, and a case that fails goes to ``failures``."""
+def _together(frames: dict) -> tuple[dict, dict]:
+    """The only row of each of many frames of the same columns, by one job, and the failures by key. Where the job fails, each frame runs by itself."""
     if not frames:
-        return {}
-    named = [f.select(F.lit(no).alias("no"), F.lit(side).alias("side"), "*") for (no, side), f in frames.items()]
+        return {}, {}
+    keys, out, failures = [*frames], {}, {}
+    named = [frame.select(F.lit(i).alias("i"), "*") for i, frame in enumerate(frames.values())]
     try:
-        return {(r[0], r[1]): tuple(r)[2:] for r in reduce(DataFrame.union, named).collect()}  # a row per frame
+        return {keys[r[0]]: tuple(r)[1:] for r in reduce(DataFrame.union, named).collect()}, {}  # a row per frame
     except FAILURES:
-        out = {}
-        for (no, side), frame in frames.items():
+        for key, frame in frames.items():
             try:
-                out[no, side] = tuple(frame.first()) if no not in failures else ()
+                out[key] = tuple(frame.first())
             except FAILURES as failure:
-                failures[no] = failure
-        return out
+                failures[key] = failure
+        return out, failures
 
 
 def _differing_lines(gold: DataFrame, made: DataFrame, digits: int | None) -> DataFrame:
