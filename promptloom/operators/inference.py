@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,30 +109,51 @@ def cached_generate(df: DataFrame, model: Model, model_name: str, cache_path: st
                     output_type: Mapping | None = None, **options) -> DataFrame:
     """``generate`` through a Parquet cache; adds ``cache_hit``, and ``error`` and ``attempts`` as there (no attempt for a hit).
 
-    Only keys the cache lacks reach the model, each once however many rows share it. Answered ones are
+    The cache keeps its answers in folders by the first digit of their keys; only folders that a request may be in are read. Only keys the cache
+    lacks reach the model, each once however many rows share it. Answered ones are
     appended to the cache; failed ones and null prompts are not, and stay null in the result. Runs the model on call.
     """
     spark = df.sparkSession
     keyed = df.withColumn("request_key", request_key(model_name, F.col(prompt), output_type))
-    schema = "request_key string, response string"
-    cached = spark.read.schema(schema).parquet(cache_path) if path_exists(spark, cache_path) else spark.createDataFrame([], schema)
     # One row per key before any join, so a prompt that many rows share does not gather in a task; stored, as it
     # is read twice. first() of one key always sees equal prompts, so it is deterministic here.
     asked = keyed.filter(F.col(prompt).isNotNull())
     keys = materialise(asked.groupBy("request_key").agg(F.first(prompt).alias("prompt")), "requests")
-    wanted = keys.join(cached, "request_key", "left_anti")
-    fresh = materialise(generate(wanted, model, "prompt", **options).select("request_key", *_RESULT.names), "fresh")
-    hits = materialise(
-        cached.join(keys, "request_key", "left_semi").dropDuplicates(["request_key"]), "hits"
-    )  # read before the cache grows, so a hit never includes this run's own answers
-    fresh.filter(F.col("response").isNotNull()).select("request_key", "response").write.mode("append").parquet(cache_path)
+    prefixes = [r[0] for r in keys.select(_prefix()).distinct().collect()]  # at most 16
+    # One join tells hits from misses; stored, so a hit never includes this run's own answers.
+    looked_up = materialise(keys.join(read_cache(spark, cache_path, prefixes), "request_key", "left"), "lookups")
+    hits, wanted = looked_up.filter("response is not null"), looked_up.filter("response is null")
+    fresh = materialise(generate(wanted.drop("response"), model, "prompt", **options).select("request_key", *_RESULT.names), "fresh")
+    answered = fresh.filter(F.col("response").isNotNull()).select("request_key", "response", _prefix().alias("prefix"))
+    answered.hint("rebalance", "prefix").write.mode("append").partitionBy("prefix").parquet(cache_path)
     none = {"error": F.array().cast("array<string>"), "attempts": F.lit(0), "cache_hit": F.lit(True)}
-    known = hits.withColumns(none).unionByName(fresh.withColumn("cache_hit", F.lit(False)))
+    known = hits.drop("prompt").withColumns(none).unionByName(fresh.withColumn("cache_hit", F.lit(False)))
     # Unique on the right; adaptive execution splits the left side of a key that dominates.
     joined = keyed.join(known, "request_key", "left")
     return parse_response(joined, output_type) if output_type else joined
 
 
+def _prefix() -> Column:
+    return F.substring("request_key", 1, 1)
+
+
+def read_cache(spark: SparkSession, cache_path: str, prefixes: Sequence[str] | None = None) -> DataFrame:
+    """(request_key, response) of a cache, each key once; of the folders of some prefixes, or all."""
+    schema = "request_key string, response string"
+    if not path_exists(spark, cache_path):
+        return spark.createDataFrame([], schema)
+    cached = spark.read.schema(f"{schema}, prefix string").parquet(cache_path)
+    if prefixes is not None:
+        cached = cached.filter(F.col("prefix").isin(list(prefixes)))
+    return cached.groupBy("request_key").agg(F.min("response").alias("response"))
+
+
+def compact_cache(spark: SparkSession, cache_path: str) -> None:
+    """Rewrite a cache, which gains files with every run, with each key once and about one file a folder. Nothing may read or append meanwhile."""
+    whole = materialise(read_cache(spark, cache_path).withColumn("prefix", _prefix()), "cache")
+    whole.hint("rebalance", "prefix").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("prefix").parquet(cache_path)
+
+
 def embed(df: DataFrame, encoder: Callable, text: str = "text", name: str = "embedding") -> DataFrame:
     """Add an embedding. ``encoder`` is a factory like a model, from texts to equal-length float lists.
 

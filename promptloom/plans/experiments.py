@@ -79,11 +79,11 @@ TASKS = {
 
 def judge_answers(task: EvalTask, df: DataFrame, model: Model, judge: Model, **options) -> DataFrame:
     """Answer the questions of a task and grade the answers: adds task, answer text, match and score."""
-    answered = materialise(SPECS[task.answer_spec].apply(task.prepare(df), model, **options), task.name)
+    answered = SPECS[task.answer_spec].run(task.prepare(df), model, **options)
     shown = answered.withColumns({
         "gold": task.gold(), "answer": task.answer(), "is_exact_match": task.match(), "rubric": F.lit(task.rubric), "task": F.lit(task.name),
     })
-    return materialise(SPECS["judge"].apply(shown, judge, **options), "judged")
+    return SPECS["judge"].run(shown, judge, **options)
 
 
 def run_evaluation(data: Mapping[str, DataFrame], tasks: Sequence[str], model: Model, judge: Model, **options) -> DataFrame:

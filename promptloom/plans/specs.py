@@ -16,9 +16,10 @@ from promptloom.functions.templates import (
     template_keys, with_role,
 )
 from promptloom.functions.text import terminate_sql
-from promptloom.operators.inference import Model, generate
+from promptloom.operators.inference import Model, generate, parse_response
 from promptloom.operators.records import merge_response, snapshot_input
 from promptloom.operators.reshape import collect_questions, explode_concepts, glossary_entries
+from promptloom.storage import materialise
 
 Hook = Callable[[DataFrame], DataFrame]
 
@@ -58,8 +59,20 @@ class PromptSpec:
 
     def apply(self, df: DataFrame, model: Model, **options) -> DataFrame:
         """Prepare, call the model, parse, merge the fields and reshape. Records without an answer drop out."""
-        answered = generate(self.prepare(df), model, output_type=self.output_type, **options)
-        merged = merge_response(answered.filter("parse_ok"), self.name)
+        return self._finish(generate(self.prepare(df), model, **options))
+
+    def run(self, df: DataFrame, model: Model, **options) -> DataFrame:
+        """``apply`` with the model's answers stored. Prompt, input snapshot and parsed fields are not written: they follow from what is, and a reader
+        that leaves them out never computes them."""
+        called = generate(self.prepare(df), model, **options)
+        if {"prompt", "response", "error", "attempts"} & {*self.inputs}:  # overwritten, so they cannot be rendered again
+            return self._finish(materialise(called, self.name))
+        kept = materialise(called.drop("prompt", f"{self.name}_input"), self.name)
+        rebuilt = snapshot_input(kept, self.name, self.inputs).withColumn("prompt", self.prompt(kept.columns))
+        return self._finish(rebuilt.select(*called.columns))
+
+    def _finish(self, called: DataFrame) -> DataFrame:
+        merged = merge_response(parse_response(called, self.output_type).filter("parse_ok"), self.name)
         return merged.transform(self.after) if self.after is not None else merged
 
 

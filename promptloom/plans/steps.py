@@ -12,15 +12,14 @@ from promptloom.operators.inference import Model
 from promptloom.operators.records import keep_origin
 from promptloom.plans.specs import PromptSpec
 from promptloom.sources.datasets import record_step, save_records
-from promptloom.storage import materialise
 
 
 @dataclass
 class AgenticRun:
     """Named generator and validator specs run in order over a table of records.
 
-    Names in ``order`` that are not known are ignored. Every step's output is stored before the next one
-    reads it, so a lost executor never repeats a model call of an earlier step.
+    Names in ``order`` that are not known are ignored. Every step's answers are stored before the next one
+    reads them, so a lost executor never repeats a model call of an earlier step; what follows from them is not written.
     """
 
     generators: Mapping[str, PromptSpec]
@@ -66,7 +65,7 @@ class AgenticRun:
 
     def _fold(self, df: DataFrame, start_from: int, record: bool, judge: bool = True) -> DataFrame:
         for step in self.steps()[start_from:]:
-            df = keep_origin(materialise(step.apply(df, self.model), step.name))
+            df = keep_origin(step.run(df, self.model))
             if record and self.record_steps and self.record_dir:
                 record_step(df, self.record_dir, step.name)
             if judge and step.validator and self.keep_only_valid:
@@ -77,5 +76,5 @@ class AgenticRun:
 def chain(df: DataFrame, steps: Sequence[tuple[str, PromptSpec]], model: Model) -> DataFrame:
     """Plain chain: each step's prompt stays in ``<name>_prompt``."""
     for name, spec in steps:
-        df = materialise(spec.apply(df, model), name).withColumnRenamed("prompt", f"{name}_prompt")
+        df = spec.run(df, model).withColumnRenamed("prompt", f"{name}_prompt")
     return df

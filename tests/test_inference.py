@@ -272,3 +272,47 @@ def test_retrieve_from_a_stored_index(spark, tmp_path):
     assert retrieval.open_index(spark, str(tmp_path / "none")) is None
     with pytest.raises(FileNotFoundError):
         retrieval.load_index(spark, str(tmp_path / "none"))
+
+
+def test_the_cache_is_read_by_prefix_and_compacted(spark, tmp_path):
+    cache = str(tmp_path / "cache")
+    words = [f"w{i}" for i in range(40)]
+    inference.cached_generate(prompts(spark, *words), echo_model, "m", cache)
+    inference.cached_generate(prompts(spark, *words, "new"), echo_model, "m", cache)
+    for name in sorted(p.name for p in (tmp_path / "cache").iterdir() if p.name.startswith("prefix=")):
+        assert len(name) == len("prefix=0")
+    one = inference.read_cache(spark, cache, ["0"])
+    assert "PartitionFilters: [isnotnull(prefix" in plan(one) and "(prefix" in plan(one)
+    assert rows(inference.read_cache(spark, cache).select("response")) == sorted((f"{len(w)}:{w}",) for w in [*words, "new"])
+    extra = spark.read.parquet(cache).limit(3)
+    materialise(extra).write.mode("append").partitionBy("prefix").parquet(cache)
+    inference.compact_cache(spark, cache)
+    assert spark.read.parquet(cache).count() == 41
+    assert all(len([f for f in p.iterdir() if f.suffix == ".parquet"]) == 1 for p in (tmp_path / "cache").iterdir() if p.is_dir())
+    hits = inference.cached_generate(prompts(spark, *words, "new"), refusing_model("w"), "m", cache)
+    assert hits.filter("cache_hit").count() == 41
+
+
+def test_stored_steps_write_no_prompt(spark, monkeypatch):
+    """What a step stores is its input columns and the answers; the rest is made again, without a model call."""
+    from promptloom.plans import specs as module
+
+    seen = []
+    monkeypatch.setattr(module, "materialise", lambda df, label: seen.append(df.columns) or materialise(df, label))
+    calls = spark.sparkContext.accumulator(0)
+
+    def model():
+        def predict(batch):
+            calls.add(len(batch))
+            return batch.map(lambda p: json.dumps({"concept": p[-1]}))
+        return predict
+
+    df = spark.createDataFrame([(1, "qa"), (2, "qb")], "id int, question string")
+    out = SPECS["question_to_concept"].run(df, model)
+    want = SPECS["question_to_concept"].apply(df, json_model(concept=lambda p: p[-1]))
+    assert seen == [["id", "question", "response", "error", "attempts"]]
+    assert out.columns == want.columns and rows(out) == rows(want) and rows(out.select("concept")) == [("a",), ("b",)]
+    assert calls.value == 2
+    asks_prompt = specs.PromptSpec("again", "Improve: {prompt}", {"concept": "str"})
+    assert rows(asks_prompt.run(df.withColumn("prompt", F.lit("x")), json_model(concept=lambda p: p)).select("concept", "prompt", "again_input.prompt")) == [
+        ("Improve: x", "Improve: x", "x")] * 2
