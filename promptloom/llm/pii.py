@@ -65,9 +65,12 @@ def base_spans(text: str) -> list[Span]:
 
 
 def weak_labels(docs: DataFrame, text: str = "text", snippets: int = 3_000, longest: int = 2_000) -> DataFrame:
-    """A small labelled table (text, spans) from lines of at most ``longest`` characters with a digit or an at sign, at most ``snippets`` of them."""
-    lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("text")).filter(F.col("text").rlike("[0-9@]") & (F.char_length("text") <= longest))
-    picked = sample_by_hash(lines, snippets, "text")
+    """A small labelled table (text, spans) from distinct lines with a digit or an at sign, at most ``snippets`` of them. A line of more than ``longest`` characters
+    is cut at spaces into windows of about that length, of which those with a digit or an at sign count as lines; a word longer than that is cut too."""
+    lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("text"))
+    windows = F.regexp_extract_all("text", F.lit(rf"\S[\s\S]{{0,{longest - 2}}}(?!\S)|\S{{1,{longest}}}"), F.lit(0))
+    lines = lines.select(F.explode(F.when(F.char_length("text") <= longest, F.array("text")).otherwise(windows)).alias("text"))
+    picked = sample_by_hash(lines.filter(F.col("text").rlike("[0-9@]")).distinct(), snippets, "text")
 
     @F.udf("array<struct<kind:int,start:int,stop:int>>")
     def spans(line):

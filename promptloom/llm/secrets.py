@@ -30,6 +30,7 @@ ALLOWED = (
     r"^[A-Za-z/_=+-]*[0-9]{0,4}$|^[0-9]+(?:[-_/][0-9]+)*$|^(?:[A-Za-z]+[-_/])+[A-Za-z]*[0-9]{0,4}$"
 )
 CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}"
+RUN = 128  # matches of a text that are placed together
 SPAN = "struct<start:int,kind:int,stop:int,text:string>"
 
 
@@ -49,31 +50,43 @@ def spans(text: Column, pattern: str, kind: int, guard: Column | None = None) ->
         return let(F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + F.char_length(x["match"])).alias("stop"), x["match"].alias("text")),
                    lambda p: F.struct(p["stop"].alias("at"), F.concat(state["out"], F.array(p)).alias("out")))
 
+    def join(state: Column, run: Column) -> Column:
+        moved = F.transform(run["out"], lambda x: F.struct(
+            (x["start"] + state["at"]).alias("start"), x["kind"].alias("kind"), (x["stop"] + state["at"]).alias("stop"), x["text"].alias("text")))
+        return F.struct((state["at"] + run["at"]).alias("at"), F.concat(state["out"], F.array(moved)).alias("out"))
+
     # There is one part more than there are matches; zipping leaves its match null.
     zipped = F.filter(F.arrays_zip(parts.alias("gap"), found.alias("match")), lambda x: x["match"].isNotNull())
-    placed = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), _nothing().alias("out")), step, lambda s: s["out"])
+    runs = let(zipped, lambda z: F.transform(F.sequence(F.lit(0), F.floor(F.size(z) / RUN).cast("int")), lambda b: F.aggregate(
+        F.slice(z, b * RUN + 1, F.lit(RUN)), F.struct(F.lit(0).alias("at"), _nothing().alias("out")), step)))
+    placed = F.flatten(F.aggregate(runs, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("out")), join, lambda s: s["out"]))
     return F.when(text.rlike(pattern) if guard is None else guard, placed).otherwise(_nothing())
 
 
 def window_entropy(text: Column, width: int) -> Column:
     """Largest Shannon entropy, in bits, of the windows of ``width`` characters of a text of at least that length."""
     weight = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(width + 2)])
-    count = lambda window, x: F.size(window) - F.size(F.array_remove(window, x))
-    gain = lambda n: F.get(weight, n + 1) - F.get(weight, n)
+    held = lambda counts, x: F.coalesce(F.try_element_at(counts, x), F.lit(0))
+    put = lambda counts, x, n: F.map_concat(F.map_filter(counts, lambda k, _: k != x), F.create_map(x, n))
 
     def step(chars: Column):
         def run(state: Column, i: Column) -> Column:
-            window = F.slice(chars, F.greatest(i - width, F.lit(0)) + 1, F.least(i, F.lit(width)))
             enter, leave = F.get(chars, i), F.get(chars, i - width)
-            entered = state["sum"] + gain(count(window, enter))
-            left = count(window, leave) + (enter == leave).cast("int")
-            moved = F.when(i < width, entered).otherwise(entered - gain(left - 1))
-            return let(moved, lambda m: F.struct(
-                m.alias("sum"), F.when(i >= width - 1, F.least(state["low"], m)).otherwise(state["low"]).alias("low")))
+            before = held(state["counts"], enter)
+            entered = F.struct((state["sum"] + F.get(weight, before + 1) - F.get(weight, before)).alias("sum"), put(state["counts"], enter, before + 1).alias("counts"))
+
+            def left(s: Column) -> Column:
+                n = held(s["counts"], leave)
+                return F.struct((s["sum"] - F.get(weight, n) + F.get(weight, n - 1)).alias("sum"), put(s["counts"], leave, n - 1).alias("counts"))
+
+            moved = let(entered, lambda s: F.when(i < width, s).otherwise(left(s)))
+            return let(moved, lambda s: F.struct(
+                s["sum"].alias("sum"), s["counts"].alias("counts"),
+                F.when(i >= width - 1, F.least(state["low"], s["sum"])).otherwise(state["low"]).alias("low")))
         return run
 
-    low = lambda chars: F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), F.struct(F.lit(0.0).alias("sum"), F.lit(1e9).alias("low")),
-                                    step(chars), lambda s: s["low"])
+    none = F.struct(F.lit(0.0).alias("sum"), F.create_map().cast("map<string,int>").alias("counts"), F.lit(1e9).alias("low"))
+    low = lambda chars: F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), none, step(chars), lambda s: s["low"])
     return let(F.split(text, ""), lambda chars: F.lit(math.log2(width)) - low(chars) / width)
 
 

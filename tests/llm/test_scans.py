@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from promptloom.llm import crf, licenses, pii, queries, secrets
 from tests.llm.conftest import CLASHES, TESTDATA, texts_of
@@ -160,3 +161,30 @@ def test_redaction(spark, odd, none):
     assert len(out) == odd.count() and pii.redact(none).count() == 0 and pii.redact(odd).columns == odd.columns
     assert sorted(r.n_chars for r in out if r.text == "mail [EMAIL] now") == [16, 16, 16]
     assert pii.redacted("abcdef", [(0, 1, 4), (1, 2, 5)]) == "a[EMAIL]f"
+
+
+def test_secrets_of_a_text_with_very_many_matches(spark):
+    """Places stay exact over many runs of matches."""
+    keys = [f"{i:024x}" for i in range(4_000)]
+    text = "é " + " ".join(keys)
+    df = spark.createDataFrame([(1, text), (2, " ".join(keys[:128])), (3, " ".join(keys[:129]))], "doc_id long, text string")
+    got = {r["_row"].doc_id: r for r in secrets.scan(df).select("_row", "n_hex", "spans").collect()}
+    assert [got[i].n_hex for i in (1, 2, 3)] == [4_000, 128, 129]
+    assert got[1].spans == ",".join(f"hex:{2 + 25 * i}:{26 + 25 * i}" for i in range(4_000))
+    assert got[3].spans.endswith(f"hex:{25 * 128}:{25 * 128 + 24}")
+
+
+def test_planted_keys_without_a_name_are_found_by_entropy(spark):
+    planted = {"hex": "0F1E2D3C4B5A69788796A5B4", "alnum": "q7RtZ2mXw9KpLs4VbN8d", "base64": "aB3/x+Yz9-Qw_Er7Ty=Ui1Op"}
+    rows = [(i, f"see {k} now") for i, k in enumerate(planted.values())] + [(9, "see zzzzzzzzzzzzzzzzzzzzzzzz1 and internationalisation_of_words-2 now")]
+    got = {r["_row"].doc_id: r.spans for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(3)] == [f"entropy:4:{4 + len(k)}" for k in planted.values()] and got[9] == ""
+
+
+def test_personal_data_is_learned_from_texts_of_one_long_line(spark, documents):
+    whole = documents.withColumn("text", F.concat(F.translate("text", "\n", " "), F.repeat(F.lit(" filler words"), 200)))
+    lines = pii.weak_labels(whole)
+    assert lines.agg(F.max(F.char_length("text"))).first()[0] <= 2000 and pii.fit(lines) is not None
+    assert lines.filter("size(spans) > 0").count() >= pii.weak_labels(documents).filter("size(spans) > 0").count() / 2
+    same = spark.range(500).selectExpr("'call 5551234 now' as text").union(spark.createDataFrame([("a@b.example",), ("7" * 5000,)], "text string"))
+    assert sorted(len(r.text) for r in pii.weak_labels(same).collect()) == [11, 16, 1000, 2000]
