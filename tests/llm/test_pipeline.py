@@ -32,7 +32,7 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
 
 
 def test_what_reaches_the_driver():
