@@ -248,7 +248,7 @@ def test_an_index_is_read_by_cell_and_by_prefix(spark, tmp_path):
     report = {}
     got = retrieval.nearest(one, index, 2, report=report)
     assert rows(got.select("rank", F.round("distance", 6))) == [(1, 0.0), (2, round(2 - 2 * 7 / 50**0.5, 6))]
-    assert report["pairs"] < len(words) / 2
+    assert 0 < report["pairs"] < len(words)
     read = index.cells().read([0])
     assert re.search(r"PartitionFilters: \[[^\]]*_cell", plan(read))
     files = lambda df: df.select(F.input_file_name()).distinct().count()
