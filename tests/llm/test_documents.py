@@ -145,11 +145,51 @@ def test_pseudo_labels_help():
     y = random.random(4000) < 0.5
     views = [y[:, None] * 2.0 + random.normal(size=(4000, 3)) for _ in range(2)]
     few, pool, rest = np.arange(4000) < 40, (np.arange(4000) >= 40) & (np.arange(4000) < 2000), np.arange(4000) >= 2000
-    fitted, weights = cotraining.train([v[few] for v in views], y[few], np.arange(40) % 3 == 0, [v[pool] for v in views], 4, 300, 0.9)
+
+    def surest(fitted, taken):
+        named = []
+        for teacher, view in enumerate(fitted):
+            z = view.calibrated(views[teacher])
+            fresh = [k for k in np.argsort(-np.abs(z), kind="stable") if pool[k] and abs(z[k]) > 2.2 and k not in taken[1 - teacher]][:300]
+            named.append((fresh, views[1 - teacher][fresh], (z[fresh] > 0).astype(float)))
+        return named
+
+    fitted, weights = cotraining.train([v[few] for v in views], y[few], np.arange(40) % 3 == 0, surest, 4)
     total = weights[0] + sum(w * f.calibrated(v[rest]) for w, f, v in zip(weights[1:], fitted, views))
     assert ((total > 0) == y[rest]).mean() > 0.93
 
 
+def test_the_whole_pool_is_searched_for_the_surest(spark):
+    """The surest rows of either label, from all rows; known ones and unsure ones are left out, and equal sureness is shared out by hash."""
+    n = 5_000
+    cells = [F.lit(0.0).alias(c) for c in cotraining.SEEN[1:-2]]
+    seen = spark.range(n).select((F.col("id") / 100.0 - 25).alias("_c0"), *cells, F.lit(1).alias("_source_at"), F.lit(2).alias("_lang_at"), F.col("id").alias("_h"))
+    w = lambda size, first: cotraining.View(np.r_[0.0, first, np.zeros(size - 1)], np.zeros(size), np.r_[8.0, np.ones(size - 1)])
+    content, blank = w(len(cotraining.CONTENT), 8.0), w(1 + 2 * cotraining.BUCKETS, 0.0)
+    first, second = cotraining._surest(seen, [content, blank], [set(), set()], 100, 0.95)
+    assert 40 <= sum(first[2] == 1) <= 60 and 40 <= sum(first[2] == 0) <= 60 and second[0] == []
+    assert min(k for k, good in zip(first[0], first[2]) if good) >= 4_930 and max(k for k, good in zip(first[0], first[2]) if not good) <= 70
+    assert first[1].shape == (len(first[0]), 1 + 2 * cotraining.BUCKETS) and (first[1].sum(axis=1) == 2).all()
+    again, _ = cotraining._surest(seen, [content, blank], [set(), set(first[0])], 100, 0.95)
+    assert again[0] and not set(again[0]) & set(first[0])
+    every, _ = cotraining._surest(seen, [content, blank], [set(), set()], 10**6, 0.95)
+    assert sorted(every[0]) == [k for k in range(n) if abs(k / 100 - 25) >= np.log(19)]
+    assert cotraining._surest(seen.limit(0), [content, blank], [set(), set()], 100, 0.95)[0][0] == []
+
+
+def test_an_id_of_many_rows_is_one_labelled_document(spark, documents, labels):
+    many = documents.join(labels, "doc_id").select(documents.columns).limit(1).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3_000)))).drop("copy")
+    once = cotraining._fit(*_fit_inputs(documents, labels), 10_000, 1, 100, 0.95)
+    twice = cotraining._fit(*_fit_inputs(documents.union(many), labels), 10_000, 1, 100, 0.95)
+    assert np.allclose(once[1], twice[1]) and all(np.allclose(a.weights, b.weights) for a, b in zip(once[0], twice[0]))
+
+
+def _fit_inputs(documents, labels):
+    docs = documents.select(*[F.col(a).alias(b) for a, b in
+                              (("doc_id", "_id"), ("text", "_text"), ("source", "_source"), ("lang", "_lang"), ("n_chars", "_n_chars"))])
+    return docs, labels.select(F.col("doc_id").alias("_key"), F.col("quality").alias("_quality"))
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     return Tokenizer.from_file(default_path("byte_bpe_50k.json"))
