@@ -1,7 +1,8 @@
 """Personal data: named patterns, and a linear-chain conditional random field over word shapes that finds what they miss.
 
-The field is trained on a small labelled table of snippets, by default derived from the documents: lines with a digit or an at sign, labelled by
-the patterns. Training sees at most ``snippets`` rows. Each task scores whole texts in numpy batches: a word's kind (its tuple of shape features) selects a row of
+The field is trained on a small labelled table: ``planted`` lines that show personal data in forms the patterns do not match, beside dates, numbers and codes
+that are none, and lines of the documents with a digit or an at sign, labelled by the patterns. Of the latter it sees at most ``snippets``, and none that
+holds more than the patterns explain. Each task scores whole texts in numpy batches: a word's kind (its tuple of shape features) selects a row of
 scores, and one Viterbi pass decodes all the batch's words. Words tagged as personal outside the patterns' spans become spans.
 """
 
@@ -79,16 +80,72 @@ def weak_labels(docs: DataFrame, text: str = "text", snippets: int = 3_000, long
     return picked.select("text", spans("text").alias("spans"))
 
 
+# Forms of personal data that the patterns miss, and what looks like it and is none: 9 stands for a digit, w for a word, C for a number's digits that pass the Luhn check.
+FORMS = {
+    "email": ("w@w", "w.w@w", "w99@w", "w@wé.w", "w@wü.w.w"),
+    "card": ("CCCC.CCCC.CCCC.CCCC", "CCCC/CCCC/CCCC/CCCC", "CCCC_CCCC_CCCC_CCCC"),
+    "phone": ("(999) 999-9999", "(9999) 999999", "999/999-9999", "9999/9999999", "999-999-9999", "999.999.9999"),
+    "": ("9999-99-99", "99.99.9999", "99/99/9999", "99:99", "9,999.99", "9999", "99", "999999", "99999999", "9999999999", "9999999999999999", "9.99.9", "9999-9999",
+         "999-9-99-999999-9", "9w99w9w9", "99w9999w99", "w-99", "#9999", "(9999)", "(99)", "99%", "99999-9999", "@w", "9999-99-99w99:99:99"),
+}
+
+
+def _filled(form: str, random: np.random.Generator) -> str:
+    digits = [int(d) for d in random.integers(0, 10, form.count("C"))]
+    if digits:
+        # The last digit that makes the sum pass.
+        digits[-1] = next(d for d in range(10) if luhn("".join(map(str, [*digits[:-1], d]))))
+    card = iter(digits)
+    word = lambda: "".join(random.choice(list("abcdeghilmnorstu"), random.integers(2, 9)))
+    return "".join(str(random.integers(0, 10)) if c == "9" else str(next(card)) if c == "C" else word() if c == "w" else c for c in form)
+
+
+def planted_rows(rows: int = 1_500, seed: int = 1) -> list[tuple[str, list[Span]]]:
+    """Lines of invented words with up to three forms each, and the places of those that are personal data; made by rule, equal for equal arguments."""
+    random = np.random.default_rng(seed)
+    forms = [(KINDS.index(kind) if kind else None, form) for kind, fs in FORMS.items() for form in fs]
+    out = []
+    for _ in range(rows):
+        text, spans = "", []
+        for _ in range(random.integers(1, 4)):
+            text += _filled("w " * random.integers(0, 5), random)
+            kind, form = forms[random.integers(len(forms))]
+            body = _filled(form, random)
+            if kind is not None:
+                spans.append((kind, len(text), len(text) + len(body)))
+            text += body + str(random.choice(["", "", ".", ","])) + " w "[: random.integers(1, 3)].replace("w", "end")
+            text += "" if text.endswith(" ") else " "
+        out.append((text.strip(), spans))
+    return out
+
+
+def labelled_table(docs: DataFrame, text: str = "text", snippets: int = 3_000) -> DataFrame:
+    """``weak_labels`` of the documents (weak) and the ``planted_rows`` (not weak): text, spans, weak."""
+    schema = "text string, spans array<struct<kind:int,start:int,stop:int>>, weak boolean"
+    planted = docs.sparkSession.createDataFrame([(t, s, False) for t, s in planted_rows()], schema)
+    return weak_labels(docs, text, snippets).withColumn("weak", F.lit(True)).unionByName(planted)
+
+
+def _unexplained(word: str) -> bool:
+    """What a pattern may have missed: an at sign, five digits or more, a number in parentheses."""
+    return "@" in word or sum("0" <= c <= "9" for c in word) >= 5 or word[0] == "(" and bool(_DIGIT.match(word[1:2]))
+
+
 def fit(labelled: DataFrame, around: int = 6) -> Model | None:
-    """Train on rows of (text, spans): the words within ``around`` of one that is labelled or holds a digit or at sign. None without such words."""
+    """Train on rows of (text, spans): the words within ``around`` of one that is labelled or holds a digit or at sign. None without such words.
+
+    Rows whose column ``weak`` is true, if there is one, are left out where an unlabelled word may yet be personal data.
+    """
     sentences = []
-    for row in labelled.select("text", "spans").collect():
+    for row in labelled.select("text", "spans", *[c for c in ("weak",) if c in labelled.columns]).collect():
         words = [(m.group(), m.start(), m.end()) for m in re.finditer(r"\S+", row["text"] or "")]
         tags = [0] * len(words)
         for kind, start, stop in row["spans"] or []:
             for k, (_, a, b) in enumerate(words):
                 if a < stop and start < b:
                     tags[k] = kind + 1
+        if "weak" in row and row["weak"] and any(not t and _unexplained(w) for t, (w, *_) in zip(tags, words)):
+            continue
         near = [k for k, (w, *_) in enumerate(words) if tags[k] or "@" in w or _DIGIT.search(w)]
         chosen = sorted({j for k in near for j in range(max(0, k - around), min(len(words), k + around + 1))})
         cut: list[int] = []
@@ -157,12 +214,13 @@ def model_spans(model: Model, kinds: Kinds, texts: list[str]) -> list[list[Span]
 
 
 def _plausible(text: str, span: Span) -> bool:
-    """What a tagged span must hold at the least: an address its sign, numbers enough digits."""
+    """What a tagged span must hold at the least: an address its sign, numbers enough digits, a card's the checksum too."""
     kind, start, stop = span
     body = text[start:stop]
-    digits = sum("0" <= c <= "9" for c in body)
-    return (kind == 0 and "@" in body[1:-1] or kind == 1 and body.count(".") == 3 and digits >= 4 or kind == 2 and 13 <= digits <= 19
-            or kind == 3 and 8 <= digits <= 15)
+    digits = "".join(c for c in body if "0" <= c <= "9")
+    n = len(digits)
+    return (kind == 0 and "@" in body[1:-1] or kind == 1 and body.count(".") == 3 and n >= 4 or kind == 2 and 16 <= n <= 19 and luhn(digits)
+            or kind == 3 and 8 <= n <= 15)
 
 
 def find(model: Model | None, kinds: Kinds | None, texts: list[str]) -> Iterator[tuple[list[Span], list[Span]]]:
@@ -185,11 +243,11 @@ def _arrow(rows: list[list[Span]]) -> pa.Array:
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", model: Model | None = None) -> DataFrame:
     """The columns of ``keep``, then ``base`` and ``found``: arrays of (kind number, start, stop), by kind, then start.
 
-    Without a ``model`` one is trained on ``weak_labels`` of the documents; where they hold nothing to learn from, ``found`` equals ``base``. Texts are
+    Without a ``model`` one is trained on the ``labelled_table`` of the documents; without documents that is the planted lines alone. Texts are
     read whole; null and empty ones have no spans. Rows are scanned one by one, so repeated rows give equal results. No documents give no rows;
     columns not in ``keep`` are not read.
     """
-    model = fit(weak_labels(docs, text)) if model is None else model
+    model = fit(labelled_table(docs, text)) if model is None else model
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("base", SPANS), T.StructField("found", SPANS)])
     width = len(keep)
 
@@ -219,7 +277,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", model: Model | None = None) -> DataFrame:
     """The documents with personal data replaced in ``text``, and ``n_chars`` counted anew where something was. All other columns stay as they are."""
-    model = fit(weak_labels(docs, text)) if model is None else model
+    model = fit(labelled_table(docs, text)) if model is None else model
     schema, at = docs.schema, docs.columns.index(text)
     count = docs.columns.index(n_chars) if n_chars in docs.columns else None
 

@@ -30,7 +30,7 @@ ALLOWED = (
     r"^[A-Za-z/_=+-]*[0-9]{0,4}$|^[0-9]+(?:[-_/][0-9]+)*$|^(?:[A-Za-z]+[-_/])+[A-Za-z]*[0-9]{0,4}$"
 )
 CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}"
-RUN = 128  # matches of a text that are placed together
+RUN = 128  # matches of a text that are placed, or compared, together
 SPAN = "struct<start:int,kind:int,stop:int,text:string>"
 
 
@@ -63,6 +63,17 @@ def spans(text: Column, pattern: str, kind: int, guard: Column | None = None) ->
     return F.when(text.rlike(pattern) if guard is None else guard, placed).otherwise(_nothing())
 
 
+def apart(candidates: Column, base: Column) -> Column:
+    """The candidates that overlap no span of ``base``, which is in order of start. A candidate is compared with the first start and last stop
+    of each run of ``base``, and with the spans of a run only where these leave it open."""
+    meets = lambda x, first, last: (first < x["stop"]) & (x["start"] < last)
+    run = lambda r: F.struct(r[0]["start"].alias("first"), F.array_max(F.transform(r, lambda b: b["stop"])).alias("last"), r.alias("spans"))
+    count = F.ceil(F.size(base) / RUN).cast("int")
+    runs = F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda b: let(F.slice(base, (b - 1) * RUN + 1, F.lit(RUN)), run)))
+    hit = lambda x, r: meets(x, r["first"], r["last"]) & F.exists(r["spans"], lambda b: meets(x, b["start"], b["stop"]))
+    return F.when(count > 0, let(runs, lambda rs: F.filter(candidates, lambda x: ~F.exists(rs, lambda r: hit(x, r))))).otherwise(candidates)
+
+
 def window_entropy(text: Column, width: int) -> Column:
     """Largest Shannon entropy, in bits, of the windows of ``width`` characters of a text of at least that length."""
     weight = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(width + 2)])
@@ -113,8 +124,7 @@ def scan(docs: DataFrame, text: str = "text", width: int = 20) -> DataFrame:
         "base": F.sort_array(F.concat(assigned, spans(source, ACCESS, 1, F.contains(source, F.lit("AKIA"))), spans(source, HEX, 2))),
         "_runs": spans(source, CANDIDATE % width, 3),
     })
-    apart = lambda x: ~F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"]))
-    extra = F.filter("_runs", lambda x: apart(x) & random_looking(x["text"], width))
+    extra = F.filter(apart(F.col("_runs"), F.col("base")), lambda x: random_looking(x["text"], width))
     df = df.withColumn("found", F.when(F.size("_runs") > 0, F.sort_array(F.concat("base", extra))).otherwise(F.col("base")))
     name = F.array(*map(F.lit, KINDS))
     shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", F.get(name, x["kind"]), x["start"], x["stop"])), ",")

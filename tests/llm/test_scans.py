@@ -188,3 +188,33 @@ def test_personal_data_is_learned_from_texts_of_one_long_line(spark, documents):
     assert lines.filter("size(spans) > 0").count() >= pii.weak_labels(documents).filter("size(spans) > 0").count() / 2
     same = spark.range(500).selectExpr("'call 5551234 now' as text").union(spark.createDataFrame([("a@b.example",), ("7" * 5000,)], "text string"))
     assert sorted(len(r.text) for r in pii.weak_labels(same).collect()) == [11, 16, 1000, 2000]
+
+
+def test_field_on_held_out_lines(spark, documents):
+    """Of planted lines it has not seen, the field finds what the patterns miss, and little else; numbers and codes of the documents stay."""
+    model = pii.fit(pii.labelled_table(documents))
+    lines = pii.planted_rows(600, seed=77)
+    found = list(pii.find(model, pii.Kinds(model), [t for t, _ in lines]))
+    want = {(i, s) for i, (_, spans) in enumerate(lines) for s in spans if not any(a < s[2] and s[1] < b for _, a, b in found[i][0])}
+    added = {(i, s) for i, (base, spans) in enumerate(found) for s in spans if s not in base}
+    print("held out:", len(want), "added:", len(added), "right:", len(want & added))
+    assert len(want) > 300 and len(want & added) >= 0.9 * len(want) and len(want & added) >= 0.95 * len(added)
+    texts = [t or "" for t in texts_of(documents).values()]
+    assert all(base == sorted(spans) for base, spans in ((sorted(b), s) for b, s in pii.find(model, pii.Kinds(model), texts)))
+
+
+def test_weak_lines_that_the_patterns_do_not_explain_teach_nothing(spark):
+    rows = [("call (415) 555-0199 now", [], True), ("write a@b today", [], True)]
+    df = spark.createDataFrame(rows, "text string, spans array<struct<kind:int,start:int,stop:int>>, weak boolean")
+    assert pii.fit(df) is None and pii.fit(df.drop("weak")) is not None
+
+
+@pytest.mark.parametrize("size", [0, 1, 127, 128, 129, 300])
+def test_apart(spark, size):
+    random = np.random.default_rng(size)
+    span = lambda a, n: (int(a), 0, int(a + n), "")
+    base = sorted(span(a, n) for a, n in zip(random.integers(0, 20 * size + 1, size), random.integers(1, 60, size)))
+    candidates = [span(a, n) for a, n in zip(random.integers(0, 20 * size + 50, 400), random.integers(1, 30, 400))]
+    df = spark.createDataFrame([(base, candidates)], f"base array<{secrets.SPAN}>, found array<{secrets.SPAN}>")
+    (got,), = df.select(secrets.apart(F.col("found"), F.col("base"))).collect()
+    assert [tuple(x) for x in got] == [c for c in candidates if not any(b[0] < c[2] and c[0] < b[2] for b in base)]
