@@ -3,8 +3,10 @@
 The index holds, for every template, its rarest words over the corpus (highest inverse document frequency) with their places. A
 text's words that the index knows are looked up; a posting (template, place in template) at a place in the text votes for the
 template's start there. Starts with enough votes are candidates, and a candidate stands when the template's key phrases occur in
-the window it covers. Everything after the frequency count is a scan of built-in functions: postings are literals, since they
-number a few per template, and no text leaves its row.
+the window it covers. A template needs no more votes than the indexed words of its shortest key phrase can give, so a mention that
+holds only the phrase is a candidate too; a template with a key phrase whose words are not all in the corpus can stand nowhere and is
+left out. Everything after the frequency count is a scan of built-in functions: postings are literals, since they number a few
+per template, and no text leaves its row.
 """
 
 from __future__ import annotations
@@ -58,6 +60,26 @@ TEMPLATES = (
     Template("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
     Template("proprietary", "unauthorized copying of this file via any medium is strictly prohibited proprietary and confidential",
              ("strictly prohibited",)),
+    # Whole licences.
+    Template("mit", """permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the
+software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell
+copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this
+permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or
+implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or
+copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with
+the software or the use or other dealings in the software""", ("substantial portions of the software", "provided as is")),
+    Template("isc", """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the
+above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this
+software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential
+damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or
+in connection with the use or performance of this software""", ("author disclaims all warranties", "other tortious action")),
+    Template("bsd", """redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
+redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must
+reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the
+distribution""", ("redistributions of source code must retain", "redistributions in binary form must reproduce")),
+    Template("zlib", """this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising
+from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute
+it freely subject to the following restrictions the origin of this software must not be misrepresented""", ("redistribute it freely", "must not be misrepresented")),
 )
 
 
@@ -81,30 +103,43 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> t
 
 
 def rare_postings(documents: int, counts: dict[str, int], templates=TEMPLATES, rare: int = 8) -> dict[str, list[tuple[int, int]]]:
-    """word -> [(template number, place)] for the ``rare`` words of each template with the highest inverse document frequency.
+    """word -> [(template number, place)] for the ``rare`` words of each template with the highest inverse document frequency, and the rarest
+    word of each of its key phrases. Words that no document holds are not ranked; a template with one in a key phrase has no postings.
     Of equally frequent words the one in fewer templates comes first, then the longer, then the alphabetically smaller."""
     spread = {w: sum(w in t.words for t in templates) for t in templates for w in t.words}
-    idf = lambda w: math.log((documents + 1) / (counts.get(w, 0) + 1))
+    idf = lambda w: math.log((documents + 1) / (counts[w] + 1))
+    rank = lambda w: (-idf(w), spread[w], -len(w), w)
     index: dict[str, list[tuple[int, int]]] = {}
     for number, template in enumerate(templates):
-        ranked = sorted(set(template.words), key=lambda w: (-idf(w), spread[w], -len(w), w))[:rare]
-        for w in ranked:
+        if not all(w in counts for p in template.phrases for w in p.split()):
+            continue
+        ranked = sorted({w for w in template.words if w in counts}, key=rank)
+        for w in sorted({*ranked[:rare], *(min(p.split(), key=rank) for p in template.phrases)}, key=rank):
             index.setdefault(w, []).extend((number, place) for place, x in enumerate(template.words) if x == w)
     return index
 
 
+def needed_votes(index: dict[str, list[tuple[int, int]]], templates=TEMPLATES, votes: int = 3) -> list[int]:
+    """Votes that make a start of each template a candidate: ``votes``, or as many as the indexed words of its key phrase with the fewest."""
+    return [max(1, min(votes, *(sum(w in index for w in p.split()) for p in t.phrases))) for t in templates]
+
+
 def _literal(index: dict[str, list[tuple[int, int]]]) -> Column:
     posting = lambda t, p: F.struct(F.lit(t).alias("t"), F.lit(p).alias("p"))
     return F.create_map(*[x for w, at in index.items() for x in (F.lit(w), F.array(*[posting(t, p) for t, p in at]))])
 
 
-def _candidates(words: Column, index: dict[str, list[tuple[int, int]]], votes: int) -> Column:
-    """Distinct (template, start) with at least ``votes`` postings: after sorting, the entry ``votes - 1`` further on is the same."""
+def _candidates(words: Column, index: dict[str, list[tuple[int, int]]], votes: list[int]) -> Column:
+    """Distinct (template, start) with at least as many postings as the template's ``votes``: after sorting, the entry that many less one
+    further on is the same."""
+    if not index:
+        return F.array().cast("array<struct<t:int,o:int>>")
+    further = F.array(*[F.lit(v - 1) for v in votes])
     known = F.array(*map(F.lit, index))
     hits = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains(known, w), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull())
     starts = F.flatten(F.transform(hits, lambda h: F.transform(
         F.element_at(_literal(index), h["w"]), lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("o")))))
-    return let(F.sort_array(starts), lambda s: F.array_distinct(F.filter(s, lambda x, k: F.get(s, k + (votes - 1)) == x)))
+    return let(F.sort_array(starts), lambda s: F.array_distinct(F.filter(s, lambda x, k: F.get(s, k + F.get(further, x["t"])) == x)))
 
 
 def _places(words: Column, phrase: str) -> Column:
@@ -128,17 +163,18 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, rare: int = 8
     """
     vocabulary = sorted({w for t in templates for w in t.words})
     index = rare_postings(*document_frequencies(docs, text, vocabulary), templates, rare)
+    known = F.array(*map(F.lit, index)).cast("array<string>")
     lengths, tokens = [len(t.words) for t in templates], [F.array(*map(F.lit, t.words)) for t in templates]
     at = lambda column, t: F.element_at(F.array(*column), t + 1)
     joined = lambda x: F.concat(F.lit(" "), F.array_join(x, " "), F.lit(" "))
     df = hold(docs, _source=F.col(text)).withColumn("_words", words_of(F.col("_source")))
-    df = df.withColumns({"_known": F.arrays_overlap("_words", F.array(*map(F.lit, index))), "_spaced": joined(F.col("_words"))})
+    df = df.withColumns({"_known": F.arrays_overlap("_words", known), "_spaced": joined(F.col("_words"))})
     nowhere = F.array().cast("array<struct<start:int,label:string>>")
     labelled = lambda label: lambda i: F.struct(i.alias("start"), F.lit(label).alias("label"))
     places = F.array_sort(F.flatten(F.array(*[
         F.when(F.contains("_spaced", F.lit(f" {p} ")), F.transform(_places(F.col("_words"), p), labelled(label))).otherwise(nowhere)
         for p, label in BASE.items()])))
-    df = df.withColumns({"_base": places, "_starts": F.when(F.col("_known"), _candidates(F.col("_words"), index, votes))})
+    df = df.withColumns({"_base": places, "_starts": F.when(F.col("_known"), _candidates(F.col("_words"), index, needed_votes(index, templates, votes)))})
 
     def verified(c: Column) -> Column:
         window = joined(F.slice("_words", F.greatest(c["o"], F.lit(0)) + 1, at(map(F.lit, lengths), c["t"]) + slack))

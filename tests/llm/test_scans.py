@@ -42,6 +42,28 @@ def test_license_templates(spark, odd, none):
     assert set(CLASHES) <= set(licenses.scan(odd).select("_row.*").columns)
 
 
+def test_license_mentions_and_whole_licences(spark):
+    bodies = {10 + n: (t.label, t.text) for n, t in enumerate(licenses.TEMPLATES) if len(t.words) > 50}
+    texts = {1: "MIT License", 2: "used under MIT license here", 3: "see the Apache License", 4: "a licence of the MIT", 5: "free of charge", 6: "general license"}
+    # Punctuation, case and line breaks do not matter.
+    texts |= {k: "Copyright (c) 1999\n\n" + ",\n".join(x.upper().split()) for k, (_, x) in bodies.items()}
+    got = {r._row.doc_id: r for r in licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert {k: got[k].labels for k in range(1, 7)} == {1: "mit", 2: "mit", 3: "apache-2.0", 4: "", 5: "", 6: ""}
+    assert len(bodies) == 4
+    for k, (label, body) in bodies.items():
+        assert label in got[k].labels.split(",") and got[k].score == 1.0, (k, label, got[k].labels)
+        assert (label, 3, 1.0) in [tuple(f) for f in got[k].found]
+
+
+def test_license_index_ranks_words_that_occur():
+    template = licenses.Template("x", "alpha beta gamma delta key phrase", ("key phrase",))
+    counts = {"alpha": 50, "beta": 40, "key": 90, "phrase": 95}
+    index = licenses.rare_postings(100, counts, [template], rare=2)
+    assert index == {"beta": [(0, 1)], "alpha": [(0, 0)], "key": [(0, 4)]}
+    assert licenses.needed_votes(index, [template]) == [1]
+    assert licenses.rare_postings(100, {"alpha": 1, "beta": 1, "key": 1}, [template]) == {}
+
+
 def secret_base(text):
     text = text or ""
     out = [(m.start(), 0, m.end()) for m in re.finditer(secrets.ASSIGN.replace("(?i)(", "((?i:").replace("_?key)", "_?key))", 1), text) if len(m[2]) >= 6]
