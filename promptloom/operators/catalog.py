@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +19,11 @@ YEARMONTH = r"^\d{6}$"
 MIN_LITERAL = 3
 
 
+_PUSHDOWN = "spark.sql.parquet.aggregatePushdown"
+# Types whose least value footers hold exactly.
+_IN_FOOTERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType, T.DateType)
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -32,23 +39,69 @@ def schema_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     One aggregate per table; nested columns have no sample.
     """
+    return _union([_profile_of(table, df, {}) for table, df in tables.items()])
+
+
+def _profile_of(table: str, df: DataFrame, known: Mapping[str, str | None]) -> DataFrame:
+    """Profile of a table; columns whose least value is ``known`` are not read."""
+    fields = list(df.schema)
+    flat = [f for f in fields if f.name not in known and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+
+    def sample(f: T.StructField) -> Column:
+        return F.col(f"`{f.name}`") if f in flat else F.lit(known.get(f.name)).cast("string")
+
+    described = F.array(*[
+        F.struct(
+            F.lit(f.name).alias("column_name"), F.lit(no).alias("column_no"),
+            F.lit(f.dataType.simpleString()).alias("data_type"), sample(f).alias("sample_value"),
+        )
+        for no, f in enumerate(fields, start=1)
+    ])
+    least = df.agg(F.count(F.lit(1)).alias("_rows"), *[_least(f).cast("string").alias(f.name) for f in flat]) if flat or not known else df.sparkSession.range(1)
+    return least.select(F.lit(table).alias("table_name"), F.inline(described))
+
+
+def footer_profile(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """``schema_profile`` of stored Parquet tables, given as table name -> path. Reads the footers now, the rest when asked.
+
+    Whole numbers, booleans and dates get their least values from the footers of the files, by Spark's own push-down of aggregates, so none of their
+    data is read. Footers cut long strings and know nothing of NaN, so other columns are scanned; so are those of a table with a column that
+    has no statistics in one of its files, or only nulls. Only one row per table reaches the driver.
+    """
     parts = []
-    for table, df in tables.items():
-        fields = list(df.schema)
-        flat = [f for f in fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-        least = df.agg(F.count(F.lit(1)).alias("_rows"), *[_least(f).cast("string").alias(f.name) for f in flat])
-        described = F.array(*[
-            F.struct(
-                F.lit(f.name).alias("column_name"), F.lit(no).alias("column_no"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                (F.col(f"`{f.name}`") if f in flat else F.lit(None).cast("string")).alias("sample_value"),
-            )
-            for no, f in enumerate(fields, start=1)
-        ])
-        parts.append(least.select(F.lit(table).alias("table_name"), F.inline(described)))
+    for table, path in paths.items():
+        df = spark.read.parquet(path)
+        known = _footer_least(spark, path, [f.name for f in df.schema if isinstance(f.dataType, _IN_FOOTERS)])
+        parts.append(_profile_of(table, df, known))
     return _union(parts)
 
 
+def _pushing_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster whose Parquet scans answer aggregates from footers; the caller's settings stay as they are."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.useV1SourceList", "")
+    other.conf.set(_PUSHDOWN, "true")
+    return other
+
+
+def footer_minima(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """One row: the least value of each column, as text, from footers alone."""
+    least = _pushing_session(spark).read.parquet(path).agg(*[F.min(f"`{n}`").alias(n) for n in names])
+    return least.select([F.col(f"`{n}`").cast("string").alias(n) for n in names])
+
+
+def _footer_least(spark: SparkSession, path: str, names: Sequence[str]) -> dict[str, str | None]:
+    if not names:
+        return {}
+    try:
+        return footer_minima(spark, path, names).first().asDict()
+    except (PySparkException, Py4JError) as failure:
+        # Spark names the setting where a footer lacks what it needs; anything else is a failure.
+        if _PUSHDOWN not in str(failure):
+            raise
+        return {}
+
+
 def schema_text(profile: DataFrame) -> DataFrame:
     """One line of prompt text per table."""
     columns = F.array_sort(F.collect_list(F.struct(

@@ -28,6 +28,14 @@ _RESULT = T.StructType([
 ])
 
 
+# Characters a call of an encoder gets, the longest text's times the number of texts.
+ENCODER_BUDGET = 1 << 20
+
+
+def _lengths(texts: pd.Series) -> list[int]:
+    return [0 if pd.isna(x) else len(x) for x in texts]
+
+
 def _attempt(predict: Predict, prompts: pd.Series, retry_limit: int) -> tuple[list, list[str], int]:
     """Call the model for one batch, at most ``retry_limit`` times in all: (responses, errors, attempts)."""
     errors: list[str] = []
@@ -42,8 +50,24 @@ def _attempt(predict: Predict, prompts: pd.Series, retry_limit: int) -> tuple[li
     return [None] * len(prompts), errors, len(errors)
 
 
+def fixed_batches(rows: Sequence[int], size: int) -> list[list[int]]:
+    return [list(rows[at : at + size]) for at in range(0, len(rows), size)]
+
+
+def budget_batches(rows: Sequence[int], lengths: Sequence[int], budget: int, size: int | None = None) -> list[list[int]]:
+    """Batches whose number of texts times longest length stays within ``budget``, and number within ``size``. Texts of like length come together,
+    so little is padded; one that is longer than the budget comes alone."""
+    out: list[list[int]] = []
+    for i in sorted(rows, key=lambda i: (lengths[i], i)):
+        # Lengths rise, so the newest text is the longest of its batch.
+        if not out or (len(out[-1]) + 1) * lengths[i] > budget or len(out[-1]) == size:
+            out.append([])
+        out[-1].append(i)
+    return out
+
+
 def model_column(prompt: Column, model: Model, batch_size: int = BATCH_SIZE,
-                 retry_limit: int = RETRY_LIMIT) -> Column:
+                 retry_limit: int = RETRY_LIMIT, budget: int | None = None) -> Column:
     """Struct of response, errors and attempts. Marked nondeterministic, so no plan evaluates it twice."""
 
     @F.pandas_udf(_RESULT)
@@ -53,8 +77,8 @@ def model_column(prompt: Column, model: Model, batch_size: int = BATCH_SIZE,
             # Null prompts never reach the model: no response, no error, no attempt.
             responses, error, attempts = [None] * len(batch), [[] for _ in range(len(batch))], [0] * len(batch)
             known = [i for i, given in enumerate(batch.notna()) if given]
-            for at in range(0, len(known), batch_size):
-                rows = known[at : at + batch_size]
+            batches_of = budget_batches(known, _lengths(batch), budget, batch_size) if budget else fixed_batches(known, batch_size)
+            for rows in batches_of:
                 answers, errors, tries = _attempt(predict, batch.iloc[rows], retry_limit)
                 for i, answer in zip(rows, answers):
                     responses[i], error[i], attempts[i] = answer, errors, tries
@@ -65,15 +89,16 @@ def model_column(prompt: Column, model: Model, batch_size: int = BATCH_SIZE,
 
 def generate(df: DataFrame, model: Model, prompt: str = "prompt", output_type: Mapping | None = None,
              batch_size: int = BATCH_SIZE, retry_limit: int = RETRY_LIMIT,
-             parallelism: int | None = None) -> DataFrame:
+             parallelism: int | None = None, budget: int | None = None) -> DataFrame:
     """Add ``response``, ``error`` and ``attempts``; with ``output_type`` the response is a parsed struct.
 
-    Lazy. ``parallelism`` bounds how many tasks, and so model clients, run at once. Apply ``materialise``
-    before using the result more than once.
+    Lazy. ``parallelism`` bounds how many tasks, and so model clients, run at once. With a ``budget``, batches are made of prompts of like length and
+    end where their number times the longest one's characters would pass it (see ``budget_batches``); ``batch_size`` still bounds them. Apply
+    ``materialise`` before using the result more than once.
     """
     if parallelism:
         df = df.repartition(parallelism)
-    called = df.withColumn("_call", model_column(F.col(prompt), model, batch_size, retry_limit))
+    called = df.withColumn("_call", model_column(F.col(prompt), model, batch_size, retry_limit, budget))
     called = called.withColumns({name: F.col("_call").getField(name) for name in _RESULT.names}).drop("_call")
     return parse_response(called, output_type) if output_type else called
 
@@ -154,21 +179,24 @@ def compact_cache(spark: SparkSession, cache_path: str) -> None:
     whole.hint("rebalance", "prefix").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("prefix").parquet(cache_path)
 
 
-def embed(df: DataFrame, encoder: Callable, text: str = "text", name: str = "embedding") -> DataFrame:
+def embed(df: DataFrame, encoder: Callable, text: str = "text", name: str = "embedding", budget: int = ENCODER_BUDGET) -> DataFrame:
     """Add an embedding. ``encoder`` is a factory like a model, from texts to equal-length float lists.
 
-    Null text has a null embedding and never reaches the encoder.
+    Null text has a null embedding and never reaches the encoder, which gets texts of like length, as many as ``budget`` allows.
     """
 
     @F.pandas_udf("array<float>")
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = encoder()
         for batch in batches:
-            out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-            known = batch[batch.notna()]
-            if len(known):
-                out.loc[known.index] = pd.Series(list(encode(known)), index=known.index, dtype=object)
-            yield out
+            out = [None] * len(batch)
+            for rows in budget_batches([i for i, given in enumerate(batch.notna()) if given], _lengths(batch), budget):
+                vectors = list(encode(batch.iloc[rows]))
+                if len(vectors) != len(rows):
+                    raise ValueError(f"encoder returned {len(vectors)} embeddings for {len(rows)} texts")
+                for i, vector in zip(rows, vectors):
+                    out[i] = vector
+            yield pd.Series(out, index=batch.index, dtype=object)
 
     return df.withColumn(name, call.asNondeterministic()(F.col(text)))
 

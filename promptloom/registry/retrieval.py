@@ -318,6 +318,12 @@ def schema_profile(t):
     return profile(t)
 
 
+@query("schema_profile_footers", _PROFILE)
+def schema_profile_footers(t):
+    """The same profile; columns whose least value stands in the files' footers are not read."""
+    return catalog.footer_profile(t.spark, {n: f"{t.folder}/{n}.parquet" for n in _TYPES})
+
+
 @query("schema_text", f"""
 SELECT table_name, string_agg(column_name || ' ' || data_type || coalesce(' e.g. ' || sample_value, ''), ', ' ORDER BY column_no) AS columns_text
 FROM ({_PROFILE}) GROUP BY table_name""")

@@ -48,6 +48,18 @@ def load_pairs_csv(t):
     return pairs.load_pairs(t.spark, path)
 
 
+@query("load_pairs_csv_lines", """
+SELECT coalesce(replace(text, ' ', chr(10)), '') AS input, '"' || lang || '", ' || source AS output FROM documents""")
+def load_pairs_csv_lines(t):
+    """Every text with a line break behind each word, quotes and commas in the other column."""
+    path = scratch_path(t.spark, "pairs") + ".csv"
+    broken = F.translate("text", " ", "\n")
+    t.documents.select(
+        broken.alias("input"), F.format_string('"%s", %s', "lang", "source").alias("output")).write.csv(
+        path, header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return pairs.load_pairs(t.spark, path)
+
+
 @query("write_dataset", "SELECT event_id, event_type, props, (SELECT count(*) FROM events) AS n_written FROM events")
 def write_dataset(t):
     """The second write finds the data set and leaves it alone."""

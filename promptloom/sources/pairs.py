@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from promptloom.functions.templates import render, require_columns
+from promptloom.storage import materialise
 
 # Size of a training subset.
 TRAIN_LIMIT = 500
@@ -34,19 +35,55 @@ def load_pairs_jsonl(spark: SparkSession, path: str, input_key: str = "input", o
     )
 
 
-def load_pairs_csv(spark: SparkSession, path: str, input_key: str = "input", output_key: str = "output",
-                   multi_line: bool = True) -> DataFrame:
+def load_pairs_csv(spark: SparkSession, path: str, input_key: str = "input", output_key: str = "output") -> DataFrame:
     """Nulls are empty text; a file without the input column is rejected.
 
-    Quoted values may hold line breaks, so a file is read by one task. Where none do, pass
-    ``multi_line=False`` and large files are split.
+    Quoted values may hold line breaks; large files are read by many tasks all the same (``csv_records``).
     """
-    rows = spark.read.csv(path, header=True, multiLine=multi_line, escape='"')
-    require_columns(rows, [input_key], "CSV file")
+    head = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    require_columns(head, [input_key], "CSV file")
+    schema = ", ".join(f"`{c}` string" for c in head.columns)
+    # The separators of the reader stand for line breaks inside values here, where each record comes alone.
+    parsed = F.from_csv("record", F.lit(schema), {"escape": '"', "multiLine": "true"})
+    rows = csv_records(spark, path).select(parsed.alias("r")).select("r.*")
     output = F.col(f"`{output_key}`") if output_key in rows.columns else F.lit("")
     return rows.select(F.col(f"`{input_key}`").alias("input"), output.alias("output")).na.fill("")
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, record) of CSV files, without each file's header and without empty lines; a record may span lines.
+
+    Lines are read in blocks by many tasks. A line opens a record where the quotes before it, in its block and in the file's earlier
+    blocks, are even in number. So blocks hand on two small facts, found by a running sum over a row per block: whether a value is open, and the
+    record it belongs to. Records of one line never move again; only the lines of longer ones are brought together. Quotes must be
+    doubled inside quoted values, and none may stand in unquoted ones. Lines end with a line feed, with or without a carriage return before it.
+    """
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    # Stored, since the places of lines depend on the tasks that read them.
+    lines = materialise(spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("line")).withColumn("odd", (quotes % 2).cast("long")), "lines")
+    earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("file", "block").orderBy("at")
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("odd"))
+    entry = blocks.select("file", "block", F.coalesce(F.sum("odd").over(earlier_blocks), F.lit(0)).alias("entry"))
+    before = F.col("entry") + F.coalesce(F.sum("odd").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.join(entry, ["file", "block"]).withColumn("opens", before % 2 == 0)
+    opened = F.last(F.when(F.col("opens"), F.col("at")), ignorenulls=True).over(in_block.rowsBetween(Window.unboundedPreceding, 0))
+    placed = materialise(placed.select("file", "block", "at", "line", "odd", "opens", opened.alias("opened")), "lines")
+    filled = F.when(F.rtrim(F.replace(F.col("line"), F.lit("\r"), F.lit(""))) != "", F.struct("block", "at"))
+    ends = placed.groupBy("file", "block").agg(F.max("opened").alias("opened"), F.min(filled).alias("first"))
+    handed = ends.select(
+        "file", "block", F.last("opened", ignorenulls=True).over(earlier_blocks).alias("handed"),
+        F.min("first").over(Window.partitionBy("file"))["at"].alias("header"))
+    keyed = placed.join(handed, ["file", "block"]).withColumn("key", F.coalesce("opened", "handed")).filter("key != header")
+    alone = F.col("opens") & (F.col("odd") == 0)
+    longer = keyed.filter(~alone).groupBy("file", "key").agg(F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("parts"))
+    joined = longer.select("file", F.array_join(F.transform("parts", lambda x: x["line"]), "\n").alias("record"))
+    records = keyed.filter(alone).select("file", F.col("line").alias("record")).unionByName(joined)
+    return records.select("file", F.regexp_replace("record", "\\r$", "").alias("record")).filter("record != ''")
+
+
 def pairs_from(df: DataFrame, input_key: str = "input", output_key: str = "output", template: str | None = None,
                **values: Column) -> DataFrame:
     """Pairs from a DataFrame. With a template, its slot ``{user}`` takes the input and ``values`` the others."""

@@ -1,12 +1,16 @@
 """Reshaping, comparison, catalog checks, evaluation and classifiers on hand-written rows."""
 
+import re
+from datetime import date
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from promptloom.operators import catalog, classify, compare, evaluate, reshape
 from promptloom.plans import experiments
 from promptloom.testing.doubles import json_model, letter_encoder
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def test_split_response_kinds(spark):
@@ -319,3 +323,27 @@ def test_registered_augmentation_fills_every_class(spark):
 
     sizes = rows(QUERIES["augment_with_model"](spark, TESTDATA).groupBy("class_name").count())
     assert len(sizes) > 1 and len({n for _, n in sizes}) == 1
+
+
+def test_profile_from_footers(spark, tmp_path):
+    def stored(name, df):
+        df.write.parquet(str(tmp_path / name))
+        return str(tmp_path / name)
+
+    rows_ = [(i, f"s{i % 5}", i % 2 == 0, i / 7 - 1, None, date(2020, 1, 1 + i), [i], Decimal(i)) for i in range(20)]
+    schema = "`a b` long, s string, t boolean, d double, n int, day date, l array<int>, m decimal(5, 1)"
+    full = spark.createDataFrame(rows_, schema).repartition(3)
+    paths = {
+        "full": stored("full", full.drop("n")), "nulls": stored("nulls", full), "empty": stored("empty", full.drop("n").limit(0)),
+        "whole": stored("whole", full.select("a b", "day")), "parts": f"{tmp_path}/parts",
+    }
+    full.select("a b", "s", F.lit(4).alias("p")).write.partitionBy("p").parquet(paths["parts"])
+    got = catalog.footer_profile(spark, paths)
+    assert rows(got) == rows(catalog.schema_profile({n: spark.read.parquet(p) for n, p in paths.items()}))
+    assert {r.column_name: r.sample_value for r in got.filter("table_name = 'whole'").collect()} == {"a b": "0", "day": "2020-01-01"}
+    # Footers alone: no data column is read, and the caller's settings are as before.
+    assert re.search(r"PushedAggregation: \[MIN\(`?a b`?\)", catalog.footer_minima(spark, paths["whole"], ["a b"])._jdf.queryExecution().executedPlan().toString())
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    scanned = plan(catalog.footer_profile(spark, {"full": paths["full"]}))
+    assert "day" not in re.search(r"ReadSchema: (\S+)", scanned)[1]
+    assert "FileScan" not in plan(catalog.footer_profile(spark, {"whole": paths["whole"]}))

@@ -1,10 +1,12 @@
 """Model calls, caching, dead letters, chains and retrieval plumbing, with test doubles."""
 
 import json
+import random
 import re
 
 import pandas as pd
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from promptloom.operators import inference, retrieval
@@ -316,3 +318,44 @@ def test_stored_steps_write_no_prompt(spark, monkeypatch):
     asks_prompt = specs.PromptSpec("again", "Improve: {prompt}", {"concept": "str"})
     assert rows(asks_prompt.run(df.withColumn("prompt", F.lit("x")), json_model(concept=lambda p: p)).select("concept", "prompt", "again_input.prompt")) == [
         ("Improve: x", "Improve: x", "x")] * 2
+
+
+def test_budget_batches():
+    rng = random.Random(3)
+    lengths = [min(5000, int(rng.paretovariate(0.8) * 20)) for _ in range(2000)] + [0, 0, 9999]
+    rows_ = [i for i in range(len(lengths)) if i % 7]
+    padding = lambda batches: sum(len(b) * max(lengths[i] for i in b) - sum(lengths[i] for i in b) for b in batches)
+    got = inference.budget_batches(rows_, lengths, 4000, 32)
+    assert sorted(i for b in got for i in b) == rows_
+    assert all(len(b) <= 32 and (len(b) == 1 or len(b) * max(lengths[i] for i in b) <= 4000) for b in got)
+    assert padding(got) * 10 < padding(inference.fixed_batches(rows_, 16))
+    assert inference.budget_batches([], [], 10) == [] and inference.budget_batches([1], [3, 99], 10) == [[1]]
+
+
+def test_encoder_and_model_keep_to_the_budget(spark):
+    texts = ["x" * n for n in (3, 900, 1, 40, 41, 7, 2000, 0, 5)] + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+
+    def encoder():
+        return lambda batch: [[float(len(x)), float(len(batch) * batch.str.len().max())] for x in batch]
+
+    got = {r.id: r.embedding for r in inference.embed(df, encoder, budget=100).collect()}
+    assert [got[i] and got[i][0] for i in range(10)] == [None if x is None else float(len(x)) for x in texts]
+    assert all(v is None or v[1] <= 100 or v[0] == v[1] for v in got.values())
+
+    def failing():
+        def answer(batch):
+            if batch.str.len().max() > 1000:
+                raise ValueError("too long")
+            return batch + "!"
+        return answer
+
+    out = {r.id: r for r in inference.generate(df, failing, "text", batch_size=4, budget=2000).collect()}
+    assert all(out[i].response == (None if i in (6, 9) else texts[i] + "!") for i in range(10))
+    assert (out[6].attempts, len(out[6].error), out[9].attempts) == (3, 3, 0)
+
+    def short():
+        return lambda batch: [[1.0]]
+
+    with pytest.raises(PySparkException, match="encoder returned 1 embeddings"):
+        inference.embed(df, short).collect()

@@ -1,6 +1,7 @@
 """Files in and out, and streaming jobs with restarts."""
 
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -33,6 +34,36 @@ def test_csv_pairs(spark, tmp_path):
         pairs.load_pairs(spark, "x.txt")
 
 
+def test_csv_by_many_tasks_equals_one_task(spark, tmp_path):
+    """Values with line breaks, quotes, blank lines and carriage returns, over many small blocks and two files."""
+    rng = random.Random(4)
+    pieces = ["a", "é", '""', ",", "\n", "\n\n", " ", "long " * 9]
+    value = lambda: '"' + "x" + "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) + '"'
+    folder = tmp_path / "p.csv"
+    folder.mkdir()
+    for name, end in (("a.csv", "\n"), ("b.csv", "\r\n")):
+        lines = [end if rng.random() < 0.05 else f"{value()},{rng.choice(['', 'plain', value()])}{end}" for _ in range(300)]
+        (folder / name).write_text(f"input,output{end}" + "".join(lines), newline="")
+    whole = spark.read.csv(str(folder), header=True, multiLine=True, escape='"').na.fill("")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1500", "40000", kept):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert rows(pairs.load_pairs(spark, str(folder))) == rows(whole), size
+            blocks = spark.read.text(str(folder)).rdd.getNumPartitions()
+            assert blocks > 10 or size != "1500"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_csv_without_rows(spark, tmp_path):
+    path = tmp_path / "p.csv"
+    path.write_text("input,output\n")
+    assert rows(pairs.load_pairs(spark, str(path))) == []
+    path.write_text('\n"input",x\n"input",y\n')
+    assert rows(pairs.load_pairs(spark, str(path))) == [("input", "")]
+
+
 def test_training_needs_two_rows(spark):
     with pytest.raises(ValueError):
         pairs.training_subset(spark.range(1), "id")
