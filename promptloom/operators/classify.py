@@ -19,12 +19,14 @@ from promptloom.storage import materialise
 C = 1.0
 MAX_ITER = 500
 MAX_BROADCAST_CLASSES = 100_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def small(classes: DataFrame) -> DataFrame:
-    """A table with a row per class, broadcast when a count shows that it is small, so that rows of a dominant
+    """A table with a row per class, broadcast when its rows and their bytes (as JSON text) show that it is small, so that rows of a dominant
     class need not meet in one task. A larger one joins by shuffle, where adaptive execution splits skew."""
-    return F.broadcast(classes) if classes.count() <= MAX_BROADCAST_CLASSES else classes
+    size = classes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")).first()
+    return F.broadcast(classes) if size["n"] <= MAX_BROADCAST_CLASSES and size["b"] <= MAX_BROADCAST_BYTES else classes
 
 
 def class_registry(examples: DataFrame, class_name: str = "class_name", position: str = "position", **options) -> DataFrame:

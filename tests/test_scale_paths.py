@@ -120,3 +120,11 @@ def test_library_rules():
         assert not re.search(r"localCheckpoint|crossJoin|toPandas|\.rdd\b|toLocalIterator", code), name
         if not name.startswith("registry/"):
             assert len(re.findall(r"\.collect\(\)", code)) == allowed.get(name, 0), name
+
+
+def test_broadcasts_are_bounded_by_bytes(spark, monkeypatch):
+    wide = spark.range(20).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    hinted = lambda: "broadcast" in classify.small(wide)._jdf.queryExecution().logical().toString().lower()
+    assert hinted() and classify.small(wide.limit(0)).count() == 0
+    monkeypatch.setattr(classify, "MAX_BROADCAST_BYTES", 10_000)
+    assert not hinted()
