@@ -56,6 +56,28 @@ def test_csv_by_many_tasks_equals_one_task(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
 
 
+def test_csv_lines_are_joined_before_they_are_stored(spark, tmp_path, monkeypatch):
+    """A text of many lines is a few stored rows, and records come out whole however the lines are cut to pieces."""
+    rng = random.Random(5)
+    value = lambda: '"' + "".join(rng.choice(["a", '""', ",", "\n", "\r\n", "é"]) for _ in range(rng.randint(0, 40))) + '"'
+    folder = tmp_path / "p.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text('  \n\n"in\nput","out\n\nput"\n' + "".join(f"{value()},{value()}\n" for _ in range(100)), newline="")
+    (folder / "b.csv").write_text("input,output\n" + "w\n" * 50 + '"never\nclosed\n', newline="")
+    stored, materialise = [], pairs.materialise
+    monkeypatch.setattr(pairs, "materialise", lambda df, label: stored.append(materialise(df, label)) or stored[-1])
+    want = rows(pairs.csv_records(spark, str(folder)).select("record"))
+    assert len(want) == 152 and ('  ',) in want and ('"never\nclosed',) in want
+    assert stored[0].count() <= 4
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+        assert rows(pairs.csv_records(spark, str(folder), piece_bytes=1).select("record")) == want
+        assert stored[-2].count() > 200
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+
+
 def test_csv_without_rows(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text("input,output\n")
