@@ -5,11 +5,14 @@ Queries visit cells in rounds, nearest pivot first: every round carries the k-th
 cannot beat it, and drops the queries that have none left. Each round visits several times as many cells as the one before, so there are few rounds.
 
 Only pivots and one row per cell, both of fixed number, reach the driver. Rows are read cell by cell, so an index stored by cell is read only where a
-query looks. A crowded cell spreads over pieces, and the queries that visit it over blocks; a task sees one of each.
+query looks. Cells form groups: a query is sent once to a group, with a bit for each cell that it visits, however many those are. A crowded cell is a group of
+its own and spreads over pieces, and the queries that visit a group over blocks; a task sees one of each.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,6 +30,7 @@ MAX_CELLS = 1024
 GROWTH = 8  # each round visits up to this many times the cells of the one before
 PAIRS_PER_TASK = 1 << 20
 _MATRIX_CELLS = 4 << 20  # distances held at once in a task
+_FRESH_HITS = 1 << 20  # hits of a task before only the nearest are kept
 
 
 @dataclass(frozen=True)
@@ -103,16 +107,19 @@ def search(queries: DataFrame, index: Cells, k: int, block_rows: int | None = No
     block_rows = block_rows or max(1024, BLOCK_BYTES // (8 * max(1, index.pivots.shape[1])))
     open_queries = queries.select("_q", "_v", F.lit(None).cast("double").alias("_bound"))
     best, start, stop, rounds, pairs = None, 0, 0, 0, 0
-    more = F.when(F.col("later") > 0, F.array(F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    # Query blocks and groups share the tasks, so neither side is copied much.
+    tasks = 2 * queries.sparkSession.sparkContext.defaultParallelism
+    group = group_cells(index.count, min(block_rows, max(CELL_ROWS, -(-int(index.count.sum()) // math.isqrt(tasks)))))
     while True:
-        # Stored with the list of cells still inside the row, so a vector is written once however many it visits.
-        routed = open_queries.withColumn("_r", _route(index, k, start, stop)("_v", "_bound")).select("_q", "_v", "_bound", "_r.cells", "_r.later")
+        # Stored with the visited cells as bits inside the row, so a vector is written once however many it visits.
+        routed = open_queries.withColumn("_r", _route(index, group, k, start, stop)("_v", "_bound")).select("_q", "_v", "_bound", "_r.*")
         routed = materialise(routed, "routes")
-        visited = routed.select(F.explode(F.concat("cells", more)).alias("cell")).groupBy("cell").count()
-        visits = {r.cell: r["count"] for r in visited.collect()}  # a row per cell, and at -1 the queries that may go on
+        visited = routed.select("cells", "groups", "later").mapInArrow(_tally(len(group)), "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+        visits = {r.place: r.n for r in visited.collect()}  # a row per cell and per group, and one for the queries that may go on
         going_on = visits.pop(-1, 0)
+        asked = {-2 - place: visits.pop(place) for place in [p for p in visits if p < 0]}
         if visits:
-            found = _visit(routed, index, visits, k, block_rows)
+            found = _visit(routed, index, group, visits, asked, k, block_rows, tasks)
             best = found if best is None else best.drop("rank").unionByName(found)
             best = materialise(top_k(best, k), "best")
             rounds, pairs = rounds + 1, pairs + sum(n * int(index.count[c]) for c, n in visits.items())
@@ -120,7 +127,7 @@ def search(queries: DataFrame, index: Cells, k: int, block_rows: int | None = No
             break
         start, stop = stop, GROWTH * max(1, stop)
         bound = best.filter(F.col("rank") == k).select("_q", F.col("distance").alias("_bound"))
-        open_queries = routed.filter("later > 0").drop("_bound", "cells", "later").join(bound, "_q")
+        open_queries = routed.filter("later > 0").select("_q", "_v").join(bound, "_q")
     if report is not None:
         report |= {"rounds": rounds, "pairs": pairs}
     if best is None:
@@ -130,19 +137,30 @@ def search(queries: DataFrame, index: Cells, k: int, block_rows: int | None = No
     return best
 
 
-def _route(index: Cells, k: int, start: int, stop: int) -> Callable:
-    """(cells, later): the cells that a query visits in a round, and how many it may yet visit.
+def group_cells(count: np.ndarray, rows: int) -> np.ndarray:
+    """The group of each cell: cells in order, as many as hold ``rows`` together; one that holds more is alone."""
+    group, held, at = np.zeros(len(count), dtype=np.int32), 0, 0
+    for c, n in enumerate(count.tolist()):
+        if held and held + n > rows:
+            held, at = 0, at + 1
+        group[c], held = at, held + n
+    return group
+
+
+def _route(index: Cells, group: np.ndarray, k: int, start: int, stop: int) -> Callable:
+    """(cells, groups, later): the cells that a query visits in a round as bits, their groups, and how many cells it may yet visit.
 
     The first round (``stop`` 0) takes the nearest cells that together hold ``k`` rows. Places ``start`` to ``stop`` of the later rounds count from there on.
     """
     pivots, count, radius = index.pivots, index.count, index.radius
+    first = np.flatnonzero(np.diff(group, prepend=-1))  # groups are runs of cells
 
-    @F.pandas_udf("cells array<int>, later int")
+    @F.pandas_udf("cells binary, groups array<int>, later int")
     def route(vectors, bound):
         import pandas as pd
 
         if not len(vectors) or not (count > 0).any():
-            return pd.DataFrame({"cells": [np.zeros(0, np.int32)] * len(vectors), "later": 0})
+            return pd.DataFrame({"cells": [b""] * len(vectors), "groups": [np.zeros(0, np.int32)] * len(vectors), "later": 0})
         d = to_pivots(np.stack(vectors.to_numpy()), pivots)
         order = np.argsort(d, axis=1, kind="stable")
         held = np.cumsum(count[order], axis=1)
@@ -157,40 +175,69 @@ def _route(index: Cells, k: int, start: int, stop: int) -> Callable:
             fits = full & ~home & (ordered - radius[order] <= reach)
             place = np.arange(d.shape[1])[None, :] - home.sum(axis=1)[:, None]
             now, later = fits & (place >= start) & (place < stop), fits & (place >= stop)
-        return pd.DataFrame({"cells": [o[n].astype(np.int32) for o, n in zip(order, now)], "later": later.sum(axis=1).astype(np.int32)})
+        visit = np.zeros(d.shape, dtype=bool)
+        np.put_along_axis(visit, order, now, axis=1)
+        groups = np.logical_or.reduceat(visit, first, axis=1)
+        return pd.DataFrame({
+            "cells": [row.tobytes() for row in np.packbits(visit, axis=1)], "groups": [np.flatnonzero(row).astype(np.int32) for row in groups],
+            "later": later.sum(axis=1).astype(np.int32),
+        })
 
     return route
 
 
+def _bits(cells: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
+    """A row of ``n`` booleans for each row of bits; an empty one visits no cell."""
+    if not n:
+        return np.zeros((len(cells), 0), dtype=bool)
+    width = -(-n // 8)
+    return np.unpackbits(np.frombuffer(b"".join(x or bytes(width) for x in cells.to_pylist()), np.uint8).reshape(len(cells), width), axis=1, count=n).astype(bool)
+
+
+def _tally(n_cells: int) -> Callable:
+    """(place, n) of a task: queries that visit a cell, queries that may go on (-1), queries that visit group g (-2 - g)."""
+
+    def tally(batches):
+        total = Counter()
+        for batch in batches:
+            visit = _bits(batch.column("cells"), n_cells).sum(axis=0)
+            total.update({int(c): int(visit[c]) for c in np.flatnonzero(visit)})
+            groups = np.bincount(batch.column("groups").flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+            total.update({-2 - int(g): int(groups[g]) for g in np.flatnonzero(groups)})
+            total[-1] += int(np.count_nonzero(batch.column("later").to_numpy(zero_copy_only=False)))
+        yield pa.record_batch([pa.array(list(total.keys()), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["place", "n"])
+
+    return tally
+
+
 def _pieces(key: str, n: int | Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n) if isinstance(n, int) else n).cast("int")
 
 
-def _visit(routed: DataFrame, index: Cells, visits: dict[int, int], k: int, block_rows: int) -> DataFrame:
-    """Send each query to the pieces of its cells and search them."""
-    pieces = np.maximum(1, -(-index.count // block_rows))
-    n_pieces = F.element_at(F.array(*[F.lit(int(p)) for p in pieces]), F.col("_cell") + 1)
+def _visit(routed: DataFrame, index: Cells, group: np.ndarray, visits: dict[int, int], asked: dict[int, int], k: int, block_rows: int, tasks: int) -> DataFrame:
+    """Send each query to the pieces of the groups of its cells and search those cells."""
+    groups, n_cells = int(group.max()) + 1, len(group)
+    pieces = np.maximum(1, -(-np.bincount(group, index.count, groups).astype(np.int64) // block_rows))
+    pairs = np.bincount(group, [float(visits.get(c, 0) * int(index.count[c])) for c in range(n_cells)], groups)
     # Blocks of queries: as many as their number asks for, and more for parallelism while a block pair keeps enough work.
-    tasks = 2 * routed.sparkSession.sparkContext.defaultParallelism
-    many = np.ones(len(pieces), dtype=np.int64)
-    for cell, n in visits.items():
-        work = n * int(index.count[cell]) // (int(pieces[cell]) * PAIRS_PER_TASK)
-        many[cell] = max(1, -(-n // block_rows), min(-(-tasks // int(pieces[cell])), work))
-    n_blocks = F.element_at(F.array(*[F.lit(int(p)) for p in many]), F.col("_cell") + 1)
-    left = routed.select("_q", "_v", "_bound", F.explode("cells").alias("_cell")).select(
-        "*", F.explode(F.sequence(F.lit(0), n_pieces - 1)).alias("_piece"), _pieces("_q", n_blocks).alias("_block"))
-    right = index.read(sorted(visits)).select("_x", "_v", "_cell").select(
-        "*", _pieces("_x", n_pieces).alias("_piece"), F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("_block"))
+    many = np.ones(groups, dtype=np.int64)
+    for g, n in asked.items():
+        work = int(pairs[g]) // (int(pieces[g]) * PAIRS_PER_TASK)
+        many[g] = max(1, -(-n // block_rows), min(math.ceil(tasks * pairs[g] / pairs.sum() / pieces[g]), work))
+    of = lambda numbers, at: F.element_at(F.array(*[F.lit(int(p)) for p in numbers]), F.col(at) + 1)
+    left = routed.select("_q", "_v", "_bound", "cells", F.explode("groups").alias("_group")).select(
+        "*", F.explode(F.sequence(F.lit(0), of(pieces, "_group") - 1)).alias("_piece"), _pieces("_q", of(many, "_group")).alias("_block"))
+    right = index.read(sorted(visits)).select("_x", "_v", "_cell", of(group, "_cell").alias("_group")).select(
+        "*", _pieces("_x", of(pieces, "_group")).alias("_piece"), F.explode(F.sequence(F.lit(0), of(many, "_group") - 1)).alias("_block"))
     schema = T.StructType([
         T.StructField("_q", left.schema["_q"].dataType), T.StructField("_x", right.schema["_x"].dataType),
         T.StructField("distance", T.DoubleType()), T.StructField("_cell", T.IntegerType()),
     ])
 
-    def run(key: tuple, queries: pa.Table, rows: pa.Table) -> pa.Table:
-        found = block_top_k(queries, rows, k)
-        return found.append_column("_cell", pa.array([key[0].as_py()] * len(found), pa.int32()))
+    def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        return group_top_k(queries, rows, k, n_cells)
 
-    keys = ["_cell", "_piece", "_block"]
+    keys = ["_group", "_piece", "_block"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
 
@@ -204,21 +251,48 @@ def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
-def block_top_k(queries: pa.Table, index: pa.Table, k: int) -> pa.Table:
-    """Exact top k of one block pair. A matrix product finds the candidates, with a margin for its rounding;
-    their distances are then summed term by term, so they do not depend on how rows were blocked. Rows beyond a query's ``_bound`` are left out."""
-    names = ["_q", "_x", "distance"]
+def group_top_k(queries: pa.Table, index: pa.Table, k: int, n_cells: int) -> pa.Table:
+    """Exact top k of one block of queries among the rows of those cells of a group that each visits. Rows beyond a query's ``_bound`` are left out."""
+    names = ["_q", "_x", "distance", "_cell"]
     if not len(queries) or not len(index):
-        types = [queries.schema.field("_q").type, index.schema.field("_x").type, pa.float64()]
+        types = [queries.schema.field("_q").type, index.schema.field("_x").type, pa.float64(), pa.int32()]
         return pa.table([pa.array([], t) for t in types], names=names)
     index = index.sort_by("_x")
-    points, xs = _matrix(queries["_v"]), _matrix(index["_v"])
+    points, xs, cell = _matrix(queries["_v"]), _matrix(index["_v"]), index["_cell"].to_numpy()
     bound = queries["_bound"].to_numpy()
     bound = np.where(np.isnan(bound), np.inf, bound)
+    visit = _bits(queries["cells"], n_cells)
+    best, fresh = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), []
+    for c in np.unique(cell):
+        who, rows = np.flatnonzero(visit[:, c]), np.flatnonzero(cell == c)
+        if len(who):
+            qi, xi, dist = _block_top_k(points[who], bound[who], xs[rows], k)
+            fresh.append((who[qi], rows[xi], dist))
+        if sum(len(f[0]) for f in fresh) > _FRESH_HITS:
+            best, fresh = _least(best, fresh, k), []
+            # A query with k hits needs no farther ones from the cells to come.
+            full = np.flatnonzero(np.diff(best[0], append=-1))[np.bincount(best[0])[np.unique(best[0])] == k]
+            bound[best[0][full]] = np.minimum(bound[best[0][full]], best[2][full])
+    qi, xi, dist = _least(best, fresh, k)
+    return pa.table([queries["_q"].take(pa.array(qi)), index["_x"].take(pa.array(xi)), pa.array(dist), pa.array(cell[xi], pa.int32())], names=names)
+
+
+def _least(best: tuple, fresh: list, k: int) -> tuple:
+    """The k hits (query, row, distance) of least distance of each query, then of least row, by query."""
+    qi, xi, dist = (np.concatenate(parts) for parts in zip(best, *fresh))
+    order = np.lexsort((xi, dist, qi))
+    qi, xi, dist = qi[order], xi[order], dist[order]
+    keep = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
+    return qi[keep], xi[keep], dist[keep]
+
+
+def _block_top_k(points: np.ndarray, bound: np.ndarray, xs: np.ndarray, k: int) -> tuple:
+    """(query, row, distance) of the exact top k of each query, by place; rows are in order of their ids. A matrix product finds the candidates, with a margin
+    for its rounding; their distances are then summed term by term, so they do not depend on how rows were blocked."""
     x_norm = (xs**2).sum(axis=1)
     xs_t = np.ascontiguousarray(xs.T)
     step = max(1, _MATRIX_CELLS // len(xs))
-    out_q, out_x, out_d = [], [], []
+    out = []
     for at in range(0, len(points), step):
         part = points[at : at + step]
         norm = (part**2).sum(axis=1)[:, None]
@@ -233,14 +307,8 @@ def block_top_k(queries: pa.Table, index: pa.Table, k: int) -> pa.Table:
         dist = np.zeros(len(qi))
         for dim in range(xs.shape[1]):
             dist += (part[qi, dim] - xs[xi, dim]) ** 2
-        order = np.lexsort((xi, dist, qi))
-        qi, xi, dist = qi[order], xi[order], dist[order]
-        keep = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
-        out_q.append(qi[keep] + at)
-        out_x.append(xi[keep])
-        out_d.append(dist[keep])
-    return pa.table([queries["_q"].take(pa.array(np.concatenate(out_q))), index["_x"].take(pa.array(np.concatenate(out_x))),
-                     pa.array(np.concatenate(out_d))], names=names)
+        out.append((qi + at, xi, dist))
+    return _least(out[0], out[1:], k)
 
 
 def _kth_bound(rough: np.ndarray, k: int) -> np.ndarray:

@@ -4,11 +4,12 @@ import re
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from promptloom.operators import classify, positions, retrieval
+from promptloom.operators import cells, classify, positions, retrieval
 from promptloom.sources import datasets
 from tests.conftest import plan, rows
 
@@ -104,6 +105,30 @@ def test_ties_go_to_the_lower_id(spark):
         assert [r[2] for r in rows(retrieval.nearest(queries, index, 2, **options), "rank")] == [1, 3]
 
 
+def test_a_query_is_sent_once_to_a_group_of_cells(spark, monkeypatch):
+    """Queries that visit every cell meet each row in few blocks, and find what a plain search finds."""
+    rng = np.random.default_rng(3)
+    vectors = rng.random((300, 6)).astype(np.float32)
+    index = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "split_id int, embedding array<float>")
+    asked = index.select(F.col("split_id").alias("query_id"), "embedding")
+    sent, visit = [], cells._visit
+    monkeypatch.setattr(cells, "_visit", lambda routed, *rest: sent.append(routed.select(F.explode("groups")).count()) or visit(routed, *rest))
+    d = ((vectors[:, None].astype(float) - vectors[None].astype(float)) ** 2).sum(axis=2)
+    want = sorted((q, r + 1, int(x)) for q in range(300) for r, x in enumerate(np.lexsort((np.arange(300), d[q]))[:4]))
+    report = {}
+    got = retrieval.nearest(asked, index, 4, cell_rows=4, report=report)
+    assert sorted((r.query_id, r["rank"], r.split_id) for r in got.collect()) == want
+    assert report["rounds"] > 1 and max(sent) <= 300
+    # In a task, bounds tighten from cell to cell.
+    monkeypatch.setattr(cells, "_FRESH_HITS", 1)
+    every = pa.array(vectors.tolist(), pa.list_(pa.float32()))
+    queries = pa.table({"_q": range(300), "_v": every, "_bound": pa.nulls(300, pa.float64()), "cells": [b"\xff\xc0"] * 300})
+    found = cells.group_top_k(queries, pa.table({"_x": range(300), "_v": every, "_cell": [i % 10 for i in range(300)]}), 4, 10)
+    ranked = found.sort_by([("_q", "ascending"), ("distance", "ascending"), ("_x", "ascending")])
+    assert list(zip(ranked["_q"].to_pylist(), [1, 2, 3, 4] * 300, ranked["_x"].to_pylist())) == want
+    assert cells.group_cells(np.array([3, 0, 9, 2, 2, 2]), 4).tolist() == [0, 0, 1, 2, 2, 3]
+
+
 def test_top_n_windows_cut_before_the_shuffle(spark):
     df = spark.range(10).select((F.col("id") % 2).alias("k"), "id", F.col("id").cast("string").alias("x"))
     assert "WindowGroupLimit" in plan(classify.few_shot(df, "k", "id", "x"))
