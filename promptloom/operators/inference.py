@@ -103,6 +103,11 @@ def generate(df: DataFrame, model: Model, prompt: str = "prompt", output_type: M
     return parse_response(called, output_type) if output_type else called
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over tasks of like size. Short rows come from few files, or a single row group, and would be asked one after another."""
+    return df.hint("rebalance")
+
+
 def parse_response(df: DataFrame, output_type: Mapping, response: str = "response") -> DataFrame:
     """Parse JSON text into a struct and set ``parse_ok``; text that does not parse gives null fields."""
     parsed = F.from_json(F.col(response), response_schema(output_type), {"mode": "PERMISSIVE"})

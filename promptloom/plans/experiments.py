@@ -13,7 +13,7 @@ from promptloom.functions.text import chunk_rows, question_key
 from promptloom.operators import evaluate, records, reshape
 from promptloom.operators import retrieval as ret
 from promptloom.operators.classify import EmbeddingClassifier, Round, augment_examples, class_registry, few_shot, small
-from promptloom.operators.inference import Model, embed, generate
+from promptloom.operators.inference import Model, embed, generate, spread
 from promptloom.plans.specs import SPECS
 from promptloom.plans.steps import AgenticRun
 from promptloom.storage import materialise
@@ -136,7 +136,8 @@ def document_questions(documents: DataFrame, model: Model, text: str = "text", d
 def sql_questions(requests: DataFrame, model: Model, request_id: str = "request_id", num_questions: int = NUM_QUESTIONS, dedupe: bool = True,
                   validate_answers: bool = True, **options) -> DataFrame:
     """Questions and SQL for rows of (request_id, schemas, seed_questions, question_task, query_task)."""
-    asked = materialise(SPECS["sql_questions"].apply(requests.withColumn("num_questions", F.lit(num_questions)), model, **options), "questions")
+    asked = spread(requests).withColumn("num_questions", F.lit(num_questions))
+    asked = materialise(SPECS["sql_questions"].apply(asked, model, **options), "questions")
     keys = [request_id, "question_no"]
     rows = asked.select(
         request_id, "schemas", "query_task", F.posexplode(F.slice("questions", 1, num_questions)).alias("question_no", "question")

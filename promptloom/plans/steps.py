@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptloom.operators.inference import Model
+from promptloom.operators.inference import Model, spread
 from promptloom.operators.records import keep_origin
 from promptloom.plans.specs import PromptSpec
 from promptloom.sources.datasets import record_step, save_records
@@ -75,6 +75,7 @@ class AgenticRun:
 
 def chain(df: DataFrame, steps: Sequence[tuple[str, PromptSpec]], model: Model) -> DataFrame:
     """Plain chain: each step's prompt stays in ``<name>_prompt``."""
+    df = spread(df)
     for name, spec in steps:
         df = spec.run(df, model).withColumnRenamed("prompt", f"{name}_prompt")
     return df

@@ -10,7 +10,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from promptloom.operators import cells, classify, positions, retrieval
+from promptloom.plans import experiments
+from promptloom.plans.specs import SPECS
+from promptloom.plans.steps import chain
 from promptloom.sources import datasets
+from promptloom.storage import materialise
+from promptloom.testing.doubles import json_model
 from tests.conftest import plan, rows
 
 LIBRARY = Path(__file__).parent.parent / "promptloom"
@@ -129,6 +134,25 @@ def test_a_query_is_sent_once_to_a_group_of_cells(spark, monkeypatch):
     assert cells.group_cells(np.array([3, 0, 9, 2, 2, 2]), 4).tolist() == [0, 0, 1, 2, 2, 3]
 
 
+def test_steps_over_one_row_group_run_in_many_tasks(spark, monkeypatch):
+    """Short rows in one task are spread before a model is asked."""
+    kept = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = []
+    monkeypatch.setattr(experiments, "materialise", lambda df, label: stored.append(materialise(df, label)) or stored[-1])
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+        rows_ = spark.range(2000).coalesce(1).withColumn("question", F.concat(F.lit("q"), F.col("id")))
+        out = chain(rows_, [("first", SPECS["question_to_concept"])], json_model(concept=lambda p: "k"))
+        assert len(out.inputFiles()) > 1 and out.count() == 2000
+        asked = rows_.select(F.col("id").alias("request_id"), *[F.lit("s").alias(n) for n in ("schemas", "seed_questions", "question_task", "query_task")])
+        experiments.sql_questions(asked, json_model(questions=lambda p: [], sql_query=lambda p: "SELECT 1"))
+        assert len(stored[0].inputFiles()) > 1 and stored[0].count() == 2000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", kept)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+
+
 def test_top_n_windows_cut_before_the_shuffle(spark):
     df = spark.range(10).select((F.col("id") % 2).alias("k"), "id", F.col("id").cast("string").alias("x"))
     assert "WindowGroupLimit" in plan(classify.few_shot(df, "k", "id", "x"))
