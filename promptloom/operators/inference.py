@@ -103,9 +103,9 @@ def generate(df: DataFrame, model: Model, prompt: str = "prompt", output_type: M
     return parse_response(called, output_type) if output_type else called
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The same rows over tasks of like size. Short rows come from few files, or a single row group, and would be asked one after another."""
-    return df.hint("rebalance")
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The same rows over tasks of like size, by keys or else in turn. Short rows come from few files, or a single row group, and would stay in one task."""
+    return df.hint("rebalance", *keys)
 
 
 def parse_response(df: DataFrame, output_type: Mapping, response: str = "response") -> DataFrame:

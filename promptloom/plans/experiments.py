@@ -136,8 +136,9 @@ def document_questions(documents: DataFrame, model: Model, text: str = "text", d
 def sql_questions(requests: DataFrame, model: Model, request_id: str = "request_id", num_questions: int = NUM_QUESTIONS, dedupe: bool = True,
                   validate_answers: bool = True, **options) -> DataFrame:
     """Questions and SQL for rows of (request_id, schemas, seed_questions, question_task, query_task)."""
-    asked = spread(requests).withColumn("num_questions", F.lit(num_questions))
-    asked = materialise(SPECS["sql_questions"].apply(asked, model, **options), "questions")
+    asked = SPECS["sql_questions"].apply(requests.withColumn("num_questions", F.lit(num_questions)), model, **options)
+    # Short requests come from few files; stored in many, so that no task sorts all their questions.
+    asked = materialise(spread(asked, request_id), "questions")
     keys = [request_id, "question_no"]
     rows = asked.select(
         request_id, "schemas", "query_task", F.posexplode(F.slice("questions", 1, num_questions)).alias("question_no", "question")
