@@ -145,13 +145,14 @@ def cached_generate(df: DataFrame, model: Model, model_name: str, cache_path: st
     """
     spark = df.sparkSession
     keyed = df.withColumn("request_key", request_key(model_name, F.col(prompt), output_type))
-    # One row per key before any join, so a prompt that many rows share does not gather in a task; stored, as it
-    # is read twice. first() of one key always sees equal prompts, so it is deterministic here.
     asked = keyed.filter(F.col(prompt).isNotNull())
-    keys = materialise(asked.groupBy("request_key").agg(F.first(prompt).alias("prompt")), "requests")
-    prefixes = [r[0] for r in keys.select(_prefix()).distinct().collect()]  # at most 16
-    # One join tells hits from misses; stored, so a hit never includes this run's own answers.
-    looked_up = materialise(keys.join(read_cache(spark, cache_path, prefixes), "request_key", "left"), "lookups")
+    prefixes = [r[0] for r in asked.select(_prefix()).distinct().collect()]  # at most 16
+    # One shuffle brings the rows of a key and its cached answer together and tells hits from misses; a prompt that many rows share is cut
+    # to one row before it. Prompts of one key are equal. Stored, so a hit never includes this run's own answers.
+    requests = asked.select("request_key", F.col(prompt).alias("prompt"), F.lit(None).cast("string").alias("response"))
+    both = requests.unionByName(read_cache(spark, cache_path, prefixes, once=False).withColumn("prompt", F.lit(None).cast("string")))
+    met = both.groupBy("request_key").agg(F.max("prompt").alias("prompt"), F.min("response").alias("response")).filter("prompt is not null")
+    looked_up = materialise(met.withColumn("prompt", F.when(F.col("response").isNull(), F.col("prompt"))), "lookups")
     hits, wanted = looked_up.filter("response is not null"), looked_up.filter("response is null")
     fresh = materialise(generate(wanted.drop("response"), model, "prompt", **options).select("request_key", *_RESULT.names), "fresh")
     answered = fresh.filter(F.col("response").isNotNull()).select("request_key", "response", _prefix().alias("prefix"))
@@ -167,14 +168,16 @@ def _prefix() -> Column:
     return F.substring("request_key", 1, 1)
 
 
-def read_cache(spark: SparkSession, cache_path: str, prefixes: Sequence[str] | None = None) -> DataFrame:
-    """(request_key, response) of a cache, each key once; of the folders of some prefixes, or all."""
+def read_cache(spark: SparkSession, cache_path: str, prefixes: Sequence[str] | None = None, once: bool = True) -> DataFrame:
+    """(request_key, response) of a cache, each key once, or with ``once`` off as stored; of the folders of some prefixes, or all."""
     schema = "request_key string, response string"
     if not path_exists(spark, cache_path):
         return spark.createDataFrame([], schema)
     cached = spark.read.schema(f"{schema}, prefix string").parquet(cache_path)
     if prefixes is not None:
         cached = cached.filter(F.col("prefix").isin(list(prefixes)))
+    if not once:
+        return cached.select("request_key", "response")
     return cached.groupBy("request_key").agg(F.min("response").alias("response"))
 
 

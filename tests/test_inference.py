@@ -200,6 +200,18 @@ def test_null_prompts_are_left_out(spark):
     assert got == [(1, "xx", [], 1), (2, None, [], 0), (3, "x", [], 1)]
 
 
+def test_cache_stores_each_new_prompt_once(spark, tmp_path, monkeypatch):
+    """One table tells hits from misses; the prompts of hits are not written again."""
+    cache, stored = str(tmp_path / "cache"), {}
+    inference.cached_generate(prompts(spark, "a", "b"), echo_model, "m", cache)
+    monkeypatch.setattr(inference, "materialise", lambda df, label: stored.setdefault(label, materialise(df, label)))
+    out = inference.cached_generate(prompts(spark, "a", "b", "b", "new", "new", None), echo_model, "m", cache)
+    assert rows(out.select("id", "response", "cache_hit")) == [
+        (0, "1:a", True), (1, "1:b", True), (2, "1:b", True), (3, "3:new", False), (4, "3:new", False), (5, None, None)]
+    assert sorted(stored) == ["fresh", "lookups"]
+    assert rows(stored["lookups"].select("prompt", "response")) == [("new", None), (None, "1:a"), (None, "1:b")]
+
+
 def test_cache_keeps_errors(spark, tmp_path):
     df = spark.createDataFrame([(1, "ok"), (2, "bad")], "id int, prompt string")
     out = inference.cached_generate(df, refusing_model("bad"), "m", str(tmp_path / "cache"), batch_size=1)
