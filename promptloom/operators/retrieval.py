@@ -83,8 +83,11 @@ def save_index(index: DataFrame, path: str, cell_rows: int = cells.CELL_ROWS, id
     """Store an index table, in place of what the path holds, around pivots of its own. To give a grown index new pivots, save what
     ``load_index`` gives at another path. ``id_digits`` is the length of the prefixes that ids are kept by: each hex digit more splits their folders by 16, so that
     small appends read less of them."""
-    drop_path(index.sparkSession, f"{path}/manifest")
-    stored = materialise(index.select("split_id", "split", "embedding"), "index")
+    _save(materialise(index.select("split_id", "split", "embedding"), "index"), path, cell_rows, id_digits)
+
+
+def _save(stored: DataFrame, path: str, cell_rows: int = cells.CELL_ROWS, id_digits: int = 1) -> None:
+    drop_path(stored.sparkSession, f"{path}/manifest")
     known = stored.filter("embedding is not null").select(F.col("embedding").alias("_v"))
     _write_batch(stored, path, 0, cells.fit_pivots(known, known.count(), cell_rows), None, id_digits)
 
@@ -133,16 +136,19 @@ def append_to_index(df: DataFrame, path: str, text: str, encoder: Callable, id_c
     """
     spark = df.sparkSession
     index = open_index(spark, path)
-    fresh = materialise(_keyed(df, text, id_cols).dropDuplicates(["split_id"]), "texts")
-    digits = _id_digits(spark, path)
-    if index is not None:
+    fresh, digits = _keyed(df, text, id_cols), _id_digits(spark, path)
+    if index is None:
+        fresh = fresh.dropDuplicates(["split_id"])
+    else:
         prefixes = [r[0] for r in fresh.select(F.substring("split_id", 1, digits)).distinct().collect()]  # a row per folder
         known = spark.read.schema(IDS).parquet(f"{path}/ids").filter((F.col("batch") <= index.version) & F.col("prefix").isin(prefixes))
-        fresh = fresh.join(known.select("split_id"), "split_id", "left_anti")
+        # One shuffle brings the texts of an id together and with its entry in the index.
+        both = fresh.withColumn("known", F.lit(False)).unionByName(known.select("split_id", F.lit(None).cast("string").alias("split"), F.lit(True).alias("known")))
+        fresh = both.groupBy("split_id").agg(F.max("split").alias("split"), F.bool_or("known").alias("known")).filter("not known").drop("known")
     added = materialise(embed(fresh, encoder, "split"), "append")
     n = added.count()
     if index is None or not len(index.pivots):
-        save_index(added, path)
+        _save(added, path)
     elif n:
         _write_batch(added, path, index.version + 1, index.pivots, index, digits)
     return n

@@ -15,7 +15,7 @@ from promptloom.plans.specs import SPECS
 from promptloom.plans.steps import chain
 from promptloom.sources import datasets
 from promptloom.storage import materialise
-from promptloom.testing.doubles import json_model
+from promptloom.testing.doubles import json_model, letter_encoder
 from tests.conftest import plan, rows
 
 LIBRARY = Path(__file__).parent.parent / "promptloom"
@@ -153,6 +153,17 @@ def test_steps_over_one_row_group_run_in_many_tasks(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
 
 
+def test_an_append_stores_only_new_texts(spark, tmp_path, monkeypatch):
+    """Known and repeated texts go through one aggregation; only what is new is written, once."""
+    path, stored = str(tmp_path / "index"), []
+    monkeypatch.setattr(retrieval, "materialise", lambda df, label: stored.append((label, materialise(df, label))) or stored[-1][1])
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(["a", "b", None])], "i int, t string")
+    assert retrieval.append_to_index(texts, path, "t", letter_encoder, ["i"]) == 2
+    assert retrieval.append_to_index(texts.union(spark.createDataFrame([(7, "c"), (7, "c")], texts.schema)), path, "t", letter_encoder, ["i"]) == 1
+    assert [(label, df.count()) for label, df in stored] == [("append", 2), ("append", 1)]
+    assert rows(retrieval.load_index(spark, path).select("split")) == [("a",), ("b",), ("c",)]
+
+
 def test_top_n_windows_cut_before_the_shuffle(spark):
     df = spark.range(10).select((F.col("id") % 2).alias("k"), "id", F.col("id").cast("string").alias("x"))
     assert "WindowGroupLimit" in plan(classify.few_shot(df, "k", "id", "x"))
