@@ -371,3 +371,11 @@ def test_encoder_and_model_keep_to_the_budget(spark):
 
     with pytest.raises(PySparkException, match="encoder returned 1 embeddings"):
         inference.embed(df, short).collect()
+
+
+def test_an_answer_is_parsed_once(spark):
+    """Filters on parsed fields stay above the parser."""
+    df = spark.createDataFrame([(1, '{"a": "x", "b": 2.0}'), (2, "no")], "id int, response string")
+    out = inference.parse_response(df, {"a": "str", "b": "float"}).filter("parse_ok")
+    assert rows(out.select("id", "response.a", "response.b")) == [(1, "x", 2.0)]
+    assert plan(out).split("Initial Plan")[0].count("from_json") == 1
