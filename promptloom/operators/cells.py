@@ -29,6 +29,7 @@ CELL_ROWS = 2048  # rows of a cell, about, while there are fewer than MAX_CELLS
 MAX_CELLS = 1024
 GROWTH = 8  # each round visits up to this many times the cells of the one before
 PAIRS_PER_TASK = 1 << 20
+_PIVOT_ROWS = 512  # vectors whose distances to all pivots are held at once
 _MATRIX_CELLS = 4 << 20  # distances held at once in a task
 _FRESH_HITS = 1 << 20  # hits of a task before only the nearest are kept
 
@@ -60,25 +61,27 @@ def assigned(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
     def near(vectors):
         import pandas as pd
 
-        cell, far = np.full(len(vectors), -1, np.int32), np.zeros(len(vectors))
-        known = vectors.notna().to_numpy()
-        if known.any():
-            d = to_pivots(np.stack(vectors[known].to_numpy()), pivots)
-            cell[known] = d.argmin(axis=1)
-            far[known] = d.min(axis=1)
-        return pd.DataFrame({"cell": cell, "far": far})
+        return pd.DataFrame(dict(zip(("cell", "far"), nearest_pivots(vectors, pivots))))
 
     return rows.withColumn("_p", near("_v")).withColumns({"_cell": F.col("_p.cell"), "_far": F.col("_p.far")}).drop("_p")
 
 
+def nearest_pivots(vectors: pd.Series, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, far) of each vector: the place of the nearest pivot and the distance to it; -1 and 0 for a null one."""
+    cell, far = np.full(len(vectors), -1, np.int32), np.zeros(len(vectors))
+    known = np.flatnonzero(vectors.notna())
+    for at in range(0, len(known), _PIVOT_ROWS):
+        part = known[at : at + _PIVOT_ROWS]
+        d = to_pivots(np.stack(vectors.iloc[part].to_numpy()), pivots)
+        cell[part], far[part] = d.argmin(axis=1), d.min(axis=1)
+    return cell, far
+
+
 def to_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances of vectors to all pivots. Give ``_PIVOT_ROWS`` at a time, as there may be ``MAX_CELLS`` pivots."""
     v = vectors.astype(np.float64)
-    out = np.empty((len(v), len(pivots)))
-    for at in range(0, len(v), 512):
-        part = v[at : at + 512]
-        squared = (part**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * part @ pivots.T
-        out[at : at + 512] = np.sqrt(np.maximum(squared, 0.0))
-    return out
+    squared = (v**2).sum(1)[:, None] + (pivots**2).sum(1)[None, :] - 2 * v @ pivots.T
+    return np.sqrt(np.maximum(squared, 0.0))
 
 
 def cell_sizes(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,8 +158,7 @@ def _route(index: Cells, group: np.ndarray, k: int, start: int, stop: int) -> Ca
     pivots, count, radius = index.pivots, index.count, index.radius
     first = np.flatnonzero(np.diff(group, prepend=-1))  # groups are runs of cells
 
-    @F.pandas_udf("cells binary, groups array<int>, later int")
-    def route(vectors, bound):
+    def some(vectors, bound):
         import pandas as pd
 
         if not len(vectors) or not (count > 0).any():
@@ -183,6 +185,12 @@ def _route(index: Cells, group: np.ndarray, k: int, start: int, stop: int) -> Ca
             "later": later.sum(axis=1).astype(np.int32),
         })
 
+    @F.pandas_udf("cells binary, groups array<int>, later int")
+    def route(vectors, bound):
+        import pandas as pd
+
+        return pd.concat([some(vectors.iloc[at : at + _PIVOT_ROWS], bound.iloc[at : at + _PIVOT_ROWS]) for at in range(0, max(1, len(vectors)), _PIVOT_ROWS)], ignore_index=True)
+
     return route
 
 

@@ -6,6 +6,8 @@ import hashlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -192,23 +194,25 @@ def compact_cache(spark: SparkSession, cache_path: str) -> None:
 def embed(df: DataFrame, encoder: Callable, text: str = "text", name: str = "embedding", budget: int = ENCODER_BUDGET) -> DataFrame:
     """Add an embedding. ``encoder`` is a factory like a model, from texts to equal-length float lists.
 
-    Null text has a null embedding and never reaches the encoder, which gets texts of like length, as many as ``budget`` allows.
+    Null text has a null embedding and never reaches the encoder, which gets texts of like length, as many as ``budget`` allows. The others of a batch stay in
+    Arrow's memory meanwhile, so what a task holds as Python objects follows the budget, not the batch.
     """
 
-    @F.pandas_udf("array<float>")
-    def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def call(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder()
         for batch in batches:
             out = [None] * len(batch)
-            for rows in budget_batches([i for i, given in enumerate(batch.notna()) if given], _lengths(batch), budget):
-                vectors = list(encode(batch.iloc[rows]))
+            known = [i for i, given in enumerate(batch.is_valid().to_pylist()) if given]
+            for rows in budget_batches(known, pc.utf8_length(batch).to_pylist(), budget):
+                vectors = list(encode(batch.take(pa.array(rows)).to_pandas().set_axis(rows)))
                 if len(vectors) != len(rows):
                     raise ValueError(f"encoder returned {len(vectors)} embeddings for {len(rows)} texts")
                 for i, vector in zip(rows, vectors):
                     out[i] = vector
-            yield pd.Series(out, index=batch.index, dtype=object)
+            yield pa.Array.from_pandas(pd.Series(out, dtype=object), type=pa.list_(pa.float32()), safe=False)
 
-    return df.withColumn(name, call.asNondeterministic()(F.col(text)))
+    return df.withColumn(name, call.asNondeterministic()(F.col(text).cast("string")))
 
 
 def request_progress(items: DataFrame, request: str = "request_id", finish: str = "finish_reason") -> DataFrame:

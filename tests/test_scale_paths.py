@@ -1,15 +1,17 @@
 """The paths large or skewed inputs take give the same results as the small ones."""
 
 import re
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from promptloom.operators import cells, classify, positions, retrieval
+from promptloom.operators import cells, classify, inference, positions, retrieval
 from promptloom.plans import experiments
 from promptloom.plans.specs import SPECS
 from promptloom.plans.steps import chain
@@ -164,6 +166,46 @@ def test_an_append_stores_only_new_texts(spark, tmp_path, monkeypatch):
     assert rows(retrieval.load_index(spark, path).select("split")) == [("a",), ("b",), ("c",)]
 
 
+def test_an_encoder_task_holds_the_texts_of_a_call(spark):
+    """The other texts of an Arrow batch are no Python objects, and nulls stay in place."""
+    length = F.when(F.col("id") == 0, 20_001).otherwise(20_000)
+    # A character beyond 16 bits makes each of a Python text take four bytes.
+    padded = F.concat(F.rpad(F.col("id").cast("string"), length, "x"), F.lit("\U0001f600"))
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 != 9, padded).alias("text")).coalesce(1)
+
+    def encoder():
+        tracemalloc.start()
+
+        def encode(batch):
+            held = float(tracemalloc.get_traced_memory()[0])
+            if max(map(len, batch)) > 20_001:  # the longest text comes last
+                tracemalloc.stop()
+            return [[float(x.rstrip("x\U0001f600")), held] for x in batch]
+
+        return encode
+
+    got = {r.id: r.embedding for r in inference.embed(df, encoder, budget=200_000).collect()}
+    assert [got[i] and got[i][0] for i in range(1000)] == [None if i % 10 == 9 else float(i) for i in range(1000)]
+    assert max(v[1] for v in got.values() if v) < 40e6  # the batch is 18 MB in Arrow, its texts 72 MB in Python
+
+
+def test_distances_to_pivots_are_held_in_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    data, pivots = rng.normal(size=(3000, 8)).astype("float32"), rng.normal(size=(600, 8))
+    asked, whole = [], cells.to_pivots(data, pivots)
+    monkeypatch.setattr(cells, "to_pivots", lambda v, p, f=cells.to_pivots: asked.append(len(v)) or f(v, p))
+    some = pd.Series([None, *data], dtype=object)
+    places = cells.nearest_pivots(some, pivots)
+    assert places[0].tolist() == [-1, *whole.argmin(axis=1)] and places[1] == pytest.approx([0.0, *whole.min(axis=1)])
+    index = cells.Cells(None, pivots, np.full(600, 5), np.full(600, 2.0))
+    route = cells._route(index, cells.group_cells(index.count, 500), 7, 0, 0).func
+    routed = route(some[1:], pd.Series(np.nan, range(3000)))
+    assert max(asked) <= 512 and sum(asked) == 6000 and routed.index.tolist() == list(range(3000))
+    home = np.sort(np.argsort(whole, axis=1, kind="stable")[:, :2], axis=1)  # two cells hold seven rows
+    assert [np.flatnonzero(row).tolist() for row in cells._bits(pa.array(routed["cells"]), 600)] == home.tolist()
+    assert (routed["later"] == 598).all()
+
+
 def test_top_n_windows_cut_before_the_shuffle(spark):
     df = spark.range(10).select((F.col("id") % 2).alias("k"), "id", F.col("id").cast("string").alias("x"))
     assert "WindowGroupLimit" in plan(classify.few_shot(df, "k", "id", "x"))
